@@ -1 +1,141 @@
-"""Catalogue module (filled in below)."""
+"""Catalogue: sources, sinks, casts, fills, projections, filters, sampling (S1 S3 S4 K2 K3 P F X T5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.columns import safe_double, ts_text, utf8_decode, utf8_encode
+from tidemark.operators import rows
+from tidemark.operators.labels import LabelMaps
+from tidemark.plans import fixtures as fx
+from tidemark.plans.registry import TX_SQL, index_join_sql, register, tx_maps_sql
+from tidemark.session import scratch_path
+from tidemark.sources import files, lines
+
+CATS = fx.TX_CATS
+TX_COLS = ["id", "price", "ts", *CATS]
+HEADER = ",".join(TX_COLS)
+_TX_OUT = "SELECT id, price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, " + ", ".join(CATS) + " FROM tx"
+
+
+def _typed_tx(df):
+    """Typed transaction columns from text columns (safe casts)."""
+    return df.select(F.col("id").try_cast("bigint").alias("id"), safe_double("price").alias("price"),
+                     ts_text(F.col("ts").try_cast("timestamp_ntz")).alias("ts"), *CATS)
+
+
+@register("line_source_split", sql=f"WITH {TX_SQL} {_TX_OUT}")
+def line_source_split(spark, sf):
+    """tx rendered as text lines (with padding whitespace and a header record), written to a
+    file, read back as a line source, stripped, header dropped, split on ','."""
+    t = fx.tx(spark, sf)
+    body = lines.to_lines(t, TX_COLS)
+    padded = body.select(F.when(F.length("value") % 3 == 0, F.concat(F.lit(" \t"), "value", F.lit(" \r")))
+                         .otherwise(F.col("value")).alias("value"))
+    src = spark.createDataFrame([(HEADER,)], "value string").unionByName(padded)
+    path = scratch_path(spark, "lines")
+    lines.write_lines(src, path)
+    got = lines.clean_lines(lines.read_lines(spark, path), header=HEADER)
+    return _typed_tx(lines.split_naive(got, TX_COLS))
+
+
+@register("line_source_quoted", sql=f"""WITH {TX_SQL}
+SELECT id, price, district || ', ' || county AS location, CAST(4 AS INTEGER) AS naive_fields FROM tx""")
+def line_source_quoted(spark, sf):
+    """A quoted field holding the separator: from_csv keeps it whole, the naive split cuts it."""
+    t = fx.tx(spark, sf)
+    src = t.select(F.concat_ws(",", F.col("id").cast("string"), F.col("price").cast("string"),
+                               F.concat(F.lit('"'), "district", F.lit(", "), "county", F.lit('"'))).alias("value"))
+    path = scratch_path(spark, "quoted")
+    lines.write_lines(src, path)
+    got = lines.clean_lines(lines.read_lines(spark, path))
+    parsed = got.select(F.from_csv("value", "id BIGINT, price DOUBLE, location STRING").alias("r"),
+                        F.size(F.split("value", ",", -1)).alias("naive_fields"))
+    return parsed.select("r.id", "r.price", "r.location", "naive_fields")
+
+
+@register("csv_roundtrip", sql=f"WITH {TX_SQL} {_TX_OUT}")
+def csv_roundtrip(spark, sf):
+    t = fx.tx(spark, sf)
+    path = scratch_path(spark, "csv")
+    files.write_csv(t, path, header=True)
+    schema = "id BIGINT, price DOUBLE, ts TIMESTAMP_NTZ, " + ", ".join(f"{c} STRING" for c in CATS)
+    back = files.read_csv(spark, path, schema=schema, header=True)
+    return back.select("id", "price", ts_text("ts").alias("ts"), *CATS)
+
+
+_SEL, _JOIN = index_join_sql(CATS, "tx")
+
+
+@register("parquet_roundtrip", sql=f"""WITH {TX_SQL}, {tx_maps_sql(CATS)}
+SELECT tx.id, tx.price, {_SEL} FROM tx {_JOIN}""")
+def parquet_roundtrip(spark, sf):
+    t = fx.tx(spark, sf)
+    ix = LabelMaps.fit(t, CATS).transform(t)
+    path = scratch_path(spark, "indexed")
+    files.write_parquet(ix, path)
+    return files.read_parquet(spark, path).select("id", "price", *[f"{c}_index" for c in CATS])
+
+
+@register("utf8_roundtrip", sql="""SELECT doc_id, octet_length(encode(text)) AS n_bytes,
+  decode(encode(text)) = text AS same FROM documents""")
+def utf8_roundtrip(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    enc = utf8_encode("text")
+    return d.select("doc_id", F.octet_length(enc).alias("n_bytes"), (utf8_decode(enc) == F.col("text")).alias("same"))
+
+
+WANTED = ["id", "county", "town_city", "property_type", "ppd_category", "duration"]
+
+
+@register("project_present", sql=f"WITH {TX_SQL} SELECT id, county, property_type, duration FROM tx")
+def project_present(spark, sf):
+    return rows.project_present(fx.tx(spark, sf), WANTED, policy="skip")
+
+
+@register("label_cast_drop", sql=f"""WITH {TX_SQL}
+SELECT id, price_double FROM (
+  SELECT id, TRY_CAST(CASE WHEN id % 10 = 0 THEN 'x' ELSE CAST(price AS VARCHAR) END AS DOUBLE) AS price_double FROM tx)
+WHERE price_double IS NOT NULL""")
+def label_cast_drop(spark, sf):
+    t = fx.tx(spark, sf)
+    raw = t.select("id", F.when(F.col("id") % 10 == 0, F.lit("x")).otherwise(F.col("price").cast("string")).alias("price"))
+    return rows.drop_bad_label(raw, "price", "price_double").select("id", "price_double")
+
+
+_NULLED = {"old_new": 4, "county": 6, "district": 9}
+
+
+def _nulled_tx(spark, sf):
+    t = fx.tx(spark, sf)
+    for c, m in _NULLED.items():
+        t = t.withColumn(c, F.when(F.col("id") % m == 0, F.lit(None).cast("string")).otherwise(F.col(c)))
+    return t
+
+
+_NULLED_SQL = ", ".join(
+    f"CASE WHEN id % {_NULLED[c]} = 0 THEN NULL ELSE {c} END AS {c}" if c in _NULLED else c for c in CATS)
+
+
+@register("fill_unknown", sql=f"""WITH {TX_SQL}, nt AS (SELECT id, {_NULLED_SQL} FROM tx)
+SELECT id, {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in CATS)} FROM nt""")
+def fill_unknown(spark, sf):
+    return rows.fill_unknown(_nulled_tx(spark, sf), CATS).select("id", *CATS)
+
+
+# Fixed value: the id excluded by the self-exclusion filter.
+EXCLUDED_ID = 3
+
+
+@register("exclude_id_filter", sql=f"""WITH {TX_SQL}
+SELECT id, price FROM (SELECT CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS id, price FROM tx) WHERE id <> {EXCLUDED_ID}""")
+def exclude_id_filter(spark, sf):
+    t = fx.tx(spark, sf).select(F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id")).alias("id"), "price")
+    return rows.exclude_id(t, "id", EXCLUDED_ID)
+
+
+@register("sample_query_rows", sql=f"""WITH {TX_SQL}
+SELECT id, {', '.join(CATS)} FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT 5""")
+def sample_query_rows(spark, sf):
+    """Draw 5 query rows (reproducible order by md5(id)) and keep only id + categorical columns."""
+    return rows.sample_rows(fx.tx(spark, sf), 5, "id").select("id", *CATS)
