@@ -1 +1,136 @@
-"""Catalogue module (filled in below)."""
+"""Catalogue: LSH hashing, exact kNN, batched recommendation, responses."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tidemark.operators import models as mdl
+from tidemark.operators import rows
+from tidemark.operators import similarity as sim
+from tidemark.operators.labels import LabelMaps
+from tidemark.plans import fixtures as fx
+from tidemark.plans.registry import EMB_SQL, TX_SQL, index_join_sql, register, tx_maps_sql
+
+# Hashing settings. On the unit-norm 64-d embeddings a bucket of 2.0 only hashes by
+# sign, so 0.1 is used there; the transaction recommender keeps the reference's 2.0 and 3 tables.
+EMB_DIM, EMB_BUCKET, TABLES, TOP_K = 64, 0.1, 3, 5
+TX_BUCKET = 2.0
+KNN_K = 10
+EMB_VECTORS = sim.projection_vectors(EMB_DIM, TABLES, mdl.LSH_SEED)
+TX_CATS = fx.TX_CATS
+TX_VECTORS = sim.projection_vectors(len(TX_CATS), TABLES, mdl.LSH_SEED)
+
+
+def _sql_vec(v):
+    return "[" + ", ".join(repr(float(x)) for x in v) + "]::DOUBLE[]"
+
+
+def _sql_hashes(col: str, vectors, bucket: float) -> str:
+    return "[" + ", ".join(f"CAST(floor(list_dot_product({col}, {_sql_vec(v)}) / {bucket!r}) AS BIGINT)"
+                           for v in vectors) + "]"
+
+
+def _emb(spark, sf):
+    return fx.embeddings(spark, sf)
+
+
+@register("lsh_bucket_hash", sql=f"""WITH {EMB_SQL},
+h AS (SELECT id, {_sql_hashes('vec', EMB_VECTORS, EMB_BUCKET)} AS hs FROM emb)
+SELECT id, CAST(t - 1 AS INTEGER) AS hash_table, hs[t] AS bucket FROM h, range(1, {TABLES + 1}) r(t)""")
+def lsh_bucket_hash(spark, sf):
+    e = _emb(spark, sf)
+    return e.select("id", F.posexplode(sim.lsh_hashes(F.col("vec"), EMB_VECTORS, EMB_BUCKET)).alias("hash_table", "bucket"))
+
+
+_MEAN = ", ".join(f"avg(vec[{i + 1}])" for i in range(EMB_DIM))
+
+
+@register("knn_exact", sql=f"""WITH {EMB_SQL}, key AS (SELECT [{_MEAN}]::DOUBLE[] AS kv FROM emb)
+SELECT id, round(list_distance(vec, (SELECT kv FROM key)), 6) AS dist FROM emb
+ORDER BY round(list_distance(vec, (SELECT kv FROM key)), 9), id LIMIT {KNN_K}""")
+def knn_exact(spark, sf):
+    """Exact top-10 neighbours of the mean embedding (the key is derived from the table)."""
+    e = _emb(spark, sf)
+    key = list(e.agg(*[F.avg(F.col("vec")[i]) for i in range(EMB_DIM)]).first())  # 64 numbers
+    return sim.knn_single(e, "vec", key, KNN_K).select("id", F.round("dist", 6).alias("dist"))
+
+
+def _rec_sql(items: str, requests: str, hcol_vectors, bucket, exclude_self: bool, tail: str) -> str:
+    excl = "AND i.id <> q.self_id" if exclude_self else ""
+    return f"""ih AS (SELECT id, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {items}),
+qh AS (SELECT request_id, self_id, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {requests}),
+pairs AS (SELECT q.request_id, i.id, list_distance(i.vec, q.vec) AS dist FROM qh q JOIN ih i
+  ON (i.hs[1] = q.hs[1] OR i.hs[2] = q.hs[2] OR i.hs[3] = q.hs[3]) {excl}),
+ranked AS (SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(dist, 9), id) AS INTEGER) AS rank,
+  id, dist FROM pairs),
+recs AS (SELECT * FROM ranked WHERE rank <= {TOP_K})
+{tail}"""
+
+
+@register("recommend_topk", sql=f"""WITH {EMB_SQL},
+rq AS (SELECT id AS request_id, CAST(NULL AS BIGINT) AS self_id, vec FROM emb),
+{_rec_sql('emb', 'rq', EMB_VECTORS, EMB_BUCKET, False, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs')}""")
+def recommend_topk(spark, sf):
+    """Every embedding as a request: top-5 items sharing a bucket (itself included)."""
+    e = _emb(spark, sf)
+    req = e.select(F.col("id").alias("request_id"), "vec")
+    r = sim.recommend(e, req, TOP_K, EMB_VECTORS, EMB_BUCKET)
+    return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+# transaction recommender: sampled query rows (the reference's demo), their own categories, self excluded
+_SEL, _JOIN = index_join_sql(TX_CATS, "tx")
+_TX_REC_BASE = f"""{TX_SQL}, {tx_maps_sql(TX_CATS)},
+ix AS (SELECT tx.id, {_SEL} FROM tx {_JOIN}),
+items AS (SELECT id, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM ix),
+rq AS (SELECT id AS request_id, id AS self_id, vec FROM items WHERE id IN (
+  SELECT id FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT 5))"""
+
+
+def _tx_recs(spark, sf):
+    t = fx.tx(spark, sf)
+    maps = LabelMaps.fit(t, TX_CATS)
+    items = maps.transform(t).select("id", F.array(*[F.col(f"{c}_index") for c in TX_CATS]).alias("vec"))
+    sample = rows.sample_rows(t, 5, "id").select(F.col("id").alias("request_id"), *TX_CATS)
+    req = maps.transform(sample).select("request_id", F.col("request_id").alias("self_id"),
+                                        F.array(*[F.col(f"{c}_index") for c in TX_CATS]).alias("vec"))
+    return sim.recommend(items, req, TOP_K, TX_VECTORS, TX_BUCKET, self_id="self_id")
+
+
+@register("recommend_exclude_self", sql=f"""WITH {_TX_REC_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs')}""")
+def recommend_exclude_self(spark, sf):
+    r = _tx_recs(spark, sf)
+    return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+@register("recommend_response_json", sql=f"""WITH {_TX_REC_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, '''SELECT request_id, count(*) AS n,
+  string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS ids,
+  '{"found":' || count(*) || ',"recommendations":[' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) || ']}' AS response
+FROM recs GROUP BY request_id''')}""")
+def recommend_response_json(spark, sf):
+    return sim.response_rows(_tx_recs(spark, sf))
+
+
+@register("lsh_recall")
+def lsh_recall(spark, sf):
+    """MLlib LSH (fitted, seeded) vs exact search for per-label centroid queries: recall@10.
+    Rows-only (randomised fit); tests assert ANN distances are exact and recall is high."""
+    e = _emb(spark, sf)
+    cents = e.groupBy("label").agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(EMB_DIM)])
+    cents = cents.select(F.col("label").alias("request_id"), F.array(*[f"m{i}" for i in range(EMB_DIM)]).alias("vec"))
+    model, ev = mdl.fit_lsh(e, "vec", EMB_BUCKET, TABLES)
+    items = model.transform(ev).select("id", "vec", F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint")).alias("h"))
+    from pyspark.ml.functions import array_to_vector
+    reqs = model.transform(cents.withColumn("_features", array_to_vector("vec")))
+    reqs = reqs.select("request_id", "vec", F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint")).alias("h"))
+    ann = sim.recommend(items, reqs, KNN_K, None, None, item_hashes="h", req_hashes="h")
+    keys = [(int(r["request_id"]), list(r["vec"])) for r in cents.collect()]  # one per label
+    exact = sim.knn_many(e, "vec", keys, KNN_K)
+    hit = ann.join(exact.select(F.col("qid").alias("request_id"), "id"), ["request_id", "id"])
+    got = hit.groupBy("request_id").agg(F.count(F.lit(1)).alias("hits"))
+    return (exact.select(F.col("qid").alias("request_id")).distinct()
+            .join(got, "request_id", "left")
+            .select("request_id", (F.coalesce("hits", F.lit(0)) / KNN_K).alias("recall")))
