@@ -1 +1,95 @@
-"""Catalogue module (filled in below)."""
+"""Catalogue: streaming forms (S1 S2 K1 W1 W5 W8), run with ``trigger(availableNow=True)``.
+
+Inputs are staged from the test tables into a fresh folder under the shared checkpoint root (the
+"producer" side: a line sink / record sink), then consumed as a file stream, one file per
+micro-batch. Results are read back from the ``foreachBatch`` sink as batch DataFrames.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.columns import ts_text
+from tidemark.operators.ordinal import with_bucket
+from tidemark.plans import fixtures as fx
+from tidemark.plans.q_batches import BATCH_LIMIT, CLOSED_DAYS, elapsed_sql
+from tidemark.plans.registry import register
+from tidemark.session import scratch_path
+from tidemark.sources import lines
+from tidemark.streaming.cutter import ElapsedCutter
+from tidemark.streaming.sources import run_available_now, stream_files
+
+# Fixed value: number of ordered slices (micro-batches) the staged event stream is cut into.
+SLICES = 4
+EV_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+EV_HEADER = ",".join(EV_COLS)
+
+
+def stage_ordered_slices(spark, df, order_col: str, path: str, slices: int = SLICES, fmt: str = "parquet") -> None:
+    """Write ``df`` as ``slices`` files in ``order_col`` order, one append job per slice so file
+    modification times follow the order (the file source replays files in that order)."""
+    b = with_bucket(df, [order_col], num_partitions=slices).persist()
+    for i in range(slices):
+        part = b.where(F.col("_tm_pid") == i).drop("_tm_pid").coalesce(1)
+        part.write.mode("append").format(fmt).save(path)
+    b.unpersist()
+
+
+@register("stream_line_source", sql="SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_line_source(spark, sf):
+    """Events as text lines (header record included) -> line sink -> line stream -> strip, drop
+    header, split -> running count per event type (complete mode)."""
+    ev = fx.table(spark, sf, "events")
+    body = lines.to_lines(ev, EV_COLS)
+    src = spark.createDataFrame([(EV_HEADER,)], "value string").unionByName(body)
+    inp = scratch_path(spark, "line-stream-in")
+    lines.write_lines(src.repartition(SLICES), inp)  # order is irrelevant for a count
+    stream = stream_files(spark, inp, "text")
+    parsed = lines.split_naive(lines.clean_lines(stream, header=EV_HEADER), EV_COLS)
+    counts = parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = scratch_path(spark, "line-stream-out")
+
+    def sink(batch, epoch):
+        batch.write.mode("overwrite").parquet(out)
+
+    run_available_now(counts, scratch_path(spark, "ckpt-lines"), sink, output_mode="complete")
+    return spark.read.parquet(out)
+
+
+def run_elapsed_stream(spark, sf, days: int, limit: int):
+    ev = fx.events(spark, sf).select(*EV_COLS)
+    inp = scratch_path(spark, "events-stream-in")
+    stage_ordered_slices(spark, ev, "event_id", inp)
+    stream = stream_files(spark, inp, "parquet", schema=ev.schema)
+    cutter = ElapsedCutter(spark, scratch_path(spark, "cutter"), "ts", "event_id", f"{days} days", limit)
+    run_available_now(stream, scratch_path(spark, "ckpt-cutter"), cutter)
+    return cutter
+
+
+@register("batch_by_elapsed_stream", sql=elapsed_sql(CLOSED_DAYS, BATCH_LIMIT, False, """SELECT batch_id, count(*) AS n,
+  min(event_id) AS first_event_id, max(event_id) AS last_event_id FROM kept GROUP BY batch_id"""))
+def batch_by_elapsed_stream(spark, sf):
+    rows = run_elapsed_stream(spark, sf, CLOSED_DAYS, BATCH_LIMIT).result()
+    return rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
+                                        F.max("event_id").alias("last_event_id"))
+
+
+@register("batch_by_window_stream", sql="""SELECT strftime(time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S') AS window_start,
+  count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1""")
+def batch_by_window_stream(spark, sf):
+    """Tumbling 1-day windows over the event stream, complete output mode (every window, including
+    the last one that an append-mode watermark would keep open)."""
+    ev = fx.events(spark, sf).select(*EV_COLS)
+    inp = scratch_path(spark, "window-stream-in")
+    stage_ordered_slices(spark, ev, "event_id", inp)
+    stream = stream_files(spark, inp, "parquet", schema=ev.schema)
+    agg = (stream.groupBy(F.window("ts", "1 day").alias("w"))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")))
+    out = scratch_path(spark, "window-stream-out")
+
+    def sink(batch, epoch):
+        batch.select(ts_text(F.col("w.start")).alias("window_start"), "n", F.round("s", 2).alias("sum_value")) \
+             .write.mode("overwrite").parquet(out)
+
+    run_available_now(agg, scratch_path(spark, "ckpt-window"), sink, output_mode="complete")
+    return spark.read.parquet(out)
