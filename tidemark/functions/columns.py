@@ -48,14 +48,32 @@ def lit_vector(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Inner product of two array<double> columns, summed left to right."""
+def _fold(terms: list[Column]) -> Column:
+    acc = terms[0]
+    for t in terms[1:]:
+        acc = acc + t
+    return acc
+
+
+def dot(a: Column, b: Column | Sequence[float], dim: int | None = None) -> Column:
+    """Inner product summed left to right.
+
+    With a known dimension (or a literal vector) the sum is unrolled into element arithmetic,
+    which whole-stage codegen compiles; otherwise a higher-order ``aggregate`` (interpreted)."""
+    if not isinstance(b, Column):
+        return _fold([a.getItem(i) * F.lit(float(v)) for i, v in enumerate(b)])
+    if dim:
+        return _fold([a.getItem(i) * b.getItem(i) for i in range(dim)])
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def sq_dist(a: Column, b: Column) -> Column:
+def sq_dist(a: Column, b: Column | Sequence[float], dim: int | None = None) -> Column:
+    if not isinstance(b, Column):
+        return _fold([(a.getItem(i) - F.lit(float(v))) * (a.getItem(i) - F.lit(float(v))) for i, v in enumerate(b)])
+    if dim:
+        return _fold([(a.getItem(i) - b.getItem(i)) * (a.getItem(i) - b.getItem(i)) for i in range(dim)])
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def euclid(a: Column, b: Column) -> Column:
-    return F.sqrt(sq_dist(a, b))
+def euclid(a: Column, b: Column | Sequence[float], dim: int | None = None) -> Column:
+    return F.sqrt(sq_dist(a, b, dim))

@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import lit_vector, sq_dist
+from tidemark.functions.columns import sq_dist
 
 
 def nearest_centre(vec: Column, centres: Sequence[Sequence[float]]) -> Column:
     """Index of the nearest centre (squared Euclidean); ties go to the lowest index."""
-    cands = [F.struct(sq_dist(vec, lit_vector(c)).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
+    cands = [F.struct(sq_dist(vec, list(c)).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
     return F.array_min(F.array(*cands))["i"]
 
 

@@ -4,13 +4,15 @@
 Projection vectors are tables x dim numbers (bounded by the model) and are inlined as literals.
 
 ``recommend`` answers a whole table of requests in one plan (the reference answers one request per
-job): both sides are exploded to (table, bucket); an equi-join on (table, bucket) gives the
-candidates; a pair is kept only at the FIRST table where it shares a bucket (a filter, so no
-dedupe shuffle); exact Euclidean distance; per-request top-k with ``row_number() <= k``, which
-Spark plans as a partial WindowGroupLimit before the shuffle, so at most k rows per request leave
-each partition. The request side is broadcast only when its row count is checked to be small;
-otherwise both sides shuffle on (table, bucket) and AQE splits skewed (hot) buckets across tasks.
-Candidates are never capped: every item sharing a bucket is scored.
+job): both sides are exploded to (table, bucket), and a request's candidates are the items in its
+buckets. Items and requests are co-grouped per (table, bucket, slice); inside a group numpy
+computes exact Euclidean distances (in bounded chunks) and keeps only the best k per request, so
+candidate pairs are never materialised or shuffled. A hot bucket is split into a grid of slices
+sized from the per-bucket counts, so no group exceeds ``group_rows`` rows per side. The partial
+lists of all tables/slices are merged (an item found through several tables appears once) and
+ranked with ``row_number() <= k`` (ties: rounded distance, then id). Candidates are never capped:
+every item sharing a bucket is scored; keeping the best k of every group is exact because the
+global top-k of a request is also the top-k of each candidate subset that contains it.
 """
 
 from __future__ import annotations
@@ -18,13 +20,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import dot, euclid, lit_vector
+from tidemark.functions.vectors import bucket_hashes, key_distances
 
-# Requests are broadcast only up to this many rows (checked with a count).
-BROADCAST_REQUESTS = 20_000
+# Target rows per side of one (table, bucket, slice) group; hot buckets are split to this size.
+GROUP_ROWS = 20_000
+# numpy elements per distance chunk inside a group (bounds task memory), extra partial candidates.
+_CHUNK_ELEMS = 8_000_000
+_MARGIN = 2
 
 
 def projection_vectors(dim: int, tables: int, seed: int) -> list[list[float]]:
@@ -37,59 +43,112 @@ def projection_vectors(dim: int, tables: int, seed: int) -> list[list[float]]:
 
 def lsh_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length: float) -> Column:
     """array<bigint> of bucket ids, one per table."""
-    return F.array(*[F.floor(dot(vec, lit_vector(v)) / F.lit(float(bucket_length))).cast("bigint") for v in vectors])
+    return bucket_hashes(vec, vectors, bucket_length)
 
 
 def knn_single(items: DataFrame, vec_col: str, key: Sequence[float], k: int, id_col: str = "id",
                digits: int = 9) -> DataFrame:
     """Exact k nearest items to one key vector: distance then a distributed top-k
     (TakeOrderedAndProject), ties by rounded distance then id."""
-    d = items.withColumn("dist", euclid(F.col(vec_col), lit_vector(key)))
+    d = items.withColumn("dist", key_distances(F.col(vec_col), [list(key)])[0])
     return d.orderBy(F.round("dist", digits), F.col(id_col)).limit(k)
 
 
 def knn_many(items: DataFrame, vec_col: str, keys: Sequence[tuple[int, Sequence[float]]], k: int,
              id_col: str = "id", digits: int = 9) -> DataFrame:
-    """Exact top-k for a bounded list of key vectors (inlined as literals, like k-means centres):
-    distances to every key per item, exploded, per-key top-k with a partial group limit."""
-    arr = F.array(*[F.struct(F.lit(int(q)).alias("qid"), euclid(F.col(vec_col), lit_vector(v)).alias("dist"))
-                    for q, v in keys])
-    ex = items.select(F.col(id_col).alias("id"), F.explode(arr).alias("p")).select("p.qid", "id", "p.dist")
+    """Exact top-k for a bounded list of key vectors (like k-means centres): distances to every key
+    per item, exploded, per-key top-k (partial WindowGroupLimit before the shuffle)."""
+    qids = F.array(*[F.lit(int(q)) for q, _ in keys])
+    dists = key_distances(F.col(vec_col), [list(v) for _, v in keys])
+    ex = (items.select(F.col(id_col).alias("id"), F.arrays_zip(qids.alias("qid"), dists.alias("dist")).alias("p"))
+          .select("id", F.explode("p").alias("p")).select("p.qid", "id", "p.dist"))
     w = Window.partitionBy("qid").orderBy(F.round("dist", digits), "id")
     return ex.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _partial_topk(k: int, digits: int):
+    """cogroup kernel: exact distances between the requests and items of one (table, bucket,
+    slice) group, keeping the best k per request (ties by rounded distance, then id)."""
+
+    def fn(pi: pd.DataFrame, pr: pd.DataFrame) -> pd.DataFrame:
+        cols = ["request_id", "id", "dist"]
+        if len(pi) == 0 or len(pr) == 0:
+            return pd.DataFrame({c: pd.Series(dtype="int64" if c != "dist" else "float64") for c in cols})
+        items_m = np.stack([np.asarray(v, dtype=float) for v in pi["ivec"].values])
+        ids = pi["id"].to_numpy(dtype=np.int64)
+        reqs_m = np.stack([np.asarray(v, dtype=float) for v in pr["qvec"].values])
+        rids = pr["request_id"].to_numpy(dtype=np.int64)
+        selfs = pr["self_id"].to_numpy(dtype=float)
+        m, dim = items_m.shape
+        chunk = max(1, int(_CHUNK_ELEMS // max(1, m * dim)))
+        out_r, out_i, out_d = [], [], []
+        for s0 in range(0, len(reqs_m), chunk):
+            q = reqs_m[s0:s0 + chunk]
+            d = np.sqrt(((q[:, None, :] - items_m[None, :, :]) ** 2).sum(axis=2))
+            for j in range(len(q)):
+                dj = d[j]
+                keep = np.ones(m, dtype=bool) if np.isnan(selfs[s0 + j]) else ids != selfs[s0 + j]
+                cand = np.nonzero(keep)[0]
+                if len(cand) == 0:
+                    continue
+                rd = np.round(dj[cand], digits)
+                if len(cand) > k:
+                    kth = np.partition(rd, k - 1)[k - 1]
+                    cand, rd = cand[rd <= kth], rd[rd <= kth]
+                order = np.lexsort((ids[cand], rd))[:k]
+                sel = cand[order]
+                out_r.append(np.full(len(sel), rids[s0 + j], dtype=np.int64))
+                out_i.append(ids[sel])
+                out_d.append(dj[sel])
+        if not out_r:
+            return pd.DataFrame({c: pd.Series(dtype="int64" if c != "dist" else "float64") for c in cols})
+        return pd.DataFrame({"request_id": np.concatenate(out_r), "id": np.concatenate(out_i),
+                             "dist": np.concatenate(out_d)})
+
+    return fn
+
+
 def recommend(items: DataFrame, requests: DataFrame, k: int, vectors: Sequence[Sequence[float]] | None,
               bucket_length: float | None, *, item_id: str = "id", item_vec: str = "vec",
               req_id: str = "request_id", req_vec: str = "vec", self_id: str | None = None,
               item_hashes: str | None = None, req_hashes: str | None = None,
-              broadcast_rows: int = BROADCAST_REQUESTS, digits: int = 9) -> DataFrame:
+              group_rows: int = GROUP_ROWS, digits: int = 9) -> DataFrame:
     """Top-k items sharing at least one bucket with each request.
 
     Returns (request_id, rank, id, dist). With ``self_id`` (a request column), items whose id
-    equals it are excluded before ranking (SQL ``!=``: a null self id excludes nothing here since
-    the reference only filters when an id is given). Requests can come with precomputed hash
-    columns (e.g. from an MLlib LSH model); otherwise ``vectors``/``bucket_length`` hash them.
+    equals it are excluded before ranking (only when the request gives an id, as in the reference).
+    Requests can come with precomputed hash columns (e.g. from an MLlib LSH model); otherwise
+    ``vectors``/``bucket_length`` hash them.
     """
     ih = F.col(item_hashes) if item_hashes else lsh_hashes(F.col(item_vec), vectors, bucket_length)
     qh = F.col(req_hashes) if req_hashes else lsh_hashes(F.col(req_vec), vectors, bucket_length)
-    it = items.select(F.col(item_id).alias("id"), F.col(item_vec).alias("ivec"), ih.alias("ih"))
-    it = it.select("*", F.posexplode("ih").alias("t", "b"))
-    q_cols = [F.col(req_id).alias("request_id"), F.col(req_vec).alias("qvec"), qh.alias("qh")]
-    if self_id:
-        q_cols.append(F.col(self_id).alias("self_id"))
-    rq = requests.select(*q_cols)
-    rq = rq.select("*", F.posexplode("qh").alias("t", "b"))
-    if requests.count() <= broadcast_rows:
-        rq = F.broadcast(rq)
-    pairs = it.join(rq, ["t", "b"])
-    first_shared = F.array_position(F.zip_with("ih", "qh", lambda x, y: x == y), F.lit(True)) - 1
-    pairs = pairs.where(first_shared == F.col("t"))
-    if self_id:
-        pairs = pairs.where(F.col("self_id").isNull() | (F.col("id") != F.col("self_id")))
-    scored = pairs.select("request_id", "id", euclid(F.col("ivec"), F.col("qvec")).alias("dist"))
+    it = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(item_vec).alias("ivec"),
+                      F.posexplode(ih).alias("t", "b"))
+    sid = F.col(self_id).cast("bigint") if self_id else F.lit(None).cast("bigint")
+    rq = requests.select(F.col(req_id).cast("bigint").alias("request_id"), sid.alias("self_id"),
+                         F.col(req_vec).alias("qvec"), F.posexplode(qh).alias("t", "b"))
+    # grid split of hot buckets: a bucket with n items and r requests becomes ceil(n/g) x ceil(r/g)
+    # groups; items are hashed to an item slice and copied to every request slice, and vice versa
+    isz = it.groupBy("t", "b").agg(F.count(F.lit(1)).alias("ni"))
+    rsz = rq.groupBy("t", "b").agg(F.count(F.lit(1)).alias("nr"))
+    sizes = isz.join(rsz, ["t", "b"]).select(
+        "t", "b", F.ceil(F.col("ni") / group_rows).cast("int").alias("si"),
+        F.ceil(F.col("nr") / group_rows).cast("int").alias("sr"))
+    it2 = (it.join(sizes, ["t", "b"])
+           .withColumn("islice", F.pmod(F.xxhash64("id"), F.col("si")).cast("int"))
+           .withColumn("rslice", F.explode(F.sequence(F.lit(0), F.col("sr") - 1)))
+           .select("t", "b", "islice", "rslice", "id", "ivec"))
+    rq2 = (rq.join(sizes, ["t", "b"])
+           .withColumn("rslice", F.pmod(F.xxhash64("request_id"), F.col("sr")).cast("int"))
+           .withColumn("islice", F.explode(F.sequence(F.lit(0), F.col("si") - 1)))
+           .select("t", "b", "islice", "rslice", "request_id", "self_id", "qvec"))
+    keys = ["t", "b", "islice", "rslice"]
+    partial = (it2.groupBy(*keys).cogroup(rq2.groupBy(*keys))
+               .applyInPandas(_partial_topk(k + _MARGIN, digits), "request_id bigint, id bigint, dist double"))
+    # an item sharing buckets in several tables is found once per table: same distance
+    best = partial.groupBy("request_id", "id").agg(F.min("dist").alias("dist"))
     w = Window.partitionBy("request_id").orderBy(F.round("dist", digits), "id")
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("request_id", "rank", "id", "dist"))
 
 
