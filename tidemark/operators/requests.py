@@ -48,8 +48,10 @@ def validate(df: DataFrame, required: Sequence[str], k_col: str | None = None,
         has_known = has_known | col_(c).isNotNull()
     err = (F.when(missing_n > 0, F.concat(F.lit(MISSING_PREFIX), missing_txt))
            .when(~k_ok, F.lit(K_ERROR)))
+    outs = ("missing_n", "k", "has_known_feature", "status", "error")
+    keep = [col_(c) for c in df.columns if c not in outs]  # outputs replace same-named inputs
     return df.select(
-        "*",
+        *keep,
         missing_n.cast("int").alias("missing_n"),
         F.when(k_ok, k_parsed).cast("int").alias("k"),
         has_known.alias("has_known_feature"),
