@@ -8,10 +8,10 @@
 * event-time window: tumbling ``window(ts, width)``;
 * training sets: disjoint (set i) or cumulative (sets 1..i) equal-count thirds.
 
-Elapsed cuts: each cut is one scalar aggregate ``min(struct(ts, id))`` over the rows past the
-anchor (a filtered scan whose ts predicate reaches the Parquet reader), so the job count is the
-number of closed batches (bounded by ``limit``); rows are then labelled by a projection against
-the cut keys, which are collected (one (ts, id) pair per batch).
+Elapsed cuts: each cut is a scalar aggregate ``min(struct(ts, id))`` over a galloping ts window
+past the anchor (the ts range reaches the Parquet reader), so the job count grows with the number
+of closed batches (bounded by ``limit``), not with the data; rows are then labelled by a
+projection against the cut keys, which are collected (one (ts, id) pair per batch).
 """
 
 from __future__ import annotations
@@ -38,17 +38,33 @@ def interval_micros(interval: dt.timedelta | str) -> int:
 
 def elapsed_cuts(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
                  anchor_us: int | None = None) -> list[tuple[int, int]]:
-    """The closing records ``(ts_micros, id)`` of the elapsed-time batches, in order."""
+    """The closing records ``(ts_micros, id)`` of the elapsed-time batches, in order.
+
+    Each cut is the smallest (ts, id) with ts >= anchor + interval. It is searched in a galloping
+    window [anchor + interval, anchor + interval + w) that widens x4 only while empty, so on
+    time-ordered files each search reads a narrow range of row groups (the ts bounds are pushed
+    to the Parquet reader) instead of everything after the anchor.
+    """
     step = interval_micros(interval)
     keyed = df.select(F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"), F.col(id_col).alias("_id"))
+    bounds = keyed.agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
+    if bounds["lo"] is None:
+        return []
+    hi = int(bounds["hi"])
     if anchor_us is None:
-        first = keyed.agg(F.min("_us")).first()[0]
-        if first is None:
-            return []
-        anchor_us = int(first)
+        anchor_us = int(bounds["lo"])
     cuts: list[tuple[int, int]] = []
     while limit is None or len(cuts) < limit:
-        r = keyed.where(F.col("_us") >= F.lit(anchor_us + step)).agg(F.min(F.struct("_us", "_id")).alias("m")).first()["m"]
+        start = anchor_us + step
+        if start > hi:
+            break
+        width = max(step, 1)
+        while True:
+            r = (keyed.where((F.col("_us") >= F.lit(start)) & (F.col("_us") < F.lit(start + width)))
+                 .agg(F.min(F.struct("_us", "_id")).alias("m")).first()["m"])
+            if r is not None or start + width > hi:
+                break
+            width *= 4
         if r is None:
             break
         cuts.append((int(r["_us"]), int(r["_id"])))

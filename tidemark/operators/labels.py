@@ -21,7 +21,7 @@ from tidemark.functions.columns import col_
 
 # Maps with at most this many labels for a column are broadcast; larger ones use a shuffle join
 # (AQE's skew-join splitting covers a hot label on the data side).
-BROADCAST_LABELS = 2_000_000
+BROADCAST_LABELS = 500_000
 
 
 def stack_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
