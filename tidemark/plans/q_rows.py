@@ -82,7 +82,7 @@ def parquet_roundtrip(spark, sf):
 def utf8_roundtrip(spark, sf):
     d = fx.table(spark, sf, "documents")
     enc = utf8_encode("text")
-    return d.select("doc_id", F.octet_length(enc).alias("n_bytes"), (utf8_decode(enc) == F.col("text")).alias("same"))
+    return d.select("doc_id", F.octet_length(enc).cast("bigint").alias("n_bytes"), (utf8_decode(enc) == F.col("text")).alias("same"))
 
 
 WANTED = ["id", "county", "town_city", "property_type", "ppd_category", "duration"]
