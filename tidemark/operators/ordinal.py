@@ -2,12 +2,16 @@
 
 ``row_number() over (order by k)`` with no partition moves every row into one task. Here:
 
-1. approximate quantiles of the leading order column give ``n - 1`` bucket bounds (one cheap pass,
-   bounds are literals from then on, so their size is bounded by ``n``);
+1. approximate quantiles of the leading order column give ``n - 1`` bucket bounds (one pass over
+   that column, bounds are literals from then on, so their size is bounded by ``n``);
 2. each row's bucket is a deterministic function of its key (``Bucketizer``, a binary search);
 3. rows are numbered inside their bucket (``row_number`` partitioned by bucket: one shuffle,
    buckets are balanced by the quantiles);
-4. bucket sizes (one row per bucket) are prefix-summed and broadcast back as offsets.
+4. bucket sizes (map-side partial counts, one row per bucket) are prefix-summed and broadcast back
+   as offsets.
+
+So the input is read three times (quantiles, counts: both pruned to the key column) and shuffled
+once.
 
 Everything is deterministic given the bounds, so a recomputed partition (executor loss, a second
 evaluation of a branch) gets the same numbers. The order key must be unique (add a tie-break
@@ -58,7 +62,9 @@ def with_ordinal(df: DataFrame, order_cols: Sequence[str], out: str = "ordinal",
     keys = [F.col(c) for c in order_cols]
     bucketed = with_bucket(df, order_cols, num_partitions)
     numbered = bucketed.withColumn(_LOC, F.row_number().over(Window.partitionBy(_PID).orderBy(*keys)) - 1)
-    counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
+    # bucket sizes: a column-pruned pass with map-side partial counts (the shuffle carries one row
+    # per bucket and map task), not a second shuffle of the rows
+    counts = bucketed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     w = Window.orderBy(_PID)
     offsets = counts.select(
         _PID,
