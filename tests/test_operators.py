@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from tidemark.functions.columns import epoch_micros
 from tidemark.operators import batching as bt
 from tidemark.operators import models as mdl
 from tidemark.operators import requests as rq
@@ -102,7 +103,7 @@ def test_elapsed_batches_equal_consumer_loop(spark, days, limit, emit_open):
     got = {r["event_id"]: r["batch_id"] for r in
            bt.batch_by_elapsed(ev, "ts", "event_id", f"{days} days", limit, emit_open).collect()}
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
-                  ev.select(F.unix_micros("ts").alias("us"), "event_id").collect())
+                  ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
     assert got == consumer_loop(recs, days * 86_400_000_000, limit, emit_open)
 
 
@@ -287,3 +288,20 @@ def test_lsh_recall_invariants(spark):
     assert len(got) == 10
     assert all(0.0 <= r["recall"] <= 1.0 for r in got)
     assert sum(r["recall"] for r in got) / len(got) >= 0.5
+
+
+# ---- session independence -------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", ["batch_by_window", "batch_by_elapsed", "write_batches_csv"])
+def test_time_queries_do_not_depend_on_session_zone(spark, name):
+    import __spark_entry__ as ent
+
+    q = ent.queries()[name]
+    base = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == other

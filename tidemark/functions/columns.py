@@ -39,6 +39,14 @@ def utf8_decode(c: str | Column) -> Column:
     return F.decode(col_(c), "UTF-8")
 
 
+def epoch_micros(df, c: str) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp column. TIMESTAMP_NTZ is measured without any
+    time zone (so elapsed times are not bent by the session zone's DST changes)."""
+    if df.schema[c].dataType.typeName() == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_(c))
+    return F.unix_micros(col_(c).cast("timestamp"))
+
+
 def ts_text(c: str | Column) -> Column:
     """Timestamp as 'yyyy-MM-dd HH:mm:ss' text (engine-neutral result form)."""
     return F.date_format(col_(c), "yyyy-MM-dd HH:mm:ss")

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import epoch_micros
 from tidemark.operators.ordinal import with_count_batches, with_ntile
 
 
@@ -46,7 +47,7 @@ def elapsed_cuts(df: DataFrame, ts_col: str, id_col: str, interval, limit: int |
     to the Parquet reader) instead of everything after the anchor.
     """
     step = interval_micros(interval)
-    keyed = df.select(F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"), F.col(id_col).alias("_id"))
+    keyed = df.select(epoch_micros(df, ts_col).alias("_us"), F.col(id_col).alias("_id"))
     bounds = keyed.agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
     if bounds["lo"] is None:
         return []
@@ -85,7 +86,7 @@ def batch_of(us: Column, rid: Column, cuts: Sequence[tuple[int, int]]) -> Column
 def batch_by_elapsed(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = 3,
                      emit_open: bool = False, out: str = "batch_id", anchor_us: int | None = None) -> DataFrame:
     cuts = elapsed_cuts(df, ts_col, id_col, interval, limit, anchor_us)
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    us = epoch_micros(df, ts_col)
     labelled = df.withColumn(out, batch_of(us, F.col(id_col), cuts))
     closed = len(cuts)
     if emit_open and (limit is None or closed < limit):
@@ -99,8 +100,11 @@ def batch_by_count(df: DataFrame, order_cols: Sequence[str], size: int, limit: i
 
 
 def batch_by_window(df: DataFrame, ts_col: str, width: str, out: str = "window") -> DataFrame:
-    """Tumbling event-time window per row (struct start/end)."""
-    return df.withColumn(out, F.window(F.col(ts_col).cast("timestamp"), width))
+    """Tumbling event-time window per row (struct start/end).
+
+    A TIMESTAMP_NTZ column is windowed as is (boundaries independent of the session time zone);
+    a zoned TIMESTAMP is aligned to the epoch in UTC terms."""
+    return df.withColumn(out, F.window(F.col(ts_col), width))
 
 
 def training_sets(df: DataFrame, order_cols: Sequence[str], n_sets: int = 3, cumulative: bool = False,

@@ -31,6 +31,8 @@ GROUP_ROWS = 20_000
 # numpy elements per distance chunk inside a group (bounds task memory), extra partial candidates.
 _CHUNK_ELEMS = 8_000_000
 _MARGIN = 2
+# key vectors inlined as literals (exact multi-key search) are capped; more keys go through recommend()
+MAX_LITERAL_KEYS = 1024
 
 
 def projection_vectors(dim: int, tables: int, seed: int) -> list[list[float]]:
@@ -58,6 +60,8 @@ def knn_many(items: DataFrame, vec_col: str, keys: Sequence[tuple[int, Sequence[
              id_col: str = "id", digits: int = 9) -> DataFrame:
     """Exact top-k for a bounded list of key vectors (like k-means centres): distances to every key
     per item, exploded, per-key top-k (partial WindowGroupLimit before the shuffle)."""
+    if len(keys) > MAX_LITERAL_KEYS:
+        raise ValueError(f"{len(keys)} key vectors exceed the literal bound {MAX_LITERAL_KEYS}; use recommend()")
     qids = F.array(*[F.lit(int(q)) for q, _ in keys])
     dists = key_distances(F.col(vec_col), [list(v) for _, v in keys])
     ex = (items.select(F.col(id_col).alias("id"), F.arrays_zip(qids.alias("qid"), dists.alias("dist")).alias("p"))

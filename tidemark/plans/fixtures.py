@@ -66,6 +66,5 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrival-ordered records; ts as a zoned timestamp (session zone is UTC)."""
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", "props")
+    """Arrival-ordered records; ts kept as TIMESTAMP_NTZ (zone-free elapsed times and windows)."""
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")

@@ -59,7 +59,7 @@ def write_batches_csv(spark, sf):
     path = scratch_path(spark, "batches")
     files.write_csv(lab, path, header=False, partition_by=["batch_id"])
     back = files.read_csv(spark, path, header=False,
-                          schema="event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, batch_id BIGINT")
+                          schema="event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, batch_id BIGINT")
     return back.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
                                         F.max("event_id").alias("last_event_id"),
                                         F.round(F.sum("value"), 2).alias("sum_value"))
@@ -76,7 +76,7 @@ def batch_by_count(spark, sf):
 SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
   round(sum(value), 2) AS sum_value FROM ev GROUP BY 1""")
 def batch_by_window(spark, sf):
-    w = bt.batch_by_window(fx.events(spark, sf), "ts", WINDOW)
+    w = bt.batch_by_window(fx.table(spark, sf, "events"), "ts", WINDOW)  # ts stays TIMESTAMP_NTZ
     return (w.groupBy(F.col("window.start").alias("ws"))
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("sum_value"))
             .select(ts_text("ws").alias("window_start"), "n", "sum_value"))

@@ -127,7 +127,8 @@ def lsh_recall(spark, sf):
     reqs = model.transform(cents.withColumn("_features", array_to_vector("vec")))
     reqs = reqs.select("request_id", "vec", F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint")).alias("h"))
     ann = sim.recommend(items, reqs, KNN_K, None, None, item_hashes="h", req_hashes="h")
-    keys = [(int(r["request_id"]), list(r["vec"])) for r in cents.collect()]  # one per label
+    keys = [(int(r["request_id"]), list(r["vec"]))  # one per label, checked against the literal bound
+            for r in cents.limit(sim.MAX_LITERAL_KEYS + 1).collect()]
     exact = sim.knn_many(e, "vec", keys, KNN_K)
     hit = ann.join(exact.select(F.col("qid").alias("request_id"), "id"), ["request_id", "id"])
     got = hit.groupBy("request_id").agg(F.count(F.lit(1)).alias("hits"))

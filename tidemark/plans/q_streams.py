@@ -79,7 +79,7 @@ def batch_by_elapsed_stream(spark, sf):
 def batch_by_window_stream(spark, sf):
     """Tumbling 1-day windows over the event stream, complete output mode (every window, including
     the last one that an append-mode watermark would keep open)."""
-    ev = fx.events(spark, sf).select(*EV_COLS)
+    ev = fx.table(spark, sf, "events").select(*EV_COLS)  # ts stays TIMESTAMP_NTZ: zone-free windows
     inp = scratch_path(spark, "window-stream-in")
     stage_ordered_slices(spark, ev, "event_id", inp)
     stream = stream_files(spark, inp, "parquet", schema=ev.schema)

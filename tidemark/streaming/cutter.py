@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import epoch_micros
 from tidemark.operators.batching import batch_of, elapsed_cuts
 
 
@@ -64,14 +65,14 @@ class ElapsedCutter:
         try:
             anchor = s.anchor_us
             if anchor is None:
-                first = batch.agg(F.min(F.unix_micros(F.col(self.ts_col).cast("timestamp")))).first()[0]
+                first = batch.agg(F.min(epoch_micros(batch, self.ts_col))).first()[0]
                 if first is None:
                     self._save_state(epoch, s)
                     return
                 anchor = int(first)
             remaining = None if self.limit is None else self.limit - s.closed
             cuts = elapsed_cuts(batch, self.ts_col, self.id_col, self.interval, remaining, anchor_us=anchor)
-            us = F.unix_micros(F.col(self.ts_col).cast("timestamp"))
+            us = epoch_micros(batch, self.ts_col)
             labelled = batch.withColumn(self.out, batch_of(us, F.col(self.id_col), cuts) + F.lit(s.batch_id - 1))
             closed = s.closed + len(cuts)
             if self.limit is not None and closed >= self.limit:
