@@ -52,7 +52,7 @@ SELECT ix.id, round((SELECT my - b1 * mx1 - b2 * mx2 FROM c) + (SELECT b1 FROM c
 
 @register("lr_predict", sql=_PRED_SQL)
 def lr_predict(spark, sf):
-    ix = _tx_indexed(spark, sf).persist()
+    ix = _tx_indexed(spark, sf)  # read twice (fit, score) rather than pinned in executor storage
     model = LinearModel.from_fit(fit_ols(ix, LR_X, "price"), LR_X)
     return model.transform(ix).select("id", F.round("prediction", 2).alias("prediction"))
 

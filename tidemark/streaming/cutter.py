@@ -21,6 +21,9 @@ from tidemark.functions.columns import epoch_micros
 from tidemark.operators.batching import batch_of, elapsed_cuts
 
 
+_STATE_SCHEMA = "batch_id bigint, anchor_us bigint, closed bigint, epoch bigint"
+
+
 @dataclass
 class CutState:
     batch_id: int = 1          # id of the open batch
@@ -35,11 +38,14 @@ class ElapsedCutter:
         self.rows_dir = f"{base_dir}/rows"
         self.state_dir = f"{base_dir}/state"
         self.ts_col, self.id_col, self.interval, self.limit, self.out = ts_col, id_col, interval, limit, out
+        self._last: tuple[int, CutState] | None = None  # (epoch, state) written by this process
 
     # -- state --------------------------------------------------------------------------------
     def load_state(self, before_epoch: int | None = None) -> CutState:
+        if before_epoch is not None and self._last is not None and self._last[0] == before_epoch - 1:
+            return self._last[1]  # the previous epoch was handled here: no storage round trip
         try:
-            st = self.spark.read.json(self.state_dir)
+            st = self.spark.read.schema(_STATE_SCHEMA).json(self.state_dir)
         except AnalysisException:
             return CutState()
         if before_epoch is not None:
@@ -54,6 +60,7 @@ class ElapsedCutter:
         df = self.spark.createDataFrame([(s.batch_id, s.anchor_us, s.closed)],
                                         "batch_id bigint, anchor_us bigint, closed bigint")
         df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{self.state_dir}/epoch={epoch}")
+        self._last = (epoch, s)
 
     # -- handler ------------------------------------------------------------------------------
     def __call__(self, df: DataFrame, epoch: int) -> None:
