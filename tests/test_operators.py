@@ -305,3 +305,23 @@ def test_time_queries_do_not_depend_on_session_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == other
+
+
+def test_display_columns_and_fallbacks():
+    cols = ["id", "price", "features", "hashes", "a_index", "a"]
+    assert sim.display_columns(cols, "id", "price", ["a"]) == ["id", "price", "a"]
+    assert sim.display_columns(["features", "a_index", "id"], "id", "price", ["a"]) == ["id"]
+    assert sim.display_columns(["features", "hashes", "b_index"], "id", "price", ["b"]) == ["b"]
+
+
+def test_top_n_ordered_and_unordered(spark):
+    df = spark.createDataFrame([(i, float(10 - i)) for i in range(10)], "id bigint, dist double")
+    assert [r["id"] for r in sim.top_n(df, 3).collect()] == [9, 8, 7]
+    assert sim.top_n(df.drop("dist"), 4).count() == 4
+
+
+def test_feature_list_roundtrip(spark):
+    path = scratch_path(spark, "cols")
+    cols = ["Property Type", "Old/New", "Record Status - monthly file only"]
+    mdl.save_feature_list(spark, cols, path)
+    assert mdl.load_feature_list(spark, path) == cols

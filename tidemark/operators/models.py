@@ -57,6 +57,17 @@ def fit_similarity_pipeline(df: DataFrame, cats: Sequence[str], bucket_length: f
     return Pipeline(stages=stages).fit(df)
 
 
+def save_feature_list(spark, cols: Sequence[str], path: str) -> None:
+    """The active feature columns, one per line (written through Spark, so any shared filesystem works)."""
+    spark.createDataFrame([(c,) for c in cols], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_feature_list(spark, path: str) -> list[str]:
+    """Feature columns back from text: stripped, blank lines dropped, file order kept."""
+    df = spark.read.text(path).select(F.trim("value").alias("c"), F.monotonically_increasing_id().alias("o"))
+    return [r["c"] for r in df.where(F.col("c") != "").orderBy("o").collect()]  # one line per column
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -165,3 +165,31 @@ def response_rows(recs: DataFrame) -> DataFrame:
     ids = F.transform("_r", lambda s: s["id"])
     return g.select("request_id", "n", F.concat_ws(",", F.transform(ids, lambda x: x.cast("string"))).alias("ids"),
                     F.to_json(F.struct(F.col("n").alias("found"), ids.alias("recommendations"))).alias("response"))
+
+
+def display_columns(columns: Sequence[str], id_col: str | None = None, price_col: str | None = None,
+                    cats: Sequence[str] = (), hidden: Sequence[str] = ("features", "hashes")) -> list[str]:
+    """The original columns of an item table in table order (no feature, hash or ``*_index``
+    columns); if none remain: the id, the price, else the first categorical column."""
+    shown = [c for c in columns if c not in hidden and not c.endswith("_index")]
+    if shown:
+        return shown
+    fallback = [c for c in (id_col, price_col) if c and c in columns]
+    if not fallback and cats:
+        fallback = [cats[0]]
+    return fallback
+
+
+def with_display(recs: DataFrame, items: DataFrame, item_id: str, cols: Sequence[str]) -> DataFrame:
+    """Attach the display columns of each recommended item (a join of the top-k rows, at most
+    requests x k, with the item table on its id)."""
+    extra = [c for c in cols if c != item_id]
+    it = items.select(F.col(item_id).alias("id"), *[F.col(f"`{c}`") for c in extra])
+    return recs.join(it, "id").select("request_id", "rank", "id", "dist", *extra)
+
+
+def top_n(df: DataFrame, n: int, dist_col: str = "dist", id_col: str = "id") -> DataFrame:
+    """First n rows by distance (ties by id) when a distance exists; otherwise an unordered limit."""
+    if dist_col in df.columns:
+        return df.orderBy(F.col(dist_col), F.col(id_col)).limit(n)
+    return df.limit(n)

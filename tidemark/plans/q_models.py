@@ -61,9 +61,11 @@ def lr_predict(spark, sf):
 def model_roundtrip_predict(spark, sf):
     t = fx.tx(spark, sf)
     path = scratch_path(spark, "price-model")
-    mdl.save(mdl.fit_price_pipeline(t, LR_CATS, "price"), path)
-    loaded = mdl.load(path)
-    return loaded.transform(t).select("id", F.round("prediction", 2).alias("prediction"))
+    mdl.save(mdl.fit_price_pipeline(t, LR_CATS, "price"), f"{path}/pipeline")
+    mdl.save_feature_list(spark, LR_CATS, f"{path}/feature_columns")
+    cols = mdl.load_feature_list(spark, f"{path}/feature_columns")
+    loaded = mdl.load(f"{path}/pipeline")
+    return loaded.transform(t.select("id", *cols)).select("id", F.round("prediction", 2).alias("prediction"))
 
 
 def _cum_sql(cats: list[str]) -> str:

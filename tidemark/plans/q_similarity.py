@@ -135,3 +135,20 @@ def lsh_recall(spark, sf):
     return (exact.select(F.col("qid").alias("request_id")).distinct()
             .join(got, "request_id", "left")
             .select("request_id", (F.coalesce("hits", F.lit(0)) / KNN_K).alias("recall")))
+
+
+_DISPLAY = sim.display_columns(["id", "price", "ts", *TX_CATS], "id", "price", TX_CATS)
+
+
+@register("recommend_display", sql=f"""WITH {_TX_REC_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, f'''SELECT recs.request_id, recs.rank, recs.id, round(recs.dist, 6) AS dist,
+  tx.price, strftime(tx.ts, '%Y-%m-%d %H:%M:%S') AS ts, {', '.join('tx.' + c for c in TX_CATS)}
+FROM recs JOIN tx ON tx.id = recs.id''')}""")
+def recommend_display(spark, sf):
+    """Recommendations with the items' original columns (display projection, fixed order)."""
+    from tidemark.functions.columns import ts_text
+
+    t = fx.tx(spark, sf)
+    recs = _tx_recs(spark, sf).withColumn("dist", F.round("dist", 6))
+    shown = sim.with_display(recs, t.withColumn("ts", ts_text("ts")), "id", _DISPLAY)
+    return shown.withColumn("rank", F.col("rank").cast("int"))
