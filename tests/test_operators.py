@@ -325,3 +325,15 @@ def test_feature_list_roundtrip(spark):
     cols = ["Property Type", "Old/New", "Record Status - monthly file only"]
     mdl.save_feature_list(spark, cols, path)
     assert mdl.load_feature_list(spark, path) == cols
+
+
+@pytest.mark.parametrize("interval,limit,emit_open,max_collected", [
+    ("1 hours", None, False, 100_000), ("90 minutes", None, True, 5), ("3 hours", 50, False, 5), ("2 days", None, True, 100_000)])
+def test_pointer_doubling_cutter_equals_consumer_loop(spark, monkeypatch, interval, limit, emit_open, max_collected):
+    monkeypatch.setattr(bt, "MAX_COLLECTED_CUTS", max_collected)  # 5 forces the distributed labelling
+    ev = fx.events(spark, SF_SMALL)
+    got = {r["event_id"]: r["batch_id"] for r in
+           bt.batch_by_elapsed(ev, "ts", "event_id", interval, limit, emit_open, method="doubling").collect()}
+    recs = sorted((int(r["us"]), int(r["event_id"])) for r in
+                  ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
+    assert got == consumer_loop(recs, bt.interval_micros(interval), limit, emit_open)

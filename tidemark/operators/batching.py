@@ -84,7 +84,12 @@ def batch_of(us: Column, rid: Column, cuts: Sequence[tuple[int, int]]) -> Column
 
 
 def batch_by_elapsed(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = 3,
-                     emit_open: bool = False, out: str = "batch_id", anchor_us: int | None = None) -> DataFrame:
+                     emit_open: bool = False, out: str = "batch_id", anchor_us: int | None = None,
+                     method: str = "auto") -> DataFrame:
+    """Elapsed-time batches. ``method``: ``scan`` (one narrow search job per cut, best for a small
+    limit such as the reference's 3), ``doubling`` (O(log) rounds for long chains) or ``auto``."""
+    if method == "doubling" or (method == "auto" and (limit is None or limit > SCAN_LIMIT) and anchor_us is None):
+        return batch_by_elapsed_many(df, ts_col, id_col, interval, limit, emit_open, out)
     cuts = elapsed_cuts(df, ts_col, id_col, interval, limit, anchor_us)
     us = epoch_micros(df, ts_col)
     labelled = df.withColumn(out, batch_of(us, F.col(id_col), cuts))
@@ -125,3 +130,108 @@ def cumulative_sums(per_set: DataFrame, set_col: str, n_sets: int, sum_cols: Seq
     n_sets partial rows, never the data)."""
     rep = per_set.withColumn(out, F.explode(F.sequence(F.col(set_col), F.lit(n_sets))))
     return rep.groupBy(out).agg(*[F.sum(c).alias(c) for c in sum_cols])
+
+
+# ---- many batches: pointer doubling --------------------------------------------------------------
+# With no batch limit (or a large one) the cut chain can be long: one search job per cut would make
+# the job count grow with the time span. Instead:
+#   1. distinct timestamps D get ranks (distributed ordinal);
+#   2. next(t) = rank of the first time >= t + interval, an as-of found with ONE ordinal over the
+#      union of probes (t + interval) and values (probes sort first on ties);
+#   3. jump tables J_k = next^(2^k) by pointer doubling (a self-join per level, each level written
+#      to the shared checkpoint folder so the lineage stays flat);
+#   4. the chain from the first cut is expanded top-down: S <- S u J_k(S) for k = K..0;
+#   5. rows are labelled by the number of cuts before them (binary search over collected cut
+#      times when the cut count is checked to be small, else a distributed union ordinal).
+# Rounds are O(log(span / interval)), each a shuffle of |D| rows; no step holds a group in one task.
+
+MAX_COLLECTED_CUTS = 100_000
+SCAN_LIMIT = 32
+
+
+def _ckpt(df: DataFrame) -> DataFrame:
+    from tidemark.session import cut_lineage
+    return cut_lineage(df)
+
+
+def elapsed_cut_table(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
+                      anchor_us: int | None = None) -> DataFrame:
+    """Closing records as a DataFrame ``(k, cut_us, cut_id)`` computed by pointer doubling."""
+    from tidemark.operators.ordinal import with_ordinal
+
+    spark = df.sparkSession
+    step = interval_micros(interval)
+    keyed = df.select(epoch_micros(df, ts_col).alias("_us"), F.col(id_col).alias("_id"))
+    bounds = keyed.agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
+    empty = spark.createDataFrame([], "k bigint, cut_us bigint, cut_id bigint")
+    if bounds["lo"] is None:
+        return empty
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    anchor = lo if anchor_us is None else int(anchor_us)
+    times = keyed.groupBy("_us").agg(F.min("_id").alias("_cid"))          # distinct times + cut id
+    ranked = _ckpt(with_ordinal(times, ["_us"], out="r", with_total=True))  # r, r_total
+    probes = ranked.select((F.col("_us") + F.lit(step)).alias("time"), F.lit(0).alias("kind"), F.col("r").alias("pr"))
+    values = ranked.select(F.col("_us").alias("time"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("pr"))
+    union = with_ordinal(probes.unionByName(values), ["time", "kind"], out="o")
+    total = ranked.select(F.max("r_total")).first()[0]
+    # values before a probe = its union position minus the probes before it (= its own rank)
+    nxt = union.where(F.col("kind") == 0).select(F.col("pr").alias("r"), (F.col("o") - F.col("pr")).alias("nr"))
+    levels = [_ckpt(nxt.where(F.col("nr") < F.lit(total)))]
+    max_chain = (hi - anchor) // max(step, 1) + 1
+    while (1 << len(levels)) <= max_chain:
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        levels.append(_ckpt(a.join(b, F.col("a.nr") == F.col("b.r")).select(F.col("a.r"), F.col("b.nr"))))
+    first = keyed.where(F.col("_us") >= F.lit(anchor + step)).agg(F.min("_us")).first()[0]
+    if first is None:
+        return empty
+    s0 = ranked.where(F.col("_us") == F.lit(first)).select("r").first()[0]
+    chain = spark.createDataFrame([(0, int(s0))], "m bigint, r bigint")
+    for k in reversed(range(len(levels))):
+        j = levels[k]
+        ext = chain.join(j, "r").select((F.col("m") + F.lit(1 << k)).alias("m"), F.col("nr").alias("r"))
+        chain = _ckpt(chain.unionByName(ext))
+    if limit is not None:
+        chain = chain.where(F.col("m") < limit)
+    return (chain.join(ranked, "r")
+            .select((F.col("m") + 1).alias("k"), F.col("_us").alias("cut_us"), F.col("_cid").alias("cut_id")))
+
+
+def label_by_cut_table(df: DataFrame, ts_col: str, id_col: str, cuts: DataFrame, out: str = "batch_id") -> DataFrame:
+    """batch = 1 + number of cuts strictly before (ts, id)."""
+    from pyspark.ml.feature import Bucketizer
+
+    from tidemark.operators.ordinal import with_ordinal
+
+    n_cuts = cuts.count()
+    us = epoch_micros(df, ts_col)
+    if n_cuts == 0:
+        return df.withColumn(out, F.lit(1).cast("bigint"))
+    if n_cuts <= MAX_COLLECTED_CUTS:
+        # cut times are strictly increasing (>= interval apart): a binary search per row
+        rows = cuts.orderBy("k").select("cut_us").collect()  # bounded by the check above
+        splits = [float("-inf")] + [float(r[0]) for r in rows] + [float("inf")]
+        keyed = df.withColumn("_us", us.cast("double"))
+        b = Bucketizer(splits=splits, inputCol="_us", outputCol="_le").transform(keyed)  # cuts with cut_us <= us
+        same = F.broadcast(cuts.select(F.col("cut_us").cast("double").alias("_cu"), F.col("cut_id").alias("_ci")))
+        j = b.join(same, b["_us"] == same["_cu"], "left")
+        before = F.col("_le") - F.when(F.col("_cu").isNotNull() & (F.col(id_col) <= F.col("_ci")), 1).otherwise(0)
+        return j.withColumn(out, (before + 1).cast("bigint")).drop("_us", "_le", "_cu", "_ci")
+    # many cuts: rows sort before their own cut; cuts before a row = union position - row position
+    rows_k = df.withColumn("_us", us).withColumn("_kind", F.lit(0))
+    cut_k = cuts.select(F.col("cut_us").alias("_us"), F.col("cut_id").alias(id_col), F.lit(1).alias("_kind"))
+    u = with_ordinal(rows_k.select("_us", id_col, "_kind").unionByName(cut_k), ["_us", id_col, "_kind"], out="_o")
+    u = u.where(F.col("_kind") == 0)
+    r = with_ordinal(rows_k, ["_us", id_col], out="_or")
+    lab = r.join(u.select("_us", id_col, "_o"), ["_us", id_col])
+    return lab.withColumn(out, (F.col("_o") - F.col("_or") + 1).cast("bigint")).drop("_us", "_kind", "_o", "_or")
+
+
+def batch_by_elapsed_many(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
+                          emit_open: bool = False, out: str = "batch_id") -> DataFrame:
+    """``batch_by_elapsed`` for long chains (pointer doubling; O(log) rounds instead of one job per cut)."""
+    cuts = elapsed_cut_table(df, ts_col, id_col, interval, limit)
+    closed = cuts.count()
+    labelled = label_by_cut_table(df, ts_col, id_col, cuts, out)
+    if emit_open and (limit is None or closed < limit):
+        return labelled
+    return labelled.where(F.col(out) <= closed)

@@ -18,17 +18,22 @@ COUNT_SIZE = 2500
 WINDOW = "1 day"
 
 
-def elapsed_sql(days: int, limit: int, emit_open: bool, tail: str) -> str:
-    keep = (f"batch_id <= (SELECT CASE WHEN count(*) < {limit} THEN count(*) + 1 ELSE count(*) END FROM cuts)"
-            if emit_open else "batch_id <= (SELECT count(*) FROM cuts)")
+def elapsed_sql(days: int | None, limit: int | None, emit_open: bool, tail: str, hours: int | None = None) -> str:
+    span = f"INTERVAL {days} DAY" if hours is None else f"INTERVAL {hours} HOUR"
+    if limit is None:
+        keep = "TRUE" if emit_open else "batch_id <= (SELECT count(*) FROM cuts)"
+    else:
+        keep = (f"batch_id <= (SELECT CASE WHEN count(*) < {limit} THEN count(*) + 1 ELSE count(*) END FROM cuts)"
+                if emit_open else "batch_id <= (SELECT count(*) FROM cuts)")
+    stop = f"WHERE c.k < {limit}" if limit is not None else ""
     return f"""WITH RECURSIVE {EV_SQL},
 cuts(k, cts, cid) AS (
   SELECT 1, m.ts, m.event_id FROM (SELECT min(ts) AS t0 FROM ev) s,
-    LATERAL (SELECT ts, event_id FROM ev WHERE ev.ts >= s.t0 + INTERVAL {days} DAY ORDER BY ts, event_id LIMIT 1) m
+    LATERAL (SELECT ts, event_id FROM ev WHERE ev.ts >= s.t0 + {span} ORDER BY ts, event_id LIMIT 1) m
   UNION ALL
   SELECT c.k + 1, m.ts, m.event_id FROM cuts c,
-    LATERAL (SELECT ts, event_id FROM ev WHERE ev.ts >= c.cts + INTERVAL {days} DAY ORDER BY ts, event_id LIMIT 1) m
-  WHERE c.k < {limit}),
+    LATERAL (SELECT ts, event_id FROM ev WHERE ev.ts >= c.cts + {span} ORDER BY ts, event_id LIMIT 1) m
+  {stop}),
 lab AS (SELECT e.*, CAST((SELECT count(*) FROM cuts c WHERE c.cts < e.ts OR (c.cts = e.ts AND c.cid < e.event_id)) + 1 AS BIGINT) AS batch_id
   FROM ev e),
 kept AS (SELECT * FROM lab WHERE {keep})
@@ -50,6 +55,18 @@ def batch_by_elapsed_open(spark, sf):
     return _elapsed(spark, sf, OPEN_DAYS, True).select("event_id", "batch_id")
 
 
+# Fixed value: the unlimited configuration (every batch closes every 6 hours, open batch kept).
+MANY_HOURS = 6
+
+
+@register("batch_by_elapsed_unlimited", sql=elapsed_sql(None, None, True, "SELECT event_id, batch_id FROM kept", hours=MANY_HOURS))
+def batch_by_elapsed_unlimited(spark, sf):
+    """No batch limit: about four batches a day, cut with pointer doubling (O(log) rounds)."""
+    ev = fx.events(spark, sf)
+    return bt.batch_by_elapsed(ev, "ts", "event_id", f"{MANY_HOURS} hours", limit=None, emit_open=True) \
+             .select("event_id", "batch_id")
+
+
 @register("write_batches_csv", sql=elapsed_sql(CLOSED_DAYS, BATCH_LIMIT, False, """SELECT batch_id, count(*) AS n,
   min(event_id) AS first_event_id, max(event_id) AS last_event_id, round(sum(value), 2) AS sum_value
 FROM kept GROUP BY batch_id"""))
