@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if not sc.getCheckpointDir():  # make Dataset.checkpoint() use the configured shared folder
+            sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
