@@ -337,3 +337,26 @@ def test_pointer_doubling_cutter_equals_consumer_loop(spark, monkeypatch, interv
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
                   ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
     assert got == consumer_loop(recs, bt.interval_micros(interval), limit, emit_open)
+
+
+def test_configured_checkpoint_dir_is_used(tmp_path):
+    """A session that names spark.checkpoint.dir (as a cluster would) gets checkpoints and scratch
+    tables there; run in a fresh process because the test session already exists."""
+    import subprocess
+    import sys
+    import textwrap
+
+    code = textwrap.dedent(f"""
+        import sys; sys.path.insert(0, {str(__import__('tests.conftest', fromlist=['ROOT']).ROOT)!r})
+        from pyspark.sql import SparkSession
+        s = (SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", {str(tmp_path)!r})
+             .config("spark.ui.enabled", "false").getOrCreate())
+        from tidemark.session import checkpoint_root, cut_lineage, scratch_path
+        assert checkpoint_root(s) == {str(tmp_path)!r}
+        assert scratch_path(s, "x").startswith({str(tmp_path)!r})
+        assert cut_lineage(s.range(5)).count() == 5
+        print("OK")
+    """)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "OK" in out.stdout, out.stderr[-2000:]
+    assert any(tmp_path.iterdir())
