@@ -18,8 +18,8 @@ from tidemark.operators import models as mdl
 from tidemark.operators import requests as rq
 from tidemark.operators import rows
 from tidemark.operators import similarity as sim
-from tidemark.operators.labels import LabelMaps
-from tidemark.operators.ordinal import with_ntile, with_ordinal
+from tidemark.operators.labels import LabelMaps, rank_labels
+from tidemark.operators.ordinal import sorted_positions, with_group_rank, with_ntile, with_ordinal
 from tidemark.operators.regression import fit_ols
 from tidemark.plans import fixtures as fx
 from tidemark.session import scratch_path
@@ -77,6 +77,48 @@ def test_ordinal_and_ntile_match_single_task_window(spark, n, tiles):
     assert [r["k"] for r in got] == ks
 
 
+def test_ordinal_with_hot_leading_value_uses_sort_path(spark):
+    # a third of the rows share one leading value: the quantile buckets would put it in one task,
+    # so the ordinal comes from the range-partitioned sort; it must still equal row_number
+    rs = np.random.RandomState(7)
+    lead = np.where(rs.rand(900) < 0.34, 5, rs.randint(0, 50, 900))
+    rows_ = [(int(a), int(b)) for a, b in zip(lead, rs.permutation(900))]
+    df = spark.createDataFrame(rows_, "a bigint, b bigint")
+    got = with_ordinal(df, ["a", "b"], out="o", num_partitions=8).orderBy("o").collect()
+    want = sorted(rows_)
+    assert [(r["a"], r["b"]) for r in got] == want
+    assert [r["o"] for r in got] == list(range(len(want)))
+
+
+def test_sorted_positions_and_group_rank_match_windows(spark):
+    rs = np.random.RandomState(3)
+    rows_ = [(int(g), f"l{int(x):05d}") for g, x in zip(rs.choice([0, 0, 0, 1, 2], 500), rs.permutation(500))]
+    df = spark.createDataFrame(rows_, "g int, label string")
+    pos = sorted_positions(df, [F.desc("g"), F.asc("label")], 8, out="p").orderBy("p").collect()
+    assert [(r["g"], r["label"]) for r in pos] == sorted(rows_, key=lambda t: (-t[0], t[1]))
+    ranked = with_group_rank(df, ["g"], [F.asc("label")], out="r", num_partitions=8).collect()
+    for g in (0, 1, 2):
+        labels = sorted(lbl for gg, lbl in rows_ if gg == g)
+        got = sorted((r["r"], r["label"]) for r in ranked if r["g"] == g)
+        assert got == list(enumerate(labels))
+
+
+def test_rank_labels_sort_path_equals_window_path(spark):
+    # a long tail of labels with count 1 (the hot (column, count) group of a large map)
+    vals = [(c, f"v{i % 37}") for i in range(400) for c in ("a",)] + [("b", f"w{i}") for i in range(300)]
+    vals += [("b", "w1")] * 5 + [("b", "w2")] * 5
+    df = spark.createDataFrame(vals, "column string, label string")
+    counts = df.groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
+    win = {(r["column"], r["label"]): r["index"] for r in rank_labels(counts).collect()}
+    srt = {(r["column"], r["label"]): r["index"] for r in rank_labels(counts, max_window_labels=10).collect()}
+    assert win == srt
+    for c in ("a", "b"):
+        mine = sorted((i, lbl) for (cc, lbl), i in win.items() if cc == c)
+        pdf = pd.Series([lbl for cc, lbl in vals if cc == c]).value_counts()
+        want = sorted(pdf.index, key=lambda x: (-pdf[x], x))
+        assert [lbl for _, lbl in mine] == want and [i for i, _ in mine] == list(range(len(want)))
+
+
 # ---- elapsed-time batches ---------------------------------------------------------------------
 
 def consumer_loop(records, interval_us, limit, emit_open):

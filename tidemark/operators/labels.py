@@ -1,7 +1,8 @@
 """Frequency-ordered label maps for categorical columns (the StringIndexer semantics).
 
 Fit: count every (column, value) pair in ONE pass over all columns (values stacked to long form,
-partial aggregation before the shuffle), order by count desc then label asc, ordinal from 0.
+partial aggregation before the shuffle), order by count desc then label asc, ordinal from 0
+(``rank_labels``: no column's labels are sorted in one task unless their number is checked).
 Nulls are not labels. Apply: left join per column; null and unseen values get index = number of
 labels of that column (``handleInvalid="keep"``).
 
@@ -18,10 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col_
+from tidemark.operators.ordinal import with_group_rank
 
 # Maps with at most this many labels for a column are broadcast; larger ones use a shuffle join
 # (AQE's skew-join splitting covers a hot label on the data side).
 BROADCAST_LABELS = 500_000
+# A (column, count) group with more labels than this is ranked by a distributed sort, not a window.
+WINDOW_LABELS = 1_000_000
 
 
 def stack_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -33,19 +37,42 @@ def stack_values(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ())
             .where(F.col("label").isNotNull()))
 
 
-def rank_labels(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+def rank_labels(counts: DataFrame, group_cols: Sequence[str] = (),
+                max_window_labels: int = WINDOW_LABELS, largest: int | None = None) -> DataFrame:
     """``counts(group..., column, label, n)`` -> adds ``index`` = rank by (n desc, label asc) - 1.
 
-    The window is partitioned by (group, column): one task sorts the distinct labels of one column,
-    which is exactly the set a fitted label map holds anyway.
+    ``largest`` is the label count of the biggest map (collected by the caller, or here: one row
+    per group and column). Up to ``max_window_labels`` one window per map sorts its labels in a
+    task, a size that is checked. Beyond it nothing is sorted in one task:
+    index = (labels of the map with a larger count) + (labels with the same count and a smaller
+    label). The first term comes from the count histogram ``(column, n) -> labels`` (a column of
+    N rows has at most sqrt(2N) distinct counts, so its window is bounded by that); the second
+    from one distributed sort that ranks the labels inside every (column, count) group
+    (``with_group_rank``): the long tail of a large map puts most labels on the same small count.
     """
-    w = Window.partitionBy(*group_cols, "column").orderBy(F.desc("n"), F.asc("label"))
-    return counts.withColumn("index", (F.row_number().over(w) - 1).cast("bigint"))
+    keys = [*group_cols, "column"]
+    if largest is None:
+        counts = counts.persist()  # aggregated label counts: read by the check and the ranking
+        largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
+    if largest <= max_window_labels:
+        w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("label"))
+        return counts.withColumn("index", (F.row_number().over(w) - 1).cast("bigint"))
+    hist = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("_k"))
+    higher = Window.partitionBy(*keys).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    above = hist.select(*keys, "n", F.coalesce(F.sum("_k").over(higher), F.lit(0)).alias("_above"))
+    same = with_group_rank(counts, [*keys, "n"], [F.asc("label")], out="_within")
+    return (same.join(above, [*keys, "n"])  # AQE broadcasts the histogram side when it is small
+            .withColumn("index", (F.col("_above") + F.col("_within")).cast("bigint"))
+            .drop("_above", "_within"))
+
+
+def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, label, n)`` for all columns in one aggregate (partial counts before the shuffle)."""
+    return stack_values(df, cols).groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_label_maps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    counts = stack_values(df, cols).groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
-    return rank_labels(counts)
+    return rank_labels(label_counts(df, cols))
 
 
 @dataclass
@@ -58,10 +85,12 @@ class LabelMaps:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], persist: bool = True) -> "LabelMaps":
-        t = fit_label_maps(df, cols)
+        counts = label_counts(df, cols).persist()
+        # one row per column: the map sizes (the unseen index) and the bound check of rank_labels
+        sizes = {r["column"]: int(r["k"]) for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
+        t = rank_labels(counts, largest=max(sizes.values(), default=0))
         if persist:
             t = t.persist()
-        sizes = {r["column"]: int(r["k"]) for r in t.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
         return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols})
 
     def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None) -> DataFrame:

@@ -15,8 +15,15 @@ once.
 
 Everything is deterministic given the bounds, so a recomputed partition (executor loss, a second
 evaluation of a branch) gets the same numbers. The order key must be unique (add a tie-break
-column); a leading column with one value holding a large share of rows should be preceded by a
-better-spread column.
+column).
+
+Hot leading values: if one value of the leading column holds about 1/n of the rows or more, it
+shows up as a repeated quantile, and one bucket would hold all of it. Then the ordinal comes from
+a distributed sort instead (``sorted_positions``): range partitioning on the *whole* order key
+(Spark samples the composite key, so the later columns split the hot value), a sort inside each
+partition, each row tagged with (partition, position), written once to the shared checkpoint
+folder so the sampled ranges are fixed, and per-partition counts prefix-summed as above. The same
+path ranks rows inside groups of any size (``with_group_rank``).
 """
 
 from __future__ import annotations
@@ -28,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _KEY, _PID, _LOC, _CNT, _OFF, _TOT = "_tm_key", "_tm_pid", "_tm_loc", "_tm_cnt", "_tm_off", "_tm_total"
+_MID, _ORD, _START = "_tm_mid", "_tm_ord", "_tm_start"
+_POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33, position below
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -43,13 +52,69 @@ def _numeric_key(df: DataFrame, c: str):
     return F.col(c).cast("double")
 
 
-def with_bucket(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+def _quantile_bounds(keyed: DataFrame, n: int) -> list[float]:
+    """``n - 1`` approximate quantiles of ``_tm_key`` (one pass over that column), repeats kept."""
+    probs = [i / n for i in range(1, n)]
+    if not probs:
+        return []
+    return [b for b in keyed.approxQuantile(_KEY, probs, 1.0 / (4 * n)) if b is not None]
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """``(_tm_pid, _tm_cnt)`` -> rows before each bucket and the total: one row per bucket, so the
+    unpartitioned window and the broadcast that follows are bounded by the bucket count."""
+    w = Window.orderBy(_PID)
+    return counts.select(
+        _PID,
+        (F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_CNT)).alias(_OFF),
+        F.sum(_CNT).over(Window.partitionBy(F.lit(0))).alias(_TOT),
+    )
+
+
+def sorted_positions(df: DataFrame, order: Sequence, num_partitions: int | None = None,
+                     out: str = _ORD, with_total: bool = False) -> DataFrame:
+    """Add a 0-based global position ``out`` by ``order`` (columns or sort expressions, unique
+    together) through one distributed sort; a hot leading value is split by the later keys.
+
+    The range-partitioned, sorted rows are written to the shared checkpoint folder once: Spark
+    re-samples range bounds on every evaluation, so both uses below must read the same copy."""
+    from tidemark.session import cut_lineage
+
+    n = _partitions(df, num_partitions)
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn(_MID, F.monotonically_increasing_id()))
+    fixed = cut_lineage(tagged)
+    pos = (fixed.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS).cast("int"))
+           .withColumn(_LOC, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))).drop(_MID))
+    counts = pos.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
+    res = (pos.join(F.broadcast(_offsets(counts)), _PID)
+           .withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("bigint")).drop(_PID, _LOC, _CNT, _OFF))
+    if with_total:
+        return res.withColumnRenamed(_TOT, f"{out}_total")
+    return res.drop(_TOT)
+
+
+def with_group_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence, out: str = "rank",
+                    num_partitions: int | None = None) -> DataFrame:
+    """0-based rank inside each group by ``order`` (unique within a group), for groups of any size:
+    one distributed sort on (group, order), then position minus the group's first position. The
+    starts table has one row per group (a partial min aggregate); the join lets AQE pick broadcast
+    from its measured size."""
+    pos = sorted_positions(df, [*[F.col(g) for g in group_cols], *order], num_partitions)
+    starts = pos.groupBy(*group_cols).agg(F.min(_ORD).alias(_START))
+    return (pos.join(starts, list(group_cols))
+            .withColumn(out, (F.col(_ORD) - F.col(_START)).cast("bigint")).drop(_ORD, _START))
+
+
+def with_bucket(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None,
+                bounds: list[float] | None = None) -> DataFrame:
     """Add ``_tm_pid``: a balanced range bucket of the leading order column."""
     n = _partitions(df, num_partitions)
     keyed = df.withColumn(_KEY, _numeric_key(df, order_cols[0]))
-    probs = [i / n for i in range(1, n)]
-    bounds = sorted(set(b for b in keyed.approxQuantile(_KEY, probs, 1.0 / (4 * n)) if b is not None)) if probs else []
-    splits = [float("-inf")] + bounds + [float("inf")]
+    if bounds is None:
+        bounds = _quantile_bounds(keyed, n)
+    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
     if len(splits) < 3:
         return keyed.withColumn(_PID, F.lit(0)).drop(_KEY)
     b = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_PID, handleInvalid="keep")
@@ -60,19 +125,18 @@ def with_ordinal(df: DataFrame, order_cols: Sequence[str], out: str = "ordinal",
                  num_partitions: int | None = None, with_total: bool = False) -> DataFrame:
     """Add a 0-based global position ``out`` by ``order_cols`` (ascending, unique)."""
     keys = [F.col(c) for c in order_cols]
-    bucketed = with_bucket(df, order_cols, num_partitions)
+    n = _partitions(df, num_partitions)
+    bounds = _quantile_bounds(df.withColumn(_KEY, _numeric_key(df, order_cols[0])).select(_KEY), n)
+    if len(set(bounds)) < len(bounds):
+        # a leading value spans several quantiles: one bucket would hold all of it
+        return sorted_positions(df, keys, n, out=out, with_total=with_total)
+    bucketed = with_bucket(df, order_cols, n, bounds)
     numbered = bucketed.withColumn(_LOC, F.row_number().over(Window.partitionBy(_PID).orderBy(*keys)) - 1)
     # bucket sizes: a column-pruned pass with map-side partial counts (the shuffle carries one row
     # per bucket and map task), not a second shuffle of the rows
     counts = bucketed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    w = Window.orderBy(_PID)
-    offsets = counts.select(
-        _PID,
-        (F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_CNT)).alias(_OFF),
-        F.sum(_CNT).over(Window.partitionBy(F.lit(0))).alias(_TOT),
-    )
     # one row per bucket: bounded by the bucket count, so the broadcast is size-safe
-    res = numbered.join(F.broadcast(offsets), _PID).withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("bigint"))
+    res = numbered.join(F.broadcast(_offsets(counts)), _PID).withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("bigint"))
     res = res.drop(_PID, _LOC, _CNT, _OFF)
     if with_total:
         return res.withColumnRenamed(_TOT, f"{out}_total")

@@ -130,17 +130,18 @@ def cumulative_categorical_ols(df: DataFrame, cats: Sequence[str], label: str, o
     combos = tiles.groupBy("set_id", *cats).agg(
         F.count(F.lit(1)).alias("cn"), F.avg("_y").alias("cy"), (F.var_pop("_y") * F.count(F.lit(1))).alias("cm2"))
     mc = combos.withColumn("model_id", F.explode(F.sequence(F.col("set_id"), F.lit(n_sets)))).drop("set_id")
-    mc = mc.persist()
+    mc = base = mc.persist()
     # label maps per model from the combination counts
     for c in cats:
-        cnt = (mc.where(col_(c).isNotNull())
+        cnt = (base.where(col_(c).isNotNull())
                .groupBy("model_id", F.lit(c).alias("column"), col_(c).cast("string").alias("label"))
                .agg(F.sum("cn").alias("n")))
         ranked = rank_labels(cnt, ["model_id"])
         size = ranked.groupBy("model_id").agg(F.count(F.lit(1)).alias(f"_k_{c}"))
-        m = ranked.select("model_id", F.col("label").alias(f"_l_{c}"), F.col("index").cast("double").alias(f"_x_{c}"))
-        mc = (mc.join(m, (mc.model_id == m.model_id) & (col_(c).cast("string") == F.col(f"_l_{c}")), "left")
-              .drop(m.model_id).join(size, "model_id")
+        m = ranked.select(F.col("model_id").alias("_m"), F.col("label").alias(f"_l_{c}"),
+                          F.col("index").cast("double").alias(f"_x_{c}"))
+        mc = (mc.join(m, (F.col("model_id") == F.col("_m")) & (col_(c).cast("string") == F.col(f"_l_{c}")), "left")
+              .drop("_m").join(size, "model_id")
               .withColumn(f"x_{c}", F.coalesce(F.col(f"_x_{c}"), F.col(f"_k_{c}").cast("double")))
               .drop(f"_l_{c}", f"_x_{c}", f"_k_{c}"))
     xs = [f"x_{c}" for c in cats]
