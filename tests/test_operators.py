@@ -172,6 +172,16 @@ def test_stream_cutter_equals_batch_for_any_micro_batch_split(spark, slices):
     assert got == want
 
 
+@pytest.mark.parametrize("slices", [1, 4])
+def test_stream_cutter_without_limit_uses_doubling_and_equals_batch(spark, slices):
+    # 6-hour batches: about 4 cuts per day, many per micro-batch; no limit, open batch kept
+    cutter, *_, ev = _stream_cutter(spark, slices, 0.25, None)
+    got = {r["event_id"]: r["batch_id"] for r in cutter.result(emit_open=True).collect()}
+    recs = sorted((int(r["us"]), int(r["event_id"])) for r in
+                  ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
+    assert got == consumer_loop(recs, 6 * 3_600_000_000, None, True)
+
+
 def test_stream_cutter_restart_gives_no_duplicates(spark):
     from tidemark.streaming.cutter import ElapsedCutter
     from tidemark.streaming.sources import run_available_now, stream_files

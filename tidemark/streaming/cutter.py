@@ -1,7 +1,9 @@
 """Elapsed-time batch cutter as a Structured Streaming ``foreachBatch`` handler.
 
-Rows stay distributed: each micro-batch runs the same scalar-aggregate cut search as the batch form
-(``operators.batching.elapsed_cuts``) from the carried anchor, labels its rows with global batch
+Rows stay distributed: each micro-batch runs the same cut search as the batch form from the carried
+anchor (``elapsed_cuts``: one scalar aggregate per cut for a small limit such as the reference's
+3; ``elapsed_cut_table``: pointer doubling when there is no limit or a large one, so a micro-batch
+holding many intervals costs O(log) rounds, not a job per cut), labels its rows with global batch
 ids, and writes them to ``rows/epoch=N``. The carried state (next batch id, anchor, closed count)
 is written per epoch to ``state/epoch=N`` under the query's folder on shared storage. A replayed
 epoch reads the state of the epochs before it and overwrites its own output, so reprocessing after
@@ -18,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import epoch_micros
-from tidemark.operators.batching import batch_of, elapsed_cuts
+from tidemark.operators.batching import (SCAN_LIMIT, batch_of, elapsed_cut_table, elapsed_cuts,
+                                         label_by_cut_table)
 
 
 _STATE_SCHEMA = "batch_id bigint, anchor_us bigint, closed bigint, epoch bigint"
@@ -69,6 +72,7 @@ class ElapsedCutter:
             self._save_state(epoch, s)  # the consumer has stopped: later records are never read
             return
         batch = df.persist()
+        table = None
         try:
             anchor = s.anchor_us
             if anchor is None:
@@ -78,17 +82,30 @@ class ElapsedCutter:
                     return
                 anchor = int(first)
             remaining = None if self.limit is None else self.limit - s.closed
-            cuts = elapsed_cuts(batch, self.ts_col, self.id_col, self.interval, remaining, anchor_us=anchor)
-            us = epoch_micros(batch, self.ts_col)
-            labelled = batch.withColumn(self.out, batch_of(us, F.col(self.id_col), cuts) + F.lit(s.batch_id - 1))
-            closed = s.closed + len(cuts)
+            if remaining is None or remaining > SCAN_LIMIT:
+                # many cuts can fall in one micro-batch: O(log) distributed rounds, no job per cut
+                table = elapsed_cut_table(batch, self.ts_col, self.id_col, self.interval, remaining,
+                                          anchor_us=anchor).persist()
+                n_cuts = table.count()
+                last = table.where(F.col("k") == n_cuts).select("cut_us").first() if n_cuts else None
+                batch_no = label_by_cut_table(batch, self.ts_col, self.id_col, table, "_b")
+                labelled = batch_no.withColumn(self.out, F.col("_b") + F.lit(s.batch_id - 1)).drop("_b")
+                new_anchor = int(last[0]) if last else anchor
+            else:
+                cuts = elapsed_cuts(batch, self.ts_col, self.id_col, self.interval, remaining, anchor_us=anchor)
+                us = epoch_micros(batch, self.ts_col)
+                labelled = batch.withColumn(self.out, batch_of(us, F.col(self.id_col), cuts) + F.lit(s.batch_id - 1))
+                n_cuts = len(cuts)
+                new_anchor = cuts[-1][0] if cuts else anchor
+            closed = s.closed + n_cuts
             if self.limit is not None and closed >= self.limit:
                 labelled = labelled.where(F.col(self.out) <= self.limit)
             labelled.write.mode("overwrite").parquet(f"{self.rows_dir}/epoch={epoch}")
-            new_anchor = cuts[-1][0] if cuts else anchor
-            self._save_state(epoch, CutState(s.batch_id + len(cuts), new_anchor, closed))
+            self._save_state(epoch, CutState(s.batch_id + n_cuts, new_anchor, closed))
         finally:
             batch.unpersist()
+            if table is not None:
+                table.unpersist()
 
     # -- result -------------------------------------------------------------------------------
     def result(self, emit_open: bool = False) -> DataFrame:
