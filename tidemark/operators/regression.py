@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col_
@@ -145,12 +145,13 @@ def cumulative_categorical_ols(df: DataFrame, cats: Sequence[str], label: str, o
               .withColumn(f"x_{c}", F.coalesce(F.col(f"_x_{c}"), F.col(f"_k_{c}").cast("double")))
               .drop(f"_l_{c}", f"_x_{c}", f"_k_{c}"))
     xs = [f"x_{c}" for c in cats]
-    w = Window.partitionBy("model_id")
-    tot = F.sum("cn").over(w)
-    centered = mc.select(
-        "model_id", "cn", "cy", "cm2", *xs,
-        *[(F.sum(F.col("cn") * F.col(x)).over(w) / tot).alias(f"mx{i}") for i, x in enumerate(xs)],
-        (F.sum(F.col("cn") * F.col("cy")).over(w) / tot).alias("my"))
+    # weighted means per model: a partial aggregate (one row per model, so the broadcast is bounded
+    # by n_sets), not a window, which would put all combinations of a model in one task
+    tot = F.sum("cn")
+    means = mc.groupBy("model_id").agg(
+        *[(F.sum(F.col("cn") * F.col(x)) / tot).alias(f"mx{i}") for i, x in enumerate(xs)],
+        (F.sum(F.col("cn") * F.col("cy")) / tot).alias("my"))
+    centered = mc.select("model_id", "cn", "cy", "cm2", *xs).join(F.broadcast(means), "model_id")
     dx = [F.col(x) - F.col(f"mx{i}") for i, x in enumerate(xs)]
     dy = F.col("cy") - F.col("my")
     aggs = [F.sum("cn").alias("n")] + [F.first(f"mx{i}").alias(f"mx{i}") for i in range(k)] + [F.first("my").alias("my")]

@@ -2,7 +2,7 @@
 
 Every fixture is a query on the given parquet tables, so the Spark plan and the DuckDB oracle read
 the same rows and the work grows with the tables. The SQL text of the same views lives in
-``tidemark.plans.oracle``.
+``tidemark.plans.registry``.
 """
 
 from __future__ import annotations
