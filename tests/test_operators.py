@@ -59,6 +59,22 @@ def test_label_maps_equal_mllib_string_indexer(spark):
         assert j.where(F.col(f"m_{c}") != F.col(f"{c}_index")).count() == 0
 
 
+def test_inline_maps_equal_join_maps(spark, monkeypatch):
+    from tidemark.operators import labels as lb
+
+    src = fx.parts(spark, SF_SMALL).withColumn("ptype", F.expr("nullif(ptype, 'ECONOMY')"))
+    fit_on = src.where(F.col("brand") != "Brand#1")
+    cols = ["brand", "ptype"]
+    inl = lb.LabelMaps.fit(fit_on, cols)
+    assert set(inl.inline) == set(cols)
+    monkeypatch.setattr(lb, "INLINE_LABELS", 0)
+    joined = lb.LabelMaps.fit(fit_on, cols)
+    assert joined.inline == {}
+    a = inl.transform(src).select("id", "brand_index", "ptype_index").orderBy("id").collect()
+    b = joined.transform(src).select("id", "brand_index", "ptype_index").orderBy("id").collect()
+    assert a == b and any(r["brand_index"] == inl.sizes["brand"] for r in a)
+
+
 # ---- ordinals ---------------------------------------------------------------------------------
 
 @SETTINGS

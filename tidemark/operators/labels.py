@@ -13,7 +13,7 @@ persisted and compared with SQL.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ from tidemark.operators.ordinal import with_group_rank
 # Maps with at most this many labels for a column are broadcast; larger ones use a shuffle join
 # (AQE's skew-join splitting covers a hot label on the data side).
 BROADCAST_LABELS = 500_000
+# Maps with at most this many labels are applied as literal map lookups (a projection).
+INLINE_LABELS = 64
 # A (column, count) group with more labels than this is ranked by a distributed sort, not a window.
 WINDOW_LABELS = 1_000_000
 
@@ -77,11 +79,14 @@ def fit_label_maps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 @dataclass
 class LabelMaps:
-    """A fitted set of label maps: the label table plus per-column sizes (collected: one row per column)."""
+    """A fitted set of label maps: the label table plus per-column sizes (collected: one row per
+    column). Maps of at most ``INLINE_LABELS`` labels are also held as ``{label: index}`` literals
+    (one collect of at most INLINE_LABELS x columns rows), so applying them is a projection."""
 
     table: DataFrame
     cols: list[str]
     sizes: dict[str, int]
+    inline: dict[str, dict[str, int]] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], persist: bool = True) -> "LabelMaps":
@@ -91,18 +96,33 @@ class LabelMaps:
         t = rank_labels(counts, largest=max(sizes.values(), default=0))
         if persist:
             t = t.persist()
-        return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols})
+        small = [c for c in cols if sizes.get(c, 0) <= INLINE_LABELS]
+        inline: dict[str, dict[str, int]] = {c: {} for c in small}
+        if small:
+            for r in t.where(F.col("column").isin(small)).select("column", "label", "index").collect():
+                inline[r["column"]][r["label"]] = int(r["index"])  # bounded by the size check
+        return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols}, inline)
 
     def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None) -> DataFrame:
-        """Add ``{col}{suffix}`` (double) per column; null/unseen -> size of that map."""
+        """Add ``{col}{suffix}`` (double) per column; null/unseen -> size of that map.
+
+        Inlined maps: a literal map lookup (a projection, no join, no broadcast job). Larger maps:
+        a broadcast hash join up to ``BROADCAST_LABELS`` labels, a shuffle join beyond."""
         out = df
         for c in (cols or self.cols):
+            unseen = F.lit(float(self.sizes[c]))
+            if c in self.inline:
+                pairs = [x for lbl, i in sorted(self.inline[c].items(), key=lambda kv: kv[1])
+                         for x in (F.lit(lbl), F.lit(float(i)))]
+                idx = F.try_element_at(F.create_map(*pairs), col_(c).cast("string")) if pairs else F.lit(None)
+                out = out.withColumn(f"{c}{suffix}", F.coalesce(idx.cast("double"), unseen))
+                continue
             m = (self.table.where(F.col("column") == c)
                  .select(F.col("label").alias(f"_lbl_{c}"), F.col("index").cast("double").alias(f"_idx_{c}")))
             if self.sizes[c] <= BROADCAST_LABELS:
                 m = F.broadcast(m)
             out = (out.join(m, col_(c).cast("string") == F.col(f"_lbl_{c}"), "left")
-                   .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_idx_{c}"), F.lit(float(self.sizes[c]))))
+                   .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_idx_{c}"), unseen))
                    .drop(f"_lbl_{c}", f"_idx_{c}"))
         return out
 
