@@ -75,6 +75,20 @@ def test_inline_maps_equal_join_maps(spark, monkeypatch):
     assert a == b and any(r["brand_index"] == inl.sizes["brand"] for r in a)
 
 
+def test_cumulative_ols_inline_maps_equal_join_maps(spark, monkeypatch):
+    from tidemark.operators import regression as rg
+
+    t = fx.tx(spark, SF_SMALL)
+    cats = ["property_type", "duration"]
+    a = rg.cumulative_categorical_ols(t, cats, "price", "id").orderBy("model_id").collect()
+    monkeypatch.setattr(rg, "INLINE_LABELS", 0)
+    b = rg.cumulative_categorical_ols(t, cats, "price", "id").orderBy("model_id").collect()
+    assert len(a) == 3 and [r["n"] for r in a] == [r["n"] for r in b]
+    for ra, rb in zip(a, b):
+        for f in ("b0", "b1", "b2"):
+            assert ra[f] == pytest.approx(rb[f], rel=1e-9, abs=1e-6)
+
+
 # ---- ordinals ---------------------------------------------------------------------------------
 
 @SETTINGS

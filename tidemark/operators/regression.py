@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col_
-from tidemark.operators.labels import rank_labels
+from tidemark.operators.labels import INLINE_LABELS, rank_labels, stack_values
 from tidemark.operators.ordinal import with_ntile
 
 
@@ -130,20 +130,35 @@ def cumulative_categorical_ols(df: DataFrame, cats: Sequence[str], label: str, o
     combos = tiles.groupBy("set_id", *cats).agg(
         F.count(F.lit(1)).alias("cn"), F.avg("_y").alias("cy"), (F.var_pop("_y") * F.count(F.lit(1))).alias("cm2"))
     mc = combos.withColumn("model_id", F.explode(F.sequence(F.col("set_id"), F.lit(n_sets)))).drop("set_id")
-    mc = base = mc.persist()
-    # label maps per model from the combination counts
-    for c in cats:
-        cnt = (base.where(col_(c).isNotNull())
-               .groupBy("model_id", F.lit(c).alias("column"), col_(c).cast("string").alias("label"))
-               .agg(F.sum("cn").alias("n")))
-        ranked = rank_labels(cnt, ["model_id"])
-        size = ranked.groupBy("model_id").agg(F.count(F.lit(1)).alias(f"_k_{c}"))
-        m = ranked.select(F.col("model_id").alias("_m"), F.col("label").alias(f"_l_{c}"),
-                          F.col("index").cast("double").alias(f"_x_{c}"))
-        mc = (mc.join(m, (F.col("model_id") == F.col("_m")) & (col_(c).cast("string") == F.col(f"_l_{c}")), "left")
-              .drop("_m").join(size, "model_id")
-              .withColumn(f"x_{c}", F.coalesce(F.col(f"_x_{c}"), F.col(f"_k_{c}").cast("double")))
-              .drop(f"_l_{c}", f"_x_{c}", f"_k_{c}"))
+    mc = mc.persist()
+    # label maps per model from the combination counts: every column in one stacked aggregate
+    cnt = (stack_values(mc, cats, extra=["model_id", "cn"])
+           .groupBy("model_id", "column", "label").agg(F.sum("cn").alias("n")).persist())
+    sizes = {(int(r["model_id"]), r["column"]): int(r["k"])  # one row per (model, column)
+             for r in cnt.groupBy("model_id", "column").agg(F.count(F.lit(1)).alias("k")).collect()}
+    ranked = rank_labels(cnt, ["model_id"], largest=max(sizes.values(), default=0))
+    models = range(1, n_sets + 1)
+    if max(sizes.values(), default=0) <= INLINE_LABELS:
+        maps: dict[tuple[int, str], dict[str, int]] = {}
+        for r in ranked.select("model_id", "column", "label", "index").collect():  # bounded by the check
+            maps.setdefault((int(r["model_id"]), r["column"]), {})[r["label"]] = int(r["index"])
+        for c in cats:
+            e = None
+            for m in models:
+                pairs = [x for lbl, i in maps.get((m, c), {}).items() for x in (F.lit(lbl), F.lit(float(i)))]
+                hit = F.try_element_at(F.create_map(*pairs), col_(c).cast("string")) if pairs else F.lit(None)
+                v = F.coalesce(hit.cast("double"), F.lit(float(sizes.get((m, c), 0))))
+                e = F.when(F.col("model_id") == m, v) if e is None else e.when(F.col("model_id") == m, v)
+            mc = mc.withColumn(f"x_{c}", e)
+    else:
+        ranked = ranked.persist()
+        for c in cats:
+            m = ranked.where(F.col("column") == c).select(
+                F.col("model_id").alias("_m"), F.col("label").alias(f"_l_{c}"), F.col("index").cast("double").alias(f"_x_{c}"))
+            unseen = F.create_map(*[x for mid in models for x in (F.lit(mid), F.lit(float(sizes.get((mid, c), 0))))])
+            mc = (mc.join(m, (F.col("model_id") == F.col("_m")) & (col_(c).cast("string") == F.col(f"_l_{c}")), "left")
+                  .withColumn(f"x_{c}", F.coalesce(F.col(f"_x_{c}"), unseen[F.col("model_id")]))
+                  .drop("_m", f"_l_{c}", f"_x_{c}"))
     xs = [f"x_{c}" for c in cats]
     # weighted means per model: a partial aggregate (one row per model, so the broadcast is bounded
     # by n_sets), not a window, which would put all combinations of a model in one task
