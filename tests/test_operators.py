@@ -306,6 +306,21 @@ def test_ols_matches_mllib_and_constant_column_gets_zero(spark):
     assert mine["r2"] == pytest.approx(model.summary.r2, abs=1e-9)
 
 
+def test_predict_and_assign_are_row_independent(spark):
+    """A request answered inside a whole table gets the same value as answered alone (the
+    reference's one-request-per-job serving), for the price pipeline and the cluster pipeline."""
+    t = fx.tx(spark, SF_SMALL)
+    cats = ["property_type", "duration", "district"]
+    price = mdl.fit_price_pipeline(t, cats, "price")
+    clusters = mdl.fit_cluster_pipeline(t, cats, k=3)
+    whole_p = {r["id"]: r["prediction"] for r in price.transform(t).select("id", "prediction").collect()}
+    whole_c = {r["id"]: r["cluster"] for r in clusters.transform(t).select("id", "cluster").collect()}
+    for rid in [r["id"] for r in rows.sample_rows(t, 3, "id").select("id").collect()]:
+        one = t.where(F.col("id") == rid)
+        assert price.transform(one).first()["prediction"] == pytest.approx(whole_p[rid], rel=1e-12)
+        assert clusters.transform(one).first()["cluster"] == whole_c[rid]
+
+
 # ---- k-means ----------------------------------------------------------------------------------
 
 def test_kmeans_fit_invariants(spark):
