@@ -150,8 +150,8 @@ SCAN_LIMIT = 32
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    from tidemark.session import cut_lineage
-    return cut_lineage(df)
+    from tidemark.session import write_table
+    return write_table(df, "elapsed-level")
 
 
 def elapsed_cut_table(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,

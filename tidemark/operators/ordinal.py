@@ -76,15 +76,16 @@ def sorted_positions(df: DataFrame, order: Sequence, num_partitions: int | None
     """Add a 0-based global position ``out`` by ``order`` (columns or sort expressions, unique
     together) through one distributed sort; a hot leading value is split by the later keys.
 
-    The range-partitioned, sorted rows are written to the shared checkpoint folder once: Spark
-    re-samples range bounds on every evaluation, so both uses below must read the same copy."""
-    from tidemark.session import cut_lineage
+    The range-partitioned, sorted rows are written to the shared checkpoint folder once (Parquet):
+    Spark re-samples range bounds on every evaluation, so both uses below must read the same copy;
+    the per-partition counts read only the tag column."""
+    from tidemark.session import write_table
 
     n = _partitions(df, num_partitions)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn(_MID, F.monotonically_increasing_id()))
-    fixed = cut_lineage(tagged)
+    fixed = write_table(tagged, "sorted-positions")
     pos = (fixed.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS).cast("int"))
            .withColumn(_LOC, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))).drop(_MID))
     counts = pos.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
