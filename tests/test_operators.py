@@ -120,6 +120,18 @@ def test_ordinal_with_hot_leading_value_uses_sort_path(spark):
     assert [r["o"] for r in got] == list(range(len(want)))
 
 
+@SETTINGS
+@given(st.lists(st.integers(min_value=0, max_value=4), min_size=1, max_size=300), st.integers(min_value=2, max_value=9))
+def test_ordinal_equals_row_number_for_any_skew(spark, leads, parts):
+    # leading keys from a tiny domain: most draws have a value holding a large share of the rows
+    rows_ = [(int(a), i) for i, a in enumerate(leads)]
+    df = spark.createDataFrame(rows_, "a bigint, b bigint")
+    got = with_ordinal(df, ["a", "b"], out="o", num_partitions=parts).collect()
+    pos = {(r["a"], r["b"]): r["o"] for r in got}
+    assert len(got) == len(rows_)
+    assert [pos[k] for k in sorted(rows_)] == list(range(len(rows_)))
+
+
 def test_sorted_positions_and_group_rank_match_windows(spark):
     rs = np.random.RandomState(3)
     rows_ = [(int(g), f"l{int(x):05d}") for g, x in zip(rs.choice([0, 0, 0, 1, 2], 500), rs.permutation(500))]
