@@ -382,6 +382,24 @@ def test_recommend_equals_brute_force_including_hot_bucket_split(spark, group_ro
     assert by == {q: v for q, v in want.items() if v}
 
 
+def test_recommend_per_request_k_equals_brute_force(spark):
+    # each request asks for its own count (0 and null get nothing); grid split forced by 40-row groups
+    e = fx.embeddings(spark, SF_SMALL)
+    data = e.orderBy("id").collect()
+    ids = np.array([r["id"] for r in data])
+    mat = np.array([r["vec"] for r in data])
+    vectors = sim.projection_vectors(64, 3, 7)
+    kcol = F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 9).cast("int")
+    req = e.select(F.col("id").alias("request_id"), F.col("id").alias("self_id"), kcol.alias("k"), "vec")
+    got = sim.recommend(e, req, "k", vectors, 0.1, self_id="self_id", group_rows=40).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r["request_id"], r["rank"])):
+        by.setdefault(r["request_id"], []).append(r["id"])
+    want = _brute_force((ids, mat), (ids, mat), vectors, 0.1, 8, True)
+    ks = {int(i): (None if i % 11 == 0 else int(i % 9)) for i in ids}
+    assert by == {q: v[:ks[q]] for q, v in want.items() if v and ks[q]}
+
+
 def test_far_key_has_no_neighbours(spark):
     e = fx.embeddings(spark, SF_SMALL)
     vectors = sim.projection_vectors(64, 3, 7)

@@ -70,22 +70,27 @@ def knn_many(items: DataFrame, vec_col: str, keys: Sequence[tuple[int, Sequence[
     return ex.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _partial_topk(k: int, digits: int):
+def _partial_topk(margin: int, digits: int):
     """cogroup kernel: exact distances between the requests and items of one (table, bucket,
-    slice) group, keeping the best k per request (ties by rounded distance, then id)."""
+    slice) group, keeping the best ``qk + margin`` per request, ``qk`` being the request's own
+    result count (ties by rounded distance, then id)."""
+
+    def empty() -> pd.DataFrame:
+        return pd.DataFrame({"request_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"),
+                             "dist": pd.Series(dtype="float64"), "qk": pd.Series(dtype="int32")})
 
     def fn(pi: pd.DataFrame, pr: pd.DataFrame) -> pd.DataFrame:
-        cols = ["request_id", "id", "dist"]
         if len(pi) == 0 or len(pr) == 0:
-            return pd.DataFrame({c: pd.Series(dtype="int64" if c != "dist" else "float64") for c in cols})
+            return empty()
         items_m = np.stack([np.asarray(v, dtype=float) for v in pi["ivec"].values])
         ids = pi["id"].to_numpy(dtype=np.int64)
         reqs_m = np.stack([np.asarray(v, dtype=float) for v in pr["qvec"].values])
         rids = pr["request_id"].to_numpy(dtype=np.int64)
         selfs = pr["self_id"].to_numpy(dtype=float)
+        qks = pr["qk"].to_numpy(dtype=np.int64)  # each request's own result count
         m, dim = items_m.shape
         chunk = max(1, int(_CHUNK_ELEMS // max(1, m * dim)))
-        out_r, out_i, out_d = [], [], []
+        out_r, out_i, out_d, out_k = [], [], [], []
         for s0 in range(0, len(reqs_m), chunk):
             q = reqs_m[s0:s0 + chunk]
             d = np.sqrt(((q[:, None, :] - items_m[None, :, :]) ** 2).sum(axis=2))
@@ -96,31 +101,35 @@ def _partial_topk(k: int, digits: int):
                 if len(cand) == 0:
                     continue
                 rd = np.round(dj[cand], digits)
-                if len(cand) > k:
-                    kth = np.partition(rd, k - 1)[k - 1]
+                kk = int(qks[s0 + j]) + margin
+                if len(cand) > kk:
+                    kth = np.partition(rd, kk - 1)[kk - 1]
                     cand, rd = cand[rd <= kth], rd[rd <= kth]
-                order = np.lexsort((ids[cand], rd))[:k]
+                order = np.lexsort((ids[cand], rd))[:kk]
                 sel = cand[order]
                 out_r.append(np.full(len(sel), rids[s0 + j], dtype=np.int64))
                 out_i.append(ids[sel])
                 out_d.append(dj[sel])
+                out_k.append(np.full(len(sel), qks[s0 + j], dtype=np.int32))
         if not out_r:
-            return pd.DataFrame({c: pd.Series(dtype="int64" if c != "dist" else "float64") for c in cols})
+            return empty()
         return pd.DataFrame({"request_id": np.concatenate(out_r), "id": np.concatenate(out_i),
-                             "dist": np.concatenate(out_d)})
+                             "dist": np.concatenate(out_d), "qk": np.concatenate(out_k)})
 
     return fn
 
 
-def recommend(items: DataFrame, requests: DataFrame, k: int, vectors: Sequence[Sequence[float]] | None,
+def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequence[Sequence[float]] | None,
               bucket_length: float | None, *, item_id: str = "id", item_vec: str = "vec",
               req_id: str = "request_id", req_vec: str = "vec", self_id: str | None = None,
               item_hashes: str | None = None, req_hashes: str | None = None,
               group_rows: int = GROUP_ROWS, digits: int = 9) -> DataFrame:
     """Top-k items sharing at least one bucket with each request.
 
-    Returns (request_id, rank, id, dist). With ``self_id`` (a request column), items whose id
-    equals it are excluded before ranking (only when the request gives an id, as in the reference).
+    Returns (request_id, rank, id, dist). ``k`` is a number or the name of a request column holding
+    each request's own result count (the reference's ``num_recommendations``; validate it first).
+    With ``self_id`` (a request column), items whose id equals it are excluded before ranking (only
+    when the request gives an id, as in the reference).
     Requests can come with precomputed hash columns (e.g. from an MLlib LSH model); otherwise
     ``vectors``/``bucket_length`` hash them.
     """
@@ -129,8 +138,10 @@ def recommend(items: DataFrame, requests: DataFrame, k: int, vectors: Sequence[S
     it = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(item_vec).alias("ivec"),
                       F.posexplode(ih).alias("t", "b"))
     sid = F.col(self_id).cast("bigint") if self_id else F.lit(None).cast("bigint")
+    qk = (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("int")
     rq = requests.select(F.col(req_id).cast("bigint").alias("request_id"), sid.alias("self_id"),
-                         F.col(req_vec).alias("qvec"), F.posexplode(qh).alias("t", "b"))
+                         qk.alias("qk"), F.col(req_vec).alias("qvec"), F.posexplode(qh).alias("t", "b")
+                         ).where(F.col("qk") > 0)  # a request without a valid count gets no rows
     # grid split of hot buckets: a bucket with n items and r requests becomes ceil(n/g) x ceil(r/g)
     # groups; items are hashed to an item slice and copied to every request slice, and vice versa
     isz = it.groupBy("t", "b").agg(F.count(F.lit(1)).alias("ni"))
@@ -145,14 +156,15 @@ def recommend(items: DataFrame, requests: DataFrame, k: int, vectors: Sequence[S
     rq2 = (rq.join(sizes, ["t", "b"])
            .withColumn("rslice", F.pmod(F.xxhash64("request_id"), F.col("sr")).cast("int"))
            .withColumn("islice", F.explode(F.sequence(F.lit(0), F.col("si") - 1)))
-           .select("t", "b", "islice", "rslice", "request_id", "self_id", "qvec"))
+           .select("t", "b", "islice", "rslice", "request_id", "self_id", "qk", "qvec"))
     keys = ["t", "b", "islice", "rslice"]
     partial = (it2.groupBy(*keys).cogroup(rq2.groupBy(*keys))
-               .applyInPandas(_partial_topk(k + _MARGIN, digits), "request_id bigint, id bigint, dist double"))
+               .applyInPandas(_partial_topk(_MARGIN, digits), "request_id bigint, id bigint, dist double, qk int"))
     # an item sharing buckets in several tables is found once per table: same distance
-    best = partial.groupBy("request_id", "id").agg(F.min("dist").alias("dist"))
+    best = partial.groupBy("request_id", "id").agg(F.min("dist").alias("dist"), F.max("qk").alias("qk"))
     w = Window.partitionBy("request_id").orderBy(F.round("dist", digits), "id")
-    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    limit = F.col("qk") if isinstance(k, str) else F.lit(int(k))  # a literal keeps WindowGroupLimit
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
             .select("request_id", "rank", "id", "dist"))
 
 

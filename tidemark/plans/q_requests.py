@@ -18,7 +18,11 @@ _K_SQL = """CASE id % 6 WHEN 0 THEN 'abc' WHEN 1 THEN '0' WHEN 2 THEN '-1' WHEN
 
 
 def _requests(spark, sf):
-    t = fx.tx(spark, sf)
+    return request_rows(fx.tx(spark, sf))
+
+
+def request_rows(t):
+    """Transactions as request rows: some features null (by the rules above), count as text."""
     cols = [F.col("id").alias("request_id")]
     for c in CATS:
         cond = F.col("id") % _ALL_NULL == 0
@@ -37,7 +41,11 @@ def _req_sql_cols() -> str:
     return ", ".join(out)
 
 
-_REQ_SQL = f"req AS (SELECT id AS request_id, {_req_sql_cols()}, {_K_SQL} AS num_recommendations FROM tx)"
+def request_rows_sql(source: str = "tx", name: str = "req") -> str:
+    return f"{name} AS (SELECT id AS request_id, {_req_sql_cols()}, {_K_SQL} AS num_recommendations FROM {source})"
+
+
+_REQ_SQL = request_rows_sql()
 _MISSING_N = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in CATS)
 _MISSING_TXT = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in CATS) + ")"
 _K = "CASE WHEN num_recommendations IS NULL THEN 5 ELSE TRY_CAST(num_recommendations AS INTEGER) END"

@@ -6,10 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as mdl
+from tidemark.operators import requests as rq_ops
 from tidemark.operators import rows
 from tidemark.operators import similarity as sim
 from tidemark.operators.labels import LabelMaps
 from tidemark.plans import fixtures as fx
+from tidemark.plans import q_requests as qr
 from tidemark.plans.registry import EMB_SQL, TX_SQL, index_join_sql, register, tx_maps_sql
 
 # Hashing settings. On the unit-norm 64-d embeddings a bucket of 2.0 only hashes by
@@ -56,15 +58,18 @@ def knn_exact(spark, sf):
     return sim.knn_single(e, "vec", key, KNN_K).select("id", F.round("dist", 6).alias("dist"))
 
 
-def _rec_sql(items: str, requests: str, hcol_vectors, bucket, exclude_self: bool, tail: str) -> str:
+def _rec_sql(items: str, requests: str, hcol_vectors, bucket, exclude_self: bool, tail: str,
+             per_request_k: bool = False) -> str:
+    """Oracle of ``recommend``; with ``per_request_k`` the requests carry their own count ``k``."""
     excl = "AND i.id <> q.self_id" if exclude_self else ""
+    kq, kp, cut = (", k", ", q.k", "k") if per_request_k else ("", "", str(TOP_K))
     return f"""ih AS (SELECT id, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {items}),
-qh AS (SELECT request_id, self_id, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {requests}),
-pairs AS (SELECT q.request_id, i.id, list_distance(i.vec, q.vec) AS dist FROM qh q JOIN ih i
+qh AS (SELECT request_id, self_id{kq}, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {requests}),
+pairs AS (SELECT q.request_id{kp}, i.id, list_distance(i.vec, q.vec) AS dist FROM qh q JOIN ih i
   ON (i.hs[1] = q.hs[1] OR i.hs[2] = q.hs[2] OR i.hs[3] = q.hs[3]) {excl}),
-ranked AS (SELECT request_id, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(dist, 9), id) AS INTEGER) AS rank,
+ranked AS (SELECT request_id{kq}, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(dist, 9), id) AS INTEGER) AS rank,
   id, dist FROM pairs),
-recs AS (SELECT * FROM ranked WHERE rank <= {TOP_K})
+recs AS (SELECT * FROM ranked WHERE rank <= {cut})
 {tail}"""
 
 
@@ -152,3 +157,35 @@ def recommend_display(spark, sf):
     recs = _tx_recs(spark, sf).withColumn("dist", F.round("dist", 6))
     shown = sim.with_display(recs, t.withColumn("ts", ts_text("ts")), "id", _DISPLAY)
     return shown.withColumn("rank", F.col("rank").cast("int"))
+
+
+# the recommend endpoint over a table of requests: request rows with null features and a count as
+# text -> validation (count > 0, default 5) -> Unknown fill -> the items' label maps -> top-k with
+# each request's own count, its own id excluded
+REQ_SAMPLE = 50
+_D_SEL, _D_JOIN = index_join_sql(TX_CATS, "d")
+_K_PARSED = "CASE WHEN num_recommendations IS NULL THEN 5 ELSE TRY_CAST(num_recommendations AS INTEGER) END"
+_REQ_K_BASE = f"""{TX_SQL}, {tx_maps_sql(TX_CATS)},
+ix AS (SELECT tx.id, {_SEL} FROM tx {_JOIN}),
+items AS (SELECT id, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM ix),
+smp AS (SELECT * FROM tx WHERE id IN (SELECT id FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT {REQ_SAMPLE})),
+{qr.request_rows_sql("smp")},
+v AS (SELECT *, {_K_PARSED} AS kp FROM req),
+d AS (SELECT request_id, kp AS k, {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in TX_CATS)} FROM v WHERE kp > 0),
+dix AS (SELECT d.request_id, d.k, {_D_SEL} FROM d {_D_JOIN}),
+rq AS (SELECT request_id, request_id AS self_id, k, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM dix)"""
+
+
+@register("recommend_request_k", sql=f"""WITH {_REQ_K_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs', per_request_k=True)}""")
+def recommend_request_k(spark, sf):
+    t = fx.tx(spark, sf)
+    maps = LabelMaps.fit(t, TX_CATS)
+    idx = F.array(*[F.col(f"{c}_index") for c in TX_CATS])
+    items = maps.transform(t).select("id", idx.alias("vec"))
+    reqs = qr.request_rows(rows.sample_rows(t, REQ_SAMPLE, "id"))
+    ok = rq_ops.validate(reqs, [], k_col="num_recommendations", known=TX_CATS).where(F.col("status") == "ok")
+    d = rq_ops.with_defaults(ok.select("request_id", "k", *TX_CATS), TX_CATS)
+    q = maps.transform(d).select("request_id", F.col("request_id").alias("self_id"), "k", idx.alias("vec"))
+    r = sim.recommend(items, q, "k", TX_VECTORS, TX_BUCKET, self_id="self_id")
+    return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
