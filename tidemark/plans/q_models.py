@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import kmeans as km
 from tidemark.operators import models as mdl
+from tidemark.operators import requests as rq
 from tidemark.operators.labels import LabelMaps
 from tidemark.operators.regression import LinearModel, cumulative_categorical_ols, fit_ols
 from tidemark.plans import fixtures as fx
+from tidemark.plans import q_requests as qr
 from tidemark.plans.registry import TX_SQL, index_join_sql, register, tx_maps_sql
 from tidemark.session import scratch_path
 
@@ -68,6 +70,32 @@ def model_roundtrip_predict(spark, sf):
     return loaded.transform(t.select("id", *cols)).select("id", F.round("prediction", 2).alias("prediction"))
 
 
+# the price endpoint over a table of requests: every transaction as a request row with some
+# features null; a request missing a model feature is refused with the reference's message, the
+# others are scored by the model fitted on the table (label maps + OLS)
+_R_SEL, _R_JOIN = index_join_sql(LR_CATS, "v")
+_MISSING_N = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in LR_CATS)
+_MISSING_TXT = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in LR_CATS) + ")"
+
+
+@register("predict_price_requests", sql=f"""WITH {_IX}, {_MOM}, {qr.request_rows_sql("tx")},
+v AS (SELECT request_id, {', '.join(LR_CATS)}, {_MISSING_N} AS missing_n, {_MISSING_TXT} AS missing_txt FROM req),
+rix AS (SELECT v.request_id, v.missing_n, v.missing_txt, {_R_SEL} FROM v {_R_JOIN})
+SELECT request_id, CASE WHEN missing_n = 0 THEN 'ok' ELSE 'invalid' END AS status,
+  CASE WHEN missing_n > 0 THEN '{rq.MISSING_PREFIX}' || missing_txt END AS error,
+  CASE WHEN missing_n = 0 THEN round((SELECT my - b1 * mx1 - b2 * mx2 FROM c) + (SELECT b1 FROM c) * property_type_index
+                                     + (SELECT b2 FROM c) * duration_index, 2) END AS prediction
+FROM rix""")
+def predict_price_requests(spark, sf):
+    t = fx.tx(spark, sf)
+    maps = LabelMaps.fit(t, LR_CATS)
+    model = LinearModel.from_fit(fit_ols(maps.transform(t), LR_X, "price"), LR_X)
+    checked = rq.validate(qr.request_rows(t).select("request_id", *LR_CATS), LR_CATS)
+    scored = model.transform(maps.transform(checked))
+    return scored.select("request_id", "status", "error",
+                         F.when(F.col("status") == "ok", F.round("prediction", 2)).alias("prediction"))
+
+
 def _cum_sql(cats: list[str]) -> str:
     long = "\n    UNION ALL ".join(f"SELECT model_id, '{c}' AS col, {c} AS label FROM mt" for c in cats)
     joins = "\n".join(
