@@ -190,3 +190,27 @@ def kmeans_fit_profile(spark, sf):
     pts = _km_points(spark, sf)
     model, assigned = mdl.fit_kmeans(pts, "vec", KM_K)
     return (assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean_price")))
+
+
+# the clustering endpoint over a table of requests: every transaction as a request row with some
+# features null; as in the reference (indexers with handleInvalid="keep", no request check) a null
+# feature takes the unseen index (the map size), then the nearest of fixed centres over the
+# categorical ordinals. Those centres.
+REQ_CENTRES = [[0.0, 0.0, 0.0], [2.0, 2.0, 2.0], [4.0, 4.0, 4.0]]
+_RC_SEL, _RC_JOIN = index_join_sql(KM_CATS, "req")
+_RC = ", ".join(f"({i}, {c})" for i, c in enumerate(REQ_CENTRES))
+
+
+@register("assign_cluster_requests", sql=f"""WITH {TX_SQL}, {tx_maps_sql(KM_CATS)}, {qr.request_rows_sql("tx")},
+p AS (SELECT req.request_id, [{', '.join(f'{c}_index' for c in KM_CATS)}] AS vec FROM (
+  SELECT req.request_id, {_RC_SEL} FROM req {_RC_JOIN}) req),
+cs AS (SELECT * FROM (VALUES {_RC}) v(cid, vec))
+SELECT p.request_id, CAST((SELECT cs.cid FROM cs ORDER BY
+  list_reduce(list_transform(range(1, 4), lambda i: (p.vec[i] - cs.vec[i]) * (p.vec[i] - cs.vec[i])), lambda x, y: x + y), cs.cid
+  LIMIT 1) AS INTEGER) AS cluster FROM p""")
+def assign_cluster_requests(spark, sf):
+    t = fx.tx(spark, sf)
+    maps = LabelMaps.fit(t, KM_CATS)
+    ix = maps.transform(qr.request_rows(t).select("request_id", *KM_CATS))
+    vec = F.array(*[F.col(f"{c}_index") for c in KM_CATS])
+    return ix.select("request_id", km.nearest_centre(vec, REQ_CENTRES).cast("int").alias("cluster"))
