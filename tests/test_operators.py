@@ -447,6 +447,18 @@ def test_top_n_ordered_and_unordered(spark):
     assert sim.top_n(df.drop("dist"), 4).count() == 4
 
 
+def test_sample_stays_a_top_n_under_later_projections(spark):
+    # request validation over sampled rows once planned a global range sort of the whole table
+    from tidemark.plans import q_requests as qr
+
+    t = fx.tx(spark, SF_SMALL)
+    v = rq.validate(qr.request_rows(rows.sample_rows(t, 50, "id")), [], k_col="num_recommendations",
+                    known=fx.TX_CATS)
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert v.count() == 50
+
+
 def test_feature_list_roundtrip(spark):
     path = scratch_path(spark, "cols")
     cols = ["Property Type", "Old/New", "Record Status - monthly file only"]

@@ -61,6 +61,10 @@ def exclude_id(df: DataFrame, id_col: str, value) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, id_col: str, seed: int | None = None) -> DataFrame:
     """``n`` rows in a pseudo-random order: by md5(id) (reproducible) or rand(seed).
-    A distributed top-n (TakeOrderedAndProject), not a full sort."""
+
+    A distributed top-n (TakeOrderedAndProject: a local top-n per partition, then n rows per
+    partition merged), not a full sort. Some projections laid over a limit make the planner fall
+    back to a global range sort of the whole input; the one-partition repartition after the limit
+    (it moves only the n sampled rows) keeps later projections off the top-n."""
     key = F.md5(col_(id_col).cast("string")) if seed is None else F.rand(seed)
-    return df.orderBy(key, col_(id_col)).limit(n)
+    return df.orderBy(key, col_(id_col)).limit(n).repartition(1)
