@@ -101,6 +101,8 @@ class LabelMaps:
         if small:
             for r in t.where(F.col("column").isin(small)).select("column", "label", "index").collect():
                 inline[r["column"]][r["label"]] = int(r["index"])  # bounded by the size check
+            if persist:
+                counts.unpersist()  # the label table is cached now; lost blocks recompute from lineage
         return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols}, inline)
 
     def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None) -> DataFrame:

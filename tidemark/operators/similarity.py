@@ -53,7 +53,8 @@ def knn_single(items: DataFrame, vec_col: str, key: Sequence[float], k: int, id_
     """Exact k nearest items to one key vector: distance then a distributed top-k
     (TakeOrderedAndProject), ties by rounded distance then id."""
     d = items.withColumn("dist", key_distances(F.col(vec_col), [list(key)])[0])
-    return d.orderBy(F.round("dist", digits), F.col(id_col)).limit(k)
+    # the one-partition repartition of the k rows keeps later projections off the top-k plan
+    return d.orderBy(F.round("dist", digits), F.col(id_col)).limit(k).repartition(1)
 
 
 def knn_many(items: DataFrame, vec_col: str, keys: Sequence[tuple[int, Sequence[float]]], k: int,
