@@ -185,11 +185,22 @@ def elapsed_cut_table(df: DataFrame, ts_col: str, id_col: str, interval, limit:
     if first is None:
         return empty
     s0 = ranked.where(F.col("_us") == F.lit(first)).select("r").first()[0]
-    chain = spark.createDataFrame([(0, int(s0))], "m bigint, r bigint")
-    for k in reversed(range(len(levels))):
-        j = levels[k]
-        ext = chain.join(j, "r").select((F.col("m") + F.lit(1 << k)).alias("m"), F.col("nr").alias("r"))
-        chain = _ckpt(chain.unionByName(ext))
+    chain_schema = "m bigint, r bigint"
+    if max_chain <= MAX_COLLECTED_CUTS:
+        # the chain has at most max_chain members (checked): it stays a collected list, extended
+        # each round by one broadcast join against the level table, with no table written per round
+        members = [(0, int(s0))]
+        for k in reversed(range(len(levels))):
+            cur = F.broadcast(spark.createDataFrame(members, chain_schema))
+            ext = cur.join(levels[k], "r").select((F.col("m") + F.lit(1 << k)).alias("m"), F.col("nr").alias("r"))
+            members += [(int(x["m"]), int(x["r"])) for x in ext.collect()]
+        chain = spark.createDataFrame(members, chain_schema)
+    else:
+        chain = spark.createDataFrame([(0, int(s0))], chain_schema)
+        for k in reversed(range(len(levels))):
+            j = levels[k]
+            ext = chain.join(j, "r").select((F.col("m") + F.lit(1 << k)).alias("m"), F.col("nr").alias("r"))
+            chain = _ckpt(chain.unionByName(ext))
     if limit is not None:
         chain = chain.where(F.col("m") < limit)
     return (chain.join(ranked, "r")
