@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[int, str] = {}
+_SHIPPED: set[int] = set()
 
 
 def get_spark(app: str = "tidemark", master: str | None = None,
@@ -39,6 +40,7 @@ def get_spark(app: str = "tidemark", master: str | None = None,
          .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g")))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -87,3 +89,27 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, as ``--py-files`` would: pickled Arrow
+    UDFs refer to its modules by name. Zipped once per SparkContext and added with ``addPyFile``
+    (the driver serves it to every executor); must run before the UDFs of a plan are created."""
+    import zipfile
+
+    import tidemark
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(tidemark.__file__))
+    fd, path = tempfile.mkstemp(prefix="tidemark-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
