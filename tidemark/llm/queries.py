@@ -7,16 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, pfor, separators
+from tidemark.llm import bpe, pfor, quality, separators, warc
 from tidemark.session import ship_package
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": bpe.op2_bpe_codec,
+    "op3_quality": quality.op3_quality,
     "op7_pfor_ids": pfor.op7_pfor_ids,
+    "op8_warc": warc.op8_warc,
     "op9_token_counts": separators.op9_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_warc": warc.OP8_SQL}
 
 
 def _shipped(fn):
