@@ -7,10 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, pfor, quality, separators, warc
+from tidemark.llm import bpe, decontaminate, pfor, quality, separators, warc
 from tidemark.session import ship_package
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_winnowing": decontaminate.op10_winnowing,
     "op2_bpe_codec": bpe.op2_bpe_codec,
     "op3_quality": quality.op3_quality,
     "op7_pfor_ids": pfor.op7_pfor_ids,
@@ -18,7 +19,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": separators.op9_token_counts,
 }
 
-SQL: dict[str, str] = {"op8_warc": warc.OP8_SQL}
+SQL: dict[str, str] = {"op10_winnowing": decontaminate.OP10_SQL, "op8_warc": warc.OP8_SQL}
 
 
 def _shipped(fn):
