@@ -7,14 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, partenum, pfor, quality, separators, spotsigs, warc
+from tidemark.llm import bpe, decontaminate, interpolation, partenum, pfor, quality, separators, spotsigs, substrings, warc
 from tidemark.session import ship_package
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_winnowing": decontaminate.op10_winnowing,
+    "op1_substring_dedup": substrings.op1_substring_dedup,
     "op2_bpe_codec": bpe.op2_bpe_codec,
     "op3_quality": quality.op3_quality,
     "op4_spotsigs": spotsigs.op4_spotsigs,
+    "op5_lm_scores": interpolation.op5_lm_scores,
     "op6_jaccard_join": partenum.op6_jaccard_join,
     "op7_pfor_ids": pfor.op7_pfor_ids,
     "op8_warc": warc.op8_warc,
