@@ -292,8 +292,9 @@ def _fold(raw: bytes, size: int) -> np.ndarray:
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) per document: component_id is the smallest
-    doc_id of the documents that links reach from it, class_id names its set."""
+    """(doc_id, text_key, n_shingles, component_id, class_id, root) per document: component_id is
+    the smallest doc_id of the documents that links reach from it, root names the component (null
+    without words), class_id the document's set, text_key is a hash of its text."""
     sets = write_table(document_sets(docs), "shingle-sets")
     classes = sets.where("n > 0").select("id", "n").distinct()
     buckets = max(1, -(-C.text_bytes(docs) // BUCKET_BYTES))
@@ -312,9 +313,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     roots = components(links.unionByName(more)) if more.take(1) else roots
     rows = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.where("n > 0").join(least, "root").select("doc_id", "n", F.col("least").alias("component_id"), "id").unionByName(
-        rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "id")) \
-        .withColumnsRenamed({"n": "n_shingles", "id": "class_id"})
+    out = rows.where("n > 0").join(least, "root").select("doc_id", "tk", "n", F.col("least").alias("component_id"), "id", "root")
+    none = rows.where("n = 0").select("doc_id", "tk", "n", F.col("doc_id").alias("component_id"), "id", F.lit(None).cast("long").alias("root"))
+    return out.unionByName(none).withColumnsRenamed({"tk": "text_key", "n": "n_shingles", "id": "class_id"})
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
