@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
+from tidemark.session import write_table
 
 TOKENIZER = "word_bpe_49k.json"
 LEXICON_WORDS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
 LONG_WORD = 200  # bytes; longer words are merged by a heap, not in the vectorised rounds
-CACHE_WORDS = 400_000  # words resolved per worker before its cache starts anew
+CACHE_WORDS = 700_000  # words resolved per worker before its cache starts anew
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -68,9 +69,11 @@ class Words:
         spec = json.load(open(path, encoding="utf-8"))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         letters, numbers = _char_class("L", 0x180), _char_class("N", 0x180)
-        # the tokenizer file's own pattern, with its classes spelled out for these code points
+        # the tokenizer file's own pattern, with its classes spelled out for these code points; letters
+        # come first, since they are the commonest and no other alternative begins with one
         self.find = re.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\t-\r \x85\xa0{letters}{numbers}]+").findall
+            rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^\t-\r \x85\xa0{letters}{numbers}]+").findall
+        self.find_ascii = re.compile(r"[a-z]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-z0-9]+").findall
         self.plain = re.compile("[\0-įı-ſ]*").fullmatch
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.byte_of = {c: b for b, c in enumerate(byte_chars())}
@@ -81,6 +84,8 @@ class Words:
         return self.words(text)
 
     def words(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.find_ascii(text.lower())
         if self.plain(text):
             return self.find(text.lower())
         text = self.tok.normalizer.normalize_str(text)
@@ -308,13 +313,29 @@ def count_words(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """At most ``size`` words: all whose count lies in the highest steps (sixteenths of an octave)
+    that together fit. A histogram of at most a thousand steps decides it, so that tasks send no
+    candidates of their own to the driver."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    histogram = sorted(((r.step, r.c) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("c")).collect()), reverse=True)
+    total, cut = 0, None
+    for at, c in histogram:
+        total += c
+        if total > size:
+            break
+        cut = at
+    if cut is None:
+        return []
+    return [r.word for r in counts.where(step >= cut).select("word").collect()]
+
+
 def build_lexicon(spark: SparkSession, docs: DataFrame, path: str | None = None,
                   size: int = LEXICON_WORDS, text: str = "text") -> str:
-    """Compile the ``size`` most frequent words of all texts and hand the file to every executor.
-    Returns the file's name for ``Encoder``. Only those words reach the driver."""
+    """Compile the most frequent words of all texts, ``size`` at most, and hand the file to every
+    executor. Returns the file's name for ``Encoder``. Only those words reach the driver."""
     path = path or tokenizer_path()
-    top = count_words(docs, path, text).orderBy(F.desc("n"), "word").limit(size).collect()
-    words = sorted(r.word.encode() for r in top)
+    words = sorted(w.encode() for w in frequent_words(write_table(count_words(docs, path, text), "word-counts"), size))
     t = merge_tables(path)
     ids, at = merge_words(words, t)
     fd, file = tempfile.mkstemp(prefix="lexicon-", suffix=".bin")
@@ -330,6 +351,19 @@ def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     return values[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(total)]
 
 
+class Slots(dict):
+    """Numbers words in the order of their first look-up; ``new`` holds those not yet resolved."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str | int] = []
+
+    def __missing__(self, word: str | int) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordIds:
     """Token ids of many texts: each distinct word is resolved once per worker and cache life."""
 
@@ -338,7 +372,7 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[str | int, int] = {}
+        self.slot = Slots()
         self.at = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
 
@@ -347,27 +381,52 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of all texts."""
+        if len(self.slot) > CACHE_WORDS:
+            self.clear()
         split = self.split
         lists = [split(x) if x else [] for x in texts]
-        new = set(itertools.chain.from_iterable(lists)) - self.slot.keys()
-        if new and len(self.slot) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = set(itertools.chain.from_iterable(lists))
-        if new:
-            strings = [w for w in new if w.__class__ is str]
-            specials = [w for w in new if w.__class__ is not str]
-            ids, at = self.resolve(strings) if strings else (np.zeros(0, np.int32), np.zeros(1, np.int64))
-            first = len(self.at) - 1
-            self.slot.update(zip([*strings, *specials], range(first, first + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, ids, np.array(specials, np.int32)])
-            sizes = np.concatenate([np.diff(at), np.ones(len(specials), np.int64)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
         n = np.fromiter(map(len, lists), np.int64, len(lists))
         slots = np.fromiter(map(self.slot.__getitem__, itertools.chain.from_iterable(lists)), np.int64, int(n.sum()))
+        del lists
+        if self.slot.new:
+            self.learn(self.slot.new)
+            self.slot.new = []
         counts = self.at[slots + 1] - self.at[slots]
         ends = np.concatenate([[0], np.cumsum(counts)])
         return gather(self.ids, self.at[slots], counts), ends[np.concatenate([[0], np.cumsum(n)])]
 
+    def learn(self, words: list[str | int]) -> None:
+        """Append the ids of new words, in their order; the ids of special tokens stand for themselves."""
+        strings = [w for w in words if w.__class__ is str]
+        ids, at = self.resolve(strings) if strings else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+        if len(strings) < len(words):
+            start, count, extra, k = [], [], [], 0
+            for w in words:
+                if w.__class__ is str:
+                    start.append(at[k])
+                    count.append(at[k + 1] - at[k])
+                    k += 1
+                else:
+                    start.append(len(ids) + len(extra))
+                    count.append(1)
+                    extra.append(w)
+            ids = gather(np.concatenate([ids, np.array(extra, np.int32)]), np.array(start), np.array(count))
+            at = np.concatenate([[0], np.cumsum(count)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, self.at[-1] + at[1:]])
+
+
+_KEPT: dict[tuple, WordIds] = {}
+
+
+def kept(kind: type, *args) -> WordIds:
+    """One encoder per worker process and parameters: its cache outlives a task."""
+    key = (kind, *args)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = kind(*args)
+    return _KEPT[key]
+
 
 class Encoder(WordIds):
     """Words from the mapped automaton, the rest by exact merging."""
@@ -412,7 +471,7 @@ def encode_decode(docs: DataFrame, lexicon: str, path: str | None = None, key: s
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path, lexicon)
+        enc = kept(Encoder, path, lexicon)
         for b in batches:
             done = 0
             for texts in text_pieces(b.column(1)):

@@ -161,6 +161,12 @@ def blocks_of(docs: DataFrame, total: int, block_bytes: int) -> tuple[DataFrame,
     return docs.withColumn("block", F.pmod(key, F.lit(n)).cast("int")), n
 
 
+def one_task_each(rows: DataFrame, n: int) -> DataFrame:
+    """Rows that each stand for much work (files, blocks), dealt out evenly; Spark would otherwise
+    merge such small partitions into one task."""
+    return rows.repartition(max(1, min(n, 50_000)))
+
+
 def shared(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir`` (shared by the driver and all executors)."""
     return scratch_path(spark, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
@@ -20,10 +21,20 @@ class LibraryIds(WordIds):
             self.split.tok.encode_special_tokens = True
             self.split.cut = _Never()
 
+        vocab = self.split.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
     def resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.split.tok.encode_batch_fast(words, add_special_tokens=False)]
-        at = np.cumsum([0, *map(len, found)])
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(at[-1])), at
+        """Words are handed over a thousand at a time, with a space between two; the ids that end a
+        word tell them apart again."""
+        texts = [" ".join(words[i: i + 1000]) for i in range(0, len(words), 1000)]
+        found = [e.ids for e in self.split.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.int32, sum(map(len, found)))
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("the tokenizer does not mark the ends of words")
+        return ids, np.concatenate([[0], ends])
 
 
 class _Never:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
-from tidemark.llm.bpe import text_pieces, tokenizer_path
+from tidemark.llm.bpe import kept, text_pieces, tokenizer_path
 from tidemark.llm.library_ids import LibraryIds
 
 BLOCK = 128
@@ -37,6 +37,19 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _shapes(width: np.ndarray, excess: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(width, exceptions, blocks): blocks of one shape are handled together, some at a time."""
+    shape = width << 8 | excess
+    order = np.argsort(shape, kind="stable")
+    if not len(order):
+        return
+    start = np.flatnonzero(np.concatenate([[True], np.diff(shape[order]) != 0]))
+    for a, b in zip(start, [*start[1:], len(order)], strict=True):
+        for i in range(a, b, 2048):
+            rows = order[i: min(i + 2048, b)]
+            yield int(width[rows[0]]), int(excess[rows[0]]), rows
+
+
 def pack(values: np.ndarray) -> bytes:
     """``values`` (unsigned 32-bit) as: count, index of block starts, blocks."""
     n = len(values)
@@ -55,20 +68,21 @@ def pack(values: np.ndarray) -> bytes:
     sizes = 6 + excess * 5 + width * (BLOCK // 8)
     at = np.concatenate([[0], np.cumsum(sizes)])
     body = np.zeros(int(at[-1]), np.uint8)
-    for w in np.unique(width):
-        for e in np.unique(excess[width == w]):  # blocks of one shape are laid out together
-            rows = np.flatnonzero((width == w) & (excess == e))
-            out = np.zeros((len(rows), 6 + 5 * e + w * (BLOCK // 8)), np.uint8)
-            out[:, :4] = low[rows].astype("<u4")[:, None].view(np.uint8).reshape(len(rows), 4)
-            out[:, 4], out[:, 5] = w, e
-            if e:
-                r, c = np.nonzero(over[rows])
-                out[:, 6: 6 + e] = c.reshape(len(rows), e)
-                out[:, 6 + e: 6 + 5 * e] = over[rows][r, c].astype("<u4").view(np.uint8).reshape(len(rows), 4 * e)
-            if w:
-                bits = (d[rows][:, :, None] >> np.arange(w) & 1).astype(np.uint8)
-                out[:, 6 + 5 * e:] = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
-            body[(at[rows][:, None] + np.arange(out.shape[1])).ravel()] = out.ravel()
+    for w, e, rows in _shapes(width, excess):
+        out = np.zeros((len(rows), 6 + 5 * e + w * (BLOCK // 8)), np.uint8)
+        out[:, :4] = low[rows].astype("<u4")[:, None].view(np.uint8).reshape(len(rows), 4)
+        out[:, 4], out[:, 5] = w, e
+        if e:
+            r, c = np.nonzero(over[rows])
+            out[:, 6: 6 + e] = c.reshape(len(rows), e)
+            out[:, 6 + e: 6 + 5 * e] = over[rows][r, c].astype("<u4").view(np.uint8).reshape(len(rows), 4 * e)
+        if w:
+            bits = np.empty((len(rows), BLOCK, w), np.uint8)
+            part = d[rows].astype(np.uint32)
+            for j in range(w):
+                bits[:, :, j] = part >> j & 1
+            out[:, 6 + 5 * e:] = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+        body[(at[rows][:, None] + np.arange(out.shape[1])).ravel()] = out.ravel()
     return np.uint64(n).tobytes() + at.astype("<u8").tobytes() + body.tobytes()
 
 
@@ -90,20 +104,20 @@ def unpack(raw: bytes | memoryview, first: int = 0, last: int | None = None) ->
     if last <= first:
         return out.ravel().astype(np.uint32)
     width, excess = body[at[:-1] + 4].astype(np.int64), body[at[:-1] + 5].astype(np.int64)
-    for w in np.unique(width):
-        for e in np.unique(excess[width == w]):
-            rows = np.flatnonzero((width == w) & (excess == e))
-            got = body[at[rows][:, None] + np.arange(6 + 5 * e + w * (BLOCK // 8))]
-            d = np.zeros((len(rows), BLOCK), np.int64)
-            if w:
-                bits = np.unpackbits(np.ascontiguousarray(got[:, 6 + 5 * e:]), axis=1, bitorder="little")
-                d = bits.reshape(len(rows), BLOCK, w).astype(np.int64) @ (np.int64(1) << np.arange(w))
-            if e:
-                upper = np.ascontiguousarray(got[:, 6 + e: 6 + 5 * e]).view("<u4").astype(np.int64)
-                np.put_along_axis(d, got[:, 6: 6 + e].astype(np.int64),
-                                  np.take_along_axis(d, got[:, 6: 6 + e].astype(np.int64), 1) | upper << w, 1)
-            low = np.ascontiguousarray(got[:, :4]).view("<u4").astype(np.int64)
-            out[rows] = d + low
+    for w, e, rows in _shapes(width, excess):
+        got = body[at[rows][:, None] + np.arange(6 + 5 * e + w * (BLOCK // 8))]
+        d = np.zeros((len(rows), BLOCK), np.int64)
+        if w:
+            bits = np.unpackbits(np.ascontiguousarray(got[:, 6 + 5 * e:]), axis=1, bitorder="little")
+            bits = bits.reshape(len(rows), BLOCK, w)
+            for j in range(w):
+                d |= bits[:, :, j].astype(np.int64) << j
+        if e:
+            upper = np.ascontiguousarray(got[:, 6 + e: 6 + 5 * e]).view("<u4").astype(np.int64)
+            np.put_along_axis(d, got[:, 6: 6 + e].astype(np.int64),
+                              np.take_along_axis(d, got[:, 6: 6 + e].astype(np.int64), 1) | upper << w, 1)
+        low = np.ascontiguousarray(got[:, :4]).view("<u4").astype(np.int64)
+        out[rows] = d + low
     return out.ravel()[: n - first * BLOCK].astype(np.uint32)
 
 
@@ -134,7 +148,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part, tag = LibraryIds(path), TaskContext.get().partitionId(), C.attempt_name()
+        enc, part, tag = kept(LibraryIds, path), TaskContext.get().partitionId(), C.attempt_name()
         held: list[tuple] = []
         made = 0
 
@@ -182,7 +196,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                         "start": pa.array(at[i:j] + start), "n_tokens": pa.array(lengths[i:j].astype(np.int64)),
                         "ids": pa.array([raw[at[r]: at[r + 1]].tobytes() for r in range(i, j)], pa.binary())})
 
-    return base.select("file", "base").repartition("file").mapInArrow(
+    return C.one_task_each(base.select("file", "base"), manifest.count()).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
-from tidemark.llm.bpe import text_pieces, tokenizer_path
+from tidemark.llm.bpe import kept, text_pieces, tokenizer_path
 from tidemark.llm.library_ids import LibraryIds
 
 END = "<|endoftext|>"
@@ -38,7 +38,7 @@ def write_flat(docs: DataFrame, folder: str, path: str | None = None, key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part, tag = LibraryIds(path, special=False), TaskContext.get().partitionId(), C.attempt_name()
+        enc, part, tag = kept(LibraryIds, path, False), TaskContext.get().partitionId(), C.attempt_name()
         tok = enc.split.tok
         end, item = tok.token_to_id(END), 2 if tok.get_vocab_size() <= 1 << 16 else 4
         held: list[bytes] = []
@@ -91,11 +91,10 @@ def scan(files: DataFrame, folder: str, end: int, block_bytes: int = BLOCK_BYTES
                     "size": pa.array([size // item], pa.int64()),
                     "final": pa.array([(block + 1) * block_bytes >= size])})
 
-    blocks = (files.where("bytes > 0")
-              .select("file", F.explode(F.sequence(F.lit(0), F.expr(f"(bytes - 1) DIV {block_bytes}"))).alias("block"),
-                      "bytes", F.col("item"))
-              .repartition("file", "block"))
-    found = blocks.select("file", F.col("block").cast("long"), "bytes", "item").mapInArrow(
+    blocks = (files.where("bytes > 0").select("file", F.explode(F.sequence(F.lit(0), F.expr(f"(bytes - 1) DIV {block_bytes}"))).alias("block"),
+                                              "bytes", "item"))
+    n = files.agg(F.sum(F.expr(f"(bytes + {block_bytes - 1}) DIV {block_bytes}"))).first()[0] or 0
+    found = C.one_task_each(blocks.select("file", F.col("block").cast("long"), "bytes", "item"), n).mapInArrow(
         run, "file string, block long, ends array<long>, n long, last long, size long, final boolean")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     scanned = (found.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))

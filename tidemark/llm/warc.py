@@ -192,7 +192,7 @@ def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    return manifest.select("file", "sha256").repartition("file").mapInArrow(run, SCHEMA)
+    return C.one_task_each(manifest.select("file", "sha256"), manifest.count()).mapInArrow(run, SCHEMA)
 
 
 SCHEMA = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, "
