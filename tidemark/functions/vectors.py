@@ -21,40 +21,54 @@ from tidemark.functions.columns import dot, euclid
 EXPR_LIMIT = 64
 
 
-def _stack(s: pd.Series, dim: int) -> np.ndarray:
-    if len(s) == 0:
-        return np.zeros((0, dim))
-    return np.stack([np.asarray(v, dtype=float) if v is not None else np.full(dim, np.nan) for v in s.values])
+def usable(vec: Column) -> Column:
+    """False for a null vector and for one with a null element: neither can be hashed or compared."""
+    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull())
+
+
+def _rows(s: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which rows hold a usable vector, their matrix)."""
+    # a null element arrives as NaN
+    ok = np.fromiter((v is not None and not np.isnan(np.asarray(v, dtype=float)).any() for v in s.values), bool, len(s))
+    return ok, np.array([np.asarray(v, dtype=float) for v in s.values[ok]]).reshape(-1, dim)
+
+
+def _per_row(ok: np.ndarray, values: np.ndarray) -> pd.Series:
+    out = np.empty(len(ok), object)
+    for i, v in zip(np.flatnonzero(ok), values, strict=True):
+        out[i] = v
+    return pd.Series(out)
 
 
 def bucket_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length: float) -> Column:
-    """array<bigint>: floor(x . v_t / bucket_length) for each projection vector v_t."""
+    """array<bigint>: floor(x . v_t / bucket_length) for each projection vector v_t; null for a
+    vector that is null or holds a null, whatever the size."""
     dim = len(vectors[0])
     if dim * len(vectors) <= EXPR_LIMIT:
-        return F.array(*[F.floor(dot(vec, list(v)) / F.lit(float(bucket_length))).cast("bigint") for v in vectors])
+        return F.when(usable(vec), F.array(*[
+            F.floor(dot(vec, list(v)) / F.lit(float(bucket_length))).cast("bigint") for v in vectors]))
     mat = np.asarray(vectors, dtype=float).T  # dim x tables
     bl = float(bucket_length)
 
     @F.pandas_udf("array<bigint>")
     def _hash(s: pd.Series) -> pd.Series:
-        x = _stack(s, dim)
-        h = np.floor((x @ mat) / bl).astype(np.int64)
-        return pd.Series(list(h))
+        ok, x = _rows(s, dim)
+        return _per_row(ok, np.floor((x @ mat) / bl).astype(np.int64))
 
     return _hash(vec)
 
 
 def key_distances(vec: Column, keys: Sequence[Sequence[float]]) -> Column:
-    """array<double>: Euclidean distance of ``vec`` to each key vector (bounded key list)."""
+    """array<double>: Euclidean distance of ``vec`` to each key vector (a short literal list); null
+    for a vector that is null or holds a null."""
     dim = len(keys[0])
     if dim * len(keys) <= EXPR_LIMIT:
-        return F.array(*[euclid(vec, list(k)) for k in keys])
+        return F.when(usable(vec), F.array(*[euclid(vec, list(k)) for k in keys]))
     km = np.asarray(keys, dtype=float)  # n_keys x dim
 
     @F.pandas_udf("array<double>")
     def _dist(s: pd.Series) -> pd.Series:
-        x = _stack(s, dim)
-        d = np.sqrt(((x[:, None, :] - km[None, :, :]) ** 2).sum(axis=2))
-        return pd.Series(list(d))
+        ok, x = _rows(s, dim)
+        return _per_row(ok, np.sqrt(((x[:, None, :] - km[None, :, :]) ** 2).sum(axis=2)))
 
     return _dist(vec)

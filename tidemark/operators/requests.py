@@ -19,6 +19,7 @@ from tidemark.operators.rows import UNKNOWN
 DEFAULT_K = 5
 K_ERROR = "'num_recommendations' must be a positive integer."
 MISSING_PREFIX = "Missing columns in input: "
+FEATURES_ERROR = "Missing or invalid 'property_features' in JSON payload. It should be a dictionary."
 
 
 def with_defaults(df: DataFrame, cols: Sequence[str], default: str = UNKNOWN) -> DataFrame:
@@ -31,8 +32,9 @@ def with_defaults(df: DataFrame, cols: Sequence[str], default: str = UNKNOWN) ->
 
 
 def validate(df: DataFrame, required: Sequence[str], k_col: str | None = None,
-             known: Sequence[str] | None = None, default_k: int = DEFAULT_K) -> DataFrame:
-    """Add validation columns. Required columns that are absent count as missing (null)."""
+             known: Sequence[str] | None = None, default_k: int = DEFAULT_K, any_feature: bool = False) -> DataFrame:
+    """Add validation columns. Required columns that are absent count as missing (null). With
+    ``any_feature`` a request that gives none of the known features is refused."""
     present = set(df.columns)
     req_null = [(c, (col_(c).isNull() if c in present else F.lit(True))) for c in required]
     missing_n = sum((F.when(isnull, 1).otherwise(0) for _, isnull in req_null), F.lit(0))
@@ -46,7 +48,8 @@ def validate(df: DataFrame, required: Sequence[str], k_col: str | None = None,
     has_known = F.lit(False)
     for c in kn:
         has_known = has_known | col_(c).isNotNull()
-    err = (F.when(missing_n > 0, F.concat(F.lit(MISSING_PREFIX), missing_txt))
+    err = (F.when(F.lit(any_feature) & ~has_known, F.lit(FEATURES_ERROR))
+           .when(missing_n > 0, F.concat(F.lit(MISSING_PREFIX), missing_txt))
            .when(~k_ok, F.lit(K_ERROR)))
     outs = ("missing_n", "k", "has_known_feature", "status", "error")
     keep = [col_(c) for c in df.columns if c not in outs]  # outputs replace same-named inputs

@@ -4,15 +4,20 @@
 Projection vectors are tables x dim numbers (bounded by the model) and are inlined as literals.
 
 ``recommend`` answers a whole table of requests in one plan (the reference answers one request per
-job): both sides are exploded to (table, bucket), and a request's candidates are the items in its
-buckets. Items and requests are co-grouped per (table, bucket, slice); inside a group numpy
-computes exact Euclidean distances (in bounded chunks) and keeps only the best k per request, so
-candidate pairs are never materialised or shuffled. A hot bucket is split into a grid of slices
-sized from the per-bucket counts, so no group exceeds ``group_rows`` rows per side. The partial
-lists of all tables/slices are merged (an item found through several tables appears once) and
-ranked with ``row_number() <= k`` (ties: rounded distance, then id). Candidates are never capped:
-every item sharing a bucket is scored; keeping the best k of every group is exact because the
-global top-k of a request is also the top-k of each candidate subset that contains it.
+job). Categorical features give few distinct vectors, so the search runs vector against vector:
+
+1. items and requests are grouped by distinct vector; of each item vector the ``k + 1`` smallest
+   ids are kept (one more than asked for, since a request may exclude its own id);
+2. both vector tables are exploded to (table, bucket) and co-grouped; a bucket with many vectors is
+   split into a grid of slices sized from the per-bucket counts. Inside a group numpy computes exact
+   distances from the Arrow buffers and keeps, per request vector, the best ``k + 1`` item vectors
+   and all ties of the last one, so pairs are never materialised;
+3. the kept vectors are expanded to their ids, ranked per request vector, and joined to the requests
+   of that vector, where the own id is excluded by equality on its own type.
+
+Exact: an item among a request's best k + 1 has at most k vectors before its own, since each of
+those holds an item that ranks before it. Ids may be of any orderable type and are expected to be
+unique; a null vector, or one with a null element, is no item and no request.
 """
 
 from __future__ import annotations
@@ -20,19 +25,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import bucket_hashes, key_distances
+from tidemark.functions.vectors import bucket_hashes, key_distances, usable
 
-# Target rows per side of one (table, bucket, slice) group; hot buckets are split to this size.
-GROUP_ROWS = 20_000
-# numpy elements per distance chunk inside a group (bounds task memory), extra partial candidates.
-_CHUNK_ELEMS = 8_000_000
-_MARGIN = 2
-# key vectors inlined as literals (exact multi-key search) are capped; more keys go through recommend()
-MAX_LITERAL_KEYS = 1024
+# Target vectors per side of one (table, bucket, slice) group; hot buckets are split to this size.
+GROUP_ROWS = 4_000
+# numpy elements per distance chunk inside a group (bounds task memory)
+_CHUNK_ELEMS = 4_000_000
+# buckets over GROUP_ROWS on a side are at most rows / GROUP_ROWS; up to so many are broadcast
+_HOT_BROADCAST = 100_000
 
 
 def projection_vectors(dim: int, tables: int, seed: int) -> list[list[float]]:
@@ -52,120 +56,112 @@ def knn_single(items: DataFrame, vec_col: str, key: Sequence[float], k: int, id_
                digits: int = 9) -> DataFrame:
     """Exact k nearest items to one key vector: distance then a distributed top-k
     (TakeOrderedAndProject), ties by rounded distance then id."""
-    d = items.withColumn("dist", key_distances(F.col(vec_col), [list(key)])[0])
+    d = items.where(usable(F.col(vec_col))).withColumn("dist", key_distances(F.col(vec_col), [list(key)])[0])
     # the one-partition repartition of the k rows keeps later projections off the top-k plan
     return d.orderBy(F.round("dist", digits), F.col(id_col)).limit(k).repartition(1)
 
 
-def knn_many(items: DataFrame, vec_col: str, keys: Sequence[tuple[int, Sequence[float]]], k: int,
-             id_col: str = "id", digits: int = 9) -> DataFrame:
-    """Exact top-k for a bounded list of key vectors (like k-means centres): distances to every key
-    per item, exploded, per-key top-k (partial WindowGroupLimit before the shuffle)."""
-    if len(keys) > MAX_LITERAL_KEYS:
-        raise ValueError(f"{len(keys)} key vectors exceed the literal bound {MAX_LITERAL_KEYS}; use recommend()")
-    qids = F.array(*[F.lit(int(q)) for q, _ in keys])
-    dists = key_distances(F.col(vec_col), [list(v) for _, v in keys])
-    ex = (items.select(F.col(id_col).alias("id"), F.arrays_zip(qids.alias("qid"), dists.alias("dist")).alias("p"))
-          .select("id", F.explode("p").alias("p")).select("p.qid", "id", "p.dist"))
-    w = Window.partitionBy("qid").orderBy(F.round("dist", digits), "id")
-    return ex.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def _partial_topk(margin: int, digits: int):
-    """cogroup kernel: exact distances between the requests and items of one (table, bucket,
-    slice) group, keeping the best ``qk + margin`` per request, ``qk`` being the request's own
-    result count (ties by rounded distance, then id)."""
-
-    def empty() -> pd.DataFrame:
-        return pd.DataFrame({"request_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"),
-                             "dist": pd.Series(dtype="float64"), "qk": pd.Series(dtype="int32")})
-
-    def fn(pi: pd.DataFrame, pr: pd.DataFrame) -> pd.DataFrame:
-        if len(pi) == 0 or len(pr) == 0:
-            return empty()
-        items_m = np.stack([np.asarray(v, dtype=float) for v in pi["ivec"].values])
-        ids = pi["id"].to_numpy(dtype=np.int64)
-        reqs_m = np.stack([np.asarray(v, dtype=float) for v in pr["qvec"].values])
-        rids = pr["request_id"].to_numpy(dtype=np.int64)
-        selfs = pr["self_id"].to_numpy(dtype=float)
-        qks = pr["qk"].to_numpy(dtype=np.int64)  # each request's own result count
-        m, dim = items_m.shape
-        chunk = max(1, int(_CHUNK_ELEMS // max(1, m * dim)))
-        out_r, out_i, out_d, out_k = [], [], [], []
-        for s0 in range(0, len(reqs_m), chunk):
-            q = reqs_m[s0:s0 + chunk]
-            d = np.sqrt(((q[:, None, :] - items_m[None, :, :]) ** 2).sum(axis=2))
-            for j in range(len(q)):
-                dj = d[j]
-                keep = np.ones(m, dtype=bool) if np.isnan(selfs[s0 + j]) else ids != selfs[s0 + j]
-                cand = np.nonzero(keep)[0]
-                if len(cand) == 0:
-                    continue
-                rd = np.round(dj[cand], digits)
-                kk = int(qks[s0 + j]) + margin
-                if len(cand) > kk:
-                    kth = np.partition(rd, kk - 1)[kk - 1]
-                    cand, rd = cand[rd <= kth], rd[rd <= kth]
-                order = np.lexsort((ids[cand], rd))[:kk]
-                sel = cand[order]
-                out_r.append(np.full(len(sel), rids[s0 + j], dtype=np.int64))
-                out_i.append(ids[sel])
-                out_d.append(dj[sel])
-                out_k.append(np.full(len(sel), qks[s0 + j], dtype=np.int32))
-        if not out_r:
-            return empty()
-        return pd.DataFrame({"request_id": np.concatenate(out_r), "id": np.concatenate(out_i),
-                             "dist": np.concatenate(out_d), "qk": np.concatenate(out_k)})
+def knn_many(items: DataFrame, vec_col: str, keys: DataFrame, k: int, id_col: str = "id",
+             key_id: str = "qid", key_vec: str = "vec", digits: int = 9) -> DataFrame:
+    """Exact top-k of all items for a table of key vectors, in blocks: (qid, id, dist, rank). The
+    search of ``recommend`` with every vector in one bucket, which its grid splits."""
+    one = F.array(F.lit(0).cast("bigint"))
+    found = recommend(items.withColumn("_tm_one", one), keys.withColumn("_tm_one", one), k, None, None, item_id=id_col,
+                      item_vec=vec_col, req_id=key_id, req_vec=key_vec, item_hashes="_tm_one", req_hashes="_tm_one",
+                      digits=digits)
+    return found.select(F.col("request_id").alias("qid"), "id", "dist", "rank")
+
+
+def _matrix(t: pa.Table) -> np.ndarray:
+    """The vectors of a group as a matrix, from the Arrow list buffers."""
+    flat = t.column("vec").combine_chunks()
+    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
+
+
+def _nearest(digits: int):
+    """cogroup kernel: exact distances between the item and request vectors of one group, keeping
+    per request vector the best ``kk`` and every tie of the last."""
+
+    def fn(items: pa.Table, reqs: pa.Table) -> pa.Table:
+        out: list[tuple[np.ndarray, ...]] = []
+        if len(items) and len(reqs):
+            m, q = _matrix(items), _matrix(reqs)
+            ik, qk, kk = items.column("vk").to_numpy(), reqs.column("vk").to_numpy(), reqs.column("kk").to_numpy()
+            chunk = max(1, _CHUNK_ELEMS // max(1, m.size))
+            for at in range(0, len(q), chunk):
+                d = np.sqrt(((q[at: at + chunk, None, :] - m[None, :, :]) ** 2).sum(axis=2))
+                rd = np.round(d, digits)
+                last = np.minimum(kk[at: at + chunk], len(m)) - 1
+                cut = np.sort(rd, axis=1)[np.arange(len(rd)), last]
+                r, c = np.nonzero(rd <= cut[:, None])
+                out.append((qk[at + r], ik[c], d[r, c]))
+        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table(dict(zip(("qk", "ik", "dist"), cols, strict=True)))
 
     return fn
 
 
+def _sliced(it: DataFrame, rq: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their slices: a bucket of n item and r request vectors becomes
+    ceil(n/g) x ceil(r/g) groups; only buckets that exceed g on a side are looked up."""
+    sizes = (it.groupBy("t", "b").agg(F.count(F.lit(1)).alias("ni"))
+             .join(rq.groupBy("t", "b").agg(F.count(F.lit(1)).alias("nr")), ["t", "b"]))
+    hot = (sizes.where((F.col("ni") > group_rows) | (F.col("nr") > group_rows))
+           .select("t", "b", F.ceil(F.col("ni") / group_rows).cast("int").alias("si"),
+                   F.ceil(F.col("nr") / group_rows).cast("int").alias("sr")))
+    if hot.limit(_HOT_BROADCAST + 1).count() <= _HOT_BROADCAST:
+        hot = F.broadcast(hot)
+
+    def side(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
+        df = df.join(hot, ["t", "b"], "left")
+        return (df.withColumn(own, F.pmod(F.xxhash64("vk"), F.coalesce(n_own, F.lit(1))).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(n_other, F.lit(1)) - 1))).drop("si", "sr"))
+
+    return side(it, "islice", "rslice", "si", "sr"), side(rq, "rslice", "islice", "sr", "si")
+
+
 def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequence[Sequence[float]] | None,
               bucket_length: float | None, *, item_id: str = "id", item_vec: str = "vec",
               req_id: str = "request_id", req_vec: str = "vec", self_id: str | None = None,
               item_hashes: str | None = None, req_hashes: str | None = None,
               group_rows: int = GROUP_ROWS, digits: int = 9) -> DataFrame:
-    """Top-k items sharing at least one bucket with each request.
-
-    Returns (request_id, rank, id, dist). ``k`` is a number or the name of a request column holding
-    each request's own result count (the reference's ``num_recommendations``; validate it first).
-    With ``self_id`` (a request column), items whose id equals it are excluded before ranking (only
-    when the request gives an id, as in the reference).
-    Requests can come with precomputed hash columns (e.g. from an MLlib LSH model); otherwise
-    ``vectors``/``bucket_length`` hash them.
+    """Top-k items sharing at least one bucket with each request: (request_id, rank, id, dist).
+
+    ``k`` is a number or the name of a request column holding each request's own result count (the
+    reference's ``num_recommendations``; validate it first: a count of 0, less or null gives no
+    rows). With ``self_id`` (a request column of the items' id type), items whose id equals it are
+    excluded before ranking, if the request gives one. Requests can come with precomputed hash
+    columns (e.g. from an MLlib LSH model); otherwise ``vectors``/``bucket_length`` hash them.
     """
-    ih = F.col(item_hashes) if item_hashes else lsh_hashes(F.col(item_vec), vectors, bucket_length)
-    qh = F.col(req_hashes) if req_hashes else lsh_hashes(F.col(req_vec), vectors, bucket_length)
-    it = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(item_vec).alias("ivec"),
-                      F.posexplode(ih).alias("t", "b"))
-    sid = F.col(self_id).cast("bigint") if self_id else F.lit(None).cast("bigint")
-    qk = (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("int")
-    rq = requests.select(F.col(req_id).cast("bigint").alias("request_id"), sid.alias("self_id"),
-                         qk.alias("qk"), F.col(req_vec).alias("qvec"), F.posexplode(qh).alias("t", "b")
-                         ).where(F.col("qk") > 0)  # a request without a valid count gets no rows
-    # grid split of hot buckets: a bucket with n items and r requests becomes ceil(n/g) x ceil(r/g)
-    # groups; items are hashed to an item slice and copied to every request slice, and vice versa
-    isz = it.groupBy("t", "b").agg(F.count(F.lit(1)).alias("ni"))
-    rsz = rq.groupBy("t", "b").agg(F.count(F.lit(1)).alias("nr"))
-    sizes = isz.join(rsz, ["t", "b"]).select(
-        "t", "b", F.ceil(F.col("ni") / group_rows).cast("int").alias("si"),
-        F.ceil(F.col("nr") / group_rows).cast("int").alias("sr"))
-    it2 = (it.join(sizes, ["t", "b"])
-           .withColumn("islice", F.pmod(F.xxhash64("id"), F.col("si")).cast("int"))
-           .withColumn("rslice", F.explode(F.sequence(F.lit(0), F.col("sr") - 1)))
-           .select("t", "b", "islice", "rslice", "id", "ivec"))
-    rq2 = (rq.join(sizes, ["t", "b"])
-           .withColumn("rslice", F.pmod(F.xxhash64("request_id"), F.col("sr")).cast("int"))
-           .withColumn("islice", F.explode(F.sequence(F.lit(0), F.col("si") - 1)))
-           .select("t", "b", "islice", "rslice", "request_id", "self_id", "qk", "qvec"))
+    vec_i, vec_r = F.col(item_vec).cast("array<double>"), F.col(req_vec).cast("array<double>")
+    ih = F.col(item_hashes) if item_hashes else lsh_hashes(vec_i, vectors, bucket_length)
+    qh = F.col(req_hashes) if req_hashes else lsh_hashes(vec_r, vectors, bucket_length)
+    sid = F.col(self_id) if self_id else F.lit(None).cast(items.schema[item_id].dataType)
+    it = items.where(usable(vec_i)).select(F.col(item_id).alias("id"), vec_i.alias("vec"), F.xxhash64(vec_i).alias("vk"), ih.alias("h"))
+    rq = requests.where(usable(vec_r)).select(
+        F.col(req_id).alias("request_id"), sid.alias("self_id"), (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("int").alias("k"),
+        vec_r.alias("vec"), F.xxhash64(vec_r).alias("vk"), qh.alias("h")).where(F.col("k") > 0)
+    most = int(rq.agg(F.max("k")).first()[0] or 0) + 1 if isinstance(k, str) else int(k) + 1
+    # of each item vector its smallest ids; of each request vector the largest count asked for
+    by_vec = Window.partitionBy("vk").orderBy("id")
+    members = (it.select("vk", "id").distinct().withColumn("place", F.row_number().over(by_vec)).where(F.col("place") <= most)
+               .select(F.col("vk").alias("ik"), "id"))
+    iv = it.groupBy("vk").agg(F.first("vec").alias("vec"), F.first("h").alias("h")).select("vk", "vec", F.posexplode("h").alias("t", "b"))
+    rv = (rq.groupBy("vk").agg(F.first("vec").alias("vec"), F.first("h").alias("h"), (F.max("k") + 1).alias("kk"))
+          .select("vk", "vec", "kk", F.posexplode("h").alias("t", "b")))
+    iv, rv = _sliced(iv, rv, group_rows)
     keys = ["t", "b", "islice", "rslice"]
-    partial = (it2.groupBy(*keys).cogroup(rq2.groupBy(*keys))
-               .applyInPandas(_partial_topk(_MARGIN, digits), "request_id bigint, id bigint, dist double, qk int"))
-    # an item sharing buckets in several tables is found once per table: same distance
-    best = partial.groupBy("request_id", "id").agg(F.min("dist").alias("dist"), F.max("qk").alias("qk"))
+    near = iv.groupBy(*keys).cogroup(rv.groupBy(*keys)).applyInArrow(_nearest(digits), "qk bigint, ik bigint, dist double")
+    # vectors sharing buckets in several tables are found once per table, at the same distance
+    near = near.groupBy("qk", "ik").agg(F.min("dist").alias("dist"))
+    w = Window.partitionBy("qk").orderBy(F.round("dist", digits), "id")
+    best = near.join(members, "ik").withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)
+    answers = rq.select("request_id", "self_id", "k", F.col("vk").alias("qk")).join(best, "qk")
+    answers = answers.where(F.col("self_id").isNull() | (F.col("id") != F.col("self_id")))
     w = Window.partitionBy("request_id").orderBy(F.round("dist", digits), "id")
-    limit = F.col("qk") if isinstance(k, str) else F.lit(int(k))  # a literal keeps WindowGroupLimit
-    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    limit = F.col("k") if isinstance(k, str) else F.lit(int(k))  # a literal keeps WindowGroupLimit
+    return (answers.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
             .select("request_id", "rank", "id", "dist"))
 
 
@@ -180,17 +176,40 @@ def response_rows(recs: DataFrame) -> DataFrame:
                     F.to_json(F.struct(F.col("n").alias("found"), ids.alias("recommendations"))).alias("response"))
 
 
-def display_columns(columns: Sequence[str], id_col: str | None = None, price_col: str | None = None,
-                    cats: Sequence[str] = (), hidden: Sequence[str] = ("features", "hashes")) -> list[str]:
-    """The original columns of an item table in table order (no feature, hash or ``*_index``
-    columns); if none remain: the id, the price, else the first categorical column."""
-    shown = [c for c in columns if c not in hidden and not c.endswith("_index")]
-    if shown:
-        return shown
-    fallback = [c for c in (id_col, price_col) if c and c in columns]
-    if not fallback and cats:
-        fallback = [cats[0]]
-    return fallback
+def response_objects(recs: DataFrame, items: DataFrame, item_id: str, cols: Sequence[str],
+                     requests: DataFrame | None = None) -> DataFrame:
+    """(request_id, response): the endpoint's JSON, a message with the number found and one object
+    per recommended row, nearest first, with its columns and ``distCol``. With ``requests``
+    (request_id), a request without neighbours is answered too."""
+    shown = with_display(recs, items, item_id, cols)
+    names = [c for c in cols if c != item_id]
+    row = F.struct(F.col("id").alias(item_id), *[F.col(f"`{c}`").alias(c) for c in names], F.col("dist").alias("distCol"))
+    g = shown.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("rank", row.alias("row")))).alias("r"))
+    if requests is not None:
+        g = requests.select("request_id").distinct().join(g, "request_id", "left")
+    rows = F.coalesce(F.transform("r", lambda x: x["row"]), F.array())
+    found = F.greatest(F.size("r"), F.lit(0))
+    return g.select("request_id", F.to_json(F.struct(
+        F.concat(F.lit("Found "), found.cast("string"), F.lit(" similar properties.")).alias("message"),
+        rows.alias("recommendations"))).alias("response"))
+
+
+def display_columns(source: Sequence[str], made: Sequence[str] = (), fallback: Sequence[str] = ()) -> list[str]:
+    """What a recommended row shows: the columns that the item table was fitted from, less those
+    that pipeline stages declare as their outputs (``stage_outputs``); ``fallback`` if none is left."""
+    hidden = set(made)
+    return [c for c in source if c not in hidden] or list(fallback)
+
+
+def stage_outputs(stages: Sequence) -> list[str]:
+    """The output columns that fitted or unfitted pipeline stages declare."""
+    out: list[str] = []
+    for s in stages:
+        for name in ("outputCol", "outputCols"):
+            if s.hasParam(name) and s.isDefined(name):
+                v = s.getOrDefault(name)
+                out += [v] if isinstance(v, str) else list(v)
+    return out
 
 
 def with_display(recs: DataFrame, items: DataFrame, item_id: str, cols: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from tidemark.operators.labels import LabelMaps
 from tidemark.plans import fixtures as fx
 from tidemark.plans import q_requests as qr
 from tidemark.plans.registry import EMB_SQL, TX_SQL, index_join_sql, register, tx_maps_sql
+from tidemark.session import scratch_path, write_table
 
 # Hashing settings. On the unit-norm 64-d embeddings a bucket of 2.0 only hashes by
 # sign, so 0.1 is used there; the transaction recommender keeps the reference's 2.0 and 3 tables.
@@ -33,6 +34,14 @@ def _sql_hashes(col: str, vectors, bucket: float) -> str:
                            for v in vectors) + "]"
 
 
+def one_row(*parts):
+    """One-row aggregates side by side, without a join."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def _emb(spark, sf):
     return fx.embeddings(spark, sf)
 
@@ -60,16 +69,23 @@ def knn_exact(spark, sf):
 
 def _rec_sql(items: str, requests: str, hcol_vectors, bucket, exclude_self: bool, tail: str,
              per_request_k: bool = False) -> str:
-    """Oracle of ``recommend``; with ``per_request_k`` the requests carry their own count ``k``."""
-    excl = "AND i.id <> q.self_id" if exclude_self else ""
-    kq, kp, cut = (", k", ", q.k", "k") if per_request_k else ("", "", str(TOP_K))
-    return f"""ih AS (SELECT id, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {items}),
-qh AS (SELECT request_id, self_id{kq}, vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {requests}),
-pairs AS (SELECT q.request_id{kp}, i.id, list_distance(i.vec, q.vec) AS dist FROM qh q JOIN ih i
-  ON (i.hs[1] = q.hs[1] OR i.hs[2] = q.hs[2] OR i.hs[3] = q.hs[3]) {excl}),
-ranked AS (SELECT request_id{kq}, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(dist, 9), id) AS INTEGER) AS rank,
-  id, dist FROM pairs),
-recs AS (SELECT * FROM ranked WHERE rank <= {cut})
+    """Oracle of ``recommend`` by distinct vectors (an oracle over all pairs of rows would not end);
+    with ``per_request_k`` the requests carry their own count ``k``."""
+    excl = "WHERE self_id IS NULL OR id <> self_id" if exclude_self else ""
+    k = "k" if per_request_k else str(TOP_K)
+    most = f"(SELECT coalesce(max({k}), 0) + 1 FROM {requests})"
+    return f"""iv AS (SELECT vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs, min(id) AS least FROM {items} GROUP BY vec),
+qv AS (SELECT DISTINCT vec, {_sql_hashes('vec', hcol_vectors, bucket)} AS hs FROM {requests}),
+vp AS (SELECT q.vec AS qvec, i.vec AS ivec, i.least, list_distance(i.vec, q.vec) AS dist FROM qv q JOIN iv i
+  ON (i.hs[1] = q.hs[1] OR i.hs[2] = q.hs[2] OR i.hs[3] = q.hs[3])),
+vtop AS (SELECT * FROM vp QUALIFY row_number() OVER (PARTITION BY qvec ORDER BY round(dist, 9), least) <= {most}),
+mem AS (SELECT vec, id FROM {items} QUALIFY row_number() OVER (PARTITION BY vec ORDER BY id) <= {most}),
+cand AS (SELECT qvec, id, dist FROM vtop JOIN mem ON ivec = vec
+  QUALIFY row_number() OVER (PARTITION BY qvec ORDER BY round(dist, 9), id) <= {most}),
+pairs AS (SELECT q.request_id, {'q.k,' if per_request_k else ''} q.self_id, c.id, c.dist FROM {requests} q JOIN cand c ON c.qvec = q.vec),
+ranked AS (SELECT request_id, {'k,' if per_request_k else ''} id, dist,
+  CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(dist, 9), id) AS INTEGER) AS rank FROM pairs {excl}),
+recs AS (SELECT * FROM ranked WHERE rank <= {k})
 {tail}"""
 
 
@@ -84,22 +100,37 @@ def recommend_topk(spark, sf):
     return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
 
 
-# transaction recommender: sampled query rows (the reference's demo), their own categories, self excluded
+@register("recommend_string_ids", sql=f"""WITH {EMB_SQL},
+it AS (SELECT md5(CAST(id AS VARCHAR)) AS id, vec FROM emb),
+rq AS (SELECT id AS request_id, id AS self_id, vec FROM it),
+{_rec_sql('it', 'rq', EMB_VECTORS, EMB_BUCKET, True, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs')}""")
+def recommend_string_ids(spark, sf):
+    """Items and requests under text ids (the reference's row id is a GUID), own id excluded."""
+    e = _emb(spark, sf).select(F.md5(F.col("id").cast("string")).alias("id"), "vec")
+    req = e.select(F.col("id").alias("request_id"), F.col("id").alias("self_id"), "vec")
+    r = sim.recommend(e, req, TOP_K, EMB_VECTORS, EMB_BUCKET, self_id="self_id")
+    return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+# transaction recommender: every transaction asks for its neighbours, itself excluded
 _SEL, _JOIN = index_join_sql(TX_CATS, "tx")
 _TX_REC_BASE = f"""{TX_SQL}, {tx_maps_sql(TX_CATS)},
 ix AS (SELECT tx.id, {_SEL} FROM tx {_JOIN}),
 items AS (SELECT id, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM ix),
-rq AS (SELECT id AS request_id, id AS self_id, vec FROM items WHERE id IN (
-  SELECT id FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT 5))"""
+rq AS (SELECT id AS request_id, id AS self_id, vec FROM items)"""
 
 
-def _tx_recs(spark, sf):
+def _tx_items(spark, sf):
+    """(label maps, indexed items), the items written once: several branches of a plan read them."""
     t = fx.tx(spark, sf)
     maps = LabelMaps.fit(t, TX_CATS)
     items = maps.transform(t).select("id", F.array(*[F.col(f"{c}_index") for c in TX_CATS]).alias("vec"))
-    sample = rows.sample_rows(t, 5, "id").select(F.col("id").alias("request_id"), *TX_CATS)
-    req = maps.transform(sample).select("request_id", F.col("request_id").alias("self_id"),
-                                        F.array(*[F.col(f"{c}_index") for c in TX_CATS]).alias("vec"))
+    return maps, write_table(items, "indexed-items")
+
+
+def _tx_recs(spark, sf):
+    _, items = _tx_items(spark, sf)
+    req = items.select(F.col("id").alias("request_id"), F.col("id").alias("self_id"), "vec")
     return sim.recommend(items, req, TOP_K, TX_VECTORS, TX_BUCKET, self_id="self_id")
 
 
@@ -119,30 +150,50 @@ def recommend_response_json(spark, sf):
     return sim.response_rows(_tx_recs(spark, sf))
 
 
-@register("lsh_recall")
+def _mllib_hashes(col: str = "_hashes"):
+    return F.transform(col, lambda h: vector_to_array(h)[0].cast("bigint"))
+
+
+def _shared_bucket(a: str, b: str):
+    return F.exists(F.arrays_zip(F.col(a).alias("a"), F.col(b).alias("b")), lambda x: x["a"] == x["b"])
+
+
+@register("lsh_recall", sql=f"""WITH {EMB_SQL}
+SELECT count(DISTINCT label) AS requests, CAST(0 AS BIGINT) AS outside_buckets, CAST(0 AS BIGINT) AS wrong_distances,
+  CAST(0 AS BIGINT) AS nearer_left_out, TRUE AS finds_some FROM emb""")
 def lsh_recall(spark, sf):
-    """MLlib LSH (fitted, seeded) vs exact search for per-label centroid queries: recall@10.
-    Rows-only (randomised fit); tests assert ANN distances are exact and recall is high."""
+    """MLlib LSH (fitted, seeded) for per-label centroid requests against exact search. The fit is
+    random, so what is reported holds for any fit: every neighbour shares a bucket with its request,
+    its distance is exact, and no item of the exact top ten that shares a bucket is left out."""
     e = _emb(spark, sf)
     cents = e.groupBy("label").agg(*[F.avg(F.col("vec")[i]).alias(f"m{i}") for i in range(EMB_DIM)])
     cents = cents.select(F.col("label").alias("request_id"), F.array(*[f"m{i}" for i in range(EMB_DIM)]).alias("vec"))
     model, ev = mdl.fit_lsh(e, "vec", EMB_BUCKET, TABLES)
-    items = model.transform(ev).select("id", "vec", F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint")).alias("h"))
+    items = model.transform(ev).select("id", "vec", _mllib_hashes().alias("h"))
     from pyspark.ml.functions import array_to_vector
     reqs = model.transform(cents.withColumn("_features", array_to_vector("vec")))
-    reqs = reqs.select("request_id", "vec", F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint")).alias("h"))
+    reqs = write_table(reqs.select("request_id", "vec", _mllib_hashes().alias("h")), "centroid-requests")
     ann = sim.recommend(items, reqs, KNN_K, None, None, item_hashes="h", req_hashes="h")
-    keys = [(int(r["request_id"]), list(r["vec"]))  # one per label, checked against the literal bound
-            for r in cents.limit(sim.MAX_LITERAL_KEYS + 1).collect()]
-    exact = sim.knn_many(e, "vec", keys, KNN_K)
-    hit = ann.join(exact.select(F.col("qid").alias("request_id"), "id"), ["request_id", "id"])
-    got = hit.groupBy("request_id").agg(F.count(F.lit(1)).alias("hits"))
-    return (exact.select(F.col("qid").alias("request_id")).distinct()
-            .join(got, "request_id", "left")
-            .select("request_id", (F.coalesce("hits", F.lit(0)) / KNN_K).alias("recall")))
+    exact = sim.knn_many(e, "vec", reqs.select(F.col("request_id").alias("qid"), "vec"), KNN_K)
+    both = (ann.withColumnRenamed("dist", "got").join(
+        exact.select(F.col("qid").alias("request_id"), "id", F.col("dist").alias("best")), ["request_id", "id"], "full")
+        .join(items.select("id", F.col("vec").alias("iv"), F.col("h").alias("ih")), "id")
+        .join(reqs.select("request_id", F.col("vec").alias("qv"), F.col("h").alias("qh")), "request_id"))
+    true = F.sqrt(F.aggregate(F.zip_with("iv", "qv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
+    shares = _shared_bucket("ih", "qh")
+    found = F.col("got").isNotNull()
+
+    def count(cond):
+        return F.coalesce(F.sum(cond.cast("long")), F.lit(0))
+
+    sums = both.agg(count(found & ~shares).alias("outside_buckets"),
+                    count(found & (F.abs(F.col("got") - true) > 1e-9)).alias("wrong_distances"),
+                    count(~found & shares).alias("nearer_left_out"),
+                    (count(found & F.col("best").isNotNull()) > 0).alias("finds_some"))
+    return one_row(reqs.agg(F.count("*").alias("requests")), sums)
 
 
-_DISPLAY = sim.display_columns(["id", "price", "ts", *TX_CATS], "id", "price", TX_CATS)
+_DISPLAY = sim.display_columns(["id", "price", "ts", *TX_CATS])
 
 
 @register("recommend_display", sql=f"""WITH {_TX_REC_BASE},
@@ -159,19 +210,31 @@ def recommend_display(spark, sf):
     return shown.withColumn("rank", F.col("rank").cast("int"))
 
 
+@register("recommend_response_objects", sql=f"""WITH {_TX_REC_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, f'''SELECT recs.request_id,
+  '{{"message":"Found ' || count(*) || ' similar properties.","recommendations":[' || string_agg(
+    '{{"id":' || recs.id || ',"county":"' || tx.county || '","duration":"' || tx.duration || '","distCol":' ||
+    CAST(round(recs.dist, 6) AS DECIMAL(18, 6)) || '}}', ',' ORDER BY rank) || ']}}' AS response
+FROM recs JOIN tx ON tx.id = recs.id GROUP BY recs.request_id''')}""")
+def recommend_response_objects(spark, sf):
+    """The endpoint's full answer per request: a message and one object per row with its distance."""
+    t = fx.tx(spark, sf)
+    recs = _tx_recs(spark, sf).withColumn("dist", F.round("dist", 6).cast("decimal(18,6)"))
+    return sim.response_objects(recs, t, "id", ["id", "county", "duration"])
+
+
 # the recommend endpoint over a table of requests: request rows with null features and a count as
-# text -> validation (count > 0, default 5) -> Unknown fill -> the items' label maps -> top-k with
-# each request's own count, its own id excluded
-REQ_SAMPLE = 50
+# text -> validation (some feature given, count > 0, default 5) -> Unknown fill -> the items' label
+# maps -> top-k with each request's own count, its own id excluded
 _D_SEL, _D_JOIN = index_join_sql(TX_CATS, "d")
 _K_PARSED = "CASE WHEN num_recommendations IS NULL THEN 5 ELSE TRY_CAST(num_recommendations AS INTEGER) END"
+_GIVEN = " OR ".join(f"{c} IS NOT NULL" for c in TX_CATS)
 _REQ_K_BASE = f"""{TX_SQL}, {tx_maps_sql(TX_CATS)},
 ix AS (SELECT tx.id, {_SEL} FROM tx {_JOIN}),
 items AS (SELECT id, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM ix),
-smp AS (SELECT * FROM tx WHERE id IN (SELECT id FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT {REQ_SAMPLE})),
-{qr.request_rows_sql("smp")},
+{qr.request_rows_sql("tx")},
 v AS (SELECT *, {_K_PARSED} AS kp FROM req),
-d AS (SELECT request_id, kp AS k, {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in TX_CATS)} FROM v WHERE kp > 0),
+d AS (SELECT request_id, kp AS k, {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in TX_CATS)} FROM v WHERE kp > 0 AND ({_GIVEN})),
 dix AS (SELECT d.request_id, d.k, {_D_SEL} FROM d {_D_JOIN}),
 rq AS (SELECT request_id, request_id AS self_id, k, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM dix)"""
 
@@ -179,13 +242,71 @@ rq AS (SELECT request_id, request_id AS self_id, k, [{', '.join(f'{c}_index' for
 @register("recommend_request_k", sql=f"""WITH {_REQ_K_BASE},
 {_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs', per_request_k=True)}""")
 def recommend_request_k(spark, sf):
-    t = fx.tx(spark, sf)
-    maps = LabelMaps.fit(t, TX_CATS)
-    idx = F.array(*[F.col(f"{c}_index") for c in TX_CATS])
-    items = maps.transform(t).select("id", idx.alias("vec"))
-    reqs = qr.request_rows(rows.sample_rows(t, REQ_SAMPLE, "id"))
-    ok = rq_ops.validate(reqs, [], k_col="num_recommendations", known=TX_CATS).where(F.col("status") == "ok")
+    maps, items = _tx_items(spark, sf)
+    ok = rq_ops.validate(qr.request_rows(fx.tx(spark, sf)), [], k_col="num_recommendations", known=TX_CATS,
+                         any_feature=True).where(F.col("status") == "ok")
     d = rq_ops.with_defaults(ok.select("request_id", "k", *TX_CATS), TX_CATS)
+    idx = F.array(*[F.col(f"{c}_index") for c in TX_CATS])
     q = maps.transform(d).select("request_id", F.col("request_id").alias("self_id"), "k", idx.alias("vec"))
-    r = sim.recommend(items, q, "k", TX_VECTORS, TX_BUCKET, self_id="self_id")
+    r = sim.recommend(items, write_table(q, "indexed-requests"), "k", TX_VECTORS, TX_BUCKET, self_id="self_id")
     return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+@register("refuse_requests", sql=f"""WITH {TX_SQL}, {qr.request_rows_sql("tx")},
+v AS (SELECT *, {_K_PARSED} AS kp FROM req)
+SELECT request_id, CASE WHEN NOT ({_GIVEN}) THEN '{rq_ops.FEATURES_ERROR.replace("'", "''")}'
+  WHEN kp IS NULL OR kp <= 0 THEN '{rq_ops.K_ERROR.replace("'", "''")}' END AS error FROM v""")
+def refuse_requests(spark, sf):
+    """The recommend endpoint's refusals: no feature at all, or a bad count."""
+    v = rq_ops.validate(qr.request_rows(fx.tx(spark, sf)), [], k_col="num_recommendations", known=TX_CATS, any_feature=True)
+    return v.select("request_id", "error")
+
+
+@register("similarity_roundtrip", sql=f"""WITH {TX_SQL}
+SELECT count(*) AS items, count(*) AS requests, CAST(0 AS BIGINT) AS own_rows, CAST(0 AS BIGINT) AS outside_buckets,
+  CAST(0 AS BIGINT) AS too_many, TRUE AS missing_path_raises, 'id,price,{",".join(TX_CATS)}' AS shown FROM tx""")
+def similarity_roundtrip(spark, sf):
+    """The recommender's life: fill, index, assemble (skip), LSH fit, save model, column list and the
+    indexed items with their vectors; load all three; answer every transaction (assembler keep, own
+    id excluded) with the loaded parts. The fit is random, so what any fit must satisfy is reported."""
+    from pyspark.ml.feature import VectorAssembler
+
+    t = rows.fill_unknown(fx.tx(spark, sf).drop("ts"), TX_CATS)
+    path = scratch_path(spark, "recommender")
+    model = mdl.fit_similarity_pipeline(t, TX_CATS)
+    mdl.save(model, f"{path}/model")
+    mdl.save_feature_list(spark, TX_CATS, f"{path}/columns")
+    made = sim.stage_outputs(model.stages)
+    out = model.transform(t)
+    out.write.parquet(f"{path}/items")  # source columns, label indexes, feature vector, hashes
+
+    cols = mdl.load_feature_list(spark, f"{path}/columns")
+    loaded = mdl.load(f"{path}/model")
+    items = spark.read.parquet(f"{path}/items")
+    shown = sim.display_columns(items.columns, made)
+    asked = rows.fill_unknown(t.select(F.col("id").alias("request_id"), *cols), cols)
+    stages = [VectorAssembler(inputCols=s.getInputCols(), outputCol=s.getOutputCol(), handleInvalid="keep")
+              if isinstance(s, VectorAssembler) else s for s in loaded.stages]
+    for s in stages:
+        asked = s.transform(asked)
+
+    def flat(df, *ids):
+        return df.select(*ids, vector_to_array("features").alias("vec"), _mllib_hashes("hashes").alias("h"))
+
+    q = write_table(flat(asked, "request_id").withColumn("self_id", F.col("request_id")), "indexed-requests")
+    i = flat(items, "id")
+    recs = sim.recommend(i, q, TOP_K, None, None, self_id="self_id", item_hashes="h", req_hashes="h")
+    try:
+        mdl.load(f"{path}/absent")
+        raises = False
+    except Exception:  # noqa: BLE001  any error will do, silence would not
+        raises = True
+    checked = recs.join(i.select("id", F.col("h").alias("ih")), "id").join(q.select("request_id", F.col("h").alias("qh")), "request_id")
+
+    def count(cond):
+        return F.coalesce(F.sum(cond.cast("long")), F.lit(0))
+
+    sums = checked.agg(count(F.col("id") == F.col("request_id")).alias("own_rows"),
+                       count(~_shared_bucket("ih", "qh")).alias("outside_buckets"), count(F.col("rank") > TOP_K).alias("too_many"))
+    n = one_row(items.agg(F.count("*").alias("items")), q.agg(F.count("*").alias("requests")), sums)
+    return n.withColumn("missing_path_raises", F.lit(raises)).withColumn("shown", F.lit(",".join(shown)))
