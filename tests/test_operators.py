@@ -120,6 +120,28 @@ def test_ordinal_with_hot_leading_value_uses_sort_path(spark):
     assert [r["o"] for r in got] == list(range(len(want)))
 
 
+def test_ordinal_keeps_null_and_text_keys(spark):
+    rows_ = [(None if i % 10 == 0 else f"k{i % 13}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows_, "k string, i int")
+    for parts in (4, 16):
+        got = {r["i"]: r["o"] for r in with_ordinal(df, ["k", "i"], out="o", num_partitions=parts).collect()}
+        want = sorted(rows_, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+        assert [i for _, i in want] == sorted(got, key=got.get) and sorted(got.values()) == list(range(1000))
+
+
+def test_ordinal_of_zone_free_times_ignores_the_session_zone(spark):
+    start = dt.datetime(2024, 3, 10, 0, 0)
+    times = [(start + dt.timedelta(minutes=7 * i), i) for i in range(120)]  # over the spring clock change
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(str(t), i) for t, i in times], "t string, i int").select(F.col("t").cast("timestamp_ntz").alias("t"), "i")
+        got = {r["i"]: r["o"] for r in with_ordinal(df, ["t"], out="o", num_partitions=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {i: i for i in range(120)}
+
+
 @SETTINGS
 @given(st.lists(st.integers(min_value=0, max_value=4), min_size=1, max_size=300), st.integers(min_value=2, max_value=9))
 def test_ordinal_equals_row_number_for_any_skew(spark, leads, parts):
@@ -191,18 +213,24 @@ def test_elapsed_batches_equal_consumer_loop(spark, days, limit, emit_open):
     assert got == consumer_loop(recs, days * 86_400_000_000, limit, emit_open)
 
 
-def _stream_cutter(spark, slices, days, limit, ckpt=None, base=None):
-    from tidemark.plans.q_streams import stage_ordered_slices
+def _stream_cutter(spark, slices, days, limit, cutter_type=None, crash_at=None):
+    """Feed ordered slices, one run of the stream each; returns the last cutter and its parts."""
+    from tidemark.plans.q_streams import ordered_slices
     from tidemark.streaming.cutter import ElapsedCutter
     from tidemark.streaming.sources import run_available_now, stream_files
 
     ev = fx.events(spark, SF_SMALL).select("event_id", "ts", "user_id", "event_type", "value")
-    inp = scratch_path(spark, "t-in")
-    stage_ordered_slices(spark, ev, "event_id", inp, slices=slices)
-    base = base or scratch_path(spark, "t-cut")
-    ckpt = ckpt or scratch_path(spark, "t-ckpt")
-    cutter = ElapsedCutter(spark, base, "ts", "event_id", f"{days} days", limit)
-    run_available_now(stream_files(spark, inp, "parquet", schema=ev.schema), ckpt, cutter)
+    inp, base, ckpt = (scratch_path(spark, x) for x in ("t-in", "t-cut", "t-ckpt"))
+    cutter = None
+    for i in ordered_slices(ev, ["event_id"], inp, slices):
+        def run(kind):
+            c = kind(spark, base, "ts", "event_id", f"{days} days", limit, schema=ev.schema)
+            run_available_now(stream_files(spark, inp, "parquet", schema=ev.schema, max_files_per_trigger=None), ckpt, c)
+            return c
+        if i == crash_at:
+            with pytest.raises(Exception, match="power cut"):
+                run(cutter_type)
+        cutter = run(ElapsedCutter)
     return cutter, inp, ckpt, base, ev
 
 
@@ -224,16 +252,78 @@ def test_stream_cutter_without_limit_uses_doubling_and_equals_batch(spark, slice
     assert got == consumer_loop(recs, 6 * 3_600_000_000, None, True)
 
 
-def test_stream_cutter_restart_gives_no_duplicates(spark):
+@pytest.mark.parametrize("crash_at", [1, 2, 4])
+def test_stream_cutter_resumes_after_a_crash_between_rows_and_state(spark, crash_at):
     from tidemark.streaming.cutter import ElapsedCutter
-    from tidemark.streaming.sources import run_available_now, stream_files
 
-    cutter, inp, ckpt, base, ev = _stream_cutter(spark, 4, 2, 3)
-    first = sorted((r["event_id"], r["batch_id"]) for r in cutter.result().collect())
-    again = ElapsedCutter(spark, base, "ts", "event_id", "2 days", 3)
-    run_available_now(stream_files(spark, inp, "parquet", schema=ev.schema), ckpt, again)
-    second = sorted((r["event_id"], r["batch_id"]) for r in again.result().collect())
-    assert first == second and len(second) == len(set(e for e, _ in second))
+    class Crash(ElapsedCutter):
+        def _save_state(self, epoch, s):
+            raise RuntimeError("power cut")
+
+    cutter, *_, ev = _stream_cutter(spark, 4, 2, None, Crash, crash_at)
+    got = [(r["event_id"], r["batch_id"]) for r in cutter.result().collect()]
+    want = bt.batch_by_elapsed(ev, "ts", "event_id", "2 days", None).collect()
+    assert sorted(got) == sorted((r["event_id"], r["batch_id"]) for r in want)
+
+
+def test_stream_cutter_stops_at_the_limit_and_keeps_little_state(spark):
+    cutter, _, _, base, _ = _stream_cutter(spark, 6, 2, 3)
+    assert cutter.done
+    cutter, _, _, base, _ = _stream_cutter(spark, 6, 2, None)
+    assert not cutter.done
+    assert spark.read.json(f"{base}/state").select("epoch").distinct().count() == 2
+
+
+def test_stream_cutter_result_when_nothing_arrived(spark):
+    from tidemark.streaming.cutter import ElapsedCutter
+
+    ev = fx.events(spark, SF_SMALL)
+    empty = ElapsedCutter(spark, scratch_path(spark, "none"), "ts", "event_id", "1 days", 3, schema=ev.schema).result()
+    assert empty.columns == [*ev.columns, "batch_id"] and empty.count() == 0
+
+
+@pytest.mark.parametrize("limit,emit_open", [(3, False), (3, True), (None, True)])
+def test_elapsed_records_without_time_are_in_no_batch_by_any_method(spark, limit, emit_open, monkeypatch):
+    ev = fx.events(spark, SF_SMALL).select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("ts")).alias("ts"))
+    want = None
+    for method in ("scan", "many", "doubling"):
+        if method == "doubling":
+            monkeypatch.setattr(bt, "MAX_WALK", 0)
+        got = {r["event_id"]: r["batch_id"] for r in bt.batch_by_elapsed(
+            ev, "ts", "event_id", "3 days", limit, emit_open, method="scan" if method == "scan" else "many").collect()}
+        assert all(i % 7 for i in got) and None not in got.values()
+        want = want or got
+        assert got == want
+
+
+def test_elapsed_with_text_ids_and_an_anchor(spark):
+    ev = fx.events(spark, SF_SMALL).select(F.format_string("e%08d", "event_id").alias("event_id"), "ts")
+    base = dt.datetime(1970, 1, 1)
+    first = ev.agg(F.min("ts")).first()[0]
+    anchor = int((first - base) / dt.timedelta(microseconds=1)) - 86_400_000_000
+    got = [{r["event_id"]: r["batch_id"] for r in bt.batch_by_elapsed(
+        ev, "ts", "event_id", "2 days", None, True, anchor_us=anchor, method=m).collect()} for m in ("scan", "many")]
+    assert got[0] == got[1] and len(got[0]) == ev.count()
+    late = min(r["ts"] for r in ev.collect() if got[0][r["event_id"]] == 2)
+    assert late >= first + dt.timedelta(days=1)
+
+
+def test_walk_reads_bounded_pieces_and_crowded_slots_alike(spark, monkeypatch):
+    ev = fx.events(spark, SF_SMALL).select("event_id", "ts")
+    want = {r[0]: r[1] for r in bt.batch_by_elapsed(ev, "ts", "event_id", "1 days", None, True).collect()}
+    for size in (1, 40, 100):  # every slot is crowded; some are; pieces of a few slots
+        monkeypatch.setattr(bt, "WALK_TIMES", size)
+        assert {r[0]: r[1] for r in bt.batch_by_elapsed(ev, "ts", "event_id", "1 days", None, True).collect()} == want
+
+
+def test_elapsed_time_bounds_reach_the_reader(spark):
+    ev = fx.events(spark, SF_SMALL)
+    got = bt.batch_by_elapsed(ev, "ts", "event_id", "2 days", 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(ts," in plan.split("PushedFilters")[1].split("ReadSchema")[0]
+    start = bt.ts_literal(ev, "ts", 1_700_000_000_000_000)
+    plan = ev.where(F.col("ts") >= start)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2023-11-14" in plan
 
 
 def test_count_batches_and_limit(spark):
@@ -253,7 +343,8 @@ def test_clean_lines_strips_like_python_and_drops_header(spark):
     raw = ["h1,h2", "  a,b \t", "\x1fc,d\r", "", "   "]
     df = spark.createDataFrame([(x,) for x in raw], "value string")
     got = [r["value"] for r in lines.clean_lines(df, header="h1,h2").collect()]
-    assert got == [x.strip() for x in raw if x.strip() and x.strip() != "h1,h2"]
+    assert got == [x.strip() for x in raw if x.strip() != "h1,h2"]
+    assert lines.clean_lines(df, header="h1,h2", keep_blank=False).count() == 2
 
 
 def test_quoted_comma_naive_split_shifts_and_from_csv_does_not(spark):
@@ -408,13 +499,51 @@ def test_far_key_has_no_neighbours(spark):
     assert sim.recommend(e, far, 5, vectors, 0.1).count() == 0
 
 
-def test_lsh_recall_invariants(spark):
-    import __spark_entry__ as ent
+def test_recommend_with_ids_beyond_double_precision(spark):
+    base = 2 ** 60
+    items = spark.createDataFrame([(base + 1, [0.0, 0.0]), (base + 2, [0.0, 0.1]), (base + 3, [0.1, 0.1]), (5, [0.2, 0.2])],
+                                  "id bigint, vec array<double>")
+    req = spark.createDataFrame([(1, base + 1, [0.0, 0.0])], "request_id bigint, self_id bigint, vec array<double>")
+    got = sim.recommend(items, req, 3, sim.projection_vectors(2, 3, 7), 10.0, self_id="self_id").orderBy("rank").collect()
+    # all share the sign buckets or not by the projections alone; near ones are not lost to rounding of ids
+    assert [r["id"] for r in got][:2] == [base + 2, base + 3] or {base + 1} & {r["id"] for r in got} == set()
+    assert base + 1 not in [r["id"] for r in got]
+
+
+@pytest.mark.parametrize("dim", [4, 64, 80])
+def test_null_vectors_are_no_items_and_no_requests(spark, dim):
+    rs = np.random.RandomState(dim)
+    data = [(i, [float(x) for x in rs.normal(size=dim)]) for i in range(40)]
+    nulls = [(100, None), (101, [None] + [0.0] * (dim - 1))]
+    clean, all_ = (spark.createDataFrame(x, "id bigint, vec array<double>") for x in (data, data + nulls))
+    vectors = sim.projection_vectors(dim, 3, 7)
+    hashes = {r["id"]: r["h"] for r in all_.select("id", sim.lsh_hashes(F.col("vec"), vectors, 2.0).alias("h")).collect()}
+    assert hashes[100] is None and hashes[101] is None and all(len(hashes[i]) == 3 for i in range(40))
+    got = [sorted(map(tuple, sim.recommend(d, d.select(F.col("id").alias("request_id"), "vec"), 3, vectors, 2.0).collect()))
+           for d in (clean, all_)]
+    assert got[0] == got[1]
+    near = sim.knn_single(all_, "vec", data[0][1], 2).collect()
+    assert near[0]["id"] == 0 and {r["id"] for r in near} <= set(range(40))
+
+
+def test_knn_many_equals_brute_force_for_a_key_table(spark):
+    e = fx.embeddings(spark, SF_SMALL)
+    keys = e.where("id < 30").select(F.col("id").alias("qid"), "vec")
+    got = {(r["qid"], r["rank"]): r["id"] for r in sim.knn_many(e, "vec", keys, 3).collect()}
+    data = e.orderBy("id").collect()
+    m = np.array([r["vec"] for r in data])
+    for q in range(30):
+        d = np.round(np.sqrt(((m - m[q]) ** 2).sum(axis=1)), 9)
+        assert [got[q, r] for r in (1, 2, 3)] == [int(data[i]["id"]) for i in np.lexsort((np.arange(len(m)), d))[:3]]
 
-    got = ent.queries()["lsh_recall"](spark, SF_SMALL).collect()
-    assert len(got) == 10
-    assert all(0.0 <= r["recall"] <= 1.0 for r in got)
-    assert sum(r["recall"] for r in got) / len(got) >= 0.5
+
+def test_responses_answer_requests_without_neighbours(spark):
+    recs = spark.createDataFrame([(1, 1, 7, 0.5)], "request_id bigint, rank int, id bigint, dist double")
+    items = spark.createDataFrame([(7, "a")], "id bigint, name string")
+    asked = spark.createDataFrame([(1,), (2,)], "request_id bigint")
+    got = {r[0]: r[1] for r in sim.response_objects(recs, items, "id", ["id", "name"], asked).collect()}
+    assert got[1] == '{"message":"Found 1 similar properties.","recommendations":[{"id":7,"name":"a","distCol":0.5}]}'
+    assert got[2] == '{"message":"Found 0 similar properties.","recommendations":[]}'
 
 
 # ---- session independence -------------------------------------------------------------------
@@ -434,11 +563,13 @@ def test_time_queries_do_not_depend_on_session_zone(spark, name):
     assert base == other
 
 
-def test_display_columns_and_fallbacks():
-    cols = ["id", "price", "features", "hashes", "a_index", "a"]
-    assert sim.display_columns(cols, "id", "price", ["a"]) == ["id", "price", "a"]
-    assert sim.display_columns(["features", "a_index", "id"], "id", "price", ["a"]) == ["id"]
-    assert sim.display_columns(["features", "hashes", "b_index"], "id", "price", ["b"]) == ["b"]
+def test_display_columns_follow_what_stages_declare(spark):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    made = sim.stage_outputs([StringIndexer(inputCols=["a"], outputCols=["a_index"]), VectorAssembler(inputCols=["a_index"], outputCol="features")])
+    assert made == ["a_index", "features"]
+    assert sim.display_columns(["id", "land_index", "a", "a_index", "features"], made) == ["id", "land_index", "a"]
+    assert sim.display_columns(made, made, ["id"]) == ["id"]
 
 
 def test_top_n_ordered_and_unordered(spark):
@@ -470,9 +601,10 @@ def test_feature_list_roundtrip(spark):
     ("1 hours", None, False, 100_000), ("90 minutes", None, True, 5), ("3 hours", 50, False, 5), ("2 days", None, True, 100_000)])
 def test_pointer_doubling_cutter_equals_consumer_loop(spark, monkeypatch, interval, limit, emit_open, max_collected):
     monkeypatch.setattr(bt, "MAX_COLLECTED_CUTS", max_collected)  # 5 forces the distributed labelling
+    monkeypatch.setattr(bt, "MAX_WALK", 0)  # no walk
     ev = fx.events(spark, SF_SMALL)
     got = {r["event_id"]: r["batch_id"] for r in
-           bt.batch_by_elapsed(ev, "ts", "event_id", interval, limit, emit_open, method="doubling").collect()}
+           bt.batch_by_elapsed(ev, "ts", "event_id", interval, limit, emit_open, method="many").collect()}
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
                   ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
     assert got == consumer_loop(recs, bt.interval_micros(interval), limit, emit_open)
@@ -490,12 +622,44 @@ def test_configured_checkpoint_dir_is_used(tmp_path):
         from pyspark.sql import SparkSession
         s = (SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", {str(tmp_path)!r})
              .config("spark.ui.enabled", "false").getOrCreate())
-        from tidemark.session import checkpoint_root, cut_lineage, scratch_path
+        from tidemark.session import checkpoint_root, scratch_path, write_table
         assert checkpoint_root(s) == {str(tmp_path)!r}
         assert scratch_path(s, "x").startswith({str(tmp_path)!r})
-        assert cut_lineage(s.range(5)).count() == 5
+        assert write_table(s.range(5), "x").count() == 5
         print("OK")
     """)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert "OK" in out.stdout, out.stderr[-2000:]
     assert any(tmp_path.iterdir())
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(master="spark://head:7077", getConf=lambda: conf, getCheckpointDir=lambda: None, applicationId="x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))
+
+
+def test_shuffle_partitions_are_left_to_the_cluster():
+    import inspect
+
+    from tidemark.session import get_spark
+
+    assert inspect.signature(get_spark).parameters["shuffle_partitions"].default is None
+
+
+def test_drop_scratch_deletes_what_was_written(spark):
+    import os
+
+    from tidemark import session
+
+    path = session.scratch_path(spark, "gone")
+    kept = session._WRITTEN.pop(spark.sparkContext.applicationId)
+    session._WRITTEN[spark.sparkContext.applicationId] = [path]
+    spark.range(3).write.parquet(path)
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(path)
+    session._WRITTEN[spark.sparkContext.applicationId] = [p for p in kept if p != path]

@@ -9,9 +9,13 @@
 * training sets: disjoint (set i) or cumulative (sets 1..i) equal-count thirds.
 
 Elapsed cuts: each cut is a scalar aggregate ``min(struct(ts, id))`` over a galloping ts window
-past the anchor (the ts range reaches the Parquet reader), so the job count grows with the number
-of closed batches (bounded by ``limit``), not with the data; rows are then labelled by a
-projection against the cut keys, which are collected (one (ts, id) pair per batch).
+past the anchor, compared with timestamp literals so that the range reaches the Parquet reader
+(a test asserts the pushed filter). The job count grows with the number of closed batches (bounded
+by ``limit``), not with the data; rows are then labelled by a projection against the cut keys, which
+are collected (one (ts, id) pair per batch).
+
+A record without a timestamp has not arrived at any time: it is in no batch, not even the open one,
+by either method. Ids may be of any orderable type; a null id comes before all others of its time.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros
+from tidemark.functions.columns import col_, epoch_micros
 from tidemark.operators.ordinal import with_count_batches, with_ntile
 
 
@@ -37,65 +41,94 @@ def interval_micros(interval: dt.timedelta | str) -> int:
     return int(float(num) * scale)
 
 
+def ts_literal(df: DataFrame, ts_col: str, us: int) -> Column:
+    """A literal of the column's own timestamp type, so that comparisons can be pushed to a reader."""
+    at = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
+    text = at.isoformat(sep=" ", timespec="microseconds")
+    if df.schema[ts_col].dataType.typeName() == "timestamp_ntz":
+        return F.expr(f"TIMESTAMP_NTZ '{text}'")
+    return F.expr(f"TIMESTAMP '{text}+00:00'")
+
+
+def _bounds(df: DataFrame, ts_col: str) -> tuple[int, int] | None:
+    """(first, last) time in microseconds, or None without any."""
+    span = df.agg(F.min(col_(ts_col)).alias("lo"), F.max(col_(ts_col)).alias("hi"))
+    r = span.select(epoch_micros(span, "lo").alias("lo"), epoch_micros(span, "hi").alias("hi")).first()
+    return None if r["lo"] is None else (int(r["lo"]), int(r["hi"]))
+
+
 def elapsed_cuts(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
-                 anchor_us: int | None = None) -> list[tuple[int, int]]:
+                 anchor_us: int | None = None) -> list[tuple[int, object]]:
     """The closing records ``(ts_micros, id)`` of the elapsed-time batches, in order.
 
     Each cut is the smallest (ts, id) with ts >= anchor + interval. It is searched in a galloping
     window [anchor + interval, anchor + interval + w) that widens x4 only while empty, so on
-    time-ordered files each search reads a narrow range of row groups (the ts bounds are pushed
-    to the Parquet reader) instead of everything after the anchor.
+    time-ordered files each search reads a narrow range of row groups instead of everything after
+    the anchor.
     """
     step = interval_micros(interval)
-    keyed = df.select(epoch_micros(df, ts_col).alias("_us"), F.col(id_col).alias("_id"))
-    bounds = keyed.agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
-    if bounds["lo"] is None:
+    bounds = _bounds(df, ts_col)
+    if bounds is None:
         return []
-    hi = int(bounds["hi"])
-    if anchor_us is None:
-        anchor_us = int(bounds["lo"])
-    cuts: list[tuple[int, int]] = []
+    lo, hi = bounds
+    anchor_us = lo if anchor_us is None else anchor_us
+    ts = col_(ts_col)
+    cuts: list[tuple[int, object]] = []
     while limit is None or len(cuts) < limit:
         start = anchor_us + step
         if start > hi:
             break
         width = max(step, 1)
         while True:
-            r = (keyed.where((F.col("_us") >= F.lit(start)) & (F.col("_us") < F.lit(start + width)))
-                 .agg(F.min(F.struct("_us", "_id")).alias("m")).first()["m"])
+            r = _first_record(df.where((ts >= ts_literal(df, ts_col, start)) & (ts < ts_literal(df, ts_col, start + width))),
+                              ts_col, id_col)
             if r is not None or start + width > hi:
                 break
             width *= 4
         if r is None:
             break
-        cuts.append((int(r["_us"]), int(r["_id"])))
-        anchor_us = int(r["_us"])
+        cuts.append(r)
+        anchor_us = r[0]
     return cuts
 
 
-def batch_of(us: Column, rid: Column, cuts: Sequence[tuple[int, int]]) -> Column:
-    """1 + number of cuts strictly before (us, id): the batch of a row given the closing records."""
-    e = None
+def _first_record(df: DataFrame, ts_col: str, id_col: str) -> tuple[int, object] | None:
+    least = df.agg(F.min(F.struct(col_(ts_col).alias("ts"), col_(id_col).alias("id"))).alias("m")).select("m.ts", "m.id")
+    r = least.select(epoch_micros(least, "ts").alias("us"), "id").first()
+    return None if r["us"] is None else (int(r["us"]), r["id"])
+
+
+def _not_after(rid: Column, cut_id) -> Column:
+    """Whether a record of the cut's own time comes no later than the cut (null ids first)."""
+    if cut_id is None:
+        return rid.isNull()
+    return rid.isNull() | (rid <= (cut_id if isinstance(cut_id, Column) else F.lit(cut_id)))
+
+
+def batch_of(us: Column, rid: Column, cuts: Sequence[tuple[int, object]]) -> Column:
+    """1 + number of cuts strictly before (us, id): the batch of a row given the closing records;
+    null for a record without a time."""
+    e = F.when(us.isNull(), F.lit(None).cast("int"))
     for k, (cu, ci) in enumerate(cuts, start=1):
-        cond = (us < F.lit(cu)) | ((us == F.lit(cu)) & (rid <= F.lit(ci)))
-        e = F.when(cond, F.lit(k)) if e is None else e.when(cond, F.lit(k))
-    last = F.lit(len(cuts) + 1)
-    return (last if e is None else e.otherwise(last)).cast("bigint")
+        e = e.when((us < F.lit(cu)) | ((us == F.lit(cu)) & _not_after(rid, ci)), F.lit(k))
+    return e.otherwise(F.lit(len(cuts) + 1)).cast("bigint")
 
 
 def batch_by_elapsed(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = 3,
                      emit_open: bool = False, out: str = "batch_id", anchor_us: int | None = None,
                      method: str = "auto") -> DataFrame:
     """Elapsed-time batches. ``method``: ``scan`` (one narrow search job per cut, best for a small
-    limit such as the reference's 3), ``doubling`` (O(log) rounds for long chains) or ``auto``."""
-    if method == "doubling" or (method == "auto" and (limit is None or limit > SCAN_LIMIT) and anchor_us is None):
-        return batch_by_elapsed_many(df, ts_col, id_col, interval, limit, emit_open, out)
+    limit such as the reference's 3), ``many`` (for long chains) or ``auto``."""
+    if method == "many" or (method == "auto" and (limit is None or limit > SCAN_LIMIT)):
+        return batch_by_elapsed_many(df, ts_col, id_col, interval, limit, emit_open, out, anchor_us)
     cuts = elapsed_cuts(df, ts_col, id_col, interval, limit, anchor_us)
-    us = epoch_micros(df, ts_col)
-    labelled = df.withColumn(out, batch_of(us, F.col(id_col), cuts))
+    labelled = df.withColumn(out, batch_of(epoch_micros(df, ts_col), col_(id_col), cuts))
     closed = len(cuts)
     if emit_open and (limit is None or closed < limit):
-        return labelled
+        return labelled.where(F.col(out).isNotNull())
+    # rows after the last cut are never read: its time is a literal bound on ts
+    if cuts:
+        labelled = labelled.where(col_(ts_col) <= ts_literal(df, ts_col, cuts[-1][0]))
     return labelled.where(F.col(out) <= closed)
 
 
@@ -132,23 +165,72 @@ def cumulative_sums(per_set: DataFrame, set_col: str, n_sets: int, sum_cols: Seq
     return rep.groupBy(out).agg(*[F.sum(c).alias(c) for c in sum_cols])
 
 
-# ---- many batches: pointer doubling --------------------------------------------------------------
+# ---- many batches ---------------------------------------------------------------------------------
 # With no batch limit (or a large one) the cut chain can be long: one search job per cut would make
-# the job count grow with the time span. Instead:
+# the job count grow with the time span. Instead the chain is walked over bounded pieces:
+#   1. rows are counted per interval-long slot of time (one partial aggregate, one number per slot);
+#   2. consecutive slots that hold at most WALK_TIMES rows together are read as one piece (the time
+#      range is pushed to the reader), their distinct times come to the driver as one vector, and
+#      the cuts in it are found by sorted searches; a slot with more rows than that is searched for
+#      its one cut by a scalar aggregate, as in ``elapsed_cuts``;
+#   3. the cuts' ids come from one broadcast join with the cut times.
+# So jobs number rows / WALK_TIMES plus the crowded slots, nothing is shuffled but counts, and the
+# driver holds one piece and the cuts. A chain that could have more than MAX_WALK cuts is computed by
+# pointer doubling instead, O(log) rounds of joins:
 #   1. distinct timestamps D get ranks (distributed ordinal);
 #   2. next(t) = rank of the first time >= t + interval, an as-of found with ONE ordinal over the
 #      union of probes (t + interval) and values (probes sort first on ties);
 #   3. jump tables J_k = next^(2^k) by pointer doubling (a self-join per level, each level written
 #      to the shared checkpoint folder so the lineage stays flat);
-#   4. the chain from the first cut is expanded top-down: S <- S u J_k(S) for k = K..0;
-#   5. rows are labelled by the number of cuts before them (binary search over collected cut
-#      times when the cut count is checked to be small, else a distributed union ordinal).
-# Rounds are O(log(span / interval)), each a shuffle of |D| rows; no step holds a group in one task.
+#   4. the chain from the first cut is expanded top-down: S <- S u J_k(S) for k = K..0.
+# Rows are labelled by the number of cuts before them (binary search over collected cut times when
+# the cut count is checked to be small, else a distributed union ordinal).
 
 MAX_COLLECTED_CUTS = 100_000
+MAX_WALK = 1_000_000
+WALK_TIMES = 2_000_000
 SCAN_LIMIT = 32
 
 
+def walked_cuts(df: DataFrame, ts_col: str, interval, limit: int | None, anchor: int) -> list[int]:
+    """The cut times, in order, of the chain that starts at ``anchor``."""
+    import numpy as np
+
+    step = interval_micros(interval)
+    ts, us = col_(ts_col), epoch_micros(df, ts_col)
+    slots = (df.where(ts >= ts_literal(df, ts_col, anchor + step)).groupBy(F.floor((us - F.lit(anchor)) / F.lit(step)).cast("long").alias("slot"))
+             .agg(F.count(F.lit(1)).alias("n")).orderBy("slot").collect())  # at most MAX_WALK slots, checked by the caller
+    cuts: list[int] = []
+    want, i = anchor + step, 0
+
+    def full() -> bool:
+        return limit is not None and len(cuts) >= limit
+
+    while i < len(slots) and not full():
+        j, n = i, 0
+        while j < len(slots) and n + slots[j]["n"] <= WALK_TIMES:
+            n += slots[j]["n"]
+            j += 1
+        lo, end = anchor + slots[i]["slot"] * step, anchor + (slots[max(j, i + 1) - 1]["slot"] + 1) * step
+        piece = df.where((ts >= ts_literal(df, ts_col, max(lo, want))) & (ts < ts_literal(df, ts_col, end)))
+        if j > i:
+            times = np.sort(piece.select(us.alias("us")).distinct().toArrow().column("us").to_numpy())
+            at = int(np.searchsorted(times, want))
+            while at < len(times) and not full():
+                cuts.append(int(times[at]))
+                want = cuts[-1] + step
+                at = int(np.searchsorted(times, want))
+            i = j
+        else:
+            first = piece.agg(F.min(ts).alias("ts"))
+            r = first.select(epoch_micros(first, "ts").alias("us")).first()["us"]
+            if r is not None:
+                cuts.append(int(r))
+                want = cuts[-1] + step
+            i += 1
+    return cuts
+
+
 def _ckpt(df: DataFrame) -> DataFrame:
     from tidemark.session import write_table
     return write_table(df, "elapsed-level")
@@ -156,19 +238,27 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 def elapsed_cut_table(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
                       anchor_us: int | None = None) -> DataFrame:
-    """Closing records as a DataFrame ``(k, cut_us, cut_id)`` computed by pointer doubling."""
+    """Closing records as a DataFrame ``(k, cut_us, cut_id)`` for chains of any length."""
     from tidemark.operators.ordinal import with_ordinal
 
     spark = df.sparkSession
     step = interval_micros(interval)
-    keyed = df.select(epoch_micros(df, ts_col).alias("_us"), F.col(id_col).alias("_id"))
-    bounds = keyed.agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).first()
-    empty = spark.createDataFrame([], "k bigint, cut_us bigint, cut_id bigint")
-    if bounds["lo"] is None:
+    keyed = df.where(col_(ts_col).isNotNull()).select(epoch_micros(df, ts_col).alias("_us"), col_(id_col).alias("_id"))
+    empty = spark.createDataFrame([], f"k bigint, cut_us bigint, cut_id {df.schema[id_col].dataType.simpleString()}")
+    bounds = _bounds(df, ts_col)
+    if bounds is None:
         return empty
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    lo, hi = bounds
     anchor = lo if anchor_us is None else int(anchor_us)
-    times = keyed.groupBy("_us").agg(F.min("_id").alias("_cid"))          # distinct times + cut id
+    if (hi - anchor) // step + 1 <= MAX_WALK:
+        chain = walked_cuts(df, ts_col, interval, limit, anchor)
+        if not chain:
+            return empty
+        found = spark.createDataFrame([(k, us) for k, us in enumerate(chain, start=1)], "k bigint, _us bigint")
+        span = df.where(col_(ts_col) <= ts_literal(df, ts_col, chain[-1])).select(epoch_micros(df, ts_col).alias("_us"), col_(id_col).alias("_id"))
+        return (span.join(F.broadcast(found), "_us").groupBy("k", "_us").agg(F.min(F.struct("_id"))["_id"].alias("cut_id"))
+                .select("k", F.col("_us").alias("cut_us"), "cut_id"))
+    times = keyed.groupBy("_us").agg(F.min(F.struct("_id"))["_id"].alias("_cid"))  # distinct times + cut id, a null id first
     ranked = _ckpt(with_ordinal(times, ["_us"], out="r", with_total=True))  # r, r_total
     probes = ranked.select((F.col("_us") + F.lit(step)).alias("time"), F.lit(0).alias("kind"), F.col("r").alias("pr"))
     values = ranked.select(F.col("_us").alias("time"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("pr"))
@@ -214,6 +304,7 @@ def label_by_cut_table(df: DataFrame, ts_col: str, id_col: str, cuts: DataFrame,
     from tidemark.operators.ordinal import with_ordinal
 
     n_cuts = cuts.count()
+    df = df.where(col_(ts_col).isNotNull())
     us = epoch_micros(df, ts_col)
     if n_cuts == 0:
         return df.withColumn(out, F.lit(1).cast("bigint"))
@@ -225,7 +316,9 @@ def label_by_cut_table(df: DataFrame, ts_col: str, id_col: str, cuts: DataFrame,
         b = Bucketizer(splits=splits, inputCol="_us", outputCol="_le").transform(keyed)  # cuts with cut_us <= us
         same = F.broadcast(cuts.select(F.col("cut_us").cast("double").alias("_cu"), F.col("cut_id").alias("_ci")))
         j = b.join(same, b["_us"] == same["_cu"], "left")
-        before = F.col("_le") - F.when(F.col("_cu").isNotNull() & (F.col(id_col) <= F.col("_ci")), 1).otherwise(0)
+        # a null id comes first; a cut whose id is null is followed by every other id of its time
+        no_later = col_(id_col).isNull() | F.coalesce(col_(id_col) <= F.col("_ci"), F.lit(False))
+        before = F.col("_le") - F.when(F.col("_cu").isNotNull() & no_later, 1).otherwise(0)
         return j.withColumn(out, (before + 1).cast("bigint")).drop("_us", "_le", "_cu", "_ci")
     # many cuts: rows sort before their own cut; cuts before a row = union position - row position
     rows_k = df.withColumn("_us", us).withColumn("_kind", F.lit(0))
@@ -233,14 +326,15 @@ def label_by_cut_table(df: DataFrame, ts_col: str, id_col: str, cuts: DataFrame,
     u = with_ordinal(rows_k.select("_us", id_col, "_kind").unionByName(cut_k), ["_us", id_col, "_kind"], out="_o")
     u = u.where(F.col("_kind") == 0)
     r = with_ordinal(rows_k, ["_us", id_col], out="_or")
-    lab = r.join(u.select("_us", id_col, "_o"), ["_us", id_col])
+    u = u.select(F.col("_us").alias("_u"), col_(id_col).alias("_i"), "_o")
+    lab = r.join(u, (r["_us"] == u["_u"]) & r[id_col].eqNullSafe(u["_i"])).drop("_u", "_i")
     return lab.withColumn(out, (F.col("_o") - F.col("_or") + 1).cast("bigint")).drop("_us", "_kind", "_o", "_or")
 
 
 def batch_by_elapsed_many(df: DataFrame, ts_col: str, id_col: str, interval, limit: int | None = None,
-                          emit_open: bool = False, out: str = "batch_id") -> DataFrame:
-    """``batch_by_elapsed`` for long chains (pointer doubling; O(log) rounds instead of one job per cut)."""
-    cuts = elapsed_cut_table(df, ts_col, id_col, interval, limit)
+                          emit_open: bool = False, out: str = "batch_id", anchor_us: int | None = None) -> DataFrame:
+    """``batch_by_elapsed`` for long chains."""
+    cuts = elapsed_cut_table(df, ts_col, id_col, interval, limit, anchor_us)
     closed = cuts.count()
     labelled = label_by_cut_table(df, ts_col, id_col, cuts, out)
     if emit_open and (limit is None or closed < limit):

@@ -14,7 +14,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Seeds. The k-means seed is the one stored in the reference's saved k-means metadata
@@ -89,3 +89,14 @@ def fit_lsh(items: DataFrame, vec_col: str, bucket_length: float, tables: int =
     model = BucketedRandomProjectionLSH(inputCol="_features", outputCol="_hashes", bucketLength=bucket_length,
                                         numHashTables=tables, seed=seed).fit(v)
     return model, v
+
+
+def price_response(prediction: str, error: str | None = None) -> Column:
+    """The price endpoint's JSON; with a refusal's text, that instead."""
+    ok = F.to_json(F.struct(F.col(prediction).alias("predicted_price")))
+    return ok if error is None else F.when(F.col(error).isNotNull(), F.to_json(F.struct(F.col(error).alias("error")))).otherwise(ok)
+
+
+def cluster_response(cluster: str) -> Column:
+    """The clustering endpoint's JSON."""
+    return F.to_json(F.struct(F.col(cluster).alias("cluster")))

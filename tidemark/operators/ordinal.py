@@ -1,63 +1,33 @@
 """Global ordinals without a single-task window.
 
-``row_number() over (order by k)`` with no partition moves every row into one task. Here:
-
-1. approximate quantiles of the leading order column give ``n - 1`` bucket bounds (one pass over
-   that column, bounds are literals from then on, so their size is bounded by ``n``);
-2. each row's bucket is a deterministic function of its key (``Bucketizer``, a binary search);
-3. rows are numbered inside their bucket (``row_number`` partitioned by bucket: one shuffle,
-   buckets are balanced by the quantiles);
-4. bucket sizes (map-side partial counts, one row per bucket) are prefix-summed and broadcast back
-   as offsets.
-
-So the input is read three times (quantiles, counts: both pruned to the key column) and shuffled
-once.
-
-Everything is deterministic given the bounds, so a recomputed partition (executor loss, a second
-evaluation of a branch) gets the same numbers. The order key must be unique (add a tie-break
-column).
-
-Hot leading values: if one value of the leading column holds about 1/n of the rows or more, it
-shows up as a repeated quantile, and one bucket would hold all of it. Then the ordinal comes from
-a distributed sort instead (``sorted_positions``): range partitioning on the *whole* order key
-(Spark samples the composite key, so the later columns split the hot value), a sort inside each
-partition, each row tagged with (partition, position), written once to the shared checkpoint
-folder so the sampled ranges are fixed, and per-partition counts prefix-summed as above. The same
-path ranks rows inside groups of any size (``with_group_rank``).
+``row_number() over (order by k)`` with no partition moves every row into one task. Here one
+distributed sort does it: range partitioning on the *whole* order key (Spark samples the composite
+key, so a value that holds a third of the rows is split by the later columns), a sort inside each
+partition, each row tagged with (partition, position), written once to the shared checkpoint folder
+so that the sampled ranges are fixed, and per-partition counts prefix-summed and joined back.
+
+So the input is evaluated for the sample and once for the sort, whatever the branches of the plan
+that use the ordinal. The key may be of any orderable type (numbers, text, dates; a TIMESTAMP_NTZ is
+ordered as it stands, without the session's zone) and may hold nulls, which come first. It should
+be unique: rows with equal keys get different ordinals, in no particular order.
+
+The same path ranks rows inside groups of any size (``with_group_rank``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY, _PID, _LOC, _CNT, _OFF, _TOT = "_tm_key", "_tm_pid", "_tm_loc", "_tm_cnt", "_tm_off", "_tm_total"
+_PID, _LOC, _CNT, _OFF, _TOT = "_tm_pid", "_tm_loc", "_tm_cnt", "_tm_off", "_tm_total"
 _MID, _ORD, _START = "_tm_mid", "_tm_ord", "_tm_start"
 _POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33, position below
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _numeric_key(df: DataFrame, c: str):
-    dt = df.schema[c].dataType.typeName()
-    if dt in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    return F.col(c).cast("double")
-
-
-def _quantile_bounds(keyed: DataFrame, n: int) -> list[float]:
-    """``n - 1`` approximate quantiles of ``_tm_key`` (one pass over that column), repeats kept."""
-    probs = [i / n for i in range(1, n)]
-    if not probs:
-        return []
-    return [b for b in keyed.approxQuantile(_KEY, probs, 1.0 / (4 * n)) if b is not None]
+def _nulls_first(c: str | Column) -> Column:
+    return F.col(f"`{c}`").asc_nulls_first() if isinstance(c, str) else c
 
 
 def _offsets(counts: DataFrame) -> DataFrame:
@@ -81,9 +51,9 @@ def sorted_positions(df: DataFrame, order: Sequence, num_partitions: int | None
     the per-partition counts read only the tag column."""
     from tidemark.session import write_table
 
-    n = _partitions(df, num_partitions)
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    order = [_nulls_first(c) for c in order]
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged.sortWithinPartitions(*order)
               .withColumn(_MID, F.monotonically_increasing_id()))
     fixed = write_table(tagged, "sorted-positions")
     pos = (fixed.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS).cast("int"))
@@ -102,46 +72,16 @@ def with_group_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence, o
     one distributed sort on (group, order), then position minus the group's first position. The
     starts table has one row per group (a partial min aggregate); the join lets AQE pick broadcast
     from its measured size."""
-    pos = sorted_positions(df, [*[F.col(g) for g in group_cols], *order], num_partitions)
+    pos = sorted_positions(df, [*group_cols, *order], num_partitions)
     starts = pos.groupBy(*group_cols).agg(F.min(_ORD).alias(_START))
     return (pos.join(starts, list(group_cols))
             .withColumn(out, (F.col(_ORD) - F.col(_START)).cast("bigint")).drop(_ORD, _START))
 
 
-def with_bucket(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None,
-                bounds: list[float] | None = None) -> DataFrame:
-    """Add ``_tm_pid``: a balanced range bucket of the leading order column."""
-    n = _partitions(df, num_partitions)
-    keyed = df.withColumn(_KEY, _numeric_key(df, order_cols[0]))
-    if bounds is None:
-        bounds = _quantile_bounds(keyed, n)
-    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
-    if len(splits) < 3:
-        return keyed.withColumn(_PID, F.lit(0)).drop(_KEY)
-    b = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_PID, handleInvalid="keep")
-    return b.transform(keyed).withColumn(_PID, F.col(_PID).cast("int")).drop(_KEY)
-
-
 def with_ordinal(df: DataFrame, order_cols: Sequence[str], out: str = "ordinal",
                  num_partitions: int | None = None, with_total: bool = False) -> DataFrame:
-    """Add a 0-based global position ``out`` by ``order_cols`` (ascending, unique)."""
-    keys = [F.col(c) for c in order_cols]
-    n = _partitions(df, num_partitions)
-    bounds = _quantile_bounds(df.withColumn(_KEY, _numeric_key(df, order_cols[0])).select(_KEY), n)
-    if len(set(bounds)) < len(bounds):
-        # a leading value spans several quantiles: one bucket would hold all of it
-        return sorted_positions(df, keys, n, out=out, with_total=with_total)
-    bucketed = with_bucket(df, order_cols, n, bounds)
-    numbered = bucketed.withColumn(_LOC, F.row_number().over(Window.partitionBy(_PID).orderBy(*keys)) - 1)
-    # bucket sizes: a column-pruned pass with map-side partial counts (the shuffle carries one row
-    # per bucket and map task), not a second shuffle of the rows
-    counts = bucketed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    # one row per bucket: bounded by the bucket count, so the broadcast is size-safe
-    res = numbered.join(F.broadcast(_offsets(counts)), _PID).withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("bigint"))
-    res = res.drop(_PID, _LOC, _CNT, _OFF)
-    if with_total:
-        return res.withColumnRenamed(_TOT, f"{out}_total")
-    return res.drop(_TOT)
+    """Add a 0-based global position ``out`` by ``order_cols`` (ascending, nulls first)."""
+    return sorted_positions(df, list(order_cols), num_partitions, out=out, with_total=with_total)
 
 
 def ntile_expr(ordinal: str, total: str, n: int):

@@ -205,10 +205,11 @@ def stage_outputs(stages: Sequence) -> list[str]:
     """The output columns that fitted or unfitted pipeline stages declare."""
     out: list[str] = []
     for s in stages:
-        for name in ("outputCol", "outputCols"):
+        for name in ("outputCols", "outputCol"):  # the single one has a default even where several are set
             if s.hasParam(name) and s.isDefined(name):
                 v = s.getOrDefault(name)
                 out += [v] if isinstance(v, str) else list(v)
+                break
     return out
 
 

@@ -93,3 +93,15 @@ def assemble_keep_invalid(spark, sf):
                         handleInvalid="keep").transform(ix)
     return v.select("id", F.posexplode(vector_to_array("features")).alias("pos", "value")) \
             .select("id", "pos", F.isnan("value").alias("is_nan"))
+
+
+@register("assemble_error_invalid", sql=f"""WITH {TX_SQL}, {_BAD_SQL}
+SELECT count(*) AS bad_rows, TRUE AS raises FROM bad WHERE price_double IS NULL""")
+def assemble_error_invalid(spark, sf):
+    """The assembler's default: a null feature stops the job."""
+    from tidemark.plans.q_models import raises
+
+    b = _bad_price_tx(spark, sf)
+    v = VectorAssembler(inputCols=["price_double"], outputCol="features", handleInvalid="error").transform(b)
+    failed = raises(lambda: v.select("features").write.format("noop").mode("overwrite").save())
+    return b.where(F.col("price_double").isNull()).agg(F.count("*").alias("bad_rows")).withColumn("raises", F.lit(failed))

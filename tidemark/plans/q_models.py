@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import sq_dist
 from tidemark.operators import kmeans as km
 from tidemark.operators import models as mdl
 from tidemark.operators import requests as rq
@@ -12,7 +14,7 @@ from tidemark.operators.regression import LinearModel, cumulative_categorical_ol
 from tidemark.plans import fixtures as fx
 from tidemark.plans import q_requests as qr
 from tidemark.plans.registry import TX_SQL, index_join_sql, register, tx_maps_sql
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, write_table
 
 CATS = fx.TX_CATS
 # The two-feature regression used by the SQL-checked queries.
@@ -165,7 +167,7 @@ FROM c{KM_ITERS} c LEFT JOIN (SELECT cid, count(*) AS n FROM a{KM_ITERS} GROUP B
 
 @register("kmeans_lloyd_step", sql=_lloyd_sql())
 def kmeans_lloyd_step(spark, sf):
-    pts = _km_points(spark, sf).persist()
+    pts = write_table(_km_points(spark, sf), "points")  # read once per iteration
     init = km.initial_centres_by_hash(pts, "id", KM_K)
     centres, counts = km.lloyd(pts, "vec", init, KM_ITERS)
     return km.centres_frame(spark, centres, counts, digits=6)
@@ -184,12 +186,15 @@ def kmeans_assign(spark, sf):
     return pts.select("id", km.nearest_centre(F.col("vec"), KM_CENTRES).cast("int").alias("cluster"))
 
 
-@register("kmeans_fit_profile")
+@register("kmeans_fit_profile", sql=f"""WITH {TX_SQL}
+SELECT count(*) AS n, CAST({KM_K} AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS off_centre FROM tx""")
 def kmeans_fit_profile(spark, sf):
-    """MLlib k-means (k-means||, explicit seed); rows-only check plus invariants in tests."""
-    pts = _km_points(spark, sf)
-    model, assigned = mdl.fit_kmeans(pts, "vec", KM_K)
-    return (assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean_price")))
+    """MLlib k-means (k-means||, explicit seed). The fit is random; every row is in one of k clusters
+    and none is nearer to another centre than to its own."""
+    model, assigned = mdl.fit_kmeans(_km_points(spark, sf), "vec", KM_K)
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    return assigned.agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("clusters"),
+                        _off_centre(assigned, centres).alias("off_centre"))
 
 
 # the clustering endpoint over a table of requests: every transaction as a request row with some
@@ -214,3 +219,102 @@ def assign_cluster_requests(spark, sf):
     ix = maps.transform(qr.request_rows(t).select("request_id", *KM_CATS))
     vec = F.array(*[F.col(f"{c}_index") for c in KM_CATS])
     return ix.select("request_id", km.nearest_centre(vec, REQ_CENTRES).cast("int").alias("cluster"))
+
+
+# ---- saved pipelines and full answers -----------------------------------------------------------
+
+def _off_centre(df, centres, vec: str = "vec", cluster: str = "cluster"):
+    """Rows that are farther from their own centre than from another (ties aside)."""
+    d = F.array(*[sq_dist(F.col(vec), c) for c in centres])
+    return F.coalesce(F.sum((F.element_at(d, F.col(cluster) + 1) > F.array_min(d) + 1e-9).cast("long")), F.lit(0))
+
+
+def raises(action) -> bool:
+    """Whether ``action()`` fails; any error will do, silence would not."""
+    try:
+        action()
+    except Exception:  # noqa: BLE001
+        return True
+    return False
+
+
+@register("cluster_roundtrip", sql=f"""WITH {TX_SQL}
+SELECT count(*) AS n, CAST({KM_K} AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS off_centre, CAST(0 AS BIGINT) AS bad_responses,
+  TRUE AS missing_path_raises FROM tx""")
+def cluster_roundtrip(spark, sf):
+    """The clustering engine's life: index, assemble, k-means fit, save, load, assign, answer. The
+    fit is random: what any fit must satisfy is reported."""
+    t = fx.tx(spark, sf)
+    path = scratch_path(spark, "cluster-model")
+    mdl.save(mdl.fit_cluster_pipeline(t, KM_CATS), path)
+    loaded = mdl.load(path)
+    got = loaded.transform(t.select("id", *KM_CATS)).select("id", vector_to_array("features").alias("vec"), "cluster",
+                                                             mdl.cluster_response("cluster").alias("response"))
+    centres = [[float(x) for x in c] for c in loaded.stages[-1].clusterCenters()]
+    text = F.concat(F.lit('{"cluster":'), F.col("cluster").cast("string"), F.lit("}"))
+    out = got.agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("clusters"), _off_centre(got, centres).alias("off_centre"),
+                  F.sum((F.col("response") != text).cast("long")).alias("bad_responses"))
+    return out.withColumn("missing_path_raises", F.lit(raises(lambda: mdl.load(f"{path}-absent"))))
+
+
+@register("predict_price_response", sql=f"""WITH {_IX}, {_MOM}, {qr.request_rows_sql("tx")},
+v AS (SELECT request_id, {', '.join(LR_CATS)}, {_MISSING_N} AS missing_n, {_MISSING_TXT} AS missing_txt FROM req),
+rix AS (SELECT v.request_id, v.missing_n, v.missing_txt, {_R_SEL} FROM v {_R_JOIN})
+SELECT request_id, CASE WHEN missing_n = 0 THEN '{{"predicted_price":' || CAST(round((SELECT my - b1 * mx1 - b2 * mx2 FROM c)
+    + (SELECT b1 FROM c) * property_type_index + (SELECT b2 FROM c) * duration_index, 2) AS DECIMAL(18, 2)) || '}}'
+  ELSE '{{"error":"{rq.MISSING_PREFIX}' || missing_txt || '"}}' END AS response FROM rix""")
+def predict_price_response(spark, sf):
+    """The price endpoint's JSON: a price, or the refusal's text."""
+    scored = predict_price_requests(spark, sf).withColumn("prediction", F.col("prediction").cast("decimal(18,2)"))
+    return scored.select("request_id", mdl.price_response("prediction", "error").alias("response"))
+
+
+@register("assign_cluster_response", sql=f"""WITH {TX_SQL}, {tx_maps_sql(KM_CATS)}, {qr.request_rows_sql("tx")},
+p AS (SELECT req.request_id, [{', '.join(f'{c}_index' for c in KM_CATS)}] AS vec FROM (
+  SELECT req.request_id, {_RC_SEL} FROM req {_RC_JOIN}) req),
+cs AS (SELECT * FROM (VALUES {_RC}) v(cid, vec))
+SELECT p.request_id, '{{"cluster":' || (SELECT cs.cid FROM cs ORDER BY
+  list_reduce(list_transform(range(1, 4), lambda i: (p.vec[i] - cs.vec[i]) * (p.vec[i] - cs.vec[i])), lambda x, y: x + y), cs.cid
+  LIMIT 1) || '}}' AS response FROM p""")
+def assign_cluster_response(spark, sf):
+    return assign_cluster_requests(spark, sf).select("request_id", mdl.cluster_response("cluster").alias("response"))
+
+
+# the eight feature columns under the reference's own names (spaces, slashes, dashes), from the
+# transaction fixture and the order key
+EIGHT = ["Property Type", "Old/New", "Duration", "Town/City", "District", "County", "PPDCategory Type",
+         "Record Status - monthly file only"]
+
+
+def _eight(spark, sf):
+    t = fx.tx(spark, sf)
+    town = F.concat(F.lit("T"), (F.col("id") * 7 % 31).cast("string"))
+    return t.select("id", "price", F.col("property_type").alias(EIGHT[0]), F.col("old_new").alias(EIGHT[1]),
+                    F.col("duration").alias(EIGHT[2]), town.alias(EIGHT[3]), F.col("district").alias(EIGHT[4]),
+                    F.col("county").alias(EIGHT[5]), F.when(F.col("id") % 3 == 0, "B").otherwise("A").alias(EIGHT[6]),
+                    F.when(F.col("id") % 11 == 0, "D").when(F.col("id") % 5 == 0, "C").otherwise("A").alias(EIGHT[7]))
+
+
+@register("lr_eight_features", sql=f"""WITH {TX_SQL}
+SELECT count(*) AS n, CAST({len(EIGHT)} AS INTEGER) AS features, round(avg(price), 2) AS mean_prediction, TRUE AS residuals_orthogonal,
+  TRUE AS loaded_equals_moments FROM tx""")
+def lr_eight_features(spark, sf):
+    """Regression on eight real-named features: the saved and loaded pipeline against the moments
+    fit. Checked by what defines least squares: the residuals sum to nothing (the mean prediction is
+    the mean price) and are orthogonal to every feature."""
+    t = _eight(spark, sf)
+    path = scratch_path(spark, "price-model-8")
+    mdl.save(mdl.fit_price_pipeline(t, EIGHT, "price"), f"{path}/pipeline")
+    mdl.save_feature_list(spark, EIGHT, f"{path}/columns")
+    cols = mdl.load_feature_list(spark, f"{path}/columns")
+    got = mdl.load(f"{path}/pipeline").transform(t)
+    x = [f"x{i}" for i in range(len(cols))]
+    ix = got.select("price", F.col("prediction").alias("loaded"), *[F.col(f"`{c}_index`").alias(n) for c, n in zip(cols, x, strict=True)])
+    own = LinearModel.from_fit(fit_ols(ix, x, "price"), x).transform(ix)
+    residual = F.col("price") - F.col("loaded")
+    out = own.agg(F.count("*").alias("n"), F.avg("loaded").alias("m"), F.stddev_pop("price").alias("sd"),
+                  F.max(F.abs(F.col("loaded") - F.col("prediction"))).alias("apart"),
+                  *[F.abs(F.covar_pop(residual, c)).alias(f"c{c}") for c in x])
+    flat = F.greatest(*[F.col(f"c{c}") for c in x]) < F.col("sd") * 1e-6
+    return out.select("n", F.lit(len(cols)).alias("features"), F.round("m", 2).alias("mean_prediction"),
+                      flat.alias("residuals_orthogonal"), (F.col("apart") < F.col("sd") * 1e-6).alias("loaded_equals_moments"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import safe_double, ts_text, utf8_decode, utf8_encode
 from tidemark.operators import rows
 from tidemark.operators.labels import LabelMaps
+from tidemark.operators.similarity import top_n
 from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import TX_SQL, index_join_sql, register, tx_maps_sql
 from tidemark.session import scratch_path
@@ -139,3 +140,57 @@ SELECT id, {', '.join(CATS)} FROM tx ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT
 def sample_query_rows(spark, sf):
     """Draw 5 query rows (reproducible order by md5(id)) and keep only id + categorical columns."""
     return rows.sample_rows(fx.tx(spark, sf), 5, "id").select("id", *CATS)
+
+
+# lines that are not tidy: by id, a short line, one with a field too many, a blank one, a null field
+_RAGGED = """CASE id % 5 WHEN 0 THEN CAST(id AS STRING) WHEN 1 THEN CAST(id AS STRING) || ',' || county || ',' || duration || ',extra'
+  WHEN 2 THEN CASE WHEN id % 2 = 0 THEN '' ELSE '   ' END WHEN 3 THEN CAST(id AS STRING) || ',NULL,' || duration
+  ELSE CAST(id AS STRING) || ',' || county || ',' || duration END"""
+
+
+@register("line_source_ragged", sql=f"""WITH {TX_SQL}, l AS (SELECT string_split(trim({_RAGGED.replace("STRING", "VARCHAR")}), ',') AS p FROM tx)
+SELECT TRY_CAST(p[1] AS BIGINT) AS id, nullif(p[2], 'NULL') AS county, p[3] AS duration, len(p[1]) = 0 AS blank FROM l""")
+def line_source_ragged(spark, sf):
+    """Short, long and blank lines are records; missing fields and the null token are null."""
+    t = fx.tx(spark, sf)
+    path = scratch_path(spark, "ragged")
+    lines.write_lines(t.select(F.expr(_RAGGED).alias("value")), path)
+    got = lines.split_naive(lines.clean_lines(lines.read_lines(spark, path)), ["id", "county", "duration"], null_token="NULL")
+    return got.select(F.col("id").try_cast("bigint").alias("id"), "county", "duration", (F.col("id") == "").alias("blank"))
+
+
+@register("null_fields_roundtrip", sql=f"""WITH {TX_SQL} SELECT id, CASE WHEN id % 3 > 0 THEN county END AS county,
+  CASE WHEN id % 2 > 0 THEN duration END AS duration FROM tx""")
+def null_fields_roundtrip(spark, sf):
+    """Null fields through the line sink and source."""
+    t = fx.tx(spark, sf).select("id", F.when(F.col("id") % 3 > 0, F.col("county")).alias("county"),
+                                F.when(F.col("id") % 2 > 0, F.col("duration")).alias("duration"))
+    path = scratch_path(spark, "null-fields")
+    lines.write_lines(lines.to_lines(t, t.columns, null_token="NULL"), path)
+    got = lines.split_naive(lines.clean_lines(lines.read_lines(spark, path)), t.columns, null_token="NULL")
+    return got.withColumn("id", F.col("id").try_cast("bigint"))
+
+
+@register("csv_infer_schema", sql=f"""WITH {TX_SQL} SELECT 'bigint,double,string,string' AS types, count(*) AS n, round(sum(price), 2) AS total FROM tx""")
+def csv_infer_schema(spark, sf):
+    """CSV with a header and inferred types."""
+    t = fx.tx(spark, sf).select(F.col("id") + 10 ** 10, F.round(F.col("price") + 0.005, 3), "county", "duration").toDF("id", "price", "county", "duration")
+    path = scratch_path(spark, "csv-infer")
+    files.write_csv(t, path, header=True)
+    back = files.read_csv(spark, path, header=True, infer=True)
+    types = ",".join(f.dataType.simpleString() for f in back.schema.fields)
+    return back.agg(F.lit(types).alias("types"), F.count("*").alias("n"), F.round(F.sum(F.round(F.col("price") - 0.005, 3)), 2).alias("total"))
+
+
+@register("unordered_limit", sql=f"WITH {TX_SQL} SELECT least(count(*), 100) AS n FROM tx")
+def unordered_limit(spark, sf):
+    """Without a distance column the first n rows come in any order."""
+    return top_n(fx.tx(spark, sf).select("id"), 100).agg(F.count("*").alias("n"))
+
+
+@register("empty_result_schema", sql="SELECT 'id:bigint,price:double,rank:int' AS columns, CAST(0 AS BIGINT) AS n, TRUE AS empty")
+def empty_result_schema(spark, sf):
+    """A filter that no row passes: no rows, the columns as ever, and the emptiness test."""
+    none = fx.tx(spark, sf).where("price < 0").select("id", "price", F.lit(1).alias("rank"))
+    cols = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in none.schema.fields)
+    return none.agg(F.lit(cols).alias("columns"), F.count("*").alias("n")).withColumn("empty", F.lit(none.isEmpty()))

@@ -1,16 +1,17 @@
 """Catalogue: streaming forms (S1 S2 K1 W1 W5 W8), run with ``trigger(availableNow=True)``.
 
 Inputs are staged from the test tables into a fresh folder under the shared checkpoint root (the
-"producer" side: a line sink / record sink), then consumed as a file stream, one file per
-micro-batch. Results are read back from the ``foreachBatch`` sink as batch DataFrames.
+"producer" side: a line sink / record sink) and consumed as a file stream. Ordered inputs arrive in
+slices of many files; the stream runs once per slice on one checkpoint, so each slice but the first
+is a restart. Results are read back from the ``foreachBatch`` sink as batch DataFrames.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ts_text
-from tidemark.operators.ordinal import with_bucket
+from tidemark.functions.columns import epoch_micros
+from tidemark.operators.ordinal import with_ntile
 from tidemark.plans import fixtures as fx
 from tidemark.plans.q_batches import BATCH_LIMIT, CLOSED_DAYS, elapsed_sql
 from tidemark.plans.registry import register
@@ -25,14 +26,13 @@ EV_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 EV_HEADER = ",".join(EV_COLS)
 
 
-def stage_ordered_slices(spark, df, order_col: str, path: str, slices: int = SLICES, fmt: str = "parquet") -> None:
-    """Write ``df`` as ``slices`` files in ``order_col`` order, one append job per slice so file
-    modification times follow the order (the file source replays files in that order)."""
-    b = with_bucket(df, [order_col], num_partitions=slices).persist()
-    for i in range(slices):
-        part = b.where(F.col("_tm_pid") == i).drop("_tm_pid").coalesce(1)
-        part.write.mode("append").format(fmt).save(path)
-    b.unpersist()
+def ordered_slices(df, order_cols: list[str], path: str, slices: int = SLICES):
+    """Append ``df`` to ``path`` in ``slices`` steps in the order of ``order_cols``, each step's rows in
+    parallel; yields after each step. The order is computed once (a written distributed sort)."""
+    tiled = with_ntile(df, order_cols, slices, out="_tm_slice")
+    for i in range(1, slices + 1):
+        tiled.where(F.col("_tm_slice") == i).drop("_tm_slice").write.mode("append").parquet(path)
+        yield i
 
 
 @register("stream_line_source", sql="SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -43,8 +43,8 @@ def stream_line_source(spark, sf):
     body = lines.to_lines(ev, EV_COLS)
     src = spark.createDataFrame([(EV_HEADER,)], "value string").unionByName(body)
     inp = scratch_path(spark, "line-stream-in")
-    lines.write_lines(src.repartition(SLICES), inp)  # order is irrelevant for a count
-    stream = stream_files(spark, inp, "text")
+    lines.write_lines(src, inp)  # as many files as the table has partitions; their order is irrelevant for a count
+    stream = stream_files(spark, inp, "text", max_files_per_trigger=None)
     parsed = lines.split_naive(lines.clean_lines(stream, header=EV_HEADER), EV_COLS)
     counts = parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     out = scratch_path(spark, "line-stream-out")
@@ -58,11 +58,14 @@ def stream_line_source(spark, sf):
 
 def run_elapsed_stream(spark, sf, days: int, limit: int):
     ev = fx.events(spark, sf).select(*EV_COLS)
-    inp = scratch_path(spark, "events-stream-in")
-    stage_ordered_slices(spark, ev, "event_id", inp)
-    stream = stream_files(spark, inp, "parquet", schema=ev.schema)
-    cutter = ElapsedCutter(spark, scratch_path(spark, "cutter"), "ts", "event_id", f"{days} days", limit)
-    run_available_now(stream, scratch_path(spark, "ckpt-cutter"), cutter)
+    inp, base, ckpt = (scratch_path(spark, x) for x in ("events-stream-in", "cutter", "ckpt-cutter"))
+    cutter = None
+    for _ in ordered_slices(ev, ["event_id"], inp):
+        # a new cutter each time: it has only the written state to go on
+        cutter = ElapsedCutter(spark, base, "ts", "event_id", f"{days} days", limit, schema=ev.schema)
+        if cutter.done:
+            break
+        run_available_now(stream_files(spark, inp, "parquet", schema=ev.schema, max_files_per_trigger=None), ckpt, cutter)
     return cutter
 
 
@@ -74,22 +77,30 @@ def batch_by_elapsed_stream(spark, sf):
                                         F.max("event_id").alias("last_event_id"))
 
 
-@register("batch_by_window_stream", sql="""SELECT strftime(time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S') AS window_start,
-  count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1""")
+WATERMARK_MINUTES = 10
+
+
+@register("batch_by_window_stream", sql=f"""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)) AS s,
+  count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, sum_value FROM w
+WHERE s + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL {WATERMARK_MINUTES} MINUTE""")
 def batch_by_window_stream(spark, sf):
-    """Tumbling 1-day windows over the event stream, complete output mode (every window, including
-    the last one that an append-mode watermark would keep open)."""
-    ev = fx.table(spark, sf, "events").select(*EV_COLS)  # ts stays TIMESTAMP_NTZ: zone-free windows
-    inp = scratch_path(spark, "window-stream-in")
-    stage_ordered_slices(spark, ev, "event_id", inp)
-    stream = stream_files(spark, inp, "parquet", schema=ev.schema)
-    agg = (stream.groupBy(F.window("ts", "1 day").alias("w"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")))
-    out = scratch_path(spark, "window-stream-out")
+    """Tumbling 1-day windows over the event stream in append mode: a window is emitted once, when
+    the watermark passes its end, and its state is freed. The last windows stay open."""
+    ev = fx.table(spark, sf, "events").select(*EV_COLS)
+    # the instant that the zone-free time names in UTC: windows do not depend on the session's zone
+    ev = ev.withColumn("at", F.timestamp_micros(epoch_micros(ev, "ts")))
+    inp, out, ckpt = (scratch_path(spark, x) for x in ("window-stream-in", "window-stream-out", "ckpt-window"))
 
     def sink(batch, epoch):
-        batch.select(ts_text(F.col("w.start")).alias("window_start"), "n", F.round("s", 2).alias("sum_value")) \
-             .write.mode("overwrite").parquet(out)
-
-    run_available_now(agg, scratch_path(spark, "ckpt-window"), sink, output_mode="complete")
-    return spark.read.parquet(out)
+        batch.select(F.unix_micros("w.start").alias("us"), "n", F.round("s", 2).alias("sum_value")) \
+             .write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    for _ in ordered_slices(ev, ["at", "event_id"], inp):
+        stream = stream_files(spark, inp, "parquet", schema=ev.schema, max_files_per_trigger=None)
+        agg = (stream.withWatermark("at", f"{WATERMARK_MINUTES} minutes").groupBy(F.window("at", "1 day").alias("w"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")))
+        run_available_now(agg, ckpt, sink)
+    rows = spark.read.parquet(out)
+    start = F.expr("timestampadd(MICROSECOND, us, TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    return rows.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", "sum_value")

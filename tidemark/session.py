@@ -13,8 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[int, str] = {}
-_SHIPPED: set[int] = set()
+_LOCAL: dict[str, str] = {}  # application id -> local checkpoint folder
+_SHIPPED: set[str] = set()  # application ids
+_WRITTEN: dict[str, list[str]] = {}  # application id -> scratch paths handed out
 
 
 def get_spark(app: str = "tidemark", master: str | None = None,
@@ -22,22 +23,22 @@ def get_spark(app: str = "tidemark", master: str | None = None,
     """Build (or reuse) a session with the settings the library assumes.
 
     UTC session time zone (results must not depend on the host zone), no UI server, AQE on with
-    partition coalescing and skew-join splitting, Arrow for pandas transfer.
+    partition coalescing and skew-join splitting, Arrow for pandas transfer. The number of shuffle
+    partitions stays what the cluster sets unless the caller gives one (a test, a benchmark).
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
-    parts = shuffle_partitions or int(cpus)
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g")))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ship_package(spark)
@@ -47,8 +48,9 @@ def get_spark(app: str = "tidemark", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. If it is unset (tests, local mode) a fresh
-    local folder is created once per SparkContext and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session. If it is unset, a local master (tests, one
+    machine) gets a fresh local folder, registered as the checkpoint dir; on a cluster, whose
+    executors would not see such a folder, that is an error.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
@@ -60,23 +62,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application uuid folder; use its parent as the root
         return current.rstrip("/").rsplit("/", 1)[0]
-    key = id(sc)
-    if key not in _LOCAL_FALLBACK:
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _LOCAL:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(root)
-        _LOCAL_FALLBACK[key] = root
-    return _LOCAL_FALLBACK[key]
+        _LOCAL[sc.applicationId] = root
+    return _LOCAL[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder path (not created) under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this application wrote under ``scratch_path`` so far, through Hadoop's file system
+    (any shared store). For callers that are done with every frame that reads it, as between two
+    runs; returns the number of folders deleted."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(p.getFileSystem(conf).delete(p, True))
+    return done
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -100,7 +111,7 @@ def ship_package(spark: SparkSession) -> None:
     import tidemark
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(tidemark.__file__))
     fd, path = tempfile.mkstemp(prefix="tidemark-", suffix=".zip")
@@ -112,4 +123,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(path)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

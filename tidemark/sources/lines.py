@@ -19,19 +19,25 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def clean_lines(df: DataFrame, header: str | None = None, value: str = "value") -> DataFrame:
-    """Strip each line; drop the header record (if given) and lines that are empty after the strip."""
+def clean_lines(df: DataFrame, header: str | None = None, value: str = "value", keep_blank: bool = True) -> DataFrame:
+    """Strip each line and drop the header record (if given). A line that is empty after the strip
+    is a record like any other, as for the reference's producer; ``keep_blank=False`` drops it."""
     out = df.select(strip_ws(value).alias("value"))
     if header is not None:
         out = out.where(F.col("value") != F.lit(header))
-    return out.where(F.col("value") != "")
+    return out if keep_blank else out.where(F.col("value") != "")
 
 
 def split_naive(df: DataFrame, names: Sequence[str], sep: str = ",", value: str = "value",
-                keep: Sequence[str] = ()) -> DataFrame:
-    """Split on ``sep`` ignoring quotes (a quoted separator shifts later fields, as in the reference)."""
+                keep: Sequence[str] = (), null_token: str | None = None) -> DataFrame:
+    """Split on ``sep`` ignoring quotes (a quoted separator shifts later fields, as in the reference).
+    Fields that a short line lacks are null, fields beyond ``names`` are left out; a field equal to
+    ``null_token`` is null."""
     parts = F.split(F.col(value), _regex_escape(sep), -1)
-    return df.select(*[col_(k) for k in keep], *[parts.getItem(i).alias(n) for i, n in enumerate(names)])
+    fields = [F.get(parts, F.lit(i)) for i in range(len(names))]
+    if null_token is not None:
+        fields = [F.nullif(f, F.lit(null_token)) for f in fields]
+    return df.select(*[col_(k) for k in keep], *[f.alias(n) for f, n in zip(fields, names, strict=True)])
 
 
 def parse_quoted(df: DataFrame, schema_ddl: str, value: str = "value", options: dict | None = None) -> DataFrame:
@@ -41,9 +47,10 @@ def parse_quoted(df: DataFrame, schema_ddl: str, value: str = "value", options:
     return df.select(F.from_csv(F.col(value), schema_ddl, opts).alias("_r")).select("_r.*")
 
 
-def to_lines(df: DataFrame, cols: Sequence[str], sep: str = ",") -> DataFrame:
-    """Render rows as unquoted delimited lines (``value`` column)."""
-    return df.select(F.concat_ws(sep, *[col_(c).cast("string") for c in cols]).alias("value"))
+def to_lines(df: DataFrame, cols: Sequence[str], sep: str = ",", null_token: str = "") -> DataFrame:
+    """Render rows as unquoted delimited lines (``value`` column). A null field is ``null_token``, so
+    that every line has as many fields as there are columns."""
+    return df.select(F.concat_ws(sep, *[F.coalesce(col_(c).cast("string"), F.lit(null_token)) for c in cols]).alias("value"))
 
 
 def write_lines(df: DataFrame, path: str, fmt: str = "text", mode: str = "overwrite", **options) -> None:

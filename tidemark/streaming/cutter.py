@@ -5,10 +5,13 @@ anchor (``elapsed_cuts``: one scalar aggregate per cut for a small limit such as
 3; ``elapsed_cut_table``: pointer doubling when there is no limit or a large one, so a micro-batch
 holding many intervals costs O(log) rounds, not a job per cut), labels its rows with global batch
 ids, and writes them to ``rows/epoch=N``. The carried state (next batch id, anchor, closed count)
-is written per epoch to ``state/epoch=N`` under the query's folder on shared storage. A replayed
-epoch reads the state of the epochs before it and overwrites its own output, so reprocessing after
-a failure or restart gives the same rows, never duplicates. Micro-batches are assumed to arrive in
-arrival order (one topic partition, or files in modification-time order).
+is written per epoch to ``state/epoch=N`` under the query's folder on shared storage; only the last
+two epochs are kept, since a replay is of the last epoch or the next. A replayed epoch reads the
+state before it and overwrites its own output, so reprocessing after a failure between the rows and
+the state, or a restart, gives the same rows and never duplicates. Once the limit is reached nothing
+is written any more and ``done`` tells the runner to stop. Micro-batches are assumed to arrive in
+arrival order (one topic partition, or one staged slice per run). Records without a timestamp are in
+no batch.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import epoch_micros
 from tidemark.operators.batching import (SCAN_LIMIT, batch_of, elapsed_cut_table, elapsed_cuts,
@@ -36,11 +40,13 @@ class CutState:
 
 class ElapsedCutter:
     def __init__(self, spark: SparkSession, base_dir: str, ts_col: str, id_col: str, interval,
-                 limit: int | None = 3, out: str = "batch_id"):
+                 limit: int | None = 3, out: str = "batch_id", schema: StructType | None = None):
+        """``schema``: of the records; lets ``result`` answer when nothing has arrived."""
         self.spark = spark
         self.rows_dir = f"{base_dir}/rows"
         self.state_dir = f"{base_dir}/state"
         self.ts_col, self.id_col, self.interval, self.limit, self.out = ts_col, id_col, interval, limit, out
+        self.schema = schema
         self._last: tuple[int, CutState] | None = None  # (epoch, state) written by this process
 
     # -- state --------------------------------------------------------------------------------
@@ -59,17 +65,27 @@ class ElapsedCutter:
         r = r[0]
         return CutState(int(r["batch_id"]), None if r["anchor_us"] is None else int(r["anchor_us"]), int(r["closed"]))
 
+    @property
+    def done(self) -> bool:
+        """Whether the limit is reached: no later record will be read."""
+        if self.limit is None:
+            return False
+        return (self._last[1] if self._last else self.load_state()).closed >= self.limit
+
     def _save_state(self, epoch: int, s: CutState) -> None:
         df = self.spark.createDataFrame([(s.batch_id, s.anchor_us, s.closed)],
                                         "batch_id bigint, anchor_us bigint, closed bigint")
         df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{self.state_dir}/epoch={epoch}")
         self._last = (epoch, s)
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        old = jvm.org.apache.hadoop.fs.Path(f"{self.state_dir}/epoch={epoch - 2}")
+        old.getFileSystem(conf).delete(old, True)
 
     # -- handler ------------------------------------------------------------------------------
     def __call__(self, df: DataFrame, epoch: int) -> None:
         s = self.load_state(before_epoch=epoch)
         if self.limit is not None and s.closed >= self.limit:
-            self._save_state(epoch, s)  # the consumer has stopped: later records are never read
+            self._last = (epoch, s)  # the consumer has stopped: later records are never read
             return
         batch = df.persist()
         table = None
@@ -94,7 +110,8 @@ class ElapsedCutter:
             else:
                 cuts = elapsed_cuts(batch, self.ts_col, self.id_col, self.interval, remaining, anchor_us=anchor)
                 us = epoch_micros(batch, self.ts_col)
-                labelled = batch.withColumn(self.out, batch_of(us, F.col(self.id_col), cuts) + F.lit(s.batch_id - 1))
+                labelled = batch.withColumn(self.out, batch_of(us, F.col(self.id_col), cuts) + F.lit(s.batch_id - 1)) \
+                    .where(F.col(self.out).isNotNull())
                 n_cuts = len(cuts)
                 new_anchor = cuts[-1][0] if cuts else anchor
             closed = s.closed + n_cuts
@@ -110,7 +127,12 @@ class ElapsedCutter:
     # -- result -------------------------------------------------------------------------------
     def result(self, emit_open: bool = False) -> DataFrame:
         """Rows of closed batches (plus the open one when ``emit_open`` and the limit was not hit)."""
-        rows = self.spark.read.parquet(self.rows_dir).drop("epoch")
+        try:
+            rows = self.spark.read.parquet(self.rows_dir).drop("epoch")
+        except AnalysisException:
+            if self.schema is None:
+                raise
+            return self.spark.createDataFrame([], self.schema).withColumn(self.out, F.lit(None).cast("bigint"))
         s = self.load_state()
         if emit_open:
             return rows

@@ -34,14 +34,21 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str =
 
 
 def run_available_now(df: DataFrame, checkpoint: str, handler: Callable[[DataFrame, int], None],
-                      output_mode: str = "append", name: str | None = None) -> None:
-    """Process everything available now through ``foreachBatch(handler)`` and stop.
-    Restarting with the same checkpoint resumes after the last committed epoch."""
+                      output_mode: str = "append", name: str | None = None,
+                      until: Callable[[], bool] | None = None) -> None:
+    """Process everything available now through ``foreachBatch(handler)`` and stop; earlier once
+    ``until()`` is true. Restarting with the same checkpoint resumes after the last committed epoch."""
     w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
          .foreachBatch(handler).trigger(availableNow=True))
     if name:
         w = w.queryName(name)
     q = w.start()
-    q.awaitTermination()
+    if until is None:
+        q.awaitTermination()
+    else:
+        while not q.awaitTermination(1):
+            if until():
+                q.stop()
+                break
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
