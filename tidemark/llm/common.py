@@ -87,12 +87,13 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
-def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each (a single longer row is a range of its own)."""
+def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes each (a single longer row is a range of its own) and at
+    most ``rows`` rows."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1
-        j = min(n, max(j, i + 1))
+        j = min(n, max(j, i + 1), i + rows)
         yield i, j
         i = j
 
@@ -151,14 +152,14 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(col))).first()[0] or 0)
 
 
-def blocks_of(docs: DataFrame, total: int, block_bytes: int) -> tuple[DataFrame, int]:
-    """Documents with the number of a block of about ``block_bytes`` of text. The number depends
+def blocks_of(docs: DataFrame, total: int, block_bytes: int, name: str = "__block") -> tuple[DataFrame, int]:
+    """Documents with, as ``name``, the number of a block of about ``block_bytes`` of text. The number depends
     only on the row, so that each pass over the table forms the same blocks; rows without an id are
     dealt out by their text. Blocks stay this size as the table grows."""
     n = max(1, -(-total // block_bytes))
     # a null doc_id adds nothing to xxhash64, so such rows fall back to their text
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    return docs.withColumn("block", F.pmod(key, F.lit(n)).cast("int")), n
+    return docs.withColumn(name, F.pmod(key, F.lit(n)).cast("int")), n
 
 
 def one_task_each(rows: DataFrame, n: int) -> DataFrame:

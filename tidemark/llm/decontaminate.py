@@ -79,8 +79,12 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     d = d.withColumn("g", F.expr(_grams("w", GRAM, WINDOW) if WINDOW in sizes else "CAST(array() AS ARRAY<BIGINT>)"))
     every = [_least("g", WINDOW - GRAM + 1)] if WINDOW in sizes else []
     every += [f"array_distinct({_grams('w', n, n)})" for n in sorted(sizes) if n < WINDOW]
-    d = d.select("tk", "w", "g", F.explode(F.expr(f"concat({', '.join(every)})")).alias("fp"))
-    met = d.join(F.broadcast(prints) if small else prints, "fp")
+    runs = F.explode(F.expr(f"concat({', '.join(every)})")).alias("fp")
+    if small:  # the words ride along: one stage explodes, joins and drops what met nothing
+        met = d.select("tk", "w", "g", runs).join(F.broadcast(prints), "fp")
+    else:  # only hashes are shuffled; the words of the texts that met something come back by key
+        met = d.select("tk", runs).distinct().join(prints, "fp")
+        met = d.dropDuplicates(["tk"]).join(met, "tk")
     at = (f"IF(win = {WINDOW}, filter(transform(g, (x, i) -> IF(x = fp, i, NULL)), i -> i IS NOT NULL),"
           " filter(sequence(0, size(w) - win), p -> slice(w, p + 1, win) = iw))")
     # windows of the item that hold the run at q, laid against the run at p

@@ -87,7 +87,7 @@ def counted(docs: DataFrame) -> DataFrame:
     total = C.text_bytes(docs)
     bundles = max(1, -(-total // BUNDLE_BYTES))
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    blocks, _ = C.blocks_of(rows, total, BLOCK_BYTES)
+    blocks, _ = C.blocks_of(rows, total, BLOCK_BYTES, "block")
 
     def block_requests(t: pa.Table) -> tuple:
         uni, bi, first = tokens(t.column("text"))

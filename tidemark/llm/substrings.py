@@ -185,7 +185,6 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     of these names are replaced."""
     cols = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "spans", "__block")]
     blocks, n = C.blocks_of(docs.select(cols), C.text_bytes(docs), block_bytes)
-    blocks = blocks.withColumnRenamed("block", "__block")
     found = repeated_windows(blocks, n)
     schema = docs.select(*cols, *(F.lit(None).cast(kind).alias(name) for name, kind in (
         ("n_words", "long"), ("n_removed", "long"), ("kept", "string"), ("spans", "array<struct<start:int,end:int>>")))).schema
