@@ -16,11 +16,13 @@ sets have in common and both sign. Two prunings follow without loss:
 A set whose shingles fill too few partitions for this to hold (chance makes it possible) names its
 band; such a band is partitioned down to single elements, where it always holds.
 
-Verification is exact, on the sets. First every member of a signature group is compared with the
-group's smallest member only; links are joined to components. Groups that still span several
-components are then searched in blocks by bitmaps of element parities: two sets whose bitmaps differ
-in more bits than linked sets may differ in elements cannot be linked. What remains is verified.
-So copies are not expanded into pairs, and no link that joins two components is lost.
+Verification is exact, on the sets. First every member of a signature group is compared with one
+hub only, the member that shares signatures with most sets (the text that near copies were made
+from, if it is there); links are joined to components, and groups that span several get another hub,
+a few times. Groups that still span several components are then searched in blocks by bitmaps of
+element parities: two sets whose bitmaps differ in more bits than linked sets may differ in elements
+cannot be linked. What remains, between components, is verified. So copies are not expanded into
+pairs, and no link that joins two components is lost.
 
 Defined results: null or wordless text has an empty set and links with nothing; a text of one to
 four words has one shingle, the whole; rows with equal doc_id are rows of their own; the smallest
@@ -46,12 +48,15 @@ FIRST_BAND = 64
 BUCKET_BYTES = 4 << 20  # text bytes whose signatures one reducing group gets, about
 GROUP_BLOCK = 1024  # members of a signature group that are searched together
 KNOWN_KEYS = 1_000_000  # up to so many keys (8 bytes each) are broadcast to pick texts
+PIECE_ROWS = 1 << 12
+HUB_ROUNDS = 1
 U8 = np.uint64
 RECORD = np.dtype([("sig", "<u8"), ("id", "<u8")])
 
 
 def shingle_sets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): the distinct shingles of each text, sorted, and where each text's begin."""
+    """(hashes, first): the distinct shingles of each text, sorted, and where each text's begin. At
+    most PIECE_ROWS texts: text number and 52 bits of hash are sorted as one integer."""
     low = C.LOWER[buf]
     start, end, first = C.word_spans(low, off)
     h = C.word_hashes(low, start, end)
@@ -60,13 +65,11 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     sums = C.prefix_sums(h)
     few = np.flatnonzero((count > 0) & (count < SHINGLE))
     grams = np.concatenate([C.range_hash(sums, at, at + SHINGLE), C.range_hash(sums, first[few], first[few + 1])])
-    rows = np.concatenate([rows, few])
-    order = np.lexsort((grams, rows))
-    grams, rows = grams[order], rows[order]
-    if len(grams):
-        new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])])
-        grams, rows = grams[new], rows[new]
-    return grams, np.searchsorted(rows, np.arange(len(off)))
+    key = np.concatenate([rows, few]).astype(U8) << U8(52) | grams >> U8(12)
+    key.sort()
+    if len(key):
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    return C.mix(key & U8((1 << 52) - 1)), np.searchsorted(key >> U8(52), np.arange(len(off), dtype=U8))
 
 
 def set_ids(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -97,20 +100,28 @@ def signatures(hashes: np.ndarray, first: np.ndarray, fine: frozenset[int]) -> t
         h = gather(hashes, first[rows], n)
         row, tag = np.repeat(rows, n), np.repeat(own[rows] + step, n)
         top = (FIRST_BAND << tag).astype(np.float64)
-        # partitions hold 1.5 elements of the largest sets in band 1, 2.2 above; band 0 single elements
-        parts = np.maximum(top / np.where(tag == 1, 1.5, 2.2), 1).astype(U8)
-        single = np.isin(tag, list({0} | fine))
+        # partitions hold 1.5 elements of the largest sets in band 1, 2.2 above; in band 0 hardly two
+        # elements meet in one
+        parts = np.where(tag == 0, 1 << 20, np.minimum(top / np.where(tag == 1, 1.5, 2.2), 1 << 20)).astype(U8)
         m = C.mix(h + tag.astype(U8) * U8(0xA24BAED4963EE407))
-        part = np.where(single, m, m % parts)
-        order = np.lexsort((part, row))
-        part, row, tag, m = part[order], row[order], tag[order], C.mix(m[order])
-        new = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (row[1:] != row[:-1])]))
-        fill = np.diff(np.append(new, len(part)))
-        content = np.add.reduceat(m, new)
-        row, tag = row[new], tag[new]
-        sig = C.mix(content ^ C.mix(part[new] + U8(1)) ^ fill.astype(U8)) & ~U8(31) | tag.astype(U8)
+        single = np.isin(tag, list(fine)) if fine else np.zeros(1, bool)
+        if single.any():  # whole hashes as partitions: each element its own
+            order = np.lexsort((np.where(single, m, (m >> U8(32)) % parts), row))
+            part, row, tag, m = np.where(single, m, (m >> U8(32)) % parts)[order], row[order], tag[order], m[order] & U8(0xFFFFFFFF)
+            new = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (row[1:] != row[:-1])]))
+            row, tag, part = row[new], tag[new], part[new]
+        else:  # row, partition and 32 bits of the element sorted as one integer
+            key = row.astype(U8) << U8(52) | (m >> U8(32)) % parts << U8(32) | m & U8(0xFFFFFFFF)
+            key.sort()
+            place, m = key >> U8(32), key & U8(0xFFFFFFFF)
+            new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            row, part = (place[new] >> U8(20)).astype(np.int64), place[new] & U8((1 << 20) - 1)
+            tag = own[row] + step
+        fill = np.diff(np.append(new, len(m)))
+        content = np.add.reduceat(C.mix(m), new)
+        sig = C.mix(content ^ C.mix(part + U8(1)) ^ fill.astype(U8)) & ~U8(31) | tag.astype(U8)
         # fullest partitions first; equal contents stand at equal places in any set
-        order = np.lexsort((sig, -fill, row))
+        order = np.argsort(row.astype(U8) << U8(52) | U8(255) - np.minimum(fill, 255).astype(U8) << U8(44) | sig >> U8(20))
         row, sig, tag = row[order], sig[order], tag[order]
         begin = np.searchsorted(row, rows)
         place = np.arange(len(row)) - np.repeat(begin, np.diff(np.append(begin, len(row))))
@@ -129,7 +140,7 @@ def signatures(hashes: np.ndarray, first: np.ndarray, fine: frozenset[int]) -> t
 
 def _sets_of(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     buf, off = C.text_buffers(col)
-    for i, j in C.pieces(off):
+    for i, j in C.pieces(off, rows=PIECE_ROWS):
         yield i, j, *shingle_sets(buf[off[i]: off[j]], off[i: j + 1] - off[i])
 
 
@@ -189,19 +200,21 @@ def shared_signatures(docs: DataFrame, buckets: int, fine: frozenset[int]) -> Da
 
 
 def rarest(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(sig, id, n): the signatures that candidates must be sought by."""
+    """(sig, id, n, known): the signatures that candidates must be sought by; ``known`` tells how
+    many sets share signatures with this one, in all."""
     w = Window.partitionBy("id", "tag")
     rows = shared.join(classes, "id").withColumn("tag", F.expr("sig & 31"))
-    rows = rows.withColumn("have", F.count("*").over(w)).withColumn("place", F.row_number().over(w.orderBy("freq", "sig")))
-    return rows.where("have > n DIV 20 AND place <= have - n DIV 20").select("sig", "id", "n")
+    rows = rows.withColumn("have", F.count("*").over(w)).withColumn("known", F.sum("freq").over(w)) \
+        .withColumn("place", F.row_number().over(w.orderBy("freq", "sig")))
+    return rows.where("have > n DIV 20 AND place <= have - n DIV 20").select("sig", "id", "n", "known")
 
 
 def parity_bitmaps(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """Per set a bitmap of about as many bits as elements (a power of two, 64 at least): bit i tells
+    """Per set a bitmap of four to eight bits per element (a power of two, 256 at least): bit i tells
     whether an odd number of elements fall on i. Halving a bitmap by exclusive or is the bitmap of
     half as many bits, so that bitmaps of different lengths can be compared."""
     sizes = np.diff(first)
-    bits = 64 << np.maximum(np.ceil(np.log2(np.maximum(sizes, 1) / 64)), 0).astype(np.int64)
+    bits = 256 << np.maximum(np.ceil(np.log2(np.maximum(sizes, 1) / 64)), 0).astype(np.int64)
     at = np.concatenate([[0], np.cumsum(bits)])
     where = (C.mix(hashes) % np.repeat(bits, sizes).astype(U8)).astype(np.int64) + np.repeat(at[:-1], sizes)
     odd = (np.bincount(where, minlength=int(at[-1])) & 1).astype(np.uint8)
@@ -238,63 +251,96 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where("100 * common >= 80 * (nx + ny - common)").select("u", "v")
 
 
-def star_pairs(groups: DataFrame) -> DataFrame:
-    """Each member of a signature group with the group's smallest set."""
-    heads = groups.groupBy("sig").agg(F.min(F.struct("n", "id")).alias("head"), F.count("*").alias("c")).where("c > 1")
-    met = groups.join(heads, "sig").where("id <> head.id AND 80 * n <= 100 * head.n")
-    return met.select(F.least("id", "head.id").alias("u"), F.greatest("id", "head.id").alias("v")).distinct()
+def rooted(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """``groups`` with the component of each member, and only the groups that span several."""
+    rows = groups.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    spans = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
+    return rows.join(spans.select("sig", "c"), "sig")
 
 
-def cross_pairs(groups: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+def star_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Each member of a signature group with the best connected member that has not been a hub of
+    the group yet (``hubs``: sig, id) and is of another component."""
+    fresh = rows.join(hubs, ["sig", "id"], "left_anti")
+    heads = fresh.groupBy("sig").agg(F.max(F.struct("known", "id", "n", "root")).alias("head"))
+    met = rows.join(heads, "sig").where("root <> head.root AND 80 * n <= 100 * head.n AND 80 * head.n <= 100 * n")
+    return met.select("sig", F.col("head.id").alias("hub"), F.least("id", "head.id").alias("u"), F.greatest("id", "head.id").alias("v"))
+
+
+def cross_pairs(groups: DataFrame, sets: DataFrame, roots: DataFrame, buckets: int) -> DataFrame:
     """Pairs of one signature group in different components that sizes and bitmaps allow. Large
     groups are cut into blocks; each pair of blocks is a group of its own."""
-    rooted = groups.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_ = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
-    rows = rooted.join(open_.select("sig", F.expr(f"(c - 1) DIV {GROUP_BLOCK} + 1").cast("int").alias("blocks")), "sig")
+    rows = rooted(groups, roots).withColumn("blocks", F.expr(f"CAST((c - 1) DIV {GROUP_BLOCK} + 1 AS INT)"))
     rows = rows.withColumn("b", F.expr("pmod(hash(id), blocks)")).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("sig", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "id", "root", "n")
     rows = rows.join(sets.select("id", "bits"), "id").withColumn("key", F.xxhash64("sig", "bi", "bj"))
+    # a task handles many groups in one call
+    rows = rows.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
     def compare(t: pa.Table) -> pa.Table:
-        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-        n = t.column("n").to_numpy()
-        ids, root, block = (t.column(c).to_numpy() for c in ("id", "root", "b"))
-        raw = t.column("bits").to_pylist()
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        length = np.fromiter(map(len, raw), np.int64, len(raw))
-        for size in np.unique(length):  # compare at the shorter of two lengths
-            mine = np.flatnonzero(length == size)
-            more = np.flatnonzero(length >= size)
-            maps = np.stack([_fold(raw[i], int(size)) for i in more])
-            place = {int(i): k for k, i in enumerate(more)}
-            for i in mine.tolist():
-                j = more[(root[more] != root[i]) & ((length[more] > size) | (more > i))]
-                if bi != bj:
-                    j = j[block[j] != block[i]]
-                j = j[(80 * n[j] <= 100 * n[i]) & (80 * n[i] <= 100 * n[j])]
-                if not len(j):
-                    continue
-                apart = np.bitwise_count(maps[[place[int(x)] for x in j]] ^ maps[place[i]]).sum(axis=1)
-                j = j[9 * apart <= n[j] + n[i]]
-                if len(j):
-                    out.append((np.full(len(j), ids[i]), ids[j]))
-        u, v = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
-
-    return rows.groupBy("key").applyInArrow(compare, "u long, v long").distinct()
-
-
-def _fold(raw: bytes, size: int) -> np.ndarray:
-    a = np.frombuffer(raw, np.uint64)
-    while len(a) * 8 > size:
-        a = a[: len(a) // 2] ^ a[len(a) // 2:]
-    return a
+        key = t.column("key").to_numpy()
+        order = np.argsort(key, kind="stable")
+        key, ids, root, block, n = (t.column(c).to_numpy()[order] for c in ("key", "id", "root", "b", "n"))
+        apart = (t.column("bi").to_numpy() != t.column("bj").to_numpy())[order]  # a pair of blocks: members meet across
+        maps = Bitmaps(t.column("bits").take(pa.array(order)))
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(start, len(key)))
+        left = np.repeat(start + size, size) - np.arange(len(key))  # members of the group from here on
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
+        i, step = np.arange(len(key)), 1
+        while len(i := i[left[i] > step]):  # each member with the one ``step`` places on
+            j = i + step
+            ok = (root[i] != root[j]) & (80 * n[i] <= 100 * n[j]) & (80 * n[j] <= 100 * n[i]) & (~apart[i] | (block[i] != block[j]))
+            a, b = i[ok], j[ok]
+            if len(a):
+                near = 9 * maps.differ(a, b) <= n[a] + n[b]
+                out.append((ids[a[near]], ids[b[near]]))
+            step += 1
+        u, v = (np.concatenate(x) for x in zip(*out, strict=True))
+        pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+        return pa.table({"u": pairs[0], "v": pairs[1]})
+
+    return rows.groupBy("bucket").applyInArrow(compare, "u long, v long").distinct()
+
+
+class Bitmaps:
+    """Parity bitmaps of several lengths, one matrix per length."""
+
+    def __init__(self, bits: pa.ChunkedArray):
+        raw, off = C.text_buffers(bits)
+        self.size = np.diff(off)
+        self.place = np.zeros(len(self.size), np.int64)
+        self.rows = {}
+        for s in np.unique(self.size).tolist():
+            at = np.flatnonzero(self.size == s)
+            self.place[at] = np.arange(len(at))
+            self.rows[s] = gather(raw, off[at], self.size[at]).view(U8).reshape(len(at), -1)
+
+    def _take(self, at: np.ndarray, own: int, to: int) -> np.ndarray:
+        rows = self.rows[own][self.place[at]]
+        while own > to:
+            own //= 2
+            rows = rows[:, : own // 8] ^ rows[:, own // 8:]
+        return rows
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the maps of ``a`` and ``b`` differ, at the shorter length of the two."""
+        out = np.zeros(len(a), np.int64)
+        kind = self.size[a] << 32 | self.size[b]
+        for k in np.unique(kind).tolist():
+            x, y, to = k >> 32, k & 0xFFFFFFFF, min(k >> 32, k & 0xFFFFFFFF)
+            every = np.flatnonzero(kind == k)
+            for i in range(0, len(every), max(1, (1 << 23) // to)):  # a bounded number of bytes at a time
+                at = every[i: i + max(1, (1 << 23) // to)]
+                out[at] = np.bitwise_count(self._take(a[at], x, to) ^ self._take(b[at], y, to)).sum(axis=1)
+        return out
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, class_id, root) per document: component_id is
     the smallest doc_id of the documents that links reach from it, root names the component (null
     without words), class_id the document's set, text_key is a hash of its text."""
+    spark = docs.sparkSession
     sets = write_table(document_sets(docs), "shingle-sets")
     classes = sets.where("n > 0").select("id", "n").distinct()
     buckets = max(1, -(-C.text_bytes(docs) // BUCKET_BYTES))
@@ -307,9 +353,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         fine |= failed
     groups = write_table(rarest(shared.where("id IS NOT NULL"), classes), "signature-groups")
     picked = write_table(pick_sets(docs, sets, groups.select("id").distinct()), "candidate-sets")
-    links = write_table(verified(star_pairs(groups), picked), "links")
-    roots = components(links)
-    more = write_table(verified(cross_pairs(groups, picked, roots), picked), "links")
+    links, hubs = spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "sig long, id long")
+    roots = spark.createDataFrame([], "node long, root long")
+    for _ in range(HUB_ROUNDS):
+        met = write_table(star_pairs(rooted(groups, roots), hubs), "hub-pairs")
+        found = write_table(verified(met.select("u", "v").distinct(), picked), "links")
+        links = links.unionByName(found)
+        hubs = hubs.unionByName(met.select("sig", F.col("hub").alias("id")).distinct())
+        if found.take(1):
+            roots = components(links)
+        elif not met.take(1):
+            break
+    more = write_table(verified(cross_pairs(groups, picked, roots, buckets), picked), "links")
     roots = components(links.unionByName(more)) if more.take(1) else roots
     rows = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
