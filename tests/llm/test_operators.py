@@ -190,6 +190,28 @@ def test_spotsigs_of_awkward_rows(spark, tables, queries):
             assert by_text.setdefault(texts[r.doc_id] or "", r.fingerprint) == r.fingerprint
 
 
+def test_spotsigs_near_duplicates_equal_brute_force(spark):
+    rows = [(d, t) for d, t in sf_rows(spark)]
+    rows += [(10_000 + d, t.replace(" the ", " the zz ", 1)) for d, t in rows[:40]] + [(20_000, ""), (20_001, None)]
+    got = rows_of(spotsigs.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")), "doc_id", "n_signatures", "component_id")
+    sets = [spots(t or "") for _, t in rows]
+    at = list(range(len(rows)))
+
+    def find(x):
+        while at[x] != x:
+            x = at[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and jaccard(a, sets[j]) >= 0.8:
+                at[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), d), d)
+    same(got, [(d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))])
+
+
 def test_spotsigs_of_one_document_is_its_own_next(spark):
     df = spark.createDataFrame([(3, "abcdefgh the one two")], "doc_id bigint, text string")
     assert spotsigs.with_next(df, ["text"], 4).first()["next_text"] == "abcdefgh the one two"

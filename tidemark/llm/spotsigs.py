@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common as C
 
 CHAIN = 2
+LIKE = 0.8  # Jaccard similarity of near duplicates
 REACH = 8
 RANGE_BYTES = 8 << 20  # text bytes in one range of ids, about
 MOST_RANGES = 1 << 16
@@ -106,6 +107,59 @@ def with_next(docs: DataFrame, columns: list[str], n: int) -> DataFrame:
     return rows.where("guest = 0").drop("h", "at", "guest")
 
 
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose signature sets are alike enough, by exact intersection."""
+    a = sets.select(F.col("id").alias("u"), F.col("sigs").alias("x"))
+    b = sets.select(F.col("id").alias("v"), F.col("sigs").alias("y"))
+    both = pairs.join(a, "u").join(b, "v")
+    return both.withColumn("like", likeness("x", "y")).where(F.col("like") >= LIKE).select("u", "v")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_signatures, component_id): documents joined by fingerprints whose Jaccard similarity
+    is ``LIKE`` or more, over chains of such links; component_id is the smallest doc_id.
+
+    Equal fingerprints are one set. Sets are partitioned by their length (octaves of 1 / LIKE; a set
+    also enters the next partition, whose sets it may be alike). In a partition two sets can only be
+    alike if they share one of their rarest ``n - ceil(LIKE * n) + 1`` signatures and their lengths
+    differ by no more than that factor; what is left is compared exactly. Members of a shared
+    signature are first compared with its smallest set; only where several components remain are
+    they compared with each other, across components. Texts without words are alike to nothing."""
+    from tidemark.llm.graph import components
+    from tidemark.session import write_table
+
+    rows = with_signatures(docs.select("doc_id", "text"), "text", "sigs").select("doc_id", "sigs", F.xxhash64("sigs").alias("id"))
+    rows = write_table(rows.withColumn("n", F.size("sigs")), "spot-signatures")
+    sets = write_table(rows.where("n > 0").dropDuplicates(["id"]).select("id", "n", "sigs"), "spot-sets")
+    each = sets.select("id", "n", F.explode("sigs").alias("sig"))
+    rare = Window.partitionBy("id").orderBy("c", "sig")
+    each = each.join(each.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "sig")
+    # signatures of no other set come first in that order: count them in
+    own = Window.partitionBy("id")
+    each = each.withColumn("alone", F.col("n") - F.count("*").over(own)).withColumn("place", F.row_number().over(rare) + F.col("alone"))
+    kept = each.where(F.col("place") <= F.col("n") - F.ceil(LIKE * F.col("n")) + 1)
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / LIKE) + 1e-9).cast("int")
+    groups = kept.withColumn("band", F.explode(F.array(band, band + 1))).select(F.xxhash64("sig", "band").alias("sig"), "id", "n")
+    groups = write_table(groups, "spot-groups")
+    near = f"n <= {1 / LIKE + 1e-9} * m AND m <= {1 / LIKE + 1e-9} * n"
+    heads = groups.groupBy("sig").agg(F.min(F.struct("n", "id")).alias("h"), F.count("*").alias("c")).where("c > 1")
+    star = groups.join(heads, "sig").select("id", "n", F.col("h.id").alias("o"), F.col("h.n").alias("m")).where(f"id <> o AND {near}")
+    star = star.select(F.least("id", "o").alias("u"), F.greatest("id", "o").alias("v")).distinct()
+    links = write_table(_linked(star, sets), "links")
+    roots = components(links)
+    rooted = groups.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    open_ = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
+    rooted = write_table(rooted.join(open_, "sig"), "spot-open")
+    other = rooted.select("sig", F.col("id").alias("o"), F.col("n").alias("m"), F.col("root").alias("other"))
+    cross = rooted.join(other, "sig").where(f"id < o AND root <> other AND {near}").select(F.col("id").alias("u"), F.col("o").alias("v")).distinct()
+    more = write_table(_linked(cross, sets), "links")
+    roots = components(links.unionByName(more)) if more.take(1) else roots
+    out = rows.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    least = out.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return out.where("n > 0").join(least, "root").select("doc_id", F.col("n").alias("n_signatures"), "component_id").unionByName(
+        out.where("n = 0").select("doc_id", F.col("n").alias("n_signatures"), F.col("doc_id").alias("component_id")))
+
+
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = max(1, min(MOST_RANGES, C.text_bytes(docs) // RANGE_BYTES))
