@@ -34,7 +34,7 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 @given(st.lists(st.one_of(st.none(), st.sampled_from(list("abcdef"))), min_size=1, max_size=60))
 def test_label_map_is_frequency_ordered_bijection(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, c string")
-    maps = LabelMaps.fit(df, ["c"], persist=False)
+    maps = LabelMaps.fit(df, ["c"])
     t = maps.table.orderBy("index").collect()
     labels = [r["label"] for r in t]
     counts = pd.Series([v for v in values if v is not None]).value_counts()

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col_
 from tidemark.operators.ordinal import with_group_rank
+from tidemark.session import write_table
 
 # Maps with at most this many labels for a column are broadcast; larger ones use a shuffle join
 # (AQE's skew-join splitting covers a hot label on the data side).
@@ -54,7 +55,7 @@ def rank_labels(counts: DataFrame, group_cols: Sequence[str] = (),
     """
     keys = [*group_cols, "column"]
     if largest is None:
-        counts = counts.persist()  # aggregated label counts: read by the check and the ranking
+        counts = write_table(counts, "label-counts")  # read by the check and the ranking
         largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
     if largest <= max_window_labels:
         w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc("label"))
@@ -89,20 +90,18 @@ class LabelMaps:
     inline: dict[str, dict[str, int]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: Sequence[str], persist: bool = True) -> "LabelMaps":
-        counts = label_counts(df, cols).persist()
+    def fit(cls, df: DataFrame, cols: Sequence[str]) -> "LabelMaps":
+        counts = write_table(label_counts(df, cols), "label-counts")  # nothing stays in executor storage
         # one row per column: the map sizes (the unseen index) and the bound check of rank_labels
         sizes = {r["column"]: int(r["k"]) for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
         t = rank_labels(counts, largest=max(sizes.values(), default=0))
-        if persist:
-            t = t.persist()
         small = [c for c in cols if sizes.get(c, 0) <= INLINE_LABELS]
+        if len(small) < len(cols):  # joined once per remaining column
+            t = write_table(t, "label-maps")
         inline: dict[str, dict[str, int]] = {c: {} for c in small}
         if small:
             for r in t.where(F.col("column").isin(small)).select("column", "label", "index").collect():
                 inline[r["column"]][r["label"]] = int(r["index"])  # bounded by the size check
-            if persist:
-                counts.unpersist()  # the label table is cached now; lost blocks recompute from lineage
         return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols}, inline)
 
     def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import col_
 from tidemark.operators.labels import INLINE_LABELS, rank_labels, stack_values
 from tidemark.operators.ordinal import with_ntile
+from tidemark.session import write_table
 
 
 def _moment_names(k: int) -> list[str]:
@@ -130,10 +131,10 @@ def cumulative_categorical_ols(df: DataFrame, cats: Sequence[str], label: str, o
     combos = tiles.groupBy("set_id", *cats).agg(
         F.count(F.lit(1)).alias("cn"), F.avg("_y").alias("cy"), (F.var_pop("_y") * F.count(F.lit(1))).alias("cm2"))
     mc = combos.withColumn("model_id", F.explode(F.sequence(F.col("set_id"), F.lit(n_sets)))).drop("set_id")
-    mc = mc.persist()
+    mc = write_table(mc, "set-combinations")  # read for the maps, the means and the moments
     # label maps per model from the combination counts: every column in one stacked aggregate
-    cnt = (stack_values(mc, cats, extra=["model_id", "cn"])
-           .groupBy("model_id", "column", "label").agg(F.sum("cn").alias("n")).persist())
+    cnt = write_table(stack_values(mc, cats, extra=["model_id", "cn"])
+                      .groupBy("model_id", "column", "label").agg(F.sum("cn").alias("n")), "label-counts")
     sizes = {(int(r["model_id"]), r["column"]): int(r["k"])  # one row per (model, column)
              for r in cnt.groupBy("model_id", "column").agg(F.count(F.lit(1)).alias("k")).collect()}
     ranked = rank_labels(cnt, ["model_id"], largest=max(sizes.values(), default=0))
@@ -151,7 +152,7 @@ def cumulative_categorical_ols(df: DataFrame, cats: Sequence[str], label: str, o
                 e = F.when(F.col("model_id") == m, v) if e is None else e.when(F.col("model_id") == m, v)
             mc = mc.withColumn(f"x_{c}", e)
     else:
-        ranked = ranked.persist()
+        ranked = write_table(ranked, "label-maps")
         for c in cats:
             m = ranked.where(F.col("column") == c).select(
                 F.col("model_id").alias("_m"), F.col("label").alias(f"_l_{c}"), F.col("index").cast("double").alias(f"_x_{c}"))
