@@ -376,3 +376,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     sh AS (SELECT DISTINCT rid, array_to_string(w[s : s + 4], ' ') AS t
+            FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS s FROM d WHERE len(w) > 0)),
+     size AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+     common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b ON a.t = b.t AND a.rid < b.rid GROUP BY 1, 2),
+     link AS (SELECT x, y FROM common JOIN size a ON a.rid = x JOIN size b ON b.rid = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+     edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+     reach AS (SELECT rid, rid AS r FROM d UNION SELECT reach.rid, edge.y FROM reach JOIN edge ON reach.r = edge.x)
+SELECT a.doc_id, CAST(coalesce(any_value(size.n), 0) AS BIGINT) AS n_shingles, min(b.doc_id) AS component_id
+FROM reach JOIN d a ON a.rid = reach.rid JOIN d b ON b.rid = reach.r LEFT JOIN size ON size.rid = a.rid GROUP BY a.rid, a.doc_id"""

@@ -23,7 +23,8 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": separators.op9_token_counts,
 }
 
-SQL: dict[str, str] = {"op10_winnowing": decontaminate.OP10_SQL, "op8_warc": warc.OP8_SQL}
+SQL: dict[str, str] = {"op1_substring_dedup": substrings.OP1_SQL, "op6_jaccard_join": partenum.OP6_SQL,
+                       "op10_winnowing": decontaminate.OP10_SQL, "op8_warc": warc.OP8_SQL}
 
 
 def _shipped(fn):

@@ -232,3 +232,16 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     win AS (SELECT rid, s, array_to_string(w[s : s + 34], ' ') AS t
+             FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+     again AS (SELECT t FROM win GROUP BY t HAVING count(*) > 1),
+     gone AS (SELECT DISTINCT rid, unnest(range(s, s + 35)) AS p FROM win JOIN again USING (t)),
+     kept AS (SELECT rid, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n
+              FROM (SELECT rid, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d) ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
