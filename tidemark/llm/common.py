@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 U8 = np.uint64
-PIECE_BYTES = 2 << 20  # text bytes that a kernel holds as numpy arrays at once
+PIECE_BYTES = 1 << 20  # text bytes that a kernel holds as numpy arrays at once
 _ROOT = U8(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INV = U8(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -71,8 +71,42 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * q[start] + (end - start).astype(U8))
 
 
+_LEAN = False
+
+
+def lean() -> None:
+    """Keep a Python worker small between tasks and batches: Arrow takes its buffers from the system's
+    allocator, and a thread gives freed memory back every second, also while the worker idles. A
+    no-op in the driver and where the C library has no such call."""
+    global _LEAN
+    if _LEAN:
+        return
+    _LEAN = True
+    from pyspark import TaskContext
+
+    if TaskContext.get() is None:
+        return
+    import ctypes
+    import threading
+    import time
+
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+    def run() -> None:
+        while True:
+            time.sleep(1)
+            trim(0)
+
+    threading.Thread(target=run, daemon=True).start()
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary array; a null counts as empty text."""
+    lean()
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.string())
     if col.null_count:
@@ -123,6 +157,20 @@ def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return range_hash(prefix_sums(buf.astype(U8) + U8(1)), start, end)
 
 
+def hashed_words(buf: np.ndarray, offsets: np.ndarray, sep: np.ndarray = SPACE
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``word_spans`` and ``word_hashes`` of many rows, a piece of the bytes at a time."""
+    parts = []
+    for i, j in pieces(offsets):
+        part = buf[offsets[i]: offsets[j]]
+        start, end, first = word_spans(part, offsets[i: j + 1] - offsets[i], sep)
+        parts.append((start + offsets[i], end + offsets[i], np.diff(first), word_hashes(part, start, end)))
+    if not parts:
+        return (*word_spans(buf, offsets, sep), np.zeros(0, U8))
+    start, end, counts, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return start, end, np.concatenate([[0], np.cumsum(counts)]), h
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` words from each position (len(words) - k + 1 of them, row bounds ignored)."""
     n = len(words) - k + 1

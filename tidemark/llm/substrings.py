@@ -43,8 +43,8 @@ SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8")])
 
 def _words(texts: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
     buf, off = C.text_buffers(texts)
-    start, end, first = C.word_spans(buf, off)
-    return buf, start, end, first, C.word_hashes(buf, start, end)
+    start, end, first, h = C.hashed_words(buf, off)
+    return buf, start, end, first, h
 
 
 def window_names(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
