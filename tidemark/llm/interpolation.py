@@ -13,7 +13,9 @@ counted together, over all training tokens.
 
 Counts are exact and cover the whole training set. Documents come in blocks; a block asks once for
 each distinct unigram and bigram that it holds and says how often it holds it in training text;
-bundles of n-grams add up and answer. Hot n-grams cost one request per block. The answers are
+bundles of n-grams add up and answer. Hot n-grams cost one request per block. Unigrams are named by 64
+bits; bigrams by 48 and their bundle, whose size does not grow with the corpus (about one bigram in
+10^8 shares its name with another). The answers are
 written as two numbers per token, from which weights and scores follow without a shuffle.
 
 Defined results: null or empty text is the end token alone; a row without an id is held out; rows
@@ -35,6 +37,7 @@ from tidemark.session import scratch_path
 BLOCK_BYTES = 8 << 20
 BUNDLE_BYTES = 4 << 20  # text bytes whose n-grams one bundle counts, about
 BUCKETS = 64  # octaves of the context's count, and one for unseen contexts
+BIGRAM_DROP = 2  # low bytes of a bigram's hash that are not sent: 48 bits and the bundle name it
 STEPS = 4  # per octave, of the ratios that EM counts together
 ROUNDS = 50
 U8 = np.uint64
@@ -47,37 +50,56 @@ def held_out(col: str = "doc_id") -> Column:
 
 
 def tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unigram keys, bigram keys, first): the tokens of all texts with an end token each. The lowest
-    bit of a key tells unigrams (0) from bigrams (1)."""
+    """(unigram keys, bigram keys, first): the tokens of all texts with an end token each."""
     buf, off = C.text_buffers(texts)
     buf = C.LOWER[buf]
-    start, end, first = C.word_spans(buf, off)
-    h = np.insert(C.word_hashes(buf, start, end), first[1:], _END)
+    _, _, first, h = C.hashed_words(buf, off)
+    h = np.insert(h, first[1:], _END)
     first = first + np.arange(len(first))
     context = np.roll(h, 1)
     context[first[:-1]] = _END  # a text's begin
-    return h & ~U8(1), C.mix(context * _PAIR + h) | U8(1), first
+    return h, C.mix(context * _PAIR + h), first
 
 
-def requests(uni: np.ndarray, bi: np.ndarray, train: np.ndarray, bundles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def requests(keys: np.ndarray, train: np.ndarray, bundles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys, training counts, bounds, inverse) of a block's distinct n-grams in the order of bundle
-    and key; ``inverse`` gives the place of each token's unigram, then of each token's bigram."""
-    every = np.concatenate([uni, bi])
-    keys, inverse = np.unique(every, return_inverse=True)
-    counts = np.bincount(inverse, np.concatenate([train, train]), minlength=len(keys)).astype(np.uint32)
-    order, bounds = C.spread((keys % U8(bundles)).astype(np.int64), bundles)
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.arange(len(keys))
-    return keys[order], counts[order], bounds, place[inverse]
-
-
-def _planes(keys: np.ndarray) -> bytes:
-    """Bytes of equal weight together: sorted keys then compress a little."""
-    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(U8).ravel()
+    and key; ``inverse`` gives the place of each token's n-gram."""
+    names, inverse = np.unique(keys, return_inverse=True)
+    counts = np.bincount(inverse, train, minlength=len(names)).astype(np.uint32)
+    order, bounds = C.spread((names % U8(bundles)).astype(np.int64), bundles)
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    return names[order], counts[order], bounds, place[inverse]
+
+
+def _planes(values: np.ndarray, drop: int = 0) -> bytes:
+    """Bytes of equal weight together, without the ``drop`` lowest: the upper bytes of sorted keys and
+    of small counts repeat and are compressed on the way."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize)[:, drop:].T).tobytes()
+
+
+def _from_planes(raw: bytes, dtype: type, drop: int = 0) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    n = len(raw) // (width - drop)
+    out = np.zeros((n, width), np.uint8)
+    out[:, drop:] = np.frombuffer(raw, np.uint8).reshape(width - drop, n).T
+    return out.view(dtype).ravel()
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per request the total of each of its n-grams; and how many n-grams with a total each request
+    was the first to name."""
+    size = np.fromiter(map(len, keys), np.int64, len(keys))
+    every = np.concatenate(keys)
+    names, one, inverse = np.unique(every, return_index=True, return_inverse=True)
+    total = np.zeros(len(names), U8)
+    np.add.at(total, inverse, np.concatenate(counts).astype(U8))
+    new = np.zeros(len(every) + 1, np.int64)
+    new[one[total > 0] + 1] = 1
+    at = np.concatenate([[0], np.cumsum(size)])
+    seen = np.diff(np.cumsum(new)[at])
+    back = total[inverse]
+    return [back[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], seen
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -92,43 +114,40 @@ def counted(docs: DataFrame) -> DataFrame:
     def block_requests(t: pa.Table) -> tuple:
         uni, bi, first = tokens(t.column("text"))
         train = np.repeat(~t.column("held_out").to_numpy().astype(bool), np.diff(first))
-        return (*requests(uni, bi, train, bundles), first)
+        return requests(uni, train, bundles), requests(bi, train, bundles), first
 
     def ask(key: tuple, t: pa.Table) -> pa.Table:
-        keys, counts, bounds, _, _ = block_requests(t)
-        full = np.flatnonzero(np.diff(bounds))
-        return pa.table({"bundle": pa.array(full, pa.int32()), "block": pa.array(np.full(len(full), key[0].as_py()), pa.int32()),
-                         "keys": pa.array([_planes(keys[bounds[i]: bounds[i + 1]]) for i in full], pa.binary()),
-                         "counts": pa.array([counts[bounds[i]: bounds[i + 1]].tobytes() for i in full], pa.binary())})
+        one, two, _ = block_requests(t)
+        full = np.flatnonzero(np.diff(one[2]) + np.diff(two[2]))
+        cols = {"bundle": pa.array(full, pa.int32()), "block": pa.array(np.full(len(full), key[0].as_py()), pa.int32())}
+        for name, (keys, counts, at, _), drop in (("1", one, 0), ("2", two, BIGRAM_DROP)):
+            cols["k" + name] = pa.array([_planes(keys[at[i]: at[i + 1]], drop) for i in full], pa.binary())
+            cols["c" + name] = pa.array([_planes(counts[at[i]: at[i + 1]]) for i in full], pa.binary())
+        return pa.table(cols)
 
     def answer(key: tuple, t: pa.Table) -> pa.Table:
-        keys = [_from_planes(x) for x in t.column("keys").to_pylist()]
-        size = np.fromiter(map(len, keys), np.int64, len(keys))
-        every = np.concatenate(keys)
-        counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint32)
-        names, one, inverse = np.unique(every, return_index=True, return_inverse=True)
-        total = np.zeros(len(names), U8)
-        np.add.at(total, inverse, counts.astype(U8))
-        new = np.zeros(len(every), np.int64)  # the first request of a trained unigram
-        new[one[(total > 0) & (names & U8(1) == 0)]] = 1
-        at = np.concatenate([[0], np.cumsum(size)])
-        back = total[inverse]
-        return pa.table({"block": t.column("block"), "bundle": pa.array(np.full(len(keys), key[0].as_py()), pa.int32()),
-                         "first_seen": pa.array(np.add.reduceat(new, at[:-1])),
-                         "totals": pa.array([back[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())})
+        cols = {"block": t.column("block"), "bundle": pa.array(np.full(len(t), key[0].as_py()), pa.int32())}
+        for name, drop in (("1", 0), ("2", BIGRAM_DROP)):
+            keys = [_from_planes(x, U8, drop) for x in t.column("k" + name).to_pylist()]
+            counts = [_from_planes(x, np.uint32) for x in t.column("c" + name).to_pylist()]
+            totals, seen = _summed(keys, counts)
+            cols["t" + name] = pa.array([_planes(x) for x in totals], pa.binary())
+            if name == "1":
+                cols["first_seen"] = pa.array(seen)
+        return pa.table(cols)
 
     by = blocks.groupBy("block")
-    asked = by.applyInArrow(ask, "bundle int, block int, keys binary, counts binary")
-    answers = asked.groupBy("bundle").applyInArrow(answer, "block int, bundle int, first_seen long, totals binary")
+    asked = by.applyInArrow(ask, "bundle int, block int, k1 binary, c1 binary, k2 binary, c2 binary")
+    answers = asked.groupBy("bundle").applyInArrow(answer, "block int, bundle int, first_seen long, t1 binary, t2 binary")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def fill(key: tuple, t: pa.Table, got: pa.Table) -> pa.Table:
-        _, _, _, inverse, first = block_requests(t)
+        one, two, first = block_requests(t)
         got = got.sort_by("bundle")
-        totals = np.frombuffer(b"".join(got.column("totals").to_pylist()), U8)[inverse]
+        c1, c2 = (np.concatenate([_from_planes(x, U8) for x in got.column(name).to_pylist()])[asked[3]] for name, asked in (("t1", one), ("t2", two)))
+        totals = np.concatenate([c1, c2])
         width = 8 if len(totals) and totals.max() > 0xFFFFFFFF else 4
-        half = len(totals) // 2
-        c1, c2 = (x.astype(f"<u{width}") for x in (totals[:half], totals[half:]))
+        c1, c2 = c1.astype(f"<u{width}"), c2.astype(f"<u{width}")
         seen = np.zeros(len(t), np.int64)
         seen[0] = sum(got.column("first_seen").to_pylist())
         cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
