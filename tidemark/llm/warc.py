@@ -145,11 +145,16 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, leas
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record of an archive, one gzip member at a time."""
-    rest = data
-    while rest:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(rest) + z.flush()
-        rest = z.unused_data
+    at = 0
+    while at < len(data):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:  # in small pieces: what is left behind a member is copied by the decompressor
+            piece = data[at: at + (1 << 15)]
+            if not piece:
+                raise ValueError("the archive ends within a record")
+            parts.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+        raw = b"".join(parts)
         head, _, tail = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if lines[0] != "WARC/1.1":
