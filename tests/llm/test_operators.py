@@ -217,6 +217,45 @@ def test_spotsigs_of_one_document_is_its_own_next(spark):
     assert spotsigs.with_next(df, ["text"], 4).first()["next_text"] == "abcdefgh the one two"
 
 
+def word_chains(text):
+    import regex
+
+    spaced = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ", text.lower())
+    w = [x for x in regex.split(r"[^\p{L}\p{N}]+", spaced) if x]
+    w = ["", "", *w, "", ""] if w else []
+    return {tuple(w[i: i + 3]) for i in range(len(w) - 2)}
+
+
+def test_spotsigs_compare_texts_without_anchors(spark, queries, tmp_path):
+    """Near copies in other scripts, list-like, repeated and short texts, next to a text full of anchors."""
+    import random
+
+    rnd = random.Random(3)
+    greek = [" ".join(rnd.choices([f"λέξη{i}" for i in range(200)], k=80)) for _ in range(2)]
+    han = ["".join(rnd.choices("日月火水木金土山川田人口車門大小中上下左右", k=200)) + "。" for _ in range(2)]
+    menu = " | ".join(f"Item{i}" for i in range(60))
+    english = " ".join(f"the word{i} and thing{i}" for i in range(60))
+    texts = [greek[0], greek[1], han[0], han[1], menu, english, "Nd, " * 90, english + " tail", "one two three four five six seven", english,
+             menu + " " + english[:300], "", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries["op4_spotsigs"](spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        after, cut = texts[(i + 1) % len(texts)], len(t) // 4
+        edited = t[: len(t) - cut] + after[:cut]
+        for other, near, like in ((edited, got[i].near_edited, got[i].like_edited), (after, got[i].near_next, got[i].like_next)):
+            few = any(len(s) < max(8, n // 16) for s, n in ((set() if spots(x) == {tuple(words_of(x))} else spots(x), len(words_of(x))) for x in (t, other)))
+            assert like == pytest.approx(jaccard(word_chains(t), word_chains(other)) if few else near, abs=1e-9)
+        if t:
+            assert got[i].like_edited > 0
+    assert all(got[i].like_edited > 0.4 for i in (0, 2, 4)) and got[5].like_next < 0.1 and got[11].like_next == 1
+
+
+def words_of(text):
+    import regex
+
+    return [x for x in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if x]
+
+
 # ---- op5
 
 @pytest.mark.parametrize("which", ["odd", "sf"])
