@@ -471,6 +471,38 @@ def test_winnowing_equals_brute_force(spark, tables, queries, monkeypatch):
     same(rows_of(queries["op10_winnowing"](spark, tables[0]), *cols), want)
 
 
+def test_winnowing_of_long_items(spark, queries, tmp_path, monkeypatch):
+    """A fingerprint's row does not grow with its item, and bytes count as well as rows."""
+    import random
+
+    from tidemark.llm import decontaminate
+
+    rnd = random.Random(4)
+    w = rnd.choices([f"w{i}" for i in range(900)], k=3000) + ["loop"] * 40 + [f"t{i}" for i in range(14)]
+    items = [(1, " ".join(w)), (2, " ".join(w[:10])), (3, " ".join(w[-11:])), (4, "one two"), (5, " ".join(w[500:800] + w[100:130]))]
+    cuts = [(0, 10), (0, 9), (1, 11), (700, 760), (2990, 3054), (3035, 3054), (3044, 3054), (3045, 3054), (3, 3000)]
+    rows = [(i, " ".join(["x", *w[a:b], "y", *w[a + 2: b]])) for i, (a, b) in enumerate(cuts)] + [(90, " ".join(w)), (91, "one two"), (92, "loop " * 12)]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = decontaminate.item_prints(spark.read.parquet(f"{tmp_path}/benchmark.parquet")).select(F.max(F.size("iw"))).first()[0]
+    assert sizes == 2 * decontaminate.WINDOW - decontaminate.GRAM
+    cols, want = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), brute.contaminated(rows, items)
+
+    def broadcast(df):
+        return "BroadcastHashJoin [fp" in df._jdf.queryExecution().sparkPlan().toString()
+
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, is_broadcast in ((decontaminate.BROADCAST_BYTES, True), (0, False)):
+            monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+            got = queries["op10_winnowing"](spark, str(tmp_path))
+            assert broadcast(got) == is_broadcast
+            same(rows_of(got, *cols), want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
 # ---- shared kernels
 
 @settings(max_examples=100, deadline=None)

@@ -7,9 +7,11 @@ extended: every window of the item around the shared run is compared with the do
 that hash collisions add nothing. An item shorter than ``WINDOW`` is one window of its own length,
 whose only run is the whole item.
 
-The benchmark's fingerprints are broadcast while their number is under ``BROADCAST_ROWS`` (counted
-first); beyond that both sides are shuffled. Hits are gathered per distinct text, already merged in
-each task, so that copies of a text cost one group.
+A fingerprint carries the item's words around its run, at most ``2 * WINDOW - GRAM``, and not the
+item, so that its size does not grow with the item. The benchmark's fingerprints are broadcast while
+their number is at most ``BROADCAST_ROWS`` and their bytes at most ``BROADCAST_BYTES`` (both counted
+first, as words may be long); beyond that both sides are shuffled. Hits are gathered per distinct
+text, already merged in each task, so that copies of a text cost one group.
 
 Defined results: null text has no words. Rows with equal doc_id are rows of their own. An item
 without an id counts under the empty name; items of one id count once.
@@ -25,6 +27,7 @@ from tidemark.llm import common as C
 WINDOW = 10
 GRAM = 5
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 << 20
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words, after lower-casing
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # a word before lower-casing
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,13 +55,18 @@ def _least(grams: str, w: int) -> str:
 
 def item_prints(items: DataFrame) -> DataFrame:
     """(fp, item, win, q, iw): the fingerprints of every item, with the item's window length, the
-    run's position and the item's words."""
+    item's words that windows with the run can hold, and the run's position among these."""
     words = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of("text").alias("iw")) \
         .where("size(iw) > 0").distinct().withColumn("win", F.least(F.size("iw"), F.lit(WINDOW)))
-    long = words.where(f"win = {WINDOW}").withColumn("g", F.expr(_grams("iw", GRAM, WINDOW))) \
-        .withColumn("fps", F.expr(_least("g", WINDOW - GRAM + 1))) \
-        .select("item", "win", "iw", F.posexplode("g").alias("q", "fp"), "fps").where("array_contains(fps, fp)") \
-        .select("fp", "item", "win", "q", "iw")
+    # by single elements, as a slice copies its whole array: linear in the item's length
+    before, runs = WINDOW - GRAM, WINDOW - GRAM + 1
+    mins = f"transform(sequence(0, size(g) - {runs}), i -> least({', '.join(f'get(g, i + {j})' for j in range(runs))}))"
+    least = f"get(g, i) IN ({', '.join(f'get(mins, i - {j})' for j in range(runs))})"
+    around = f"filter(array({', '.join(f'get(iw, i + {j})' for j in range(-before, WINDOW))}), x -> x IS NOT NULL)"
+    prints = (f"transform(filter(sequence(0, size(g) - 1), i -> {least}),"
+              f" i -> struct(get(g, i) AS fp, least(i, {before}) AS q, {around} AS iw))")
+    long = words.where(f"win = {WINDOW}").withColumn("g", F.expr(_grams("iw", GRAM, WINDOW))).withColumn("mins", F.expr(mins)) \
+        .select("item", "win", F.explode(F.expr(prints)).alias("p")).select("p.fp", "item", "win", "p.q", "p.iw").distinct()
     short = [words.where(f"win = {n}").select(F.expr(f"{_grams('iw', n, n)}[0]").alias("fp"), "item", "win", F.lit(0).alias("q"), "iw")
              for n in range(1, WINDOW)]
     for s in short:
@@ -71,10 +79,12 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``tk`` being the md5 of the text and ``start`` a word position. Distinct within each task at
     least."""
     prints = item_prints(items)
-    sizes = {r.win: r.n for r in prints.groupBy("win").agg(F.count("*").alias("n")).collect()}  # at most WINDOW rows
+    # what a row holds besides the text of its words is about 16 bytes a word and 64 bytes
+    row_bytes = F.sum(F.octet_length(F.array_join("iw", "")) + F.octet_length("item") + 16 * F.size("iw") + 64)
+    sizes = {r.win: (r.n, r.b) for r in prints.groupBy("win").agg(F.count("*").alias("n"), row_bytes.alias("b")).collect()}  # at most WINDOW rows
     if not sizes:
-        sizes = {WINDOW: 0}
-    small = sum(sizes.values()) <= BROADCAST_ROWS
+        sizes = {WINDOW: (0, 0)}
+    small = sum(n for n, _ in sizes.values()) <= BROADCAST_ROWS and sum(b for _, b in sizes.values()) <= BROADCAST_BYTES
     d = docs.select(F.md5(F.col("text").cast("binary")).alias("tk"), words_of("text").alias("w")).where(f"size(w) >= {min(sizes)}")
     d = d.withColumn("g", F.expr(_grams("w", GRAM, WINDOW) if WINDOW in sizes else "CAST(array() AS ARRAY<BIGINT>)"))
     every = [_least("g", WINDOW - GRAM + 1)] if WINDOW in sizes else []
