@@ -526,6 +526,25 @@ def test_null_vectors_are_no_items_and_no_requests(spark, dim):
     assert near[0]["id"] == 0 and {r["id"] for r in near} <= set(range(40))
 
 
+@pytest.mark.parametrize("dim", [4, 80])
+def test_nan_vectors_are_no_items_and_no_requests(spark, dim):
+    rs = np.random.RandomState(dim)
+    data = [(i, [float(x) for x in rs.normal(size=dim)]) for i in range(3)]
+    nans = [(100, [float("nan")] + [0.0] * (dim - 1)), (101, [0.0] * (dim - 1) + [float("nan")])]
+    clean, all_ = (spark.createDataFrame(x, "id bigint, vec array<double>") for x in (data, data + nans))
+    vectors = sim.projection_vectors(dim, 3, 7)
+    hashes = {r["id"]: r["h"] for r in all_.select("id", sim.lsh_hashes(F.col("vec"), vectors, 1e6).alias("h")).collect()}
+    assert hashes[100] is None and hashes[101] is None and all(len(hashes[i]) == 3 for i in range(3))
+    one = F.array(F.lit(0).cast("bigint"))  # all in one bucket, of fewer vectors than are asked for
+    got = []
+    for d in (clean, all_):
+        items, asked = d.withColumn("h", one), d.select(F.col("id").alias("request_id"), "vec", one.alias("h"))
+        got.append(sorted(map(tuple, sim.recommend(items, asked, 5, None, None, item_hashes="h", req_hashes="h").collect())))
+    assert got[0] == got[1] and len(got[0]) == 9
+    near = sim.knn_single(all_, "vec", data[0][1], 5).collect()
+    assert near[0]["id"] == 0 and sorted(r["id"] for r in near) == [0, 1, 2]
+
+
 def test_knn_many_equals_brute_force_for_a_key_table(spark):
     e = fx.embeddings(spark, SF_SMALL)
     keys = e.where("id < 30").select(F.col("id").alias("qid"), "vec")

@@ -22,8 +22,8 @@ EXPR_LIMIT = 64
 
 
 def usable(vec: Column) -> Column:
-    """False for a null vector and for one with a null element: neither can be hashed or compared."""
-    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull())
+    """False for a null vector and for one with a null or NaN element: none can be hashed or compared."""
+    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x.cast("double")))
 
 
 def _rows(s: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +42,7 @@ def _per_row(ok: np.ndarray, values: np.ndarray) -> pd.Series:
 
 def bucket_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length: float) -> Column:
     """array<bigint>: floor(x . v_t / bucket_length) for each projection vector v_t; null for a
-    vector that is null or holds a null, whatever the size."""
+    vector that is null or holds a null or NaN, whatever the size."""
     dim = len(vectors[0])
     if dim * len(vectors) <= EXPR_LIMIT:
         return F.when(usable(vec), F.array(*[
@@ -60,7 +60,7 @@ def bucket_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length
 
 def key_distances(vec: Column, keys: Sequence[Sequence[float]]) -> Column:
     """array<double>: Euclidean distance of ``vec`` to each key vector (a short literal list); null
-    for a vector that is null or holds a null."""
+    for a vector that is null or holds a null or NaN."""
     dim = len(keys[0])
     if dim * len(keys) <= EXPR_LIMIT:
         return F.when(usable(vec), F.array(*[euclid(vec, list(k)) for k in keys]))

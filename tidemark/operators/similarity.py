@@ -17,7 +17,7 @@ job). Categorical features give few distinct vectors, so the search runs vector
 
 Exact: an item among a request's best k + 1 has at most k vectors before its own, since each of
 those holds an item that ranks before it. Ids may be of any orderable type and are expected to be
-unique; a null vector, or one with a null element, is no item and no request.
+unique; a null vector, or one with a null or NaN element, is no item and no request.
 """
 
 from __future__ import annotations
