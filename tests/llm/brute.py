@@ -90,3 +90,131 @@ def unigram_scores(rows):
     c = collections.Counter(x for _, w, h in docs if not h for x in w)
     n, v = sum(c.values()), len(c)
     return [(d, h, len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for d, w, h in docs]
+
+
+def damaged_words(rows):
+    """Counter of the words of the spelling contract."""
+    out = collections.Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 7:
+                out[run] += 1
+    return {w: n for w, n in out.items() if n >= 2}
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i + 1:] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1:]
+
+
+def variants(words):
+    """(word, form, root, n, n_near, form_n) per word of a dictionary of counts."""
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * words[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, words[w], len(near[w]), None if form[w] is None else words[form[w]]))
+    return out
+
+
+def damaged_turns(rows):
+    """{conv_id: rows (turn, role, text) after damage, in order}."""
+    out = {}
+    for conv, turn, role, text in rows:
+        kept = out.setdefault(conv, [])
+        h = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if h == 0:
+            continue
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        kept += [(turn, "user" if h == 4 else role, text)] * (2 if h == 3 else 1)
+    for kept in out.values():
+        kept.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).hexdigest()))
+    return out
+
+
+def faults(kept):
+    seen, out = set(), []
+    for _, role, text in kept:
+        tail = re.sub(r"[\x20\x09-\x0D]+$", "", text)
+        out.append("blank" if not tail else "duplicate" if (role, text) in seen else "truncated" if tail[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def cheapest(initials, marks):
+    """(cost, audit) by plain dynamic programming from the end; up to two empty turns at a place."""
+    import functools
+
+    after = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+    @functools.cache
+    def best(i, last, room):
+        options = [(0, "")] if i == len(initials) and last in ("", "a") else []
+        if room:
+            c, a = best(i, after[last], room - 1)
+            options.append((c + 3, "I" + a))
+        if i < len(initials):
+            def add(cost, edit, to):
+                c, a = best(i + 1, to, 2)
+                options.append((c + cost, edit + a))
+
+            add(4, "D", last)
+            if marks[i] not in ("blank", "duplicate"):
+                extra = 3 * (marks[i] == "truncated")
+                if initials[i] == after[last] or (initials[i] == "s" and last == ""):
+                    add(extra, "K", initials[i])
+                add(3 + extra, "R", after[last])
+        return min(options, default=(10**9, ""))
+
+    return best(0, "", 2)
+
+
+def repairs(rows):
+    """(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired hash) per conversation."""
+    out = []
+    for conv, kept in damaged_turns(rows).items():
+        marks, initials = faults(kept), [r[1][:1] for r in kept]
+        cost, audit = cheapest(tuple(initials), tuple(marks))
+        lines, last, i = [], "", 0
+        for edit in audit:
+            if edit != "D":
+                name = kept[i][1] if edit == "K" else {"u": "user", "a": "assistant"}["a" if last == "u" else "u"]
+                lines.append(f"{name}:{'' if edit == 'I' else kept[i][2]}")
+                last = name[0]
+            i += edit != "I"
+        turns = [r[0] for r in kept if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+        out.append((conv, gaps, marks.count("blank"), marks.count("duplicate"), marks.count("truncated"), illegal, cost, audit,
+                    hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return out
+
+
+def targets(sizes):
+    """{source: target} from {source: size}: shares by weight, full sources set aside until none is above."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full, total = set(), sum(sizes.values())
+    while True:
+        left = total - sum(3 * sizes[s] for s in full)
+        share = sum(weight[s] for s in order if s not in full)
+        got = {s: 3.0 * sizes[s] if s in full else left * weight[s] / share for s in order}
+        over = {s for s in order if s not in full and got[s] > 3 * sizes[s]}
+        if not over:
+            return got
+        full |= over

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import pytest
 
@@ -29,6 +30,17 @@ def odd_documents() -> list[tuple]:
     return rows
 
 
+def odd_conversations() -> list[tuple]:
+    """(conv_id, turn, role, text): nulls everywhere, gaps, ties, strange roles, all turns dropped, a long one."""
+    rnd = random.Random(9)
+    rows = [(c, t, rnd.choice(["system", "user", "assistant", "tool", "User", "", None, "unknown"]), rnd.choice(["Yes.", "No", "", " ", None, "Why?\n", "ok!\t", "a.b", "é…"]))
+            for c in range(60) for t in rnd.sample(range(12), rnd.randrange(1, 9))]
+    rows += [(None, None, None, None), (None, 3, "user", "Hi."), (None, 4, "assistant", "Hm."), (900, None, "user", "A."), (900, None, "user", "A."), (900, 2, "user", "B.")]
+    rows += [(901, t, ("user", "assistant")[t % 2], f"Turn {t}.") for t in range(120)] + [(902, 5, "user", "x."), (902, 5, "assistant", "y."), (2**60, -4, "user", "x" * 9000)]
+    gone = next(c for c in range(1000, 3000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    return rows + [(gone, 0, "user", "Dropped.")]
+
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -66,6 +78,8 @@ def tables(spark, tmp_path_factory, odd, none):
                  (10, texts[7].split(" ", 3)[3])]
         spark.createDataFrame(items if name == "odd" else [], "item_id bigint, text string").withColumn("words", F.lit(0)) \
             .write.parquet(f"{d}/benchmark.parquet")
+        spark.createDataFrame(odd_conversations() if name == "odd" else [], "conv_id bigint, turn bigint, role string, text string") \
+            .withColumn("code", F.lit(0)).withColumn("audit", F.lit("own")).write.parquet(f"{d}/conversations.parquet")
         labels = [(i, i % 2, 0) for i in range(20)] + [(7, 0, 0), (None, 1, 0), (3, None, 0), (4, 9, 0)]
         spark.createDataFrame(labels if name == "odd" else [], "doc_id bigint, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
         out.append(d)

@@ -257,3 +257,16 @@ def attempt_name() -> str:
 
     tc = TaskContext.get()
     return f"{tc.partitionId()}-{tc.taskAttemptId()}" if tc else "local"
+
+
+# DuckDB has no crc32: its table, and the steps over the bytes of the hexadecimal column ``raw`` of a
+# table ``keyed``, as members of a WITH RECURSIVE list; ``hashed`` has the unsigned value as ``h``
+def crc32_sql(columns: str) -> str:
+    return f"""
+     crc_bits AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+                  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+     crc_table AS (SELECT i, c FROM crc_bits WHERE k = 8),
+     crc_steps AS (SELECT {columns}, raw, 0 AS place, CAST(4294967295 AS BIGINT) AS crc FROM keyed
+                   UNION ALL SELECT {columns}, raw, place + 2, xor(crc >> 8, t.c) FROM crc_steps JOIN crc_table t
+                       ON t.i = xor(crc, CAST('0x' || substr(raw, place + 1, 2) AS BIGINT)) & 255 WHERE place < length(raw)),
+     hashed AS (SELECT {columns}, xor(crc, 4294967295) AS h FROM crc_steps WHERE place = length(raw))"""

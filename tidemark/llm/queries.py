@@ -7,11 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, interpolation, partenum, pfor, quality, separators, spotsigs, substrings, warc
+from tidemark.llm import (bpe, decontaminate, interpolation, mixing, partenum, pfor, quality, repair, separators, spotsigs, substrings,
+                          variants, warc)
 from tidemark.session import ship_package
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_winnowing": decontaminate.op10_winnowing,
+    "op11_spelling_variants": variants.op11_spelling_variants,
+    "op12_structure_repair": repair.op12_structure_repair,
+    "op13_pivotal_mix": mixing.op13_pivotal_mix,
     "op1_substring_dedup": substrings.op1_substring_dedup,
     "op2_bpe_codec": bpe.op2_bpe_codec,
     "op3_quality": quality.op3_quality,
@@ -24,7 +28,8 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {"op1_substring_dedup": substrings.OP1_SQL, "op6_jaccard_join": partenum.OP6_SQL,
-                       "op10_winnowing": decontaminate.OP10_SQL, "op8_warc": warc.OP8_SQL}
+                       "op10_winnowing": decontaminate.OP10_SQL, "op8_warc": warc.OP8_SQL,
+                       "op11_spelling_variants": variants.OP11_SQL, "op12_structure_repair": repair.OP12_SQL}
 
 
 def _shipped(fn):
