@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidemark.functions.columns import epoch_micros
 from tidemark.operators import batching as bt
+from tidemark.operators import chains
 from tidemark.operators import models as mdl
 from tidemark.operators import requests as rq
 from tidemark.operators import rows
@@ -185,32 +187,26 @@ def test_rank_labels_sort_path_equals_window_path(spark):
 
 # ---- elapsed-time batches ---------------------------------------------------------------------
 
-def consumer_loop(records, interval_us, limit, emit_open):
-    """The reference consumer's loop over (ts_us, id) records in arrival order."""
-    out, buf, batch, closed = {}, [], 1, 0
-    start = records[0][0]
-    for us, rid in records:
-        buf.append(rid)
-        if us - start >= interval_us:
-            for x in buf:
-                out[x] = batch
-            buf, batch, start, closed = [], batch + 1, us, closed + 1
-            if limit is not None and closed >= limit:
-                return out
-    if emit_open:
-        for x in buf:
-            out[x] = batch
-    return out
+def expected_batches(records, interval_us, limit, emit_open):
+    """Batch per id of sorted (us, id) records: every cut by one sorted search, labels by another."""
+    times, cuts = [us for us, _ in records], []
+    at = bisect.bisect_left(times, times[0] + interval_us)
+    while at < len(times) and len(cuts) != limit:
+        cuts.append(at)
+        at = bisect.bisect_left(times, times[at] + interval_us)
+    last = len(cuts) + (emit_open and len(cuts) != limit)
+    label = {rid: bisect.bisect_left(cuts, i) + 1 for i, (_, rid) in enumerate(records)}
+    return {rid: k for rid, k in label.items() if k <= last}
 
 
 @pytest.mark.parametrize("days,limit,emit_open", [(2, 3, False), (2, 3, True), (7, 3, True), (3, None, False), (40, 2, True)])
-def test_elapsed_batches_equal_consumer_loop(spark, days, limit, emit_open):
+def test_elapsed_batches_equal_expected_batches(spark, days, limit, emit_open):
     ev = fx.events(spark, SF_SMALL)
     got = {r["event_id"]: r["batch_id"] for r in
            bt.batch_by_elapsed(ev, "ts", "event_id", f"{days} days", limit, emit_open).collect()}
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
                   ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
-    assert got == consumer_loop(recs, days * 86_400_000_000, limit, emit_open)
+    assert got == expected_batches(recs, days * 86_400_000_000, limit, emit_open)
 
 
 def _stream_cutter(spark, slices, days, limit, cutter_type=None, crash_at=None):
@@ -249,7 +245,7 @@ def test_stream_cutter_without_limit_uses_doubling_and_equals_batch(spark, slice
     got = {r["event_id"]: r["batch_id"] for r in cutter.result(emit_open=True).collect()}
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
                   ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
-    assert got == consumer_loop(recs, 6 * 3_600_000_000, None, True)
+    assert got == expected_batches(recs, 6 * 3_600_000_000, None, True)
 
 
 @pytest.mark.parametrize("crash_at", [1, 2, 4])
@@ -288,7 +284,7 @@ def test_elapsed_records_without_time_are_in_no_batch_by_any_method(spark, limit
     want = None
     for method in ("scan", "many", "doubling"):
         if method == "doubling":
-            monkeypatch.setattr(bt, "MAX_WALK", 0)
+            monkeypatch.setattr(chains, "DENSE", 0)
         got = {r["event_id"]: r["batch_id"] for r in bt.batch_by_elapsed(
             ev, "ts", "event_id", "3 days", limit, emit_open, method="scan" if method == "scan" else "many").collect()}
         assert all(i % 7 for i in got) and None not in got.values()
@@ -308,12 +304,49 @@ def test_elapsed_with_text_ids_and_an_anchor(spark):
     assert late >= first + dt.timedelta(days=1)
 
 
-def test_walk_reads_bounded_pieces_and_crowded_slots_alike(spark, monkeypatch):
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 4000), min_size=1, max_size=250, unique=True), st.integers(1, 900), st.integers(1, 60))
+def test_composed_tables_are_the_chain(times, step, size):
+    """Any split into ranges, pairs composed up to one table: exit and number of cuts from every entry."""
+    us = np.sort(np.array(times, np.int64))
+    parts = [us[i: i + size] for i in range(0, len(us), size)]
+    level = [(int(p[0]), chains.range_table(p, step)) for p in parts]
+    while len(level) > 1:
+        level = [(g[0][0], chains.composed([t for _, t in g], g[0][0], step)) for g in (level[i: i + 3] for i in range(0, len(level), 3))]
+    for w in range(int(us[0]) - 3, int(us[0]) + step):
+        at, made, want = int(np.searchsorted(us, w)), 0, w
+        while at < len(us):
+            made, want = made + 1, int(us[at]) + step
+            at = int(np.searchsorted(us, want))
+        assert [int(x[0]) for x in chains.applied(level[0][1], np.array([w]), np.zeros(1, np.int64))] == [want, made]
+
+
+@pytest.mark.parametrize("hours,size,fan", [(6, 60, 2), (1, 25, 3), (200, 40, 4), (24 * 365, 100, 2)])
+def test_cuts_of_many_ranges_equal_sorted_searches(spark, hours, size, fan):
     ev = fx.events(spark, SF_SMALL).select("event_id", "ts")
-    want = {r[0]: r[1] for r in bt.batch_by_elapsed(ev, "ts", "event_id", "1 days", None, True).collect()}
-    for size in (1, 40, 100):  # every slot is crowded; some are; pieces of a few slots
-        monkeypatch.setattr(bt, "WALK_TIMES", size)
-        assert {r[0]: r[1] for r in bt.batch_by_elapsed(ev, "ts", "event_id", "1 days", None, True).collect()} == want
+    recs = sorted((int(r["us"]), int(r["event_id"])) for r in ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
+    step = hours * 3_600_000_000
+    later = sorted({us for us, _ in recs if us >= recs[0][0] + step})
+    want, w = [], 0
+    while (at := bisect.bisect_left(later, w)) < len(later):
+        want.append(later[at])
+        w = later[at] + step
+    got = chains.chain_cuts(spark.createDataFrame([(us,) for us in later], "_us long"), step, fan, size)
+    assert sorted(tuple(r) for r in got.select("k", "_us").collect()) == list(enumerate(want, start=1))
+
+
+def test_jobs_do_not_grow_with_the_rows(spark):
+    """The chain over ten times the times, in ten times the ranges, takes one level of the tree more."""
+    def jobs(n):
+        group = f"chain-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        rows = spark.range(n).select((F.col("id") * 7).alias("_us"))
+        assert chains.chain_cuts(rows, 50, 16, 100).count() == -(-n * 7 // 56)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = jobs(4_000), jobs(40_000)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert many <= few + 6
 
 
 def test_elapsed_time_bounds_reach_the_reader(spark):
@@ -618,15 +651,15 @@ def test_feature_list_roundtrip(spark):
 
 @pytest.mark.parametrize("interval,limit,emit_open,max_collected", [
     ("1 hours", None, False, 100_000), ("90 minutes", None, True, 5), ("3 hours", 50, False, 5), ("2 days", None, True, 100_000)])
-def test_pointer_doubling_cutter_equals_consumer_loop(spark, monkeypatch, interval, limit, emit_open, max_collected):
+def test_pointer_doubling_cutter_equals_expected_batches(spark, monkeypatch, interval, limit, emit_open, max_collected):
     monkeypatch.setattr(bt, "MAX_COLLECTED_CUTS", max_collected)  # 5 forces the distributed labelling
-    monkeypatch.setattr(bt, "MAX_WALK", 0)  # no walk
+    monkeypatch.setattr(chains, "DENSE", 0)  # no composition
     ev = fx.events(spark, SF_SMALL)
     got = {r["event_id"]: r["batch_id"] for r in
            bt.batch_by_elapsed(ev, "ts", "event_id", interval, limit, emit_open, method="many").collect()}
     recs = sorted((int(r["us"]), int(r["event_id"])) for r in
                   ev.select(epoch_micros(ev, "ts").alias("us"), "event_id").collect())
-    assert got == consumer_loop(recs, bt.interval_micros(interval), limit, emit_open)
+    assert got == expected_batches(recs, bt.interval_micros(interval), limit, emit_open)
 
 
 def test_configured_checkpoint_dir_is_used(tmp_path):

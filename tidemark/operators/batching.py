@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col_, epoch_micros
+from tidemark.operators.chains import chain_cuts
 from tidemark.operators.ordinal import with_count_batches, with_ntile
 
 
@@ -167,16 +168,10 @@ def cumulative_sums(per_set: DataFrame, set_col: str, n_sets: int, sum_cols: Seq
 
 # ---- many batches ---------------------------------------------------------------------------------
 # With no batch limit (or a large one) the cut chain can be long: one search job per cut would make
-# the job count grow with the time span. Instead the chain is walked over bounded pieces:
-#   1. rows are counted per interval-long slot of time (one partial aggregate, one number per slot);
-#   2. consecutive slots that hold at most WALK_TIMES rows together are read as one piece (the time
-#      range is pushed to the reader), their distinct times come to the driver as one vector, and
-#      the cuts in it are found by sorted searches; a slot with more rows than that is searched for
-#      its one cut by a scalar aggregate, as in ``elapsed_cuts``;
-#   3. the cuts' ids come from one broadcast join with the cut times.
-# So jobs number rows / WALK_TIMES plus the crowded slots, nothing is shuffled but counts, and the
-# driver holds one piece and the cuts. A chain that could have more than MAX_WALK cuts is computed by
-# pointer doubling instead, O(log) rounds of joins:
+# the job count grow with the time span. Instead ranges of sorted times are functions on the chain
+# that are composed up and down a tree (``chains.chain_cuts``), which takes a number of jobs that
+# does not depend on the rows. Where a single interval holds more times than such a table may have,
+# the chain is computed by pointer doubling, O(log) rounds of joins:
 #   1. distinct timestamps D get ranks (distributed ordinal);
 #   2. next(t) = rank of the first time >= t + interval, an as-of found with ONE ordinal over the
 #      union of probes (t + interval) and values (probes sort first on ties);
@@ -187,50 +182,9 @@ def cumulative_sums(per_set: DataFrame, set_col: str, n_sets: int, sum_cols: Seq
 # the cut count is checked to be small, else a distributed union ordinal).
 
 MAX_COLLECTED_CUTS = 100_000
-MAX_WALK = 1_000_000
-WALK_TIMES = 2_000_000
 SCAN_LIMIT = 32
 
 
-def walked_cuts(df: DataFrame, ts_col: str, interval, limit: int | None, anchor: int) -> list[int]:
-    """The cut times, in order, of the chain that starts at ``anchor``."""
-    import numpy as np
-
-    step = interval_micros(interval)
-    ts, us = col_(ts_col), epoch_micros(df, ts_col)
-    slots = (df.where(ts >= ts_literal(df, ts_col, anchor + step)).groupBy(F.floor((us - F.lit(anchor)) / F.lit(step)).cast("long").alias("slot"))
-             .agg(F.count(F.lit(1)).alias("n")).orderBy("slot").collect())  # at most MAX_WALK slots, checked by the caller
-    cuts: list[int] = []
-    want, i = anchor + step, 0
-
-    def full() -> bool:
-        return limit is not None and len(cuts) >= limit
-
-    while i < len(slots) and not full():
-        j, n = i, 0
-        while j < len(slots) and n + slots[j]["n"] <= WALK_TIMES:
-            n += slots[j]["n"]
-            j += 1
-        lo, end = anchor + slots[i]["slot"] * step, anchor + (slots[max(j, i + 1) - 1]["slot"] + 1) * step
-        piece = df.where((ts >= ts_literal(df, ts_col, max(lo, want))) & (ts < ts_literal(df, ts_col, end)))
-        if j > i:
-            times = np.sort(piece.select(us.alias("us")).distinct().toArrow().column("us").to_numpy())
-            at = int(np.searchsorted(times, want))
-            while at < len(times) and not full():
-                cuts.append(int(times[at]))
-                want = cuts[-1] + step
-                at = int(np.searchsorted(times, want))
-            i = j
-        else:
-            first = piece.agg(F.min(ts).alias("ts"))
-            r = first.select(epoch_micros(first, "ts").alias("us")).first()["us"]
-            if r is not None:
-                cuts.append(int(r))
-                want = cuts[-1] + step
-            i += 1
-    return cuts
-
-
 def _ckpt(df: DataFrame) -> DataFrame:
     from tidemark.session import write_table
     return write_table(df, "elapsed-level")
@@ -250,15 +204,13 @@ def elapsed_cut_table(df: DataFrame, ts_col: str, id_col: str, interval, limit:
         return empty
     lo, hi = bounds
     anchor = lo if anchor_us is None else int(anchor_us)
-    if (hi - anchor) // step + 1 <= MAX_WALK:
-        chain = walked_cuts(df, ts_col, interval, limit, anchor)
-        if not chain:
-            return empty
-        found = spark.createDataFrame([(k, us) for k, us in enumerate(chain, start=1)], "k bigint, _us bigint")
-        span = df.where(col_(ts_col) <= ts_literal(df, ts_col, chain[-1])).select(epoch_micros(df, ts_col).alias("_us"), col_(id_col).alias("_id"))
-        return (span.join(F.broadcast(found), "_us").groupBy("k", "_us").agg(F.min(F.struct("_id"))["_id"].alias("cut_id"))
-                .select("k", F.col("_us").alias("cut_us"), "cut_id"))
-    times = keyed.groupBy("_us").agg(F.min(F.struct("_id"))["_id"].alias("_cid"))  # distinct times + cut id, a null id first
+    # distinct times that the chain may cut at, each with its first id (a null id comes first)
+    times = keyed.groupBy("_us").agg(F.min(F.struct("_id"))["_id"].alias("_cid"))
+    later = _ckpt(times.where(F.col("_us") >= F.lit(anchor + step)))
+    found = chain_cuts(later, step)
+    if found is not None:
+        out = found if limit is None else found.where(F.col("k") <= limit)
+        return _ckpt(out.join(later, "_us").select("k", F.col("_us").alias("cut_us"), F.col("_cid").alias("cut_id")))
     ranked = _ckpt(with_ordinal(times, ["_us"], out="r", with_total=True))  # r, r_total
     probes = ranked.select((F.col("_us") + F.lit(step)).alias("time"), F.lit(0).alias("kind"), F.col("r").alias("pr"))
     values = ranked.select(F.col("_us").alias("time"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("pr"))

@@ -61,7 +61,7 @@ MANY_HOURS = 6
 
 @register("batch_by_elapsed_unlimited", sql=elapsed_sql(None, None, True, "SELECT event_id, batch_id FROM kept", hours=MANY_HOURS))
 def batch_by_elapsed_unlimited(spark, sf):
-    """No batch limit: about four batches a day, found by a walk over bounded pieces."""
+    """No batch limit: about four batches a day, found by composing what ranges of times do to the chain."""
     ev = fx.events(spark, sf)
     return bt.batch_by_elapsed(ev, "ts", "event_id", f"{MANY_HOURS} hours", limit=None, emit_open=True) \
              .select("event_id", "batch_id")
