@@ -62,4 +62,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so that its queries register themselves."""
     from tidemark.plans import (q_batches, q_features, q_models, q_requests, q_rows,  # noqa: F401
-                                q_similarity, q_streams)
+                                q_similarity, q_sources, q_streams)

@@ -47,10 +47,10 @@ def parse_quoted(df: DataFrame, schema_ddl: str, value: str = "value", options:
     return df.select(F.from_csv(F.col(value), schema_ddl, opts).alias("_r")).select("_r.*")
 
 
-def to_lines(df: DataFrame, cols: Sequence[str], sep: str = ",", null_token: str = "") -> DataFrame:
+def to_lines(df: DataFrame, cols: Sequence[str], sep: str = ",", null_token: str = "", keep: Sequence[str] = ()) -> DataFrame:
     """Render rows as unquoted delimited lines (``value`` column). A null field is ``null_token``, so
     that every line has as many fields as there are columns."""
-    return df.select(F.concat_ws(sep, *[F.coalesce(col_(c).cast("string"), F.lit(null_token)) for c in cols]).alias("value"))
+    return df.select(*[col_(k) for k in keep], F.concat_ws(sep, *[F.coalesce(col_(c).cast("string"), F.lit(null_token)) for c in cols]).alias("value"))
 
 
 def write_lines(df: DataFrame, path: str, fmt: str = "text", mode: str = "overwrite", **options) -> None:
