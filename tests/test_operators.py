@@ -560,14 +560,15 @@ def test_null_vectors_are_no_items_and_no_requests(spark, dim):
 
 
 @pytest.mark.parametrize("dim", [4, 80])
-def test_nan_vectors_are_no_items_and_no_requests(spark, dim):
+def test_nan_and_infinite_vectors_are_no_items_and_no_requests(spark, dim):
     rs = np.random.RandomState(dim)
     data = [(i, [float(x) for x in rs.normal(size=dim)]) for i in range(3)]
-    nans = [(100, [float("nan")] + [0.0] * (dim - 1)), (101, [0.0] * (dim - 1) + [float("nan")])]
+    nans = [(100, [float("nan")] + [0.0] * (dim - 1)), (101, [0.0] * (dim - 1) + [float("nan")]),
+            (102, [float("inf")] + [0.0] * (dim - 1)), (103, [float("-inf")] * dim)]
     clean, all_ = (spark.createDataFrame(x, "id bigint, vec array<double>") for x in (data, data + nans))
     vectors = sim.projection_vectors(dim, 3, 7)
     hashes = {r["id"]: r["h"] for r in all_.select("id", sim.lsh_hashes(F.col("vec"), vectors, 1e6).alias("h")).collect()}
-    assert hashes[100] is None and hashes[101] is None and all(len(hashes[i]) == 3 for i in range(3))
+    assert all(hashes[i] is None for i in range(100, 104)) and all(len(hashes[i]) == 3 for i in range(3))
     one = F.array(F.lit(0).cast("bigint"))  # all in one bucket, of fewer vectors than are asked for
     got = []
     for d in (clean, all_):
@@ -578,6 +579,14 @@ def test_nan_vectors_are_no_items_and_no_requests(spark, dim):
     assert near[0]["id"] == 0 and sorted(r["id"] for r in near) == [0, 1, 2]
 
 
+@pytest.mark.parametrize("dim", [4, 80])
+def test_hashes_of_huge_vectors_are_the_ends_of_the_range(spark, dim):
+    rows = [(0, [1e300] * dim), (1, [-1e300] * dim), (2, [1.0] * dim)]
+    ones = [[1.0] * dim]
+    got = {r["id"]: r["h"][0] for r in spark.createDataFrame(rows, "id bigint, vec array<double>").select("id", sim.lsh_hashes(F.col("vec"), ones, 2.0).alias("h")).collect()}
+    assert got == {0: 2**63 - 1, 1: -2**63, 2: dim // 2}
+
+
 def test_knn_many_equals_brute_force_for_a_key_table(spark):
     e = fx.embeddings(spark, SF_SMALL)
     keys = e.where("id < 30").select(F.col("id").alias("qid"), "vec")

@@ -19,17 +19,19 @@ from tidemark.functions.columns import dot, euclid
 
 # dim x vectors above which the numpy kernel is used instead of an unrolled expression
 EXPR_LIMIT = 64
+_MOST = float(np.finfo(float).max)
 
 
 def usable(vec: Column) -> Column:
-    """False for a null vector and for one with a null or NaN element: none can be hashed or compared."""
-    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x.cast("double")))
+    """False for a null vector and for one with a null, NaN or infinite element: none can be hashed or
+    compared. (NaN is greater than any number here.)"""
+    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull() | (F.abs(x.cast("double")) > F.lit(_MOST)))
 
 
 def _rows(s: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(which rows hold a usable vector, their matrix)."""
     # a null element arrives as NaN
-    ok = np.fromiter((v is not None and not np.isnan(np.asarray(v, dtype=float)).any() for v in s.values), bool, len(s))
+    ok = np.fromiter((v is not None and np.isfinite(np.asarray(v, dtype=float)).all() for v in s.values), bool, len(s))
     return ok, np.array([np.asarray(v, dtype=float) for v in s.values[ok]]).reshape(-1, dim)
 
 
@@ -40,6 +42,14 @@ def _per_row(ok: np.ndarray, values: np.ndarray) -> pd.Series:
     return pd.Series(out)
 
 
+def _whole(v: np.ndarray) -> np.ndarray:
+    """Whole numbers as int64; beyond its range its ends, as Spark's cast gives."""
+    out = np.clip(v, -(2.0**63), 2.0**62).astype(np.int64)
+    high = v > 2.0**62
+    out[high] = np.array([min(int(x), 2**63 - 1) if x < 2.0**63 else 2**63 - 1 for x in v[high]], np.int64)
+    return out
+
+
 def bucket_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length: float) -> Column:
     """array<bigint>: floor(x . v_t / bucket_length) for each projection vector v_t; null for a
     vector that is null or holds a null or NaN, whatever the size."""
@@ -53,7 +63,7 @@ def bucket_hashes(vec: Column, vectors: Sequence[Sequence[float]], bucket_length
     @F.pandas_udf("array<bigint>")
     def _hash(s: pd.Series) -> pd.Series:
         ok, x = _rows(s, dim)
-        return _per_row(ok, np.floor((x @ mat) / bl).astype(np.int64))
+        return _per_row(ok, _whole(np.floor((x @ mat) / bl)))
 
     return _hash(vec)
 

@@ -17,7 +17,8 @@ job). Categorical features give few distinct vectors, so the search runs vector
 
 Exact: an item among a request's best k + 1 has at most k vectors before its own, since each of
 those holds an item that ranks before it. Ids may be of any orderable type and are expected to be
-unique; a null vector, or one with a null or NaN element, is no item and no request.
+unique; a null vector, or one with a null, NaN or infinite element, is no item and no request. Vectors
+of equal 64-bit hash are taken as equal.
 """
 
 from __future__ import annotations
@@ -165,13 +166,15 @@ def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequ
             .select("request_id", "rank", "id", "dist"))
 
 
-def response_rows(recs: DataFrame) -> DataFrame:
-    """One response row per request: n, ids in rank order, and a JSON payload.
+def response_rows(recs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """One response row per request: n, ids in rank order, and a JSON payload. With ``requests``
+    (request_id), a request without neighbours is answered too.
     Groups hold at most k rows (post top-k), so collect_list is bounded."""
-    g = recs.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_r"))
-    ids = F.transform("_r", lambda s: s["id"])
+    g = recs.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_r"))
+    if requests is not None:
+        g = requests.select("request_id").distinct().join(g, "request_id", "left")
+    ids = F.coalesce(F.transform("_r", lambda s: s["id"]), F.array().cast(recs.select(F.array("id")).schema[0].dataType))
+    g = g.withColumn("n", F.greatest(F.size("_r"), F.lit(0)).cast("bigint"))
     return g.select("request_id", "n", F.concat_ws(",", F.transform(ids, lambda x: x.cast("string"))).alias("ids"),
                     F.to_json(F.struct(F.col("n").alias("found"), ids.alias("recommendations"))).alias("response"))
 

@@ -134,6 +134,22 @@ def _tx_recs(spark, sf):
     return sim.recommend(items, req, TOP_K, TX_VECTORS, TX_BUCKET, self_id="self_id")
 
 
+# Fixed value: every element of a request that no item is near to; one such request per region.
+FAR = 1e7
+_FAR_REQUESTS = f"""far AS (SELECT * FROM rq UNION ALL
+  SELECT -1 - CAST(r_regionkey AS BIGINT), NULL, [{", ".join(["1e7"] * len(TX_CATS))}]::DOUBLE[] FROM region)"""
+
+
+def _tx_answers(spark, sf):
+    """(recommendations, requests): every transaction asks, and requests far from all of them."""
+    _, items = _tx_items(spark, sf)
+    req = items.select(F.col("id").alias("request_id"), F.col("id").alias("self_id"), "vec")
+    far = fx.table(spark, sf, "region").select((-1 - F.col("r_regionkey").cast("bigint")).alias("request_id"), F.lit(None).cast("bigint").alias("self_id"),
+                                               F.array(*[F.lit(FAR)] * len(TX_CATS)).alias("vec"))
+    req = req.unionByName(far)
+    return sim.recommend(items, req, TOP_K, TX_VECTORS, TX_BUCKET, self_id="self_id"), req
+
+
 @register("recommend_exclude_self", sql=f"""WITH {_TX_REC_BASE},
 {_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, 'SELECT request_id, rank, id, round(dist, 6) AS dist FROM recs')}""")
 def recommend_exclude_self(spark, sf):
@@ -141,13 +157,14 @@ def recommend_exclude_self(spark, sf):
     return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
 
 
-@register("recommend_response_json", sql=f"""WITH {_TX_REC_BASE},
-{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, '''SELECT request_id, count(*) AS n,
-  string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS ids,
-  '{"found":' || count(*) || ',"recommendations":[' || string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) || ']}' AS response
-FROM recs GROUP BY request_id''')}""")
+@register("recommend_response_json", sql=f"""WITH {_TX_REC_BASE}, {_FAR_REQUESTS},
+{_rec_sql('items', 'far', TX_VECTORS, TX_BUCKET, True, '''SELECT far.request_id, count(recs.id) AS n,
+  coalesce(string_agg(CAST(recs.id AS VARCHAR), ',' ORDER BY rank), '') AS ids,
+  '{"found":' || count(recs.id) || ',"recommendations":[' || coalesce(string_agg(CAST(recs.id AS VARCHAR), ',' ORDER BY rank), '') || ']}' AS response
+FROM far LEFT JOIN recs USING (request_id) GROUP BY far.request_id''')}""")
 def recommend_response_json(spark, sf):
-    return sim.response_rows(_tx_recs(spark, sf))
+    """An answer for every request; one that is far from all items finds none."""
+    return sim.response_rows(*_tx_answers(spark, sf))
 
 
 def _mllib_hashes(col: str = "_hashes"):
@@ -210,17 +227,19 @@ def recommend_display(spark, sf):
     return shown.withColumn("rank", F.col("rank").cast("int"))
 
 
-@register("recommend_response_objects", sql=f"""WITH {_TX_REC_BASE},
-{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, f'''SELECT recs.request_id,
-  '{{"message":"Found ' || count(*) || ' similar properties.","recommendations":[' || string_agg(
+@register("recommend_response_objects", sql=f"""WITH {_TX_REC_BASE}, {_FAR_REQUESTS},
+{_rec_sql('items', 'far', TX_VECTORS, TX_BUCKET, True, f'''SELECT far.request_id,
+  '{{"message":"Found ' || count(recs.id) || ' similar properties.","recommendations":[' || coalesce(string_agg(
     '{{"id":' || recs.id || ',"county":"' || tx.county || '","duration":"' || tx.duration || '","distCol":' ||
-    CAST(round(recs.dist, 6) AS DECIMAL(18, 6)) || '}}', ',' ORDER BY rank) || ']}}' AS response
-FROM recs JOIN tx ON tx.id = recs.id GROUP BY recs.request_id''')}""")
+    CAST(round(recs.dist, 6) AS DECIMAL(18, 6)) || '}}', ',' ORDER BY rank), '') || ']}}' AS response
+FROM far LEFT JOIN recs USING (request_id) LEFT JOIN tx ON tx.id = recs.id GROUP BY far.request_id''')}""")
 def recommend_response_objects(spark, sf):
-    """The endpoint's full answer per request: a message and one object per row with its distance."""
+    """The endpoint's full answer per request: a message and one object per row with its distance; a
+    request that is far from all items is told that none was found."""
     t = fx.tx(spark, sf)
-    recs = _tx_recs(spark, sf).withColumn("dist", F.round("dist", 6).cast("decimal(18,6)"))
-    return sim.response_objects(recs, t, "id", ["id", "county", "duration"])
+    recs, requests = _tx_answers(spark, sf)
+    recs = recs.withColumn("dist", F.round("dist", 6).cast("decimal(18,6)"))
+    return sim.response_objects(recs, t, "id", ["id", "county", "duration"], requests)
 
 
 # the recommend endpoint over a table of requests: request rows with null features and a count as
@@ -264,7 +283,7 @@ def refuse_requests(spark, sf):
 
 @register("similarity_roundtrip", sql=f"""WITH {TX_SQL}
 SELECT count(*) AS items, count(*) AS requests, CAST(0 AS BIGINT) AS own_rows, CAST(0 AS BIGINT) AS outside_buckets,
-  CAST(0 AS BIGINT) AS too_many, TRUE AS missing_path_raises, 'id,price,{",".join(TX_CATS)}' AS shown FROM tx""")
+  CAST(0 AS BIGINT) AS wrong_distances, CAST(0 AS BIGINT) AS unanswered, CAST(0 AS BIGINT) AS too_many, TRUE AS missing_path_raises, 'id,price,{",".join(TX_CATS)}' AS shown FROM tx""")
 def similarity_roundtrip(spark, sf):
     """The recommender's life: fill, index, assemble (skip), LSH fit, save model, column list and the
     indexed items with their vectors; load all three; answer every transaction (assembler keep, own
@@ -301,12 +320,21 @@ def similarity_roundtrip(spark, sf):
         raises = False
     except Exception:  # noqa: BLE001  any error will do, silence would not
         raises = True
-    checked = recs.join(i.select("id", F.col("h").alias("ih")), "id").join(q.select("request_id", F.col("h").alias("qh")), "request_id")
+    recs = write_table(recs, "recommendations")
+    checked = recs.join(i.select("id", F.col("h").alias("ih"), F.col("vec").alias("iv")), "id").join(
+        q.select("request_id", F.col("h").alias("qh"), F.col("vec").alias("qv")), "request_id")
+    true = F.sqrt(F.aggregate(F.zip_with("iv", "qv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
+    # every transaction is an item as well: one that is not alone in each of its buckets has to be answered
+    member = i.select("id", F.posexplode("h").alias("t", "b"))
+    crowded = member.groupBy("t", "b").agg(F.count("*").alias("n")).where("n > 1")
+    due = member.join(crowded, ["t", "b"]).select(F.col("id").alias("request_id")).distinct()
+    unanswered = due.join(recs, "request_id", "left_anti").agg(F.count("*").alias("unanswered"))
 
     def count(cond):
         return F.coalesce(F.sum(cond.cast("long")), F.lit(0))
 
     sums = checked.agg(count(F.col("id") == F.col("request_id")).alias("own_rows"),
-                       count(~_shared_bucket("ih", "qh")).alias("outside_buckets"), count(F.col("rank") > TOP_K).alias("too_many"))
-    n = one_row(items.agg(F.count("*").alias("items")), q.agg(F.count("*").alias("requests")), sums)
+                       count(~_shared_bucket("ih", "qh")).alias("outside_buckets"), count(F.abs(F.col("dist") - true) > 1e-9).alias("wrong_distances"),
+                       count(F.col("rank") > TOP_K).alias("too_many"))
+    n = one_row(items.agg(F.count("*").alias("items")), q.agg(F.count("*").alias("requests")), sums, unanswered)
     return n.withColumn("missing_path_raises", F.lit(raises)).withColumn("shown", F.lit(",".join(shown)))

@@ -78,29 +78,44 @@ def batch_by_elapsed_stream(spark, sf):
 
 
 WATERMARK_MINUTES = 10
+_WINDOW_SQL = """WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)) AS s,
+  count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, sum_value FROM w"""
 
 
-@register("batch_by_window_stream", sql=f"""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)) AS s,
-  count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1)
-SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, sum_value FROM w
-WHERE s + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL {WATERMARK_MINUTES} MINUTE""")
-def batch_by_window_stream(spark, sf):
-    """Tumbling 1-day windows over the event stream in append mode: a window is emitted once, when
-    the watermark passes its end, and its state is freed. The last windows stay open."""
+def _window_stream(spark, sf, mode: str):
+    """Tumbling 1-day windows over the event stream, one run of the stream per slice on one checkpoint."""
     ev = fx.table(spark, sf, "events").select(*EV_COLS)
     # the instant that the zone-free time names in UTC: windows do not depend on the session's zone
     ev = ev.withColumn("at", F.timestamp_micros(epoch_micros(ev, "ts")))
     inp, out, ckpt = (scratch_path(spark, x) for x in ("window-stream-in", "window-stream-out", "ckpt-window"))
 
     def sink(batch, epoch):
+        # in complete mode an epoch holds every window so far and takes the place of the one before
+        part = "all" if mode == "complete" else f"epoch={epoch}"
         batch.select(F.unix_micros("w.start").alias("us"), "n", F.round("s", 2).alias("sum_value")) \
-             .write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+             .write.mode("overwrite").parquet(f"{out}/{part}")
 
     for _ in ordered_slices(ev, ["at", "event_id"], inp):
         stream = stream_files(spark, inp, "parquet", schema=ev.schema, max_files_per_trigger=None)
-        agg = (stream.withWatermark("at", f"{WATERMARK_MINUTES} minutes").groupBy(F.window("at", "1 day").alias("w"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")))
-        run_available_now(agg, ckpt, sink)
-    rows = spark.read.parquet(out)
+        if mode == "append":
+            stream = stream.withWatermark("at", f"{WATERMARK_MINUTES} minutes")
+        agg = stream.groupBy(F.window("at", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"))
+        run_available_now(agg, ckpt, sink, output_mode=mode)
+    rows = spark.read.parquet(f"{out}/all" if mode == "complete" else out)
     start = F.expr("timestampadd(MICROSECOND, us, TIMESTAMP_NTZ '1970-01-01 00:00:00')")
     return rows.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", "sum_value")
+
+
+@register("batch_by_window_stream", sql=_WINDOW_SQL)
+def batch_by_window_stream(spark, sf):
+    """Every window of the stream, the open ones included: the state keeps one row a window."""
+    return _window_stream(spark, sf, "complete")
+
+
+@register("batch_by_window_stream_append", sql=f"""{_WINDOW_SQL}
+WHERE s + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL {WATERMARK_MINUTES} MINUTE""")
+def batch_by_window_stream_append(spark, sf):
+    """A window is emitted once, when the watermark passes its end, and its state is freed; the windows
+    that the watermark has not passed stay open, and are those that this form does not return."""
+    return _window_stream(spark, sf, "append")
