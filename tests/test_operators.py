@@ -54,7 +54,9 @@ def test_label_maps_equal_mllib_string_indexer(spark):
     t = fx.tx(spark, SF_SMALL)
     cats = fx.TX_CATS
     mine = LabelMaps.fit(t, cats).transform(t).select("id", *[F.col(f"{c}_index").alias(f"m_{c}") for c in cats])
-    ml = mdl.indexers(cats).fit(t).transform(t).select("id", *[f"{c}_index" for c in cats])
+    from pyspark.ml.feature import StringIndexer
+
+    ml = StringIndexer(inputCols=cats, outputCols=[f"{c}_index" for c in cats], handleInvalid="keep").fit(t).transform(t).select("id", *[f"{c}_index" for c in cats])
     j = mine.join(ml, "id")
     assert j.count() == t.count()
     for c in cats:
@@ -651,6 +653,39 @@ def test_sample_stays_a_top_n_under_later_projections(spark):
     assert v.count() == 50
 
 
+def test_label_stage_saves_and_loads_large_maps_as_tables(spark, monkeypatch):
+    """Maps beyond the inline and broadcast sizes: joined, saved in a pipeline, loaded, equal; no label is collected."""
+    import json
+    import os
+
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    from tidemark.operators import labels
+    from tidemark.operators.label_stage import LabelMapModel
+
+    monkeypatch.setattr(labels, "INLINE_LABELS", 0)
+    monkeypatch.setattr(labels, "BROADCAST_LABELS", 0)
+    t = spark.createDataFrame([(i, None if i % 11 == 0 else f"a.{i * i % 37}", ["x", "y", None][i % 3]) for i in range(200)], "id long, `a b` string, d string")
+    cols, made = ["a b", "d"], ["a b_index", "d_index"]
+    path = scratch_path(spark, "label-stage")
+    fitted = Pipeline(stages=[mdl.indexers(cols), VectorAssembler(inputCols=["d_index"], outputCol="v")]).fit(t)
+    mdl.save(fitted, path)
+    mdl.save(fitted, path)  # again, over the first
+    loaded = mdl.load(path)
+    assert isinstance(loaded, PipelineModel) and isinstance(loaded.stages[0], LabelMapModel) and loaded.stages[0].maps.inline == {}
+    new = t.unionByName(spark.createDataFrame([(900, "unseen", "z")], t.schema))
+    want = StringIndexer(inputCols=cols, outputCols=made, handleInvalid="keep").fit(t).transform(new)
+    for model in (fitted, loaded):
+        got = model.transform(new)
+        assert sorted(got.select("id", *(f"`{c}`" for c in made)).collect()) == sorted(want.select("id", *(f"`{c}`" for c in made)).collect())
+    stage = next(p for p in os.listdir(f"{path}/stages") if "LabelMapModel" in p)
+    text = "".join(open(f"{path}/stages/{stage}/metadata/{f}").read() for f in os.listdir(f"{path}/stages/{stage}/metadata") if f.startswith("part"))
+    assert set(json.loads(text)["paramMap"]) == {"inputCols", "outputCols"}  # no label in the metadata
+    with pytest.raises(ValueError, match="cannot be saved over"):
+        loaded.stages[0].write().overwrite().save(loaded.stages[0].source)
+
+
 def test_feature_list_roundtrip(spark):
     path = scratch_path(spark, "cols")
     cols = ["Property Type", "Old/New", "Record Status - monthly file only"]

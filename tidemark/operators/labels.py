@@ -98,33 +98,46 @@ class LabelMaps:
         small = [c for c in cols if sizes.get(c, 0) <= INLINE_LABELS]
         if len(small) < len(cols):  # joined once per remaining column
             t = write_table(t, "label-maps")
+        return cls._with(t, cols, sizes)
+
+    @classmethod
+    def of(cls, table: DataFrame, cols: Sequence[str]) -> "LabelMaps":
+        """Maps from a stored table (column, label, n, index)."""
+        sizes = {r["column"]: int(r["k"]) for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}  # one row per column
+        return cls._with(table, cols, sizes)
+
+    @classmethod
+    def _with(cls, t: DataFrame, cols: Sequence[str], sizes: dict[str, int]) -> "LabelMaps":
+        small = [c for c in cols if sizes.get(c, 0) <= INLINE_LABELS]
         inline: dict[str, dict[str, int]] = {c: {} for c in small}
         if small:
             for r in t.where(F.col("column").isin(small)).select("column", "label", "index").collect():
                 inline[r["column"]][r["label"]] = int(r["index"])  # bounded by the size check
         return cls(t, list(cols), {c: sizes.get(c, 0) for c in cols}, inline)
 
-    def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None) -> DataFrame:
-        """Add ``{col}{suffix}`` (double) per column; null/unseen -> size of that map.
+    def transform(self, df: DataFrame, suffix: str = "_index", cols: Sequence[str] | None = None,
+                  out: dict[str, str] | None = None) -> DataFrame:
+        """Add ``{col}{suffix}`` (or the name that ``out`` gives) per column, a double; null/unseen -> size
+        of that map.
 
         Inlined maps: a literal map lookup (a projection, no join, no broadcast job). Larger maps:
         a broadcast hash join up to ``BROADCAST_LABELS`` labels, a shuffle join beyond."""
-        out = df
+        named, out = out or {}, df
         for c in (cols or self.cols):
-            unseen = F.lit(float(self.sizes[c]))
+            unseen, name = F.lit(float(self.sizes[c])), named.get(c, f"{c}{suffix}")
             if c in self.inline:
                 pairs = [x for lbl, i in sorted(self.inline[c].items(), key=lambda kv: kv[1])
                          for x in (F.lit(lbl), F.lit(float(i)))]
                 idx = F.try_element_at(F.create_map(*pairs), col_(c).cast("string")) if pairs else F.lit(None)
-                out = out.withColumn(f"{c}{suffix}", F.coalesce(idx.cast("double"), unseen))
+                out = out.withColumn(name, F.coalesce(idx.cast("double"), unseen))
                 continue
+            lbl, idx = f"_lbl_{self.cols.index(c)}", f"_idx_{self.cols.index(c)}"
             m = (self.table.where(F.col("column") == c)
-                 .select(F.col("label").alias(f"_lbl_{c}"), F.col("index").cast("double").alias(f"_idx_{c}")))
+                 .select(F.col("label").alias(lbl), F.col("index").cast("double").alias(idx)))
             if self.sizes[c] <= BROADCAST_LABELS:
                 m = F.broadcast(m)
-            out = (out.join(m, col_(c).cast("string") == F.col(f"_lbl_{c}"), "left")
-                   .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_idx_{c}"), unseen))
-                   .drop(f"_lbl_{c}", f"_idx_{c}"))
+            out = (out.join(m, col_(c).cast("string") == F.col(lbl), "left")
+                   .withColumn(name, F.coalesce(F.col(idx), unseen)).drop(lbl, idx))
         return out
 
 

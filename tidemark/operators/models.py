@@ -1,6 +1,6 @@
 """Spark ML model surface: the reference's three engines as fit / save / load / transform functions.
 
-One ``Pipeline`` (multi-column StringIndexer -> VectorAssembler -> estimator) replaces the
+One ``Pipeline`` (multi-column label maps -> VectorAssembler -> estimator) replaces the
 reference's separate indexer directories, so a model is one directory written with
 ``write().overwrite()`` and read with ``PipelineModel.load``.
 """
@@ -11,12 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH, StringIndexer, VectorAssembler
+from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.label_stage import LabelMapIndexer
+
 # Seeds. The k-means seed is the one stored in the reference's saved k-means metadata
 # (PySpark's default seed rule); the LSH seed follows the same rule for the LSH class name.
 KMEANS_SEED = -6641708911384315134
@@ -25,9 +27,9 @@ LSH_BUCKET_LENGTH = 2.0
 LSH_TABLES = 3
 
 
-def indexers(cats: Sequence[str], suffix: str = "_index") -> StringIndexer:
-    return StringIndexer(inputCols=list(cats), outputCols=[f"{c}{suffix}" for c in cats],
-                         handleInvalid="keep", stringOrderType="frequencyDesc")
+def indexers(cats: Sequence[str], suffix: str = "_index") -> LabelMapIndexer:
+    """Most frequent label first; null and unseen values get the map's size. The maps stay a table."""
+    return LabelMapIndexer(inputCols=list(cats), outputCols=[f"{c}{suffix}" for c in cats])
 
 
 def fit_price_pipeline(df: DataFrame, cats: Sequence[str], label: str,
