@@ -415,7 +415,7 @@ def test_separator_scan_reports_what_follows_the_last_end(spark, tmp_path):
 # ---- op8
 
 def test_archives_of_awkward_pages(spark, tables, queries, monkeypatch):
-    monkeypatch.setattr(warc.write_warc, "__defaults__", (600, warc.REVISIT_BYTES))  # several files
+    monkeypatch.setattr(warc.write_warc, "__defaults__", (600, warc.REVISIT_BYTES, 3000))  # several files
     pages = rows_of(spark.read.parquet(f"{tables[0]}/pages.parquet"), "page_id", "html")
     got = rows_of(queries["op8_warc"](spark, tables[0]), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     want, first = [], set()
@@ -426,6 +426,31 @@ def test_archives_of_awkward_pages(spark, tables, queries, monkeypatch):
         first.add((p, h))
         want.append((p, len(raw), hashlib.sha1(raw).hexdigest(), "response" if head else "revisit", None if head else top))
     same(got, want)
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tables[0]}/pages.parquet/*.parquet')")
+    same(con.sql(warc.OP8_SQL).fetchall(), want)
+
+
+def test_archives_do_not_depend_on_the_input_s_partitions(spark, tmp_path):
+    """Many more pages than a sample would hold, in ids of uneven density, dealt in two ways."""
+    ids = F.expr("IF(id % 3 = 0, id, IF(id % 3 = 1, 9000000000000000000 - id * id, -id * 1000003))")
+    pages = spark.range(60_000).select(ids.alias("page_id"), F.lit("u").alias("url"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("html"))
+    sums = []
+    for run, parts in (("a", 3), ("b", 17)):
+        got = warc.write_warc(pages.repartition(parts), f"file://{tmp_path}/{run}", 200_000, range_bytes=3_000_000)
+        sums.append(sorted((r.file, r.n_records, r.sha256) for r in got.collect()))
+    assert sums[0] == sums[1] and len(sums[0]) > 20 and sum(n for _, n, _ in sums[0]) == 60_000
+
+
+def test_key_ranges_hold_about_the_limit(spark):
+    rows = spark.createDataFrame([(i if i % 2 else 2**62 + i, 10) for i in range(3000)] + [(7, 5000), (None, 99), (-2**63, 1), (2**63 - 1, 1)], "k long, w long")
+    firsts = C.key_ranges(rows, "k", "w", 1000)
+    assert firsts == sorted(firsts) and firsts == C.key_ranges(rows.repartition(5), "k", "w", 1000)
+    sums = {r.part: (r.s, r.n) for r in C.range_number(rows, "k", firsts, "part").groupBy("part").agg(F.sum("w").alias("s"), F.countDistinct("k").alias("n")).collect()}
+    assert all(s <= 1000 or n == 1 or part == 0 for part, (s, n) in sums.items()) and len(sums) > 25
+    assert C.key_ranges(rows.where("k IS NULL"), "k", "w", 10) == []
 
 
 def test_archives_are_the_same_bytes_each_time(spark, tables, tmp_path):

@@ -39,7 +39,9 @@ TOKENIZER = "word_bpe_49k.json"
 LEXICON_WORDS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
 LONG_WORD = 200  # bytes; longer words are merged by a heap, not in the vectorised rounds
-CACHE_WORDS = 700_000  # words resolved per worker before its cache starts anew
+COUNTED_WORDS = 250_000  # words that a task counts before it passes them on
+CACHE_BYTES = 48 << 20  # of resolved words in a worker, about, before its cache starts anew
+WORD_BYTES = 150  # what a word in the cache takes besides its letters, about
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -306,7 +308,7 @@ def count_words(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for b in batches:
             for x in b.column(0):
                 seen.update(w for w in split(x.as_py() or "") if w.__class__ is str)
-                if len(seen) > CACHE_WORDS:
+                if len(seen) > COUNTED_WORDS:
                     yield rows()
         yield rows()
 
@@ -375,13 +377,14 @@ class WordIds:
         self.slot = Slots()
         self.at = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.held = 0  # bytes of the words held, about
 
     def resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of all texts."""
-        if len(self.slot) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
         split = self.split
         lists = [split(x) if x else [] for x in texts]
@@ -389,6 +392,7 @@ class WordIds:
         slots = np.fromiter(map(self.slot.__getitem__, itertools.chain.from_iterable(lists)), np.int64, int(n.sum()))
         del lists
         if self.slot.new:
+            self.held += sum(WORD_BYTES + len(w) if w.__class__ is str else WORD_BYTES for w in self.slot.new)
             self.learn(self.slot.new)
             self.slot.new = []
         counts = self.at[slots + 1] - self.at[slots]
@@ -482,6 +486,7 @@ def encode_decode(docs: DataFrame, lexicon: str, path: str | None = None, key: s
                     "ids": pa.array([raw[i:j].tobytes() for i, j in itertools.pairwise(bounds)], pa.binary()),
                     "decoded": pa.array([enc.decode(ids[i:j]).decode() for i, j in itertools.pairwise(bounds)], pa.string())})
                 done += len(texts)
+        enc.clear()  # the worker idles, or serves another stage, without the words of this task
 
     return docs.select(F.col(key).alias("k"), text).mapInArrow(run, f"k {kind}, ids binary, decoded string") \
         .withColumnRenamed("k", key)

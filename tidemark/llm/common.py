@@ -259,6 +259,53 @@ def attempt_name() -> str:
     return f"{tc.partitionId()}-{tc.taskAttemptId()}" if tc else "local"
 
 
+def key_ranges(rows: DataFrame, key: str, weight: str, limit: int, most: int = 1 << 16) -> list[int]:
+    """The first keys of ranges of about ``limit`` of the summed ``weight`` each, in order, from the data
+    alone: the same for any partitioning of ``rows`` and any run. ``key`` is a bigint; nulls are left
+    out. Keys are counted by their leading bits, bins over the limit by further bits, down to single
+    keys; at most a few times ``most`` bins reach the driver."""
+    span = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum(weight).alias("all")).first()
+    if span["lo"] is None:
+        return []
+    limit = max(limit, -(-int(span["all"] or 0) // most))
+    shift = 0
+    while (span["hi"] >> shift) - (span["lo"] >> shift) >= 4096:
+        shift += 1
+    leaves: list[tuple[int, int]] = []
+    part = rows.select(F.col(key).alias("__key"), F.col(weight).alias("__w")).where(F.col("__key").isNotNull())
+    while True:
+        bins = part.groupBy(F.shiftright("__key", shift).alias("bin")).agg(F.sum("__w").alias("w")).collect()
+        heavy = [b["bin"] for b in bins if (b["w"] or 0) > limit and shift]
+        leaves += [(b["bin"] << shift, int(b["w"] or 0)) for b in bins if not ((b["w"] or 0) > limit and shift)]
+        if not heavy:
+            break
+        known = rows.sparkSession.createDataFrame([(b,) for b in heavy], "__bin long")  # at most ``most`` bins are over the limit
+        part = part.join(F.broadcast(known), F.shiftright("__key", shift) == F.col("__bin"), "left_semi")
+        shift = max(0, shift - 4)
+    out: list[int] = []
+    held = limit
+    for first, w in sorted(leaves):
+        if held + w > limit:
+            out.append(first)
+            held = 0
+        held += w
+    return out
+
+
+def range_number(df: DataFrame, key: str, firsts: list[int], name: str) -> DataFrame:
+    """``df`` with, as ``name``, how many of the ascending ``firsts`` are at most ``key`` (0 for a null): a
+    binary search over literals, written out as a chain of columns."""
+    df = df.withColumn(name, F.lit(0))
+    if not firsts:
+        return df
+    df = df.withColumn("__firsts", F.lit(firsts).cast("array<bigint>"))
+    step = 1 << max(0, len(firsts).bit_length() - 1)
+    while step:
+        df = df.withColumn(name, F.expr(f"IF({key} >= get(__firsts, {name} + {step - 1}), {name} + {step}, {name})"))
+        step //= 2
+    return df.drop("__firsts")
+
+
 # DuckDB has no crc32: its table, and the steps over the bytes of the hexadecimal column ``raw`` of a
 # table ``keyed``, as members of a WITH RECURSIVE list; ``hashed`` has the unsigned value as ``h``
 def crc32_sql(columns: str) -> str:

@@ -4,7 +4,8 @@ A text's words are hashed in runs of ``GRAM``; of every ``WINDOW - GRAM + 1`` ne
 smallest hash is a fingerprint. Two texts that share ``WINDOW`` words share a fingerprint, wherever
 the span begins. Document fingerprints are joined with benchmark fingerprints, and each meeting is
 extended: every window of the item around the shared run is compared with the document's words, so
-that hash collisions add nothing. An item shorter than ``WINDOW`` is one window of its own length,
+that hash collisions add nothing. A meeting names the place of the run and looks at the words around
+it only, so a text costs its words, however much of it is benchmark. An item shorter than ``WINDOW`` is one window of its own length,
 whose only run is the whole item.
 
 A fingerprint carries the item's words around its run, at most ``2 * WINDOW - GRAM``, and not the
@@ -14,7 +15,9 @@ first, as words may be long); beyond that both sides are shuffled. Hits are gath
 text, already merged in each task, so that copies of a text cost one group.
 
 Defined results: null text has no words. Rows with equal doc_id are rows of their own. An item
-without an id counts under the empty name; items of one id count once.
+without an id counts under the empty name; items of one id count once. Texts of any length take time in
+proportion to their words. Columns other than doc_id (or item_id) and text are not read, whatever
+their names; an empty table of documents gives no rows, one of items no hits.
 """
 
 from __future__ import annotations
@@ -48,9 +51,12 @@ def _grams(words: str, k: int, tag: int) -> str:
     return f"IF(size({words}) < {k}, array(), transform(sequence(0, size({words}) - {k}), i -> xxhash64({tag}, {run})))"
 
 
-def _least(grams: str, w: int) -> str:
-    run = ", ".join(f"get({grams}, i + {j})" for j in range(w))
-    return f"IF(size({grams}) < {w}, array(), array_distinct(transform(sequence(0, size({grams}) - {w}), i -> least({run}))))"
+RUNS = WINDOW - GRAM + 1  # runs in a window
+
+
+def _mins(grams: str) -> str:
+    run = ", ".join(f"get({grams}, i + {j})" for j in range(RUNS))
+    return f"IF(size({grams}) < {RUNS}, CAST(array() AS ARRAY<BIGINT>), transform(sequence(0, size({grams}) - {RUNS}), i -> least({run})))"
 
 
 def item_prints(items: DataFrame) -> DataFrame:
@@ -59,13 +65,12 @@ def item_prints(items: DataFrame) -> DataFrame:
     words = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of("text").alias("iw")) \
         .where("size(iw) > 0").distinct().withColumn("win", F.least(F.size("iw"), F.lit(WINDOW)))
     # by single elements, as a slice copies its whole array: linear in the item's length
-    before, runs = WINDOW - GRAM, WINDOW - GRAM + 1
-    mins = f"transform(sequence(0, size(g) - {runs}), i -> least({', '.join(f'get(g, i + {j})' for j in range(runs))}))"
-    least = f"get(g, i) IN ({', '.join(f'get(mins, i - {j})' for j in range(runs))})"
+    before = WINDOW - GRAM
+    least = f"get(g, i) IN ({', '.join(f'get(mins, i - {j})' for j in range(RUNS))})"
     around = f"filter(array({', '.join(f'get(iw, i + {j})' for j in range(-before, WINDOW))}), x -> x IS NOT NULL)"
     prints = (f"transform(filter(sequence(0, size(g) - 1), i -> {least}),"
               f" i -> struct(get(g, i) AS fp, least(i, {before}) AS q, {around} AS iw))")
-    long = words.where(f"win = {WINDOW}").withColumn("g", F.expr(_grams("iw", GRAM, WINDOW))).withColumn("mins", F.expr(mins)) \
+    long = words.where(f"win = {WINDOW}").withColumn("g", F.expr(_grams("iw", GRAM, WINDOW))).withColumn("mins", F.expr(_mins("g"))) \
         .select("item", "win", F.explode(F.expr(prints)).alias("p")).select("p.fp", "item", "win", "p.q", "p.iw").distinct()
     short = [words.where(f"win = {n}").select(F.expr(f"{_grams('iw', n, n)}[0]").alias("fp"), "item", "win", F.lit(0).alias("q"), "iw")
              for n in range(1, WINDOW)]
@@ -87,20 +92,27 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     small = sum(n for n, _ in sizes.values()) <= BROADCAST_ROWS and sum(b for _, b in sizes.values()) <= BROADCAST_BYTES
     d = docs.select(F.md5(F.col("text").cast("binary")).alias("tk"), words_of("text").alias("w")).where(f"size(w) >= {min(sizes)}")
     d = d.withColumn("g", F.expr(_grams("w", GRAM, WINDOW) if WINDOW in sizes else "CAST(array() AS ARRAY<BIGINT>)"))
-    every = [_least("g", WINDOW - GRAM + 1)] if WINDOW in sizes else []
-    every += [f"array_distinct({_grams('w', n, n)})" for n in sorted(sizes) if n < WINDOW]
-    runs = F.explode(F.expr(f"concat({', '.join(every)})")).alias("fp")
+    # of every window one smallest run, the leftmost; a window that has the same one as the window before adds nothing
+    picks = ("transform(filter(sequence(0, size(m) - 1), i -> i < size(m) AND (i = 0 OR get(m, i) <> get(m, i - 1) OR get(g, i - 1) = get(m, i))),"
+             " i -> struct(get(m, i) AS fp, i AS at))")
+    every = [f"IF(size(m) = 0, array(), {picks})"] if WINDOW in sizes else []
+    every += [f"transform({_grams('w', n, n)}, (x, i) -> struct(x AS fp, i AS at))" for n in sorted(sizes) if n < WINDOW]
+    d = d.withColumn("m", F.expr(_mins("g")))
+    runs = F.explode(F.expr(f"concat({', '.join(every)})")).alias("x")
     if small:  # the words ride along: one stage explodes, joins and drops what met nothing
-        met = d.select("tk", "w", "g", runs).join(F.broadcast(prints), "fp")
+        met = d.select("tk", "w", "g", runs).select("tk", "w", "g", "x.fp", "x.at").join(F.broadcast(prints), "fp")
     else:  # only hashes are shuffled; the words of the texts that met something come back by key
-        met = d.select("tk", runs).distinct().join(prints, "fp")
-        met = d.dropDuplicates(["tk"]).join(met, "tk")
-    at = (f"IF(win = {WINDOW}, filter(transform(g, (x, i) -> IF(x = fp, i, NULL)), i -> i IS NOT NULL),"
-          " filter(sequence(0, size(w) - win), p -> slice(w, p + 1, win) = iw))")
-    # windows of the item that hold the run at q, laid against the run at p
+        met = d.select("tk", runs).select("tk", "x.fp", "x.at").distinct().join(prints, "fp")
+        met = d.dropDuplicates(["tk"]).select("tk", "w", "g").join(met, "tk")
+    # where the run is, and the document's words that lie against the item's: by single elements, as other
+    # array functions copy the whole text for each meeting
+    near = ", ".join(f"get(g, at + {j})" for j in range(RUNS))
+    met = met.withColumn("p", F.expr(f"IF(win = {WINDOW}, at + CAST(array_position(array({near}), fp) AS INT) - 1, at)"))
+    met = met.withColumn("dw", F.expr("transform(iw, (x, j) -> get(w, p - q + j))")).select("tk", "item", "win", "p", "q", "iw", "dw")
+    # windows of the item that hold the run
     around = f"sequence(greatest(0, q - IF(win = {WINDOW}, {WINDOW - GRAM}, 0)), least(q, size(iw) - win))"
-    same = "p - q + s >= 0 AND p - q + s + win <= size(w) AND slice(w, p - q + s + 1, win) = slice(iw, s + 1, win)"
-    starts = f"array_distinct(flatten(transform({at}, p -> transform(filter({around}, s -> {same}), s -> p - q + s))))"
+    same = "slice(dw, s + 1, win) = slice(iw, s + 1, win)"
+    starts = f"transform(filter({around}, s -> {same}), s -> p - q + s)"
     return met.select("tk", "item", "win", F.explode(F.expr(starts)).alias("start"))
 
 

@@ -1,8 +1,10 @@
 """Deterministic sharded WARC archives.
 
 Pages are range-sorted by (page_id, payload digest) and each range streams its records into files
-that are closed by compressed size. Headers and digests are made anew from the payload; nothing in
-a record depends on the clock, the attempt or the machine, so a repeated task writes the same bytes.
+that are closed by compressed size. The ranges come from exact sums of bytes over the page_ids, not
+from a sample, and a file is named by its range and its place in it, so that any run over the same
+pages, from any number of partitions, writes the same files. Headers and digests are made anew from
+the payload; nothing in a record depends on the clock, the attempt or the machine.
 A file is written under a temporary name of its attempt and renamed; the manifest, a table that
 Spark commits when all files are there, is what readers go by.
 
@@ -12,7 +14,9 @@ identical-payload-digest profile) only its headers. Of the pages with equal payl
 
 Defined results: null html is an empty payload; null page_ids come first and are smaller than any
 other; of rows with one page_id and one payload the first is the response if that page_id is the
-group's largest, and the others revisit it. The url is a header; a null url leaves it out.
+group's largest, and the others revisit it. The url is a header; a null url leaves it out. A payload
+of any length is one record. Columns other than page_id, url and html are not read, whatever their
+names; an empty table gives an empty manifest and no rows.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from tidemark.llm import common as C
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 16 << 20  # compressed size that closes a file
+RANGE_BYTES = 32 << 20  # payload bytes of a range of page_ids, about
+RECORD_BYTES = 512  # what a record has besides its payload, about
 DATE = "1970-01-01T00:00:00Z"  # the tables carry no crawl time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tidemark:warc")
@@ -87,25 +93,27 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
             .select("page_id", "digest", "target"))
 
 
-def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, least: int = REVISIT_BYTES) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, least: int = REVISIT_BYTES,
+               range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Write the archives. Lazy; returns the manifest (file, n_records, bytes, sha256)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("bytes", F.octet_length("html"))
+    sizes = pages.select(F.col("page_id").cast("long").alias("page_id"), (F.coalesce(F.octet_length("html"), F.lit(0)) + RECORD_BYTES).cast("long").alias("w"))
+    firsts = C.key_ranges(sizes, "page_id", "w", range_bytes)
     marks = revisits(rows, least).select("page_id", "digest", F.lit(True).alias("mark"), "target",
                                          F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     both = rows.select("page_id", "digest", F.lit(False).alias("mark"), F.lit(None).cast("long").alias("target"), "url", "html") \
         .unionByName(marks)
     key = [F.col("page_id").asc_nulls_first(), F.col("digest").asc()]
-    # marks come before the pages they speak of; equal (page_id, digest) share a range
-    both = both.repartitionByRange(*key).sortWithinPartitions(*key, F.desc("mark"), "url")
+    # marks come before the pages they speak of; equal page_ids share a range, and a range a task: which
+    # one does not matter
+    both = C.range_number(both, "page_id", firsts, "part").select("part", *both.columns)
+    both = both.repartition(len(firsts) + 1, "part").sortWithinPartitions("part", *key, F.desc("mark"), F.asc_nulls_first("url"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, tag = TaskContext.get().partitionId(), C.attempt_name()
-        held: list[bytes] = []
-        made = size = count = 0
+        tag, held = C.attempt_name(), []
+        part = made = size = count = 0
         mark: tuple | None = None  # (page_id, digest) and target of the last mark
         last: tuple | None = None  # (page_id, digest) of the last page
 
@@ -124,7 +132,11 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, leas
             return out
 
         for b in batches:
-            for page, digest, is_mark, target, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for of, page, digest, is_mark, target, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if of != part:
+                    if held:
+                        yield close()
+                    part, made = of, 0
                 if is_mark:
                     mark = ((page, digest), target)
                     continue
@@ -220,8 +232,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest,
                   CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS bytes FROM pages),
-     m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS head FROM p)
-SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
-       CASE WHEN bytes >= 1000 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN bytes >= 1000 AND page_id <> head THEN head END AS refers_to
-FROM m"""
+     m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS head, row_number() OVER (PARTITION BY digest, page_id) AS nth FROM p),
+     r AS (SELECT *, bytes >= 1000 AND (nth > 1 OR page_id IS DISTINCT FROM head) AS again FROM m)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN head END AS refers_to
+FROM r"""
