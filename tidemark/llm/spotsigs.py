@@ -5,17 +5,18 @@ An anchor is a common word of the language (``ANCHORS``); its signature is the a
 at). A document's fingerprint is the set of its signatures, hashed to 32 bits. Boilerplate with few
 common words gives few signatures, running text many.
 
-Defined results: null text is empty text. A text with words but no signature has one, the hash of
-its whole word sequence, so that equal texts are alike; a text without words has none. Two empty
-fingerprints are alike (1.0), an empty and another one are not (0.0). "The next document" follows
-the order (doc_id with nulls first, then the text's hash); the first follows the last.
-
-Fingerprints say little of a text with few anchors: another language, a list, a short text. A text
-with fewer than ``FEW`` signatures, or fewer than one per ``PER`` words, is sparse. ``like_edited``
-and ``like_next`` compare a pair with a sparse text on either side by the chains from every word of
-both (a word and its next ``CHAIN`` words, common or not, with empty words around the text), so that
-the two sides are always measured alike; of other pairs they are ``near_edited`` and ``near_next``.
-Characters of scripts that are written without spaces are words of their own there.
+Where no common word stands among the ``GAP`` words before it, a word is an anchor itself: so lists,
+menus, other languages and the first words of a text have signatures from every word. The rule looks
+at nearby words only, so an edit changes the signatures around it and no others, and two versions of
+a text are always measured alike. Characters of scripts that are written without spaces are words of
+their own.
+
+Defined results: null text is empty text. A text with words but no signature (under ``CHAIN`` + 1
+words) has one, the hash of its whole word sequence, so that equal texts are alike; a text without
+words has none. Two empty fingerprints are alike (1.0), an empty and another one are not (0.0). "The
+next document" follows the order (doc_id with nulls first, then the text's hash); the first follows
+the last. Texts of any length take time in proportion to their words; columns other than doc_id and
+text are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +31,7 @@ from tidemark.llm import common as C
 CHAIN = 2
 LIKE = 0.8  # Jaccard similarity of near duplicates
 REACH = 8
-FEW = 8  # signatures under which a text is sparse
-PER = 16  # words per signature above which a text is sparse
+GAP = 16  # words without a common one after which every word is an anchor
 RANGE_BYTES = 8 << 20  # text bytes in one range of ids, about
 MOST_RANGES = 1 << 16
 
@@ -43,40 +43,33 @@ der die das und ist ein eine den dem des von zu mit auf nicht
 el los las y del una por con para se
 """.split()
 _COMMON = ", ".join(f"'{w}'" for w in sorted(set(ANCHORS)))
-_GAP = r"[^\p{L}\p{N}]+"
+_BETWEEN = r"[^\p{L}\p{N}]+"
 _UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 
 
 def spot_words(col: str) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(F.col(col), F.lit(""))), _GAP), "")
+    text = F.lower(F.coalesce(F.col(col), F.lit("")))
+    spaced = F.when(F.length(col) == F.octet_length(col), text).otherwise(F.regexp_replace(text, _UNSPACED, " $1 "))
+    return F.array_remove(F.split(spaced, _BETWEEN), "")
 
 
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the sorted set of signatures of ``text`` as ``out`` (array of int) and whether the
-    text is sparse as ``<out>_few``."""
-    words = f"__{out}_words"
-    chain = f"slice(filter(slice({words}, i + 2, {REACH}), x -> x NOT IN ({_COMMON})), 1, {CHAIN})"
-    spots = (f"filter(transform(filter(sequence(0, size({words}) - 1), i -> get({words}, i) IN ({_COMMON})),"
-             f" i -> concat(array(get({words}, i)), {chain})), s -> size(s) = {CHAIN + 1})")
-    some = f"array_sort(array_distinct(transform({spots}, s -> hash(s))))"
+    """``df`` with the sorted set of signatures of ``text`` as ``out`` (array of int)."""
+    words, at = f"__{out}_words", f"__{out}_at"
     df = df.withColumn(words, spot_words(text))
+    df = df.withColumn(at, F.expr(f"filter(sequence(0, size({words}) - 1), i -> get({words}, i) IN ({_COMMON}))"))
+    # bounds of the stretches between common words; before the text there is no common word within reach
+    df = df.withColumn(at, F.expr(f"concat(array(-{GAP} - 1), {at}, array(size({words})))"))
+    bare = (f"flatten(transform(filter(sequence(0, size({at}) - 2), k -> get({at}, k + 1) - get({at}, k) > {GAP} + 1),"
+            f" k -> sequence(get({at}, k) + {GAP} + 1, get({at}, k + 1) - 1)))")
+    # by single elements: a slice would copy the whole text for each anchor
+    after = ", ".join(f"get({words}, i + {j})" for j in range(1, REACH + 1))
+    chain = f"slice(filter(array({after}), x -> x IS NOT NULL AND x NOT IN ({_COMMON})), 1, {CHAIN})"
+    spots = (f"filter(transform(concat(slice({at}, 2, size({at}) - 2), {bare}), i -> concat(array(get({words}, i)), {chain})),"
+             f" s -> size(s) = {CHAIN + 1})")
+    some = f"array_sort(array_distinct(transform({spots}, s -> hash(s))))"
     df = df.withColumn(out, F.expr(f"IF(size({words}) = 0, CAST(array() AS ARRAY<INT>), {some})"))
-    # a text without a spot stands for itself as a whole
-    few = F.expr(f"size({out}) < greatest({FEW}, size({words}) DIV {PER})")
-    return df.withColumn(f"{out}_few", few).withColumn(
-        out, F.expr(f"IF(size({out}) = 0 AND size({words}) > 0, array(hash({words})), {out})")).drop(words)
-
-
-def with_chains(df: DataFrame, text: Column, out: str) -> DataFrame:
-    """``df`` with the set of the chains from every word of ``text`` as ``out`` (array of int); a text
-    without words has none."""
-    words = f"__{out}_words"
-    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _UNSPACED, " $1 ")
-    df = df.withColumn(words, F.array_remove(F.split(spaced, _GAP), ""))
-    edge = f"array_repeat('', {CHAIN})"
-    df = df.withColumn(words, F.expr(f"IF(size({words}) = 0, {words}, concat({edge}, {words}, {edge}))"))
-    chains = f"array_distinct(transform(sequence(1, size({words}) - {CHAIN}), i -> hash(slice({words}, i, {CHAIN + 1}))))"
-    return df.withColumn(out, F.expr(f"IF(size({words}) = 0, CAST(array() AS ARRAY<INT>), {chains})")).drop(words)
+    return df.withColumn(out, F.expr(f"IF(size({out}) = 0 AND size({words}) > 0, array(hash({words})), {out})")).drop(words, at)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -188,17 +181,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = max(1, min(MOST_RANGES, C.text_bytes(docs) // RANGE_BYTES))
-    docs = with_next(with_signatures(docs, "text", "sigs"), ["text", "sigs", "sigs_few"], n)
+    docs = with_next(with_signatures(docs, "text", "sigs"), ["text", "sigs"], n)
     docs = docs.withColumn("n_chars", F.length("text").cast("long"))
     docs = docs.withColumn("edited", F.expr("concat(left(text, CAST(n_chars - n_chars DIV 4 AS INT)), left(next_text, CAST(n_chars DIV 4 AS INT)))"))
     docs = with_signatures(docs, "edited", "edited_sigs")
-    docs = docs.withColumn("by_edited", F.expr("sigs_few OR edited_sigs_few")).withColumn("by_next", F.expr("sigs_few OR next_sigs_few"))
-    # the texts of other pairs are not cut into chains
-    docs = with_chains(docs, F.expr("IF(by_edited OR by_next, text, '')"), "chains")
-    docs = with_chains(docs, F.expr("IF(by_edited, edited, '')"), "edited_chains")
-    docs = with_chains(docs, F.expr("IF(by_next, next_text, '')"), "next_chains")
-    docs = docs.withColumn("near_edited", likeness("sigs", "edited_sigs")).withColumn("near_next", likeness("sigs", "next_sigs"))
     return docs.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       text_of("sigs").alias("fingerprint"), text_of("edited_sigs").alias("edited_fingerprint"), "near_edited", "near_next",
-                       F.when(F.col("by_edited"), likeness("chains", "edited_chains")).otherwise(F.col("near_edited")).alias("like_edited"),
-                       F.when(F.col("by_next"), likeness("chains", "next_chains")).otherwise(F.col("near_next")).alias("like_next"))
+                       text_of("sigs").alias("fingerprint"), text_of("edited_sigs").alias("edited_fingerprint"),
+                       likeness("sigs", "edited_sigs").alias("near_edited"), likeness("sigs", "next_sigs").alias("near_next"))
