@@ -26,18 +26,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import bucket_hashes, key_distances, usable
-
-# Target vectors per side of one (table, bucket, slice) group; hot buckets are split to this size.
-GROUP_ROWS = 4_000
-# numpy elements per distance chunk inside a group (bounds task memory)
-_CHUNK_ELEMS = 4_000_000
-# buckets over GROUP_ROWS on a side are at most rows / GROUP_ROWS; up to so many are broadcast
-_HOT_BROADCAST = 100_000
+from tidemark.operators.pivots import search
+from tidemark.operators.vector_groups import GROUP_ROWS, near_vectors
 
 
 def projection_vectors(dim: int, tables: int, seed: int) -> list[list[float]]:
@@ -64,98 +58,39 @@ def knn_single(items: DataFrame, vec_col: str, key: Sequence[float], k: int, id_
 
 def knn_many(items: DataFrame, vec_col: str, keys: DataFrame, k: int, id_col: str = "id",
              key_id: str = "qid", key_vec: str = "vec", digits: int = 9) -> DataFrame:
-    """Exact top-k of all items for a table of key vectors, in blocks: (qid, id, dist, rank). The
-    search of ``recommend`` with every vector in one bucket, which its grid splits."""
-    one = F.array(F.lit(0).cast("bigint"))
-    found = recommend(items.withColumn("_tm_one", one), keys.withColumn("_tm_one", one), k, None, None, item_id=id_col,
-                      item_vec=vec_col, req_id=key_id, req_vec=key_vec, item_hashes="_tm_one", req_hashes="_tm_one",
-                      digits=digits)
-    return found.select(F.col("request_id").alias("qid"), "id", "dist", "rank")
-
-
-def _matrix(t: pa.Table) -> np.ndarray:
-    """The vectors of a group as a matrix, from the Arrow list buffers."""
-    flat = t.column("vec").combine_chunks()
-    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
-
-
-def _nearest(digits: int):
-    """cogroup kernel: exact distances between the item and request vectors of one group, keeping
-    per request vector the best ``kk`` and every tie of the last."""
-
-    def fn(items: pa.Table, reqs: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, ...]] = []
-        if len(items) and len(reqs):
-            m, q = _matrix(items), _matrix(reqs)
-            ik, qk, kk = items.column("vk").to_numpy(), reqs.column("vk").to_numpy(), reqs.column("kk").to_numpy()
-            chunk = max(1, _CHUNK_ELEMS // max(1, m.size))
-            for at in range(0, len(q), chunk):
-                d = np.sqrt(((q[at: at + chunk, None, :] - m[None, :, :]) ** 2).sum(axis=2))
-                rd = np.round(d, digits)
-                last = np.minimum(kk[at: at + chunk], len(m)) - 1
-                cut = np.sort(rd, axis=1)[np.arange(len(rd)), last]
-                r, c = np.nonzero(rd <= cut[:, None])
-                out.append((qk[at + r], ik[c], d[r, c]))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table(dict(zip(("qk", "ik", "dist"), cols, strict=True)))
-
-    return fn
-
-
-def _sliced(it: DataFrame, rq: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with their slices: a bucket of n item and r request vectors becomes
-    ceil(n/g) x ceil(r/g) groups; only buckets that exceed g on a side are looked up."""
-    sizes = (it.groupBy("t", "b").agg(F.count(F.lit(1)).alias("ni"))
-             .join(rq.groupBy("t", "b").agg(F.count(F.lit(1)).alias("nr")), ["t", "b"]))
-    hot = (sizes.where((F.col("ni") > group_rows) | (F.col("nr") > group_rows))
-           .select("t", "b", F.ceil(F.col("ni") / group_rows).cast("int").alias("si"),
-                   F.ceil(F.col("nr") / group_rows).cast("int").alias("sr")))
-    if hot.limit(_HOT_BROADCAST + 1).count() <= _HOT_BROADCAST:
-        hot = F.broadcast(hot)
-
-    def side(df: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
-        df = df.join(hot, ["t", "b"], "left")
-        return (df.withColumn(own, F.pmod(F.xxhash64("vk"), F.coalesce(n_own, F.lit(1))).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(n_other, F.lit(1)) - 1))).drop("si", "sr"))
-
-    return side(it, "islice", "rslice", "si", "sr"), side(rq, "rslice", "islice", "sr", "si")
+    """Exact top-k of all items for a table of key vectors: (qid, id, dist, rank). Distinct vectors
+    are searched by pivots (``pivots.search``), which visits only cells that can hold a nearer one."""
+    it, rq, most = _sides(items, keys, k, item_id=id_col, item_vec=vec_col, req_id=key_id, req_vec=key_vec)
+    near, _ = search(_distinct(it), _distinct(rq, (F.max("k") + 1).alias("kk")), digits)
+    return _ranked(it, rq, near, k, most, digits).select(F.col("request_id").alias("qid"), "id", "dist", "rank")
 
 
-def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequence[Sequence[float]] | None,
-              bucket_length: float | None, *, item_id: str = "id", item_vec: str = "vec",
-              req_id: str = "request_id", req_vec: str = "vec", self_id: str | None = None,
-              item_hashes: str | None = None, req_hashes: str | None = None,
-              group_rows: int = GROUP_ROWS, digits: int = 9) -> DataFrame:
-    """Top-k items sharing at least one bucket with each request: (request_id, rank, id, dist).
-
-    ``k`` is a number or the name of a request column holding each request's own result count (the
-    reference's ``num_recommendations``; validate it first: a count of 0, less or null gives no
-    rows). With ``self_id`` (a request column of the items' id type), items whose id equals it are
-    excluded before ranking, if the request gives one. Requests can come with precomputed hash
-    columns (e.g. from an MLlib LSH model); otherwise ``vectors``/``bucket_length`` hash them.
-    """
+def _sides(items: DataFrame, requests: DataFrame, k: int | str, *, item_id: str, item_vec: str, req_id: str, req_vec: str,
+           self_id: str | None = None, ih: Column | None = None, qh: Column | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """(items, requests, one more than the largest count): usable rows under fixed names, ``vk`` the
+    hash of the vector and ``h`` what ``ih`` and ``qh`` give."""
     vec_i, vec_r = F.col(item_vec).cast("array<double>"), F.col(req_vec).cast("array<double>")
-    ih = F.col(item_hashes) if item_hashes else lsh_hashes(vec_i, vectors, bucket_length)
-    qh = F.col(req_hashes) if req_hashes else lsh_hashes(vec_r, vectors, bucket_length)
-    sid = F.col(self_id) if self_id else F.lit(None).cast(items.schema[item_id].dataType)
-    it = items.where(usable(vec_i)).select(F.col(item_id).alias("id"), vec_i.alias("vec"), F.xxhash64(vec_i).alias("vk"), ih.alias("h"))
+    none = F.lit(None)
+    sid = F.col(self_id) if self_id else none.cast(items.schema[item_id].dataType)
+    it = items.where(usable(vec_i)).select(F.col(item_id).alias("id"), vec_i.alias("vec"), F.xxhash64(vec_i).alias("vk"),
+                                           (none if ih is None else ih).alias("h"))
     rq = requests.where(usable(vec_r)).select(
         F.col(req_id).alias("request_id"), sid.alias("self_id"), (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("int").alias("k"),
-        vec_r.alias("vec"), F.xxhash64(vec_r).alias("vk"), qh.alias("h")).where(F.col("k") > 0)
+        vec_r.alias("vec"), F.xxhash64(vec_r).alias("vk"), (none if qh is None else qh).alias("h")).where(F.col("k") > 0)
     most = int(rq.agg(F.max("k")).first()[0] or 0) + 1 if isinstance(k, str) else int(k) + 1
-    # of each item vector its smallest ids; of each request vector the largest count asked for
+    return it, rq, most
+
+
+def _distinct(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.groupBy("vk").agg(F.first("vec").alias("vec"), F.first("h").alias("h"), *more)
+
+
+def _ranked(it: DataFrame, rq: DataFrame, near: DataFrame, k: int | str, most: int, digits: int) -> DataFrame:
+    """(request_id, rank, id, dist): near vectors expanded to their smallest ids, ranked per request
+    vector, joined to the requests of that vector and ranked again without the own id."""
     by_vec = Window.partitionBy("vk").orderBy("id")
     members = (it.select("vk", "id").distinct().withColumn("place", F.row_number().over(by_vec)).where(F.col("place") <= most)
                .select(F.col("vk").alias("ik"), "id"))
-    iv = it.groupBy("vk").agg(F.first("vec").alias("vec"), F.first("h").alias("h")).select("vk", "vec", F.posexplode("h").alias("t", "b"))
-    rv = (rq.groupBy("vk").agg(F.first("vec").alias("vec"), F.first("h").alias("h"), (F.max("k") + 1).alias("kk"))
-          .select("vk", "vec", "kk", F.posexplode("h").alias("t", "b")))
-    iv, rv = _sliced(iv, rv, group_rows)
-    keys = ["t", "b", "islice", "rslice"]
-    near = iv.groupBy(*keys).cogroup(rv.groupBy(*keys)).applyInArrow(_nearest(digits), "qk bigint, ik bigint, dist double")
-    # vectors sharing buckets in several tables are found once per table, at the same distance
-    near = near.groupBy("qk", "ik").agg(F.min("dist").alias("dist"))
     w = Window.partitionBy("qk").orderBy(F.round("dist", digits), "id")
     best = near.join(members, "ik").withColumn("place", F.row_number().over(w)).where(F.col("place") <= most)
     answers = rq.select("request_id", "self_id", "k", F.col("vk").alias("qk")).join(best, "qk")
@@ -166,6 +101,28 @@ def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequ
             .select("request_id", "rank", "id", "dist"))
 
 
+def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequence[Sequence[float]] | None,
+              bucket_length: float | None, *, item_id: str = "id", item_vec: str = "vec",
+              req_id: str = "request_id", req_vec: str = "vec", self_id: str | None = None,
+              item_hashes: str | None = None, req_hashes: str | None = None,
+              group_rows: int = GROUP_ROWS, digits: int = 9) -> DataFrame:
+    """Top-k items sharing at least one bucket with each request: (request_id, rank, id, dist).
+
+    ``k`` is a number or the name of a request column holding each request's own result count (the
+    reference's ``num_recommendations``; validate it first: a count of 0, less or null gives no
+    rows). With ``self_id`` (a request column of the items' id type), items whose id equals it are
+    excluded before ranking, if the request gives one. Requests can come with precomputed hash
+    columns (e.g. from an MLlib LSH model); otherwise ``vectors``/``bucket_length`` hash them.
+    """
+    ih = F.col(item_hashes) if item_hashes else lsh_hashes(F.col(item_vec).cast("array<double>"), vectors, bucket_length)
+    qh = F.col(req_hashes) if req_hashes else lsh_hashes(F.col(req_vec).cast("array<double>"), vectors, bucket_length)
+    it, rq, most = _sides(items, requests, k, item_id=item_id, item_vec=item_vec, req_id=req_id, req_vec=req_vec,
+                          self_id=self_id, ih=ih, qh=qh)
+    iv = _distinct(it).select("vk", "vec", F.posexplode("h").alias("t", "b"))
+    rv = _distinct(rq, (F.max("k") + 1).alias("kk")).select("vk", "vec", "kk", F.posexplode("h").alias("t", "b"))
+    return _ranked(it, rq, near_vectors(iv, rv, digits, group_rows), k, most, digits)
+
+
 def response_rows(recs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """One response row per request: n, ids in rank order, and a JSON payload. With ``requests``
     (request_id), a request without neighbours is answered too.
