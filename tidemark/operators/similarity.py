@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import bucket_hashes, key_distances, usable
-from tidemark.operators.pivots import search
+from tidemark.operators import pivots, probing
 from tidemark.operators.vector_groups import GROUP_ROWS, near_vectors
 
 
@@ -61,7 +61,7 @@ def knn_many(items: DataFrame, vec_col: str, keys: DataFrame, k: int, id_col: st
     """Exact top-k of all items for a table of key vectors: (qid, id, dist, rank). Distinct vectors
     are searched by pivots (``pivots.search``), which visits only cells that can hold a nearer one."""
     it, rq, most = _sides(items, keys, k, item_id=id_col, item_vec=vec_col, req_id=key_id, req_vec=key_vec)
-    near, _ = search(_distinct(it), _distinct(rq, (F.max("k") + 1).alias("kk")), digits)
+    near, _ = pivots.search(_distinct(it), _distinct(rq, (F.max("k") + 1).alias("kk")), digits)
     return _ranked(it, rq, near, k, most, digits).select(F.col("request_id").alias("qid"), "id", "dist", "rank")
 
 
@@ -123,6 +123,16 @@ def recommend(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequ
     return _ranked(it, rq, near_vectors(iv, rv, digits, group_rows), k, most, digits)
 
 
+def recommend_probed(items: DataFrame, requests: DataFrame, k: int | str, vectors: Sequence[Sequence[float]],
+                     bucket_length: float, *, item_id: str = "id", item_vec: str = "vec", req_id: str = "request_id",
+                     req_vec: str = "vec", self_id: str | None = None, recall: float = probing.RECALL, digits: int = 9) -> DataFrame:
+    """``recommend`` with neighbouring buckets probed until the expected ``recall`` is reached, so every
+    request of a table with items is answered: (request_id, rank, id, dist)."""
+    it, rq, most = _sides(items, requests, k, item_id=item_id, item_vec=item_vec, req_id=req_id, req_vec=req_vec, self_id=self_id)
+    near = probing.search(_distinct(it), _distinct(rq, (F.max("k") + 1).alias("kk")), vectors, bucket_length, recall, digits)
+    return _ranked(it, rq, near, k, most, digits)
+
+
 def response_rows(recs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """One response row per request: n, ids in rank order, and a JSON payload. With ``requests``
     (request_id), a request without neighbours is answered too.

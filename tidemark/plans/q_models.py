@@ -10,6 +10,7 @@ from tidemark.operators import kmeans as km
 from tidemark.operators import models as mdl
 from tidemark.operators import requests as rq
 from tidemark.operators.labels import LabelMaps
+from tidemark.operators.qr import fit_qr
 from tidemark.operators.regression import LinearModel, cumulative_categorical_ols, fit_ols
 from tidemark.plans import fixtures as fx
 from tidemark.plans import q_requests as qr
@@ -49,6 +50,15 @@ def lr_fit_quality(spark, sf):
     return fit.select("n", F.round("r2", 8).alias("r2"), F.round("rmse", 4).alias("rmse"))
 
 
+@register("lr_fit_stable", sql=f"""WITH {_IX}, {_MOM}
+SELECT n, CAST(3 AS BIGINT) AS rank, round(my - b1 * mx1 - b2 * mx2, 4) AS b0, round(b1, 4) AS b1, round(b2, 4) AS b2,
+  round(1 - (vyy - b1 * e - b2 * f) / vyy, 8) AS r2, round(sqrt(vyy - b1 * e - b2 * f), 4) AS rmse FROM c""")
+def lr_fit_stable(spark, sf):
+    """The regression by QR per partition, triangles merged up a tree."""
+    fit = fit_qr(_tx_indexed(spark, sf), LR_X, "price")
+    return fit.select("n", "rank", *[F.round(c, d).alias(c) for c, d in (("b0", 4), ("b1", 4), ("b2", 4), ("r2", 8), ("rmse", 4))])
+
+
 _PRED_SQL = f"""WITH {_IX}, {_MOM}
 SELECT ix.id, round((SELECT my - b1 * mx1 - b2 * mx2 FROM c) + (SELECT b1 FROM c) * property_type_index
                     + (SELECT b2 FROM c) * duration_index, 2) AS prediction FROM ix"""

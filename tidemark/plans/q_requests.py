@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import payloads as pl
 from tidemark.operators import requests as rq
 from tidemark.operators.labels import LabelMaps
 from tidemark.plans import fixtures as fx
@@ -78,3 +79,43 @@ def request_defaults(spark, sf):
     req = _requests(spark, sf).select("request_id", *_DEF_SRC)
     d = rq.with_defaults(req, CATS)
     return maps.transform(d).select("request_id", *CATS, *[f"{c}_index" for c in CATS])
+
+
+# bodies of the recommend endpoint: every kind of fault, by the id
+_FEATS = ", ".join(f'"{c}": "\' || {c} || \'"' for c in CATS)
+_SOME = ", ".join(f'"{c}": "\' || {c} || \'"' for c in CATS if c not in ("district", "county"))
+_BODY_SQL = f"""CASE id % 16 WHEN 0 THEN '{{"property_features": ' WHEN 1 THEN 'null' WHEN 2 THEN '{{}}' WHEN 3 THEN '[1, 2]' WHEN 4 THEN NULL
+  WHEN 5 THEN '{{"num_recommendations": 3}}' WHEN 6 THEN '{{"property_features": "' || county || '"}}' WHEN 7 THEN '{{"property_features": {{}}}}'
+  WHEN 8 THEN '{{"property_features": {{{_FEATS}}}, "num_recommendations": null}}'
+  WHEN 9 THEN '{{"property_features": {{{_FEATS}}}, "num_recommendations": "many"}}'
+  WHEN 10 THEN '{{"property_features": {{{_FEATS}}}, "num_recommendations": ' || CAST(0 - id % 3 AS STRING) || '}}'
+  WHEN 11 THEN '{{"property_features": {{{_SOME}, "county": null}}, "num_recommendations": "' || CAST(id % 7 + 1 AS STRING) || '"}}'
+  WHEN 12 THEN '{{"property_features": {{{_SOME}, "district": [' || CAST(id AS STRING) || ']}}, "num_recommendations": 2.75}}'
+  WHEN 13 THEN '{{"property_features": {{"county": 7, "other": true}}, "input_property_id": ' || CAST(id AS STRING) || '}}'
+  ELSE '{{"property_features": {{{_FEATS}}}, "num_recommendations": ' || CAST(id % 4 + 1 AS STRING) || ', "input_property_id": "' || CAST(id AS STRING) || '"}}' END"""
+
+
+def body_rows(t):
+    """Transactions as request bodies."""
+    return t.select(F.col("id").alias("request_id"), F.expr(_BODY_SQL).alias("body"))
+
+
+_BODIES_SQL = f"""bodies AS (SELECT id AS request_id, {_BODY_SQL} AS body FROM tx),
+j AS (SELECT request_id, body, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS v FROM bodies),
+f AS (SELECT *, json_extract(v, '$.property_features') AS pf, json_type(v, '$.num_recommendations') AS kt,
+  json_extract_string(v, '$.num_recommendations') AS ks FROM j),
+g AS (SELECT *, CASE WHEN kt IS NULL THEN 5 WHEN kt = 'VARCHAR' THEN TRY_CAST(ks AS INTEGER)
+  WHEN kt IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(trunc(CAST(ks AS DOUBLE)) AS INTEGER) END AS kp FROM f),
+body_errors AS (SELECT *, CASE WHEN v IS NULL OR json_type(v) <> 'OBJECT' OR CAST(v AS VARCHAR) = '{{}}' THEN '{pl.BODY_ERROR}'
+  WHEN pf IS NULL OR json_type(pf) <> 'OBJECT' OR CAST(pf AS VARCHAR) = '{{}}' THEN '{rq.FEATURES_ERROR.replace("'", "''")}'
+  WHEN kp IS NULL OR kp < 1 THEN '{rq.K_ERROR.replace("'", "''")}' END AS error FROM g),
+parsed AS (SELECT request_id, error, CASE WHEN error IS NULL THEN kp END AS k, CASE WHEN error IS NULL THEN json_extract_string(v, '$.input_property_id') END AS own_id,
+  {", ".join(f"CASE WHEN error IS NULL THEN json_extract_string(pf, '$.{c}') END AS {c}" for c in CATS)},
+  CASE WHEN error IS NULL THEN concat_ws(',', {", ".join(f"CASE WHEN json_type(pf, '$.{c}') IS NULL THEN '{c}' END" for c in CATS)}) END AS absent,
+  CASE WHEN error IS NULL THEN concat_ws(',', {", ".join(f"CASE WHEN json_type(pf, '$.{c}') = 'NULL' THEN '{c}' END" for c in CATS)}) END AS nulls FROM body_errors)"""
+
+
+@register("parse_bodies", sql=f"""WITH {TX_SQL}, {_BODIES_SQL} SELECT * FROM parsed""")
+def parse_bodies(spark, sf):
+    """JSON bodies to requests: bad JSON, wrong types, absent and null keys told apart."""
+    return pl.parse_bodies(body_rows(fx.tx(spark, sf)), "body", CATS)

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as mdl
+from tidemark.operators import probing
 from tidemark.operators import requests as rq_ops
 from tidemark.operators import rows
 from tidemark.operators import similarity as sim
@@ -271,6 +272,75 @@ def recommend_request_k(spark, sf):
     return r.select("request_id", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
 
 
+_KEYS = "keys AS (SELECT id AS qid, vec FROM emb WHERE id % 20 = 0)"
+_EXACT = f"""exact AS (SELECT k.qid, e.id, list_distance(e.vec, k.vec) AS dist,
+  CAST(row_number() OVER (PARTITION BY k.qid ORDER BY round(list_distance(e.vec, k.vec), 9), e.id) AS INTEGER) AS rank
+  FROM keys k CROSS JOIN emb e QUALIFY rank <= {KNN_K})"""
+
+
+def _keys(e):
+    return e.where("id % 20 = 0").select(F.col("id").alias("qid"), "vec")
+
+
+@register("knn_many_keys", sql=f"""WITH {EMB_SQL}, {_KEYS}, {_EXACT} SELECT qid, rank, id, round(dist, 6) AS dist FROM exact""")
+def knn_many_keys(spark, sf):
+    """Exact top ten of all embeddings for every twentieth of them, by pivots."""
+    e = _emb(spark, sf)
+    r = sim.knn_many(e, "vec", _keys(e), KNN_K)
+    return r.select("qid", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+@register("knn_many_transactions", sql=f"""WITH {_TX_REC_BASE},
+iv AS (SELECT vec, min(id) AS least FROM items GROUP BY vec), qv AS (SELECT DISTINCT vec FROM items WHERE id % 20 = 0),
+vtop AS (SELECT q.vec AS qvec, i.vec AS ivec, list_distance(i.vec, q.vec) AS dist FROM qv q CROSS JOIN iv i
+  QUALIFY row_number() OVER (PARTITION BY q.vec ORDER BY round(list_distance(i.vec, q.vec), 9), i.least) <= {TOP_K}),
+mem AS (SELECT vec, id FROM items QUALIFY row_number() OVER (PARTITION BY vec ORDER BY id) <= {TOP_K}),
+best AS (SELECT qvec, id, dist, CAST(row_number() OVER (PARTITION BY qvec ORDER BY round(dist, 9), id) AS INTEGER) AS rank
+  FROM vtop JOIN mem ON ivec = vec QUALIFY rank <= {TOP_K})
+SELECT items.id AS qid, rank, best.id, round(dist, 6) AS dist FROM items JOIN best ON qvec = vec WHERE items.id % 20 = 0""")
+def knn_many_transactions(spark, sf):
+    """Exact nearest transactions, of all, for every twentieth of them: few distinct vectors, many ties."""
+    _, items = _tx_items(spark, sf)
+    r = sim.knn_many(items, "vec", _keys(items), TOP_K)
+    return r.select("qid", F.col("rank").cast("int").alias("rank"), "id", F.round("dist", 6).alias("dist"))
+
+
+_Z = probing.reach_factor(probing.RECALL, TABLES) / EMB_DIM ** 0.5
+_F = "[" + ", ".join(f"list_dot_product(vec, {_sql_vec(v)}) / {EMB_BUCKET!r}" for v in EMB_VECTORS) + "]"
+
+
+@register("lsh_multi_probe", sql=f"""WITH {EMB_SQL}, {_KEYS}, {_EXACT},
+h AS (SELECT id, vec, t, CAST(floor(f[t]) AS BIGINT) AS b FROM (SELECT id, vec, {_F} AS f FROM emb), range(1, {TABLES + 1}) r(t)),
+q AS (SELECT qid, vec, t, f[t] AS f FROM (SELECT qid, vec, {_F} AS f FROM keys), range(1, {TABLES + 1}) r(t)),
+sizes AS (SELECT t, b, count(*) AS n FROM h GROUP BY t, b),
+e AS (SELECT qid, vec, t, b, f, n, greatest(b - f, f - (b + 1), 0) * {EMB_BUCKET!r} AS edge FROM q JOIN sizes USING (t)),
+first AS (SELECT qid, vec, t, b FROM e QUALIFY sum(n) OVER (PARTITION BY qid ORDER BY round(edge, 9), t, b) - n < {KNN_K + 1}),
+near AS (SELECT DISTINCT qid, h.id, list_distance(h.vec, first.vec) AS dist FROM first JOIN h USING (t, b)),
+reach AS (SELECT qid, dist AS reach FROM near QUALIFY row_number() OVER (PARTITION BY qid ORDER BY dist, id) = {KNN_K + 1}),
+more AS (SELECT qid, vec, t, b FROM e JOIN reach USING (qid)
+  WHERE b BETWEEN floor(f - {_Z!r} * reach / {EMB_BUCKET!r}) AND floor(f + {_Z!r} * reach / {EMB_BUCKET!r})),
+probed AS (SELECT * FROM near UNION SELECT qid, h.id, list_distance(h.vec, more.vec) FROM more JOIN h USING (t, b)),
+plain AS (SELECT DISTINCT qid, h.id, list_distance(h.vec, q.vec) AS dist FROM q JOIN h ON h.t = q.t AND h.b = floor(q.f)),
+ptop AS (SELECT qid, id FROM probed QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), id) <= {KNN_K}),
+otop AS (SELECT qid, id FROM plain QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), id) <= {KNN_K}),
+s AS (SELECT count(DISTINCT qid) AS requests, count(*) AS neighbours, count(otop.id) AS o, count(ptop.id) AS p
+  FROM exact LEFT JOIN otop USING (qid, id) LEFT JOIN ptop USING (qid, id))
+SELECT requests, neighbours, round(o / neighbours, 4) AS plain_recall, round(p / neighbours, 4) AS probed_recall, p >= 0.9 * neighbours AS enough FROM s""")
+def lsh_multi_probe(spark, sf):
+    """Recall at ten of a request's own buckets and of probed neighbouring buckets, against exact search;
+    every twentieth embedding asks."""
+    e = _emb(spark, sf)
+    keys = _keys(e)
+    req = keys.withColumnRenamed("qid", "request_id")
+    exact = sim.knn_many(e, "vec", keys, KNN_K).select(F.col("qid").alias("request_id"), "id")
+    plain = sim.recommend(e, req, KNN_K, EMB_VECTORS, EMB_BUCKET).select("request_id", "id", F.lit(1).alias("o"))
+    probed = sim.recommend_probed(e, req, KNN_K, EMB_VECTORS, EMB_BUCKET).select("request_id", "id", F.lit(1).alias("p"))
+    both = exact.join(plain, ["request_id", "id"], "left").join(probed, ["request_id", "id"], "left")
+    s = both.agg(F.countDistinct("request_id").alias("requests"), F.count("*").alias("neighbours"), F.count("o").alias("o"), F.count("p").alias("p"))
+    return s.select("requests", "neighbours", F.round(F.col("o") / F.col("neighbours"), 4).alias("plain_recall"),
+                    F.round(F.col("p") / F.col("neighbours"), 4).alias("probed_recall"), F.expr("p >= 0.9 * neighbours").alias("enough"))
+
+
 @register("refuse_requests", sql=f"""WITH {TX_SQL}, {qr.request_rows_sql("tx")},
 v AS (SELECT *, {_K_PARSED} AS kp FROM req)
 SELECT request_id, CASE WHEN NOT ({_GIVEN}) THEN '{rq_ops.FEATURES_ERROR.replace("'", "''")}'
