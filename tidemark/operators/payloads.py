@@ -31,8 +31,15 @@ _OBJECT, _LIST = "OBJECT", "ARRAY"
 
 
 def _path(*keys: str) -> str:
-    """A VARIANT path; keys may hold spaces, dots or slashes."""
-    return "$" + "".join("['" + k.replace("'", "\\'") + "']" for k in keys)
+    """A VARIANT path. Keys may hold spaces, dots, slashes and one sort of quote; Spark has no way to
+    write one with a question mark or with both sorts."""
+    path = "$"
+    for k in keys:
+        quote = '"' if "'" in k else "'"
+        if quote in k or "?" in k or not k:
+            raise ValueError(f"no VARIANT path can name {k!r}")
+        path += f"[{quote}{k}{quote}]"
+    return path
 
 
 def _kind(v: Column) -> Column:

@@ -31,6 +31,7 @@ from tidemark.session import write_table
 
 RECALL = 0.97  # expected share of the true neighbours that are found
 _WIDEN = 8  # factor between the windows of two rounds
+_ROWS = 1 << 18  # buckets of a batch of keys
 
 
 def reach_factor(recall: float, tables: int) -> float:
@@ -59,13 +60,19 @@ def _buckets(keys: DataFrame, vectors: Sequence[Sequence[float]], bucket_length:
             after = np.where(last < hi, (last + 1 - at) * unit, np.inf)
             before = np.where(first > lo, (at - first) * unit, np.inf)
             beyond = np.minimum(after, before).min(axis=1)
-            for i in range(len(rows)):  # a batch per key: its windows may be wide
-                n = np.maximum(last[i] - first[i] + 1, 0)
-                t = np.repeat(np.arange(len(n)), n)
-                b = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n) + first[i][t]
-                edge = np.maximum(np.maximum(b - at[i][t], at[i][t] - (b + 1)), 0) * unit[t]
-                yield pa.record_batch({"vk": pa.array(np.full(len(t), rows.column(0)[i].as_py(), np.int64)), "t": pa.array(t.astype(np.int32)),
-                                       "b": pa.array(b), "edge": pa.array(edge), "beyond": pa.array(np.full(len(t), beyond[i]))})
+            n = np.maximum(last - first + 1, 0)
+            key, total = rows.column(0).to_numpy(), np.concatenate([[0], n.sum(axis=1).cumsum()])
+            i = 0
+            while i < len(rows):  # keys of a bounded number of buckets, or a single one
+                j = max(i + 1, int(np.searchsorted(total, total[i] + _ROWS, side="right")) - 1)
+                m = n[i:j].ravel()
+                row = np.repeat(np.repeat(np.arange(i, j), n.shape[1]), m)
+                t = np.repeat(np.tile(np.arange(n.shape[1]), j - i), m)
+                b = np.arange(len(t)) - np.repeat(np.cumsum(m) - m, m) + first[row, t]
+                edge = np.maximum(np.maximum(b - at[row, t], at[row, t] - (b + 1)), 0) * unit[t]
+                yield pa.record_batch({"vk": pa.array(key[row]), "t": pa.array(t.astype(np.int32)), "b": pa.array(b),
+                                       "edge": pa.array(edge), "beyond": pa.array(beyond[row])})
+                i = j
 
     cols = ["vk", "vec"] + (["reach"] if window is None else [])
     return keys.select(cols).mapInArrow(run, "vk bigint, t int, b bigint, edge double, beyond double")

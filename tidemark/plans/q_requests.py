@@ -100,7 +100,7 @@ def body_rows(t):
     return t.select(F.col("id").alias("request_id"), F.expr(_BODY_SQL).alias("body"))
 
 
-_BODIES_SQL = f"""bodies AS (SELECT id AS request_id, {_BODY_SQL} AS body FROM tx),
+BODIES_SQL = f"""bodies AS (SELECT id AS request_id, {_BODY_SQL} AS body FROM tx),
 j AS (SELECT request_id, body, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS v FROM bodies),
 f AS (SELECT *, json_extract(v, '$.property_features') AS pf, json_type(v, '$.num_recommendations') AS kt,
   json_extract_string(v, '$.num_recommendations') AS ks FROM j),
@@ -115,7 +115,7 @@ parsed AS (SELECT request_id, error, CASE WHEN error IS NULL THEN kp END AS k, C
   CASE WHEN error IS NULL THEN concat_ws(',', {", ".join(f"CASE WHEN json_type(pf, '$.{c}') = 'NULL' THEN '{c}' END" for c in CATS)}) END AS nulls FROM body_errors)"""
 
 
-@register("parse_bodies", sql=f"""WITH {TX_SQL}, {_BODIES_SQL} SELECT * FROM parsed""")
+@register("parse_bodies", sql=f"""WITH {TX_SQL}, {BODIES_SQL} SELECT * FROM parsed""")
 def parse_bodies(spark, sf):
     """JSON bodies to requests: bad JSON, wrong types, absent and null keys told apart."""
     return pl.parse_bodies(body_rows(fx.tx(spark, sf)), "body", CATS)

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as mdl
+from tidemark.operators import payloads as pl
 from tidemark.operators import probing
 from tidemark.operators import requests as rq_ops
 from tidemark.operators import rows
@@ -351,6 +352,37 @@ def refuse_requests(spark, sf):
     return v.select("request_id", "error")
 
 
+_B_SEL, _B_JOIN = index_join_sql(TX_CATS, "d")
+_ANSWER_BASE = f"""{TX_SQL}, {tx_maps_sql(TX_CATS)},
+ix AS (SELECT tx.id, {_SEL} FROM tx {_JOIN}),
+items AS (SELECT id, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM ix),
+{qr.BODIES_SQL},
+d AS (SELECT request_id, k, own_id, {', '.join(f"coalesce({c}, 'Unknown') AS {c}" for c in TX_CATS)} FROM parsed WHERE error IS NULL),
+dix AS (SELECT d.request_id, d.k, d.own_id, {_B_SEL} FROM d {_B_JOIN}),
+rq AS (SELECT request_id, CAST(own_id AS BIGINT) AS self_id, k, [{', '.join(f'{c}_index' for c in TX_CATS)}]::DOUBLE[] AS vec FROM dix)"""
+
+
+@register("answer_bodies", sql=f"""WITH {_ANSWER_BASE},
+{_rec_sql('items', 'rq', TX_VECTORS, TX_BUCKET, True, """SELECT parsed.request_id, CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status, count(recs.id) AS n,
+  CASE WHEN error IS NOT NULL THEN '{"error":"' || error || '"}' ELSE
+  '{"found":' || count(recs.id) || ',"recommendations":[' || coalesce(string_agg(CAST(recs.id AS VARCHAR), ',' ORDER BY rank), '') || ']}' END AS response
+FROM parsed LEFT JOIN recs USING (request_id) GROUP BY parsed.request_id, error""", per_request_k=True)}""")
+def answer_bodies(spark, sf):
+    """The recommend endpoint from body to answer: refusals with their text, and what is found for the
+    rest, own id excluded."""
+    maps, items = _tx_items(spark, sf)
+    asked = write_table(pl.parse_bodies(qr.body_rows(fx.tx(spark, sf)), "body", TX_CATS), "parsed-bodies")
+    d = rq_ops.with_defaults(asked.where("error IS NULL").select("request_id", "k", "own_id", *TX_CATS), TX_CATS)
+    idx = F.array(*[F.col(f"{c}_index") for c in TX_CATS])
+    q = maps.transform(d).select("request_id", F.col("own_id").try_cast("bigint").alias("self_id"), "k", idx.alias("vec"))
+    recs = sim.recommend(items, write_table(q, "indexed-requests"), "k", TX_VECTORS, TX_BUCKET, self_id="self_id")
+    found = sim.response_rows(recs, asked.select("request_id")).select("request_id", "n", F.col("response").alias("found"))
+    refusal = F.to_json(F.struct(F.col("error")))
+    return asked.select("request_id", "error").join(found, "request_id").select(
+        "request_id", F.when(F.col("error").isNull(), 200).otherwise(400).alias("status"), "n",
+        F.when(F.col("error").isNull(), F.col("found")).otherwise(refusal).alias("response"))
+
+
 @register("similarity_roundtrip", sql=f"""WITH {TX_SQL}
 SELECT count(*) AS items, count(*) AS requests, CAST(0 AS BIGINT) AS own_rows, CAST(0 AS BIGINT) AS outside_buckets,
   CAST(0 AS BIGINT) AS wrong_distances, CAST(0 AS BIGINT) AS unanswered, CAST(0 AS BIGINT) AS too_many, TRUE AS missing_path_raises, 'id,price,{",".join(TX_CATS)}' AS shown FROM tx""")
