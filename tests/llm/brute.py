@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 import collections
 import hashlib
 import math
@@ -218,3 +220,18 @@ def targets(sizes):
         if not over:
             return got
         full |= over
+
+
+def discriminant(x, labels, own=0.9, diagonal=0.05, ridge=1e-4):
+    """Scores of all rows of ``x`` by two normal densities, from the rows with a label of 0 or 1 (pairs
+    of row and label)."""
+    rows = [np.array([x[i] for i, y in labels if y == c]) for c in (0, 1)]
+    pooled = sum((len(r) - 1) * np.cov(r.T) for r in rows) / (sum(map(len, rows)) - 2)
+    dens = []
+    for r in rows:
+        cov = own * np.cov(r.T) + (1 - own) * pooled
+        cov = (1 - diagonal) * cov + diagonal * np.diag(np.maximum(np.diag(pooled), ridge)) + ridge * np.eye(len(cov))
+        away = x - r.mean(axis=0)
+        dens.append(-0.5 * (away * np.linalg.solve(cov, away.T).T).sum(axis=1) - 0.5 * np.linalg.slogdet(cov)[1])
+    odds = np.log((len(rows[1]) + 1) / (len(rows[0]) + 1))
+    return 1 / (1 + np.exp(-np.clip(dens[1] - dens[0] + odds, -60, 60)))

@@ -136,6 +136,18 @@ def test_quality_is_right_on_held_out_rows(spark, queries):
     assert np.mean([p for p, q in got if q == 1]) > 0.97
 
 
+def test_quality_scores_equal_brute_force(spark, queries):
+    sf = "/root/testdata/sf0.01"
+    rows = quality.vectors(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    at = {r.doc_id: i for i, r in enumerate(rows)}
+    known = {(r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()}
+    labels = [(at[d], y) for d, y in known if d in at and y in (0, 1) and zlib.crc32(str(d).encode()) % 4 != 2]
+    want = brute.discriminant(np.array([r.x for r in rows]), labels)
+    got = {r.doc_id: r.score for r in queries["op3_quality"](spark, sf).collect()}
+    assert len(got) == len(rows) and len({y for _, y in labels}) == 2
+    assert max(abs(got[r.doc_id] - w) for r, w in zip(rows, want, strict=True)) < 1e-6
+
+
 def test_quality_without_a_class_scores_the_prior(spark, none, odd):
     rows = quality.vectors(odd)
     model = quality.train(rows, spark.createDataFrame([(i, 1) for i in range(20)], "doc_id bigint, quality int"))
