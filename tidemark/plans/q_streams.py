@@ -14,10 +14,11 @@ from tidemark.functions.columns import epoch_micros
 from tidemark.operators.ordinal import with_ntile
 from tidemark.plans import fixtures as fx
 from tidemark.plans.q_batches import BATCH_LIMIT, CLOSED_DAYS, elapsed_sql
-from tidemark.plans.registry import register
+from tidemark.plans.registry import EV_SQL, register
 from tidemark.session import scratch_path
 from tidemark.sources import lines
 from tidemark.streaming.cutter import ElapsedCutter
+from tidemark.streaming.keyed_cutter import KeyedCutter
 from tidemark.streaming.sources import run_available_now, stream_files
 
 # Fixed value: number of ordered slices (micro-batches) the staged event stream is cut into.
@@ -77,6 +78,37 @@ def batch_by_elapsed_stream(spark, sf):
                                         F.max("event_id").alias("last_event_id"))
 
 
+# Each user's stream closes batches of at least a day, at most so many of them
+KEYED_HOURS, KEYED_LIMIT = 24, 12
+
+
+@register("batch_by_elapsed_per_key", sql=f"""WITH RECURSIVE {EV_SQL},
+cuts(user_id, k, cut) AS (
+  SELECT ev.user_id, 1, min({{'ts': ev.ts, 'id': ev.event_id}}) FROM ev
+  JOIN (SELECT user_id, min(ts) AS t0 FROM ev GROUP BY user_id) s ON s.user_id IS NOT DISTINCT FROM ev.user_id
+    AND ev.ts >= s.t0 + INTERVAL {KEYED_HOURS} HOUR GROUP BY ev.user_id
+  UNION ALL
+  SELECT c.user_id, c.k + 1, min({{'ts': ev.ts, 'id': ev.event_id}}) FROM cuts c
+  JOIN ev ON c.user_id IS NOT DISTINCT FROM ev.user_id AND ev.ts >= c.cut.ts + INTERVAL {KEYED_HOURS} HOUR
+  WHERE c.k < {KEYED_LIMIT} GROUP BY c.user_id, c.k)
+SELECT e.user_id, c.k AS batch_id, count(*) AS n, min(e.event_id) AS first_event_id, max(e.event_id) AS last_event_id,
+  c.cut.id AS closing_id
+FROM cuts c LEFT JOIN cuts p ON p.user_id IS NOT DISTINCT FROM c.user_id AND p.k = c.k - 1
+JOIN ev e ON e.user_id IS NOT DISTINCT FROM c.user_id AND (e.ts, e.event_id) <= (c.cut.ts, c.cut.id)
+  AND (p.k IS NULL OR (e.ts, e.event_id) > (p.cut.ts, p.cut.id))
+GROUP BY e.user_id, c.k, c.cut""")
+def batch_by_elapsed_per_key(spark, sf):
+    """One cutter per user, with its state in Spark's state store; a restart between the two slices."""
+    ev = fx.events(spark, sf).select(*EV_COLS)
+    inp, base = scratch_path(spark, "keyed-stream-in"), scratch_path(spark, "keyed-cutter")
+    for _ in ordered_slices(ev, ["ts", "event_id"], inp, slices=2):
+        cutter = KeyedCutter(spark, base, "user_id", "ts", "event_id", f"{KEYED_HOURS} hours", KEYED_LIMIT)
+        cutter.run(stream_files(spark, inp, "parquet", schema=ev.schema, max_files_per_trigger=None))
+    closing = F.max(F.when(F.col("closes"), F.col("event_id"))).alias("closing_id")
+    return cutter.result(ev.schema).groupBy("user_id", "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id"), closing)
+
+
 WATERMARK_MINUTES = 10
 _WINDOW_SQL = """WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, CAST(ts AS TIMESTAMP)) AS s,
   count(*) AS n, round(sum(value), 2) AS sum_value FROM events GROUP BY 1)
