@@ -94,6 +94,51 @@ def unigram_scores(rows):
     return [(d, h, len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for d, w, h in docs]
 
 
+def mixture_scores(rows, steps=4, rounds=50):
+    """(doc_id, score) by deleted interpolation, token by token: dictionaries of counts, one pass of
+    expectation-maximisation after another over every training token."""
+    end = "end"
+    texts = [(d, d is None or zlib.crc32(str(d).encode()) % 5 == 1, [*SPACED.findall(lower_bytes(t)), end]) for d, t in rows]
+    uni, bi, ctx = collections.Counter(), collections.Counter(), collections.Counter()
+    for _, held, words in texts:
+        if not held:
+            for u, w in zip([end, *words[:-1]], words, strict=True):  # a begin is a context as an end would be
+                uni[w] += 1
+                bi[u, w] += 1
+                ctx[u] += 1
+    n, v = sum(uni.values()), len(uni)
+
+    def estimates(u, w, less):
+        context = ctx[u] - less
+        octave = context.bit_length()
+        return octave, (1 / (v + 1), (uni[w] - less) / max(n - less, 1), (bi[u, w] - less) / context if context > 0 else 0.0)
+
+    seen = collections.defaultdict(collections.Counter)  # octave -> ratios to the uniform estimate, to a quarter of an octave
+    for _, held, words in texts:
+        if not held:
+            for u, w in zip([end, *words[:-1]], words, strict=True):
+                octave, (p0, p1, p2) = estimates(u, w, 1)
+                seen[octave][tuple(round(steps * math.log2(p / p0)) if p > 0 else None for p in (p1, p2))] += 1
+    weights = collections.defaultdict(lambda: [1 / 3] * 3, {0: [0.5, 0.5, 0.0]})
+    for octave, cells in seen.items():
+        lam = list(weights[octave])
+        for _ in range(rounds):
+            gain = [float(x > 0) for x in lam]
+            for key, many in cells.items():
+                part = [x * r for x, r in zip(lam, (1.0, *(0.0 if k is None else 2.0 ** (k / steps) for k in key)), strict=True)]
+                gain = [g + many * x / sum(part) for g, x in zip(gain, part, strict=True)]
+            lam = [g / sum(gain) for g in gain]
+        weights[octave] = lam
+    out = []
+    for d, _, words in texts:
+        score = 0.0
+        for u, w in zip([end, *words[:-1]], words, strict=True):
+            octave, p = estimates(u, w, 0)
+            score += math.log10(sum(x * y for x, y in zip(weights[octave], p, strict=True)))
+        out.append((d, score))
+    return out
+
+
 def damaged_words(rows):
     """Counter of the words of the spelling contract."""
     out = collections.Counter()

@@ -277,6 +277,16 @@ def test_counts_and_base_scores_equal_brute_force(spark, tables, queries, which,
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("which", ["odd", "sf"])
+def test_mixture_scores_equal_brute_force(spark, tables, queries, which):
+    folder, rows = (tables[0], odd_rows()) if which == "odd" else (SF, sf_rows(spark))
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    got = sorted(((r.doc_id, r.score) for r in queries["op5_lm_scores"](spark, folder).collect()), key=key)
+    want = sorted(brute.mixture_scores(rows), key=key)
+    assert [x[0] for x in got] == [x[0] for x in want]
+    assert [x[1] for x in got] == pytest.approx([x[1] for x in want], rel=1e-9, abs=1e-9)
+
+
 def test_mixture_sums_to_one_over_the_vocabulary():
     # contexts a, b over four known words and the unknown one
     c2 = np.array([[5, 3, 0, 0, 0], [0, 1, 1, 0, 0]])
