@@ -11,7 +11,9 @@ never the ids.
 
 Defined results: a null or empty text has no tokens and decodes to empty text. The texts of special
 tokens inside a document become their ids, as the tokenizers library does it by default. Decoding
-joins the token strings by one space, since this tokenizer's file names no decoder.
+joins the token strings by one space, since this tokenizer's file names no decoder. A text of any
+length is encoded whole. Columns other than the key and the text are not read, whatever their names;
+an empty table gives no rows.
 """
 
 from __future__ import annotations

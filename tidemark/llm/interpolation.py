@@ -19,7 +19,9 @@ bits; bigrams by 48 and their bundle, whose size does not grow with the corpus (
 written as two numbers per token, from which weights and scores follow without a shuffle.
 
 Defined results: null or empty text is the end token alone; a row without an id is held out; rows
-with equal doc_id count each for itself. With no training text every score is the uniform one's.
+with equal doc_id count each for itself. With no training text every score is the uniform one's. A
+text of any length is one document of its block, which a task holds whole. Columns other than doc_id
+and text are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

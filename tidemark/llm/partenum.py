@@ -26,7 +26,8 @@ pairs, and no link that joins two components is lost.
 
 Defined results: null or wordless text has an empty set and links with nothing; a text of one to
 four words has one shingle, the whole; rows with equal doc_id are rows of their own; the smallest
-id of a component disregards nulls.
+id of a component disregards nulls. A text of any length is one set, made by one task. Columns other
+than doc_id and text are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

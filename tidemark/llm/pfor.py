@@ -8,7 +8,9 @@ index holds the byte where each block starts, so that any block can be read alon
 File: ``TOKPFOR1``, the number of documents, then four streams: document lengths and token ids
 (packed blocks), document ids (64-bit) and a flag for null ids. Documents are written in ascending
 doc_id over all files; file names sort in the same order. Rows without an id come first; rows with
-one id are ordered by their text's hash. A null or empty text is one end id.
+one id are ordered by their text's hash. A null or empty text is one end id; a text of any length is
+one document of one file. Columns other than doc_id and text are not read, whatever their names; an
+empty table gives no files and no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ rows, added up by Spark; the driver sees a few hundred numbers.
 
 Defined results: a null or empty text gives the vector of an empty text and is scored like any
 other. A label other than 0 or 1 is left out; a document with several labels counts once with each.
-If a class has no training rows, every score is the prior's.
+If a class has no training rows, every score is the prior's. A text of any length is read whole by one
+task. ``score`` keeps all columns but one of its result's name; elsewhere only the key and the text are
+read. An empty table gives no rows.
 """
 
 from __future__ import annotations

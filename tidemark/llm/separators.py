@@ -8,7 +8,9 @@ where the last one is) gives the ordinal and the start of a document that began
 ``write_flat`` makes such files from documents without a shuffle, with a table of (file, ordinal,
 doc_id). The texts of special tokens in a document are ordinary text there, so that the end id
 occurs only at ends. A null or empty text is one end id. Tokens behind a file's last end id belong
-to no document; ``scan`` reports them as a row without an end (``ended`` false).
+to no document; ``scan`` reports them as a row without an end (``ended`` false). A document may span
+any number of blocks. Columns other than the key and the text are not read, whatever their names; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ suffix per block. And a window goes on only if its screen value, the smallest ha
 runs, occurs in another block; equal windows have equal screen values, so nothing is lost.
 
 Defined results: null or empty text has no words, keeps none and becomes empty text; windows are
-judged on the input; repeated rows repeat each other's windows like any two documents.
+judged on the input; repeated rows repeat each other's windows like any two documents. A text of any
+length is one document of its block, which a task holds whole. ``remove_repeats`` keeps all columns but
+those named as its own (n_words, n_removed, kept, spans, __block). An empty table gives no rows.
 """
 
 from __future__ import annotations
