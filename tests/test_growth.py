@@ -6,9 +6,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
+from tidemark.sources import records
 
 
 def _table(x: np.ndarray, first: int, kk: int | None = None) -> pa.Table:
@@ -54,3 +56,61 @@ def test_a_count_beyond_the_array_limit_is_ranked_as_rows(spark, monkeypatch):
         monkeypatch.setattr(sim, "MOST_ARRAY", most)
         rows.append(sorted(map(tuple, sim.recommend(items, req, "k", [[1.0, 0.0]], 2.0, self_id="self_id").collect())))
     assert rows[0] == rows[1] and rows[0]
+
+
+def test_pieces_of_a_block_number_and_hold_its_records(tmp_path, monkeypatch):
+    text = "".join(f'{i},"{"x" * (i * 37 % 50)}\n""{i}"\n' for i in range(200)) + '200,"open\nto the end\n'
+    (tmp_path / "part-0").write_text(text)
+    for piece in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(records, "PIECE_BYTES", piece)
+        for quote in (ord('"'), None):
+            odd = before = 0
+            got = []
+            for at in range(0, len(text), piece):
+                some, odd, before = records.cut_piece(str(tmp_path / "part-0"), at, min(at + piece, len(text)), quote, odd, before)
+                got += some
+            if quote is None:
+                want = text.encode().split(b"\n")[:-1]
+            else:
+                want = [f'{i},"{"x" * (i * 37 % 50)}\n""{i}"'.encode() for i in range(200)] + [b'200,"open\nto the end\n']
+            assert got == list(enumerate(want))
+
+
+def test_a_block_is_cut_and_split_within_little_memory(tmp_path):
+    """Of a block of 24 MB neither the counts nor the records are held at once."""
+    import tracemalloc
+
+    name = str(tmp_path / "part-0")
+    with open(name, "w") as f:
+        for i in range(12_000):
+            f.write(f'{i},"{"word, " * 330}\n"\n')
+    kernels = []
+
+    class Frame:
+        schema = StructType()
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, _):  # noqa: N802
+            kernels.append(fn)
+            return self
+
+    tracemalloc.start()
+    records.split_quoted(Frame(), ["id", "body"])
+    values = pa.array([f'{i},"{"word, " * 330}\n"' for i in range(12_000)])
+    batch = pa.record_batch({"value": values})
+    del values
+    tracemalloc.reset_peak()
+    base = tracemalloc.get_traced_memory()[0]
+    assert sum(len(b) for b in kernels[0](iter([batch]))) == 12_000
+    assert tracemalloc.get_traced_memory()[1] - base < 16 << 20
+    odd = before = found = 0
+    tracemalloc.reset_peak()
+    base = tracemalloc.get_traced_memory()[0]
+    size = (tmp_path / "part-0").stat().st_size
+    for at in range(0, size, records.PIECE_BYTES):
+        some, odd, before = records.cut_piece(name, at, min(at + records.PIECE_BYTES, size), ord('"'), odd, before)
+        found += len(some)
+    assert found == before == 12_000 and tracemalloc.get_traced_memory()[1] - base < 48 << 20
+    tracemalloc.stop()

@@ -9,6 +9,9 @@ Files are read in byte blocks, one task each, without a sort and without a file
 3. Each block, now told its parity and the number of records before it, cuts out the records that
    begin in it, reading on past its end for the last one.
 
+A task goes through its block in pieces, so that it holds a piece and the longest record, and gives its
+records back in batches of about a piece.
+
 Files count in the order of their names, as a folder of ``part-`` files that a sorted table was written
 to. A last record may lack its newline; an empty file has no record; a blank line is one.
 """
@@ -21,12 +24,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources import store
 
 BLOCK_BYTES = 32 << 20
+PIECE_BYTES = 2 << 20  # bytes of a block, or of records to split, that are handled at a time
 READ_ON = 64 << 10  # bytes read at a time behind a block for its last record
 BATCH_ROWS = 10_000
 MOST_TASKS = 50_000
@@ -44,10 +49,15 @@ def _ends(data: np.ndarray, quote: int | None, odd: int) -> np.ndarray:
     at = np.flatnonzero(data == 10)
     if quote is None:
         return at
-    parity = np.cumsum(data == quote)[at] + odd
+    parity = np.searchsorted(np.flatnonzero(data == quote), at) + odd
     return at[parity % 2 == 0]
 
 
+def _flips(data: np.ndarray, quote: int | None) -> int:
+    """Whether the quotes change the parity."""
+    return 0 if quote is None else int(np.count_nonzero(data == quote)) % 2
+
+
 def _quote(quote: str | None) -> int | None:
     if quote is not None and (len(quote) != 1 or not quote.isascii()):
         raise ValueError("a quote is one ASCII character")
@@ -62,10 +72,13 @@ def counted_blocks(blocks: DataFrame, quote: str | None = None) -> DataFrame:
         for b in batches:
             rows = []
             for path, size, start, stop in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                data = np.frombuffer(store.get(path, start, stop - start), np.uint8)
-                flips = 0 if q is None else int((data == q).sum()) % 2
-                open_end = int(stop == size and data[-1] != 10)
-                rows.append((path, size, start, stop, flips, len(_ends(data, q, 0)), len(_ends(data, q, 1)), open_end))
+                flips, found, last = 0, [0, 0], 10  # ``found``: ends if the quotes before the block are even, odd
+                for at in range(start, stop, PIECE_BYTES):
+                    data = np.frombuffer(store.get(path, at, min(PIECE_BYTES, stop - at)), np.uint8)
+                    found = [n + len(_ends(data, q, odd ^ flips)) for odd, n in enumerate(found)]
+                    flips ^= _flips(data, q)
+                    last = data[-1]
+                rows.append((path, size, start, stop, flips, *found, int(stop == size and last != 10)))
             yield pa.record_batch([pa.array(x) for x in zip(*rows, strict=True)],
                                   ["path", "size", "start", "stop", "flips", "even", "odd_ends", "open_end"]) if rows else _no_counts()
 
@@ -123,6 +136,33 @@ def cut_records(data: bytes, read_on, start: int, quote: int | None, odd: int) -
     return out, skipped
 
 
+def cut_piece(name: str, start: int, stop: int, quote: int | None, odd: int, before: int) -> tuple[list[tuple[int, bytes]], int, int]:
+    """(numbered records that begin in a piece of a file, parity behind it, records that end before its end)."""
+    first = max(0, start - 1)
+    data, at = store.get(name, first, stop - first), stop
+
+    def read_on(n: int) -> bytes:
+        nonlocal at
+        more = store.get(name, at, n)
+        at += len(more)
+        return more
+
+    records, skipped = cut_records(data, read_on, start, quote, odd)
+    own = np.frombuffer(data, np.uint8)[start - first:]
+    numbered = list(enumerate(records, before + skipped))
+    return numbered, odd ^ _flips(own, quote), before + len(_ends(own, quote, odd))
+
+
+def _pieces(col: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about ``PIECE_BYTES``, at least one row each."""
+    size = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+    i = 0
+    while i < len(col):
+        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + PIECE_BYTES, side="right")))
+        yield i, j
+        i = j
+
+
 def ordered_records(spark: SparkSession, path: str, quote: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(line_no, value): every record with its place in file order, from 0. With ``quote`` a newline inside
     quotes belongs to the record, without it every newline ends one."""
@@ -135,20 +175,12 @@ def ordered_records(spark: SparkSession, path: str, quote: str | None = None, bl
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, _, start, stop, odd, before in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                first = max(0, start - 1)
-                data, at = store.get(name, first, stop - first), stop
-
-                def read_on(n: int) -> bytes:
-                    nonlocal at
-                    more = store.get(name, at, n)
-                    at += len(more)
-                    return more
-
-                records, skipped = cut_records(data, read_on, start, q, odd)
-                for i in range(0, len(records), BATCH_ROWS):
-                    some = records[i: i + BATCH_ROWS]
-                    yield pa.record_batch({"line_no": pa.array(np.arange(i, i + len(some)) + before + skipped),
-                                           "value": pa.array([x.decode("utf-8", "replace") for x in some], pa.string())})
+                for at in range(start, stop, PIECE_BYTES):
+                    records, odd, before = cut_piece(name, at, min(at + PIECE_BYTES, stop), q, odd, before)
+                    for i in range(0, len(records), BATCH_ROWS):
+                        some = records[i: i + BATCH_ROWS]
+                        yield pa.record_batch({"line_no": pa.array([n for n, _ in some], pa.int64()),
+                                               "value": pa.array([x.decode("utf-8", "replace") for _, x in some], pa.string())})
 
     return known.mapInArrow(cut, "line_no long, value string")
 
@@ -162,9 +194,11 @@ def split_quoted(df: DataFrame, names: Sequence[str], value: str = "value", keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 30)
-        for b in batches:
-            rows = [next(csv.reader(io.StringIO(v, newline="")), []) if v is not None else [] for v in b.column(len(keep)).to_pylist()]
-            cols = [pa.array([r[i] if i < len(r) else None for r in rows], pa.string()) for i in range(len(names))]
-            yield pa.record_batch([*b.columns[: len(keep)], *cols], [*keep, *names])
+        for whole in batches:
+            for i, j in _pieces(whole.column(len(keep))):
+                b = whole.slice(i, j - i)
+                rows = [next(csv.reader(io.StringIO(v, newline="")), []) if v is not None else [] for v in b.column(len(keep)).to_pylist()]
+                cols = [pa.array([r[n] if n < len(r) else None for r in rows], pa.string()) for n in range(len(names))]
+                yield pa.record_batch([*b.columns[: len(keep)], *cols], [*keep, *names])
 
     return df.select(*keep, value).mapInArrow(run, schema)
