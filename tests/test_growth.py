@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
 from tidemark.sources import records
+from tidemark.streaming import keyed_cutter
 
 
 def _table(x: np.ndarray, first: int, kk: int | None = None) -> pa.Table:
@@ -114,3 +116,43 @@ def test_a_block_is_cut_and_split_within_little_memory(tmp_path):
         found += len(some)
     assert found == before == 12_000 and tracemalloc.get_traced_memory()[1] - base < 48 << 20
     tracemalloc.stop()
+
+
+class _State:
+    def __init__(self):
+        self.getOption = None
+
+    def update(self, value):
+        self.getOption = value
+
+
+@pytest.mark.parametrize("limit", [None, 3])
+def test_a_key_goes_on_from_its_state_whatever_frames_its_records_come_in(limit):
+    rng = np.random.default_rng(4)
+    us, ids = np.sort(rng.integers(0, 900, 300)), np.array([f"r{i:03d}" for i in range(300)], object)
+    cut = keyed_cutter._cutter(90, limit)
+
+    def frame(at):
+        return pd.DataFrame({"us": us[at], "has_id": np.ones(len(at), bool), "id": ids[at]})
+
+    whole = pd.concat(list(cut((True, "k"), iter([frame(np.arange(300))]), _State())), ignore_index=True)
+    state, parts = _State(), []
+    for half in (np.arange(150), np.arange(150, 300)):
+        mixed = rng.permutation(half)
+        parts += list(cut((True, "k"), iter([frame(mixed[:40]), frame(mixed[40:])]), state))
+    parts = pd.concat(parts, ignore_index=True)
+    # within the same time records are ordered by id; the halves are cut at a record, so they agree
+    pd.testing.assert_frame_equal(whole, parts)
+    at = keyed_cutter.chain(us, 90, int(us[0]), limit)
+    assert np.flatnonzero(whole["closes"]).tolist() == at and state.getOption == (int(us[at[-1]]), len(at))
+    assert len(whole) == (300 if limit is None else at[-1] + 1) and whole["batch"].tolist() == \
+        (1 + np.searchsorted(at, np.arange(len(whole)))).tolist()
+
+
+def test_states_come_with_the_records_and_are_not_asked_for(spark, tmp_path):
+    df = spark.range(3).select(F.col("id").alias("user_id"), F.col("id").alias("event_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    labels = keyed_cutter.KeyedCutter(spark, str(tmp_path / "out"), "user_id", "ts", "event_id", "1 hours").labels(stream)
+    plan = labels._jdf.queryExecution().logical().toString()
+    assert "TransformWithState" not in plan and "FlatMapGroupsInPandasWithState" in plan
