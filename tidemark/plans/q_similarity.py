@@ -423,14 +423,17 @@ def similarity_roundtrip(spark, sf):
     except Exception:  # noqa: BLE001  any error will do, silence would not
         raises = True
     recs = write_table(recs, "recommendations")
-    checked = recs.join(i.select("id", F.col("h").alias("ih"), F.col("vec").alias("iv")), "id").join(
-        q.select("request_id", F.col("h").alias("qh"), F.col("vec").alias("qv")), "request_id")
+    # what was recommended is looked up once per item: popular items are in many answers
+    picked = write_table(i.join(recs.select("id").distinct(), "id").select("id", F.col("h").alias("ih"), F.col("vec").alias("iv")), "recommended-items")
+    checked = recs.join(q.select("request_id", F.col("h").alias("qh"), F.col("vec").alias("qv")), "request_id").join(picked, "id")
     true = F.sqrt(F.aggregate(F.zip_with("iv", "qv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
     # every transaction is an item as well: one that is not alone in each of its buckets has to be answered
-    member = i.select("id", F.posexplode("h").alias("t", "b"))
-    crowded = member.groupBy("t", "b").agg(F.count("*").alias("n")).where("n > 1")
-    due = member.join(crowded, ["t", "b"]).select(F.col("id").alias("request_id")).distinct()
-    unanswered = due.join(recs, "request_id", "left_anti").agg(F.count("*").alias("unanswered"))
+    # (counted by distinct hashes, of which categories give few)
+    kinds = write_table(i.groupBy("h").agg(F.count("*").alias("n")), "item-hashes")
+    member = kinds.select("h", "n", F.posexplode("h").alias("t", "b"))
+    crowded = member.groupBy("t", "b").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    due = i.join(write_table(member.join(crowded, ["t", "b"]).select("h").distinct(), "crowded-hashes"), "h").select(F.col("id").alias("request_id"))
+    unanswered = due.join(recs.select("request_id").distinct(), "request_id", "left_anti").agg(F.count("*").alias("unanswered"))
 
     def count(cond):
         return F.coalesce(F.sum(cond.cast("long")), F.lit(0))
