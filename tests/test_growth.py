@@ -156,3 +156,18 @@ def test_states_come_with_the_records_and_are_not_asked_for(spark, tmp_path):
     labels = keyed_cutter.KeyedCutter(spark, str(tmp_path / "out"), "user_id", "ts", "event_id", "1 hours").labels(stream)
     plan = labels._jdf.queryExecution().logical().toString()
     assert "TransformWithState" not in plan and "FlatMapGroupsInPandasWithState" in plan
+
+
+def test_what_is_beyond_a_known_distance_leaves_no_group():
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(4000, 8)).round(1)
+    q = np.concatenate([m[:30], rng.normal(size=(30, 8))])
+    d = np.sqrt(((q[:, None, :] - m[None, :, :]) ** 2).sum(axis=2))
+    far = np.sort(d, axis=1)[:, 5]
+    far[:10] = 0.0
+    far[10:20] = np.inf
+    reqs = _table(q, 0, 9).append_column("far", pa.array(far))
+    got = vg.nearest(9)(_table(m, 0), reqs)
+    rd = np.round(d, 9)
+    row, col = np.nonzero((rd <= np.sort(rd, axis=1)[:, 8][:, None]) & (d <= far[:, None] + 2e-9))
+    assert sorted(zip(*(got.column(c).to_pylist() for c in ("qk", "ik")), strict=True)) == list(zip(row.tolist(), col.tolist(), strict=True))

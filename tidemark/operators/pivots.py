@@ -167,8 +167,8 @@ def search(vectors: DataFrame, keys: DataFrame, digits: int = 9) -> tuple[DataFr
     zero = F.lit(0).alias("t")
     iv = _placed(vectors, cells, True).select("vk", "vec", zero, F.col("ring").alias("b"))
 
-    def found(rows: DataFrame) -> DataFrame:
-        return write_table(near_vectors(iv, rows.select("vk", "vec", "kk", zero, F.explode("rings").alias("b")), digits), "pivot-near")
+    def found(rows: DataFrame, *more: str) -> DataFrame:
+        return write_table(near_vectors(iv, rows.select("vk", "vec", "kk", *more, zero, F.explode("rings").alias("b")), digits), "pivot-near")
 
     first = write_table(_rings(keys.withColumn("kk", F.col("kk").cast("int")), cells, digits, False), "pivot-visits")
     near = found(first)
@@ -177,7 +177,9 @@ def search(vectors: DataFrame, keys: DataFrame, digits: int = 9) -> tuple[DataFr
     reach = (near.withColumn("place", F.row_number().over(w)).join(first.select(F.col("vk").alias("qk"), "kk"), "qk")
              .where("place = kk").select(F.col("qk").alias("vk"), F.col("dist").alias("reach")))
     rest = write_table(_rings(first.join(reach, "vk", "left"), cells, digits, True), "pivot-visits")
-    near = near.unionByName(found(rest))
+    # nothing beyond the k-th distance of the first rings is among the best
+    far = F.coalesce("reach", F.lit(float("inf"))).alias("far")
+    near = near.unionByName(found(rest.join(reach, "vk", "left").select(*rest.columns, far), "far"))
     sizes = spark.createDataFrame([(int(b), int(n)) for b, n in zip(cells.ring, cells.size)], "ring bigint, n bigint")
     visits = (first.unionByName(rest).select(F.col("vk").alias("qk"), F.explode("rings").alias("ring"))
               .join(F.broadcast(sizes), "ring").groupBy("qk").agg(F.sum("n").alias("visited")))  # rings: bounded, see above

@@ -107,8 +107,8 @@ def search(items: DataFrame, keys: DataFrame, vectors: Sequence[Sequence[float]]
     for p in parts[1:]:
         first = first.unionByName(p)
 
-    def found(probes: DataFrame) -> DataFrame:
-        return write_table(near_vectors(hashed, keys.join(probes, "vk").select("vk", "vec", "kk", "t", "b"), digits), "probe-near")
+    def found(probes: DataFrame, *more: str) -> DataFrame:
+        return write_table(near_vectors(hashed, keys.join(probes, "vk").select("vk", "vec", "kk", *more, "t", "b"), digits), "probe-near")
 
     near = found(first)
     place = F.row_number().over(Window.partitionBy("qk").orderBy("dist", "ik"))
@@ -116,4 +116,6 @@ def search(items: DataFrame, keys: DataFrame, vectors: Sequence[Sequence[float]]
              .select(F.col("qk").alias("vk"), F.col("dist").alias("reach")))
     factor = reach_factor(recall, len(vectors)) / float(np.sqrt(len(vectors[0])))
     more = _buckets(keys.join(reach, "vk"), vectors, bucket_length, ends, None, factor).select("vk", "t", "b")
-    return near.unionByName(found(more.join(first, ["vk", "t", "b"], "left_anti"))).groupBy("qk", "ik").agg(F.min("dist").alias("dist"))
+    # nothing beyond the distance that limits the probes is among the best
+    more = more.join(first, ["vk", "t", "b"], "left_anti").join(reach.withColumnRenamed("reach", "far"), "vk")
+    return near.unionByName(found(more, "far")).groupBy("qk", "ik").agg(F.min("dist").alias("dist"))

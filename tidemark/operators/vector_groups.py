@@ -34,16 +34,16 @@ def matrix(t: pa.Table | pa.RecordBatch) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
 
-def _sieved(q: np.ndarray, m: np.ndarray, kk: np.ndarray, digits: int) -> tuple[np.ndarray, np.ndarray] | None:
+def _sieved(q: np.ndarray, m: np.ndarray, kk: np.ndarray, digits: int, far: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray] | None:
     """(row, column) of all pairs that may be among a row's best ``kk`` or tie with the last, and few
-    others; row by row. None if the lengths are beyond what the bounds hold for."""
+    others; row by row. Pairs beyond a row's ``far`` are left out. None if the lengths are beyond what the bounds hold for."""
     qq, mm = (q * q).sum(axis=1), (m * m).sum(axis=1)
-    far = np.sqrt(mm.max())
-    if not max(far, np.sqrt(qq.max())) < _MOST:
+    most = np.sqrt(mm.max())
+    if not max(most, np.sqrt(qq.max())) < _MOST:
         return None
     n = len(m)
     # error of a squared distance: the product's terms, the rounded vectors and the rounded sums
-    slack = 4 * (q.shape[1] + 8) * _UNIT * (np.sqrt(qq) + far) ** 2 + 1e-30
+    slack = 4 * (q.shape[1] + 8) * _UNIT * (np.sqrt(qq) + most) ** 2 + 1e-30
     d = q.astype(np.float32) @ m.astype(np.float32).T
     d *= np.float32(-2)
     d += mm.astype(np.float32)[None, :]
@@ -57,7 +57,10 @@ def _sieved(q: np.ndarray, m: np.ndarray, kk: np.ndarray, digits: int) -> tuple[
     else:
         least = d
     last = np.sort(least, axis=1)[np.arange(len(q)), kk - 1].astype(float)
-    limit = (np.sqrt(np.maximum(last + slack, 0)) + 2 * 10.0**-digits) ** 2 + slack
+    limit = np.sqrt(np.maximum(last + slack, 0))
+    if far is not None:
+        limit = np.minimum(limit, far)
+    limit = (limit + 2 * 10.0**-digits) ** 2 + slack
     at = np.flatnonzero(d <= np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None])
     return at // n, at % n
 
@@ -72,24 +75,30 @@ def _exact(q: np.ndarray, m: np.ndarray, row: np.ndarray, col: np.ndarray) -> np
 
 def nearest(digits: int):
     """cogroup kernel: exact distances between the item and request vectors of one group, keeping
-    per request vector the best ``kk`` and every tie of the last."""
+    per request vector the best ``kk`` and every tie of the last, of what is within ``far`` (a column
+    of the requests, if they have it)."""
 
     def fn(items: pa.Table, reqs: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if len(items) and len(reqs):
             m, q = matrix(items), matrix(reqs)
             ik, qk, kk = items.column("vk").to_numpy(), reqs.column("vk").to_numpy(), reqs.column("kk").to_numpy()
+            far = reqs.column("far").to_numpy() if "far" in reqs.column_names else None
             chunk = max(1, CHUNK_ELEMS // len(m))
             for at in range(0, len(q), chunk):
-                some, most = q[at: at + chunk], kk[at: at + chunk]
-                pairs = _sieved(some, m, most, digits)
+                some, most, limit = q[at: at + chunk], kk[at: at + chunk], None if far is None else far[at: at + chunk]
+                pairs = _sieved(some, m, most, digits, limit)
                 row, col = np.divmod(np.arange(len(some) * len(m)), len(m)) if pairs is None else pairs
                 d = _exact(some, m, row, col)
                 rd = np.round(d, digits)
                 order = np.lexsort((rd, row))
-                first = np.searchsorted(row, np.arange(len(some)))
-                cut = rd[order][first + np.minimum(most, len(m)) - 1]
+                first, end = (np.searchsorted(row, np.arange(len(some)), side) for side in ("left", "right"))
+                cut = np.full(len(some), np.inf)  # where fewer than asked for are within the limit, all are kept
+                full = end - first >= most
+                cut[full] = rd[order][first[full] + most[full] - 1]
                 keep = rd <= cut[row]
+                if limit is not None:
+                    keep &= d <= (limit + 2 * 10.0**-digits)[row]
                 out.append((qk[at + row[keep]], ik[col[keep]], d[keep]))
         cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("qk", "ik", "dist"), cols, strict=True)))
@@ -118,7 +127,8 @@ def sliced(it: DataFrame, rq: DataFrame, group_rows: int) -> tuple[DataFrame, Da
 
 def near_vectors(iv: DataFrame, rv: DataFrame, digits: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(qk, ik, dist): of every request vector (vk, vec, kk, t, b) the best ``kk`` item vectors
-    (vk, vec, t, b) of each group it is in, and every tie of the last, each pair once."""
+    (vk, vec, t, b) of each group it is in, and every tie of the last, each pair once. Where something
+    nearer is known already, requests say so by ``far``, and what is beyond is left out."""
     iv, rv = sliced(iv, rv, group_rows)
     keys = ["t", "b", "islice", "rslice"]
     near = iv.groupBy(*keys).cogroup(rv.groupBy(*keys)).applyInArrow(nearest(digits), "qk bigint, ik bigint, dist double")
