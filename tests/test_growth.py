@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.llm import decontaminate
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
 from tidemark.sources import records
@@ -171,3 +174,14 @@ def test_what_is_beyond_a_known_distance_leaves_no_group():
     rd = np.round(d, 9)
     row, col = np.nonzero((rd <= np.sort(rd, axis=1)[:, 8][:, None]) & (d <= far[:, None] + 2e-9))
     assert sorted(zip(*(got.column(c).to_pylist() for c in ("qk", "ik")), strict=True)) == list(zip(row.tolist(), col.tolist(), strict=True))
+
+
+def test_word_classes_are_single_characters_and_those_of_the_contract(spark):
+    assert "-" not in decontaminate._GAP + decontaminate._WORD.removeprefix("[^")
+    want = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
+    rows = [(c, chr(c)) for c in (*range(0x180), 0x2028, 0x4E2D, 0x1F600)]
+    df = spark.createDataFrame(rows, "c int, text string").select(
+        "c", F.size(decontaminate.words_of("text")).alias("n"), F.regexp_count("text", F.lit(decontaminate._WORD)).alias("m"))
+    for r in df.collect():
+        n = len(want.findall(chr(r.c).lower() if r.c < 128 else chr(r.c)))
+        assert (r.n, r.m) == (n, n), r.c

@@ -31,8 +31,11 @@ WINDOW = 10
 GRAM = 5
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 128 << 20
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words, after lower-casing
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # a word before lower-casing
+# characters one by one: a class of single ones is looked up in a table, one of ranges asks each range
+_APART = "".join(f"\\x{c:02X}" for c in (*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)))
+_CAPITALS = "".join(f"\\x{c:02X}" for c in range(0x41, 0x5B))
+_GAP = f"[{_APART}{_CAPITALS}]+"  # what separates words, after lower-casing
+_WORD = f"[^{_APART}]+"  # a word before lower-casing
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
