@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm import decontaminate
+from tidemark.llm import bpe, decontaminate
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
 from tidemark.sources import records
@@ -185,3 +185,25 @@ def test_word_classes_are_single_characters_and_those_of_the_contract(spark):
     for r in df.collect():
         n = len(want.findall(chr(r.c).lower() if r.c < 128 else chr(r.c)))
         assert (r.n, r.m) == (n, n), r.c
+
+
+def test_a_full_word_cache_keeps_the_words_in_use(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 40 * bpe.WORD_BYTES)
+    asked = []
+
+    class Spelled(bpe.WordIds):
+        def __init__(self):
+            self.split = str.split
+            self.clear()
+
+        def resolve(self, words):
+            asked.extend(words)
+            return np.array([ord(c) for w in words for c in w], np.int32), np.concatenate([[0], np.cumsum([len(w) for w in words])])
+
+    enc = Spelled()
+    for i in range(60):
+        texts = [f"often w{i} also x{i} often", None, "", f"y{i}"]
+        ids, at = enc.encode(texts)
+        assert ["".join(map(chr, ids[a:b])) for a, b in zip(at, at[1:], strict=False)] == ["".join((t or "").split()) for t in texts]
+        assert enc.held <= 60 * bpe.WORD_BYTES and len(enc.slot) == len(enc.at) - 1 == len(enc.uses)
+    assert asked.count("often") == asked.count("also") == 1 and len(asked) == 182

@@ -379,15 +379,27 @@ class WordIds:
         self.slot = Slots()
         self.at = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int64)  # look-ups of each word
         self.held = 0  # bytes of the words held, about
 
+    def shrink(self) -> None:
+        """Keep the words looked up most often, of at most half the bytes."""
+        words = list(self.slot)
+        size = WORD_BYTES + np.fromiter((len(w) if w.__class__ is str else 0 for w in words), np.int64, len(words))
+        order = np.argsort(-self.uses, kind="stable")
+        order = np.sort(order[np.cumsum(size[order]) <= CACHE_BYTES // 2])
+        slot, starts, counts = Slots(), self.at[:-1][order], np.diff(self.at)[order]
+        slot.update(zip([words[i] for i in order.tolist()], range(len(order)), strict=True))
+        self.slot, self.ids, self.at = slot, gather(self.ids, starts, counts), np.concatenate([[0], np.cumsum(counts)])
+        self.uses, self.held = self.uses[order], int(size[order].sum())
+
     def resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raise NotImplementedError
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of all texts."""
         if self.held > CACHE_BYTES:
-            self.clear()
+            self.shrink()
         split = self.split
         lists = [split(x) if x else [] for x in texts]
         n = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -397,6 +409,9 @@ class WordIds:
             self.held += sum(WORD_BYTES + len(w) if w.__class__ is str else WORD_BYTES for w in self.slot.new)
             self.learn(self.slot.new)
             self.slot.new = []
+        uses = np.bincount(slots, minlength=len(self.slot))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         counts = self.at[slots + 1] - self.at[slots]
         ends = np.concatenate([[0], np.cumsum(counts)])
         return gather(self.ids, self.at[slots], counts), ends[np.concatenate([[0], np.cumsum(n)])]
