@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm import bpe, decontaminate
+from tidemark.llm import bpe, decontaminate, partenum, substrings
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
 from tidemark.sources import records
@@ -207,3 +208,33 @@ def test_a_full_word_cache_keeps_the_words_in_use(monkeypatch):
         assert ["".join(map(chr, ids[a:b])) for a, b in zip(at, at[1:], strict=False)] == ["".join((t or "").split()) for t in texts]
         assert enc.held <= 60 * bpe.WORD_BYTES and len(enc.slot) == len(enc.at) - 1 == len(enc.uses)
     assert asked.count("often") == asked.count("also") == 1 and len(asked) == 182
+
+
+def _peak(f):
+    """(result, bytes that numpy and Python held at most) of a call."""
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_block_of_texts_is_cut_a_piece_at_a_time():
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 16, 500)) for _ in range(1400)]
+    texts[7], texts[9], texts[11] = None, f"{texts[900]} tail", ""
+    size = sum(len(t or "") for t in texts)
+    t = pa.table({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    got, most = _peak(lambda: substrings.cut_block(t, pa.table({"names": pa.array([], pa.binary())}), ["id", "text"]))
+    assert size > 3 << 20 and most < 10 * size  # 21 times the text when a block was held whole
+    assert got.column("text").to_pylist() == texts and got.column("n_removed").to_pylist() == [500 if i in (9, 900) else 0 for i in range(1400)]
+    assert got.column("kept").to_pylist() == ["tail" if i == 9 else "" if i == 900 else x or "" for i, x in enumerate(texts)]
+
+
+def test_bitmaps_are_gathered_by_words():
+    sizes = np.repeat([32, 64, 256], 8000)
+    rows = [bytes([i % 251]) * n for i, n in enumerate(np.random.default_rng(3).permutation(sizes).tolist())]
+    bits = pa.chunked_array([pa.array(rows, pa.binary())]).slice(1)
+    maps, most = _peak(lambda: partenum.Bitmaps(bits))
+    assert most < 6 * sizes.sum()  # 16 and more when each byte had its index
+    assert [maps.rows[len(r)][p].tobytes() for r, p in zip(rows[1:], maps.place.tolist(), strict=True)] == rows[1:]

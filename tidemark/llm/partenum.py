@@ -315,7 +315,8 @@ class Bitmaps:
         for s in np.unique(self.size).tolist():
             at = np.flatnonzero(self.size == s)
             self.place[at] = np.arange(len(at))
-            self.rows[s] = gather(raw, off[at], self.size[at]).view(U8).reshape(len(at), -1)
+            # whole numbers of 8 bytes, each eight of which need one index
+            self.rows[s] = gather(raw.view(U8), off[at] // 8, self.size[at] // 8).reshape(len(at), -1)
 
     def _take(self, at: np.ndarray, own: int, to: int) -> np.ndarray:
         rows = self.rows[own][self.place[at]]

@@ -38,15 +38,20 @@ WINDOW = 35
 EDGES = (12, 12, 11)  # words on the edges of a path of WINDOW words
 RUN = 8  # words in a run of the screen
 BLOCK_BYTES = 4 << 20  # text bytes in a block of documents
+PIECE_BYTES = 1 << 18  # text bytes of a block that are held as words and windows at once
 BUNDLE_SUFFIXES = 4_000_000
 U8 = np.uint64
 SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8")])
 
 
-def _words(texts: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
+def _pieces(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bytes, starts, ends, first words, word hashes) of a block's texts, ``PIECE_BYTES`` of them at a
+    time; a longer text is a piece of its own."""
     buf, off = C.text_buffers(texts)
-    start, end, first, h = C.hashed_words(buf, off)
-    return buf, start, end, first, h
+    for i, j in C.pieces(off, PIECE_BYTES):
+        part = buf[off[i]: off[j]]
+        start, end, first = C.word_spans(part, off[i: j + 1] - off[i])
+        yield part, start, end, first, C.word_hashes(part, start, end)
 
 
 def window_names(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,9 +88,9 @@ def _several(names: np.ndarray) -> np.ndarray:
 
 
 def _in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values occur among ``known``, which is sorted."""
     if not len(known):
         return np.zeros(len(values), bool)
-    known = np.sort(known)
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
@@ -94,9 +99,12 @@ def repeated_windows(blocks: DataFrame, bundles: int) -> DataFrame:
     ``blocks`` (any columns with text and __block)."""
 
     def values(key: tuple, t: pa.Table) -> pa.Table:
-        _, _, _, first, h = _words(t.column("text"))
-        at, _ = C.window_starts(first, WINDOW)
-        m = np.unique(screen(h, at)) if len(at) else np.zeros(0, U8)
+        found = [np.zeros(0, U8)]
+        for _, _, _, first, h in _pieces(t.column("text")):
+            at, _ = C.window_starts(first, WINDOW)
+            if len(at):
+                found.append(np.unique(screen(h, at)))
+        m = np.unique(np.concatenate(found))
         return pa.table({"__block": pa.array(np.full(len(m), key[0].as_py(), np.int32)), "m": m.view(np.int64)})
 
     by = blocks.groupBy("__block")
@@ -107,15 +115,22 @@ def repeated_windows(blocks: DataFrame, bundles: int) -> DataFrame:
         empty = pa.table({"bundle": pa.array([], pa.int32()), "__block": pa.array([], pa.int32()), "data": pa.array([], pa.binary())})
         if not len(known) or not len(t):
             return empty
-        _, _, _, first, h = _words(t.column("text"))
-        at, _ = C.window_starts(first, WINDOW)
-        at = at[_in(screen(h, at), known.column("m").to_numpy().view(U8))] if len(at) else at
-        if not len(at):
+        m = np.sort(known.column("m").to_numpy().view(U8))
+        parts = []
+        for _, _, _, first, h in _pieces(t.column("text")):
+            at, _ = C.window_starts(first, WINDOW)
+            at = at[_in(screen(h, at), m)] if len(at) else at
+            if len(at):
+                edges, names = window_names(h, at)
+                names, one = np.unique(names, return_index=True)
+                parts.append((names, edges[:, one]))
+        if not parts:
             return empty
-        edges, names = window_names(h, at)
-        _, one = np.unique(names, return_index=True)
+        _, one = np.unique(np.concatenate([names for names, _ in parts]), return_index=True)
         rec = np.zeros(len(one), SUFFIX)
-        rec["a"], rec["b"], rec["c"] = edges[:, one]
+        for k, name in enumerate(SUFFIX.names):
+            rec[name] = np.concatenate([edges[k] for _, edges in parts])[one]
+        del parts
         return _dealt(rec, key[0].as_py(), 1, bundles)
 
     found = by.cogroup(elsewhere.groupBy("__block")).applyInArrow(suffixes, "bundle int, __block int, data binary")
@@ -190,47 +205,65 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     found = repeated_windows(blocks, n)
     schema = docs.select(*cols, *(F.lit(None).cast(kind).alias(name) for name, kind in (
         ("n_words", "long"), ("n_removed", "long"), ("kept", "string"), ("spans", "array<struct<start:int,end:int>>")))).schema
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(key: tuple, t: pa.Table, known: pa.Table) -> pa.Table:
-        if not len(t):
-            return pa.schema([(c, t.schema.field(c).type) for c in cols] + [
-                ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("spans", span)]).empty_table()
-        buf, start, end, first, h = _words(t.column("text"))
-        at, _ = C.window_starts(first, WINDOW)
-        gone = np.zeros(len(h) + 1, np.int64)
-        if len(at):
-            _, names = window_names(h, at)
-            again = at[_several(names) | _in(names, np.frombuffer(b"".join(known.column("names").to_pylist()), U8))]
-            np.add.at(gone, again, 1)
-            np.add.at(gone, again + WINDOW, -1)
-        gone = np.cumsum(gone)[:-1] > 0
-        n_words = np.diff(first)
-        total = np.concatenate([[0], np.cumsum(gone)])
-        n_removed = total[first[1:]] - total[first[:-1]]
-        stay = np.flatnonzero(~gone)
-        length = end[stay] - start[stay] + 1  # with a space behind each word
-        raw = gather(np.append(buf, np.uint8(32)), start[stay], length)
-        stop = np.cumsum(length)
-        raw[stop - 1] = 32
-        last = np.concatenate([[0], stop])[np.searchsorted(stay, first)]
-        data = raw.tobytes()
-        kept = [data[a: b - 1] if b > a else b"" for a, b in zip(last[:-1].tolist(), last[1:].tolist(), strict=True)]
-        # spans: runs of removed words, cut at document bounds
-        mark = np.concatenate([[0], gone.astype(np.int8), [0]])
-        edge = np.zeros(len(h) + 1, bool)
-        edge[first] = True
-        begins = np.flatnonzero((mark[1:] == 1) & ((mark[:-1] == 0) | edge))
-        ends = np.flatnonzero((mark[:-1] == 1) & ((mark[1:] == 0) | edge))
-        row = np.searchsorted(first, begins, "right") - 1
-        pairs = pa.StructArray.from_arrays([pa.array((begins - first[row]).astype(np.int32)), pa.array((ends - first[row]).astype(np.int32))], ["start", "end"])
-        spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(first))), pa.int32()), pairs)
-        out = {c: t.column(c) for c in cols}
-        return pa.table(out | {"n_words": n_words, "n_removed": n_removed, "kept": pa.array(kept, pa.binary()).cast(pa.string()), "spans": spans})
+        return cut_block(t, known, cols)
 
     return blocks.groupBy("__block").cogroup(found.groupBy("__block")).applyInArrow(cut, schema)
 
 
+def cut_block(t: pa.Table, found: pa.Table, cols: list[str]) -> pa.Table:
+    """``cols`` of a block's documents with n_words, n_removed, kept and spans; ``found`` has the names of the
+    block's windows that occur in another block. Words and bytes are held a piece at a time."""
+    if not len(t):
+        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        return pa.schema([(c, t.schema.field(c).type) for c in cols] + [
+            ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("spans", span)]).empty_table()
+    known = np.sort(np.frombuffer(b"".join(found.column("names").to_pylist()), U8))
+    places, named, n_words = [np.zeros(0, np.int64)], [np.zeros(0, U8)], 0
+    for _, _, _, first, h in _pieces(t.column("text")):
+        at, _ = C.window_starts(first, WINDOW)
+        if len(at):
+            places.append(at + n_words)
+            named.append(window_names(h, at)[1])
+        n_words += len(h)
+    places, named = np.concatenate(places), np.concatenate(named)
+    again = places[_several(named) | _in(named, known)]
+    del places, named, known
+    # each repeated window adds one where it begins and takes it back behind its end
+    gone = np.bincount(again, minlength=n_words + 1) - np.bincount(again + WINDOW, minlength=n_words + 1)
+    gone = np.cumsum(gone)[:-1] > 0
+    parts, base = [], 0
+    for buf, start, end, first, h in _pieces(t.column("text")):
+        parts.append(_cut(buf, start, end, first, gone[base: base + len(h)]))
+        base += len(h)
+    out = {c: t.column(c) for c in cols}
+    return pa.table(out | {name: pa.chunked_array([p[k] for p in parts]) for k, name in enumerate(("n_words", "n_removed", "kept", "spans"))})
+
+
+def _cut(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, gone: np.ndarray) -> tuple[pa.Array, ...]:
+    """(n_words, n_removed, kept, spans) of the texts of a piece without the words that are ``gone``."""
+    total = np.concatenate([[0], np.cumsum(gone)])
+    stay = np.flatnonzero(~gone)
+    length = end[stay] - start[stay] + 1  # with a space behind each word
+    raw = gather(np.append(buf, np.uint8(32)), start[stay], length)
+    stop = np.cumsum(length)
+    raw[stop - 1] = 32
+    last = np.concatenate([[0], stop])[np.searchsorted(stay, first)]
+    data = raw.tobytes()
+    kept = [data[a: b - 1] if b > a else b"" for a, b in zip(last[:-1].tolist(), last[1:].tolist(), strict=True)]
+    # spans: runs of removed words, cut at document bounds
+    mark = np.concatenate([[0], gone.astype(np.int8), [0]])
+    edge = np.zeros(len(gone) + 1, bool)
+    edge[first] = True
+    begins = np.flatnonzero((mark[1:] == 1) & ((mark[:-1] == 0) | edge))
+    ends = np.flatnonzero((mark[:-1] == 1) & ((mark[1:] == 0) | edge))
+    row = np.searchsorted(first, begins, "right") - 1
+    pairs = pa.StructArray.from_arrays([pa.array((begins - first[row]).astype(np.int32)), pa.array((ends - first[row]).astype(np.int32))], ["start", "end"])
+    spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(first))), pa.int32()), pairs)
+    return (pa.array(np.diff(first)), pa.array(total[first[1:]] - total[first[:-1]]), pa.array(kept, pa.binary()).cast(pa.string()), spans)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
