@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm import bpe, decontaminate, partenum, substrings
+from tidemark.llm import bpe, decontaminate, partenum, pfor, substrings
+from tidemark.llm.library_ids import LibraryIds
 from tidemark.operators import similarity as sim
 from tidemark.operators import vector_groups as vg
 from tidemark.sources import records
@@ -238,3 +239,24 @@ def test_bitmaps_are_gathered_by_words():
     maps, most = _peak(lambda: partenum.Bitmaps(bits))
     assert most < 6 * sizes.sum()  # 16 and more when each byte had its index
     assert [maps.rows[len(r)][p].tobytes() for r, p in zip(rows[1:], maps.place.tolist(), strict=True)] == rows[1:]
+
+
+def test_packed_bits_equal_bit_by_bit_packing():
+    rng = np.random.default_rng(4)
+    for width in range(1, 33):
+        v = rng.integers(0, 1 << 32, (5, pfor.BLOCK), dtype=np.uint64).astype(np.uint32) >> np.uint32(32 - width)
+        bits = (v[:, :, None] >> np.arange(width, dtype=np.uint32) & 1).astype(np.uint8)
+        raw = np.packbits(bits.reshape(5, -1), axis=1, bitorder="little")
+        assert np.array_equal(pfor.pack_bits(v, width), raw) and np.array_equal(pfor.unpack_bits(raw, width), v)
+
+
+def test_split_words_are_not_normalised_and_split_again():
+    from tokenizers import Tokenizer
+
+    path = bpe.tokenizer_path()
+    library, enc = Tokenizer.from_file(path), LibraryIds(path)
+    texts = ["Some words, it's 12 \x00\x1f\x7f", "été Straße ǅ İ", "日本語 😀 ''t", "x" * 500]
+    words = list(dict.fromkeys(w for t in texts for w in enc.split(t)))
+    enc.split.tok = None  # words go to the model itself
+    ids, at = enc.resolve(words)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [library.encode(w, add_special_tokens=False).ids for w in words]

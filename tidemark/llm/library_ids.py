@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 
 import numpy as np
 
-from tidemark.llm.bpe import WordIds
+from tidemark.llm.bpe import WordIds, byte_chars
 
 
 class LibraryIds(WordIds):
@@ -18,23 +17,22 @@ class LibraryIds(WordIds):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         super().__init__(path)
         if not special:
-            self.split.tok.encode_special_tokens = True
             self.split.cut = _Never()
-
-        vocab = self.split.tok.get_vocab()
-        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
-        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.model = self.split.tok.model
+        # the characters that stand for bytes, of those that do not stand for themselves
+        self.shown = {b: c for b, c in enumerate(byte_chars()) if chr(b) != c}
 
     def resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words are handed over a thousand at a time, with a space between two; the ids that end a
-        word tell them apart again."""
-        texts = [" ".join(words[i: i + 1000]) for i in range(0, len(words), 1000)]
-        found = [e.ids for e in self.split.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        ids = np.fromiter(itertools.chain.from_iterable(found), np.int32, sum(map(len, found)))
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(words):
-            raise ValueError("the tokenizer does not mark the ends of words")
-        return ids, np.concatenate([[0], ends])
+        """Words are split and normalised already, so the library's model takes each as it is, with
+        bytes written as the vocabulary writes them."""
+        encode, shown = self.model.tokenize, self.shown
+        ids: list[int] = []
+        counts = []
+        for w in words:
+            found = encode(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(shown))
+            counts.append(len(found))
+            ids += [t.id for t in found]
+        return np.array(ids, np.int32), np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
 
 
 class _Never:

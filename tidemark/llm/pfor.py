@@ -52,20 +52,48 @@ def _shapes(width: np.ndarray, excess: np.ndarray) -> Iterator[tuple[int, int, n
             yield int(width[rows[0]]), int(excess[rows[0]]), rows
 
 
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ``BLOCK`` values, the lowest ``width`` bits of each, one behind the other (lowest first) in
+    bytes: 64 values fill ``width`` numbers of 64 bits, which all rows get at once."""
+    n = len(values)
+    v = (values.reshape(n, -1, 64) & np.uint32((1 << width) - 1)).astype(np.uint64)
+    out = np.zeros((n, v.shape[1], width + 1), np.uint64)
+    for i in range(64):
+        at, shift = divmod(i * width, 64)
+        out[:, :, at] |= v[:, :, i] << np.uint64(shift)
+        if shift + width > 64:
+            out[:, :, at + 1] |= v[:, :, i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out[:, :, :width]).astype("<u8", copy=False).view(np.uint8).reshape(n, -1)
+
+
+def unpack_bits(raw: np.ndarray, width: int) -> np.ndarray:
+    """The rows of values that ``pack_bits`` made ``raw`` of."""
+    n = len(raw)
+    words = np.ascontiguousarray(raw).view("<u8").reshape(n, -1, width)
+    out = np.empty((n, words.shape[1], 64), np.uint32)
+    for i in range(64):
+        at, shift = divmod(i * width, 64)
+        x = words[:, :, at] >> np.uint64(shift)
+        if shift + width > 64:
+            x = x | words[:, :, at + 1] << np.uint64(64 - shift)
+        out[:, :, i] = x & np.uint64((1 << width) - 1)
+    return out.reshape(n, -1)
+
+
 def pack(values: np.ndarray) -> bytes:
     """``values`` (unsigned 32-bit) as: count, index of block starts, blocks."""
     n = len(values)
     blocks = -(-n // BLOCK)
-    v = np.zeros(blocks * BLOCK, np.int64)
+    v = np.zeros(blocks * BLOCK, np.uint32)
     v[:n] = values
     if n % BLOCK:
         v[n:] = v[n - 1]  # the filling adds no width and no exception of its own
     v = v.reshape(blocks, BLOCK)
-    low = v.min(axis=1) if blocks else np.zeros(0, np.int64)
+    low = v.min(axis=1) if blocks else np.zeros(0, np.uint32)
     d = v - low[:, None]
     rank = int(np.ceil(PERCENTILE * BLOCK)) - 1
     width = _bits(np.partition(d, rank, axis=1)[:, rank]) if blocks else np.zeros(0, np.int64)
-    over = d >> width[:, None]
+    over = d >> width[:, None].astype(np.uint32)  # none is left of 32 bits
     excess = (over > 0).sum(axis=1) if blocks else np.zeros(0, np.int64)
     sizes = 6 + excess * 5 + width * (BLOCK // 8)
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -79,11 +107,7 @@ def pack(values: np.ndarray) -> bytes:
             out[:, 6: 6 + e] = c.reshape(len(rows), e)
             out[:, 6 + e: 6 + 5 * e] = over[rows][r, c].astype("<u4").view(np.uint8).reshape(len(rows), 4 * e)
         if w:
-            bits = np.empty((len(rows), BLOCK, w), np.uint8)
-            part = d[rows].astype(np.uint32)
-            for j in range(w):
-                bits[:, :, j] = part >> j & 1
-            out[:, 6 + 5 * e:] = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+            out[:, 6 + 5 * e:] = pack_bits(d[rows], w)
         body[(at[rows][:, None] + np.arange(out.shape[1])).ravel()] = out.ravel()
     return np.uint64(n).tobytes() + at.astype("<u8").tobytes() + body.tobytes()
 
@@ -102,25 +126,22 @@ def unpack(raw: bytes | memoryview, first: int = 0, last: int | None = None) ->
     at = np.frombuffer(raw[8: 16 + 8 * blocks], "<u8").astype(np.int64)
     body = np.frombuffer(raw, np.uint8)[16 + 8 * blocks:]
     at = at[first: last + 1]
-    out = np.zeros((max(0, last - first), BLOCK), np.int64)
+    out = np.zeros((max(0, last - first), BLOCK), np.uint32)
     if last <= first:
-        return out.ravel().astype(np.uint32)
+        return out.ravel()
     width, excess = body[at[:-1] + 4].astype(np.int64), body[at[:-1] + 5].astype(np.int64)
     for w, e, rows in _shapes(width, excess):
         got = body[at[rows][:, None] + np.arange(6 + 5 * e + w * (BLOCK // 8))]
-        d = np.zeros((len(rows), BLOCK), np.int64)
+        d = np.zeros((len(rows), BLOCK), np.uint32)
         if w:
-            bits = np.unpackbits(np.ascontiguousarray(got[:, 6 + 5 * e:]), axis=1, bitorder="little")
-            bits = bits.reshape(len(rows), BLOCK, w)
-            for j in range(w):
-                d |= bits[:, :, j].astype(np.int64) << j
+            d = unpack_bits(got[:, 6 + 5 * e:], w)
         if e:
-            upper = np.ascontiguousarray(got[:, 6 + e: 6 + 5 * e]).view("<u4").astype(np.int64)
+            upper = np.ascontiguousarray(got[:, 6 + e: 6 + 5 * e]).view("<u4")
             np.put_along_axis(d, got[:, 6: 6 + e].astype(np.int64),
-                              np.take_along_axis(d, got[:, 6: 6 + e].astype(np.int64), 1) | upper << w, 1)
-        low = np.ascontiguousarray(got[:, :4]).view("<u4").astype(np.int64)
+                              np.take_along_axis(d, got[:, 6: 6 + e].astype(np.int64), 1) | upper << np.uint32(w), 1)
+        low = np.ascontiguousarray(got[:, :4]).view("<u4")
         out[rows] = d + low
-    return out.ravel()[: n - first * BLOCK].astype(np.uint32)
+    return out.ravel()[: n - first * BLOCK]
 
 
 def file_bytes(doc_ids: np.ndarray, null: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
