@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
+from tidemark.session import write_table
 
 WINDOW = 10
 GRAM = 5
@@ -75,18 +76,17 @@ def item_prints(items: DataFrame) -> DataFrame:
               f" i -> struct(get(g, i) AS fp, least(i, {before}) AS q, {around} AS iw))")
     long = words.where(f"win = {WINDOW}").withColumn("g", F.expr(_grams("iw", GRAM, WINDOW))).withColumn("mins", F.expr(_mins("g"))) \
         .select("item", "win", F.explode(F.expr(prints)).alias("p")).select("p.fp", "item", "win", "p.q", "p.iw").distinct()
-    short = [words.where(f"win = {n}").select(F.expr(f"{_grams('iw', n, n)}[0]").alias("fp"), "item", "win", F.lit(0).alias("q"), "iw")
-             for n in range(1, WINDOW)]
-    for s in short:
-        long = long.unionByName(s)
-    return long
+    # a hash leaves nulls out: what lies beyond the item's last word adds nothing
+    run = ", ".join(f"get(iw, {j})" for j in range(WINDOW - 1))
+    short = words.where(f"win < {WINDOW}").select(F.expr(f"xxhash64(win, {run})").alias("fp"), "item", "win", F.lit(0).alias("q"), "iw")
+    return long.unionByName(short)
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(tk, item, start, win): every place where a window of an item occurs in a document's text,
     ``tk`` being the md5 of the text and ``start`` a word position. Distinct within each task at
     least."""
-    prints = item_prints(items)
+    prints = write_table(item_prints(items), "item-prints")
     # what a row holds besides the text of its words is about 16 bytes a word and 64 bytes
     row_bytes = F.sum(F.octet_length(F.array_join("iw", "")) + F.octet_length("item") + 16 * F.size("iw") + 64)
     sizes = {r.win: (r.n, r.b) for r in prints.groupBy("win").agg(F.count("*").alias("n"), row_bytes.alias("b")).collect()}  # at most WINDOW rows

@@ -225,8 +225,8 @@ def parity_bitmaps(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 def pick_sets(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, n, elements, bits) of the classes named in ``ids``, from one text of each."""
-    keys = sets.join(ids, "id").groupBy("id").agg(F.min("tk").alias("tk")).select("tk").distinct()
-    small = keys.limit(KNOWN_KEYS + 1).count() <= KNOWN_KEYS  # a size check, not a cap: the join follows either way
+    keys = write_table(sets.join(ids, "id").groupBy("id").agg(F.min("tk").alias("tk")).select("tk").distinct(), "text-keys")
+    small = keys.count() <= KNOWN_KEYS  # a size check, not a cap: the join follows either way
     texts = docs.select("text", F.xxhash64("text").alias("tk")).join(F.broadcast(keys) if small else keys, "tk", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,8 +355,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         fine |= failed
     groups = write_table(rarest(shared.where("id IS NOT NULL"), classes), "signature-groups")
     picked = write_table(pick_sets(docs, sets, groups.select("id").distinct()), "candidate-sets")
-    links, hubs = spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "sig long, id long")
-    roots = spark.createDataFrame([], "node long, root long")
+    none = spark.range(0).where("false")  # known to be empty: no plan keeps a join with it
+    links, hubs = none.selectExpr("id AS u", "id AS v"), none.selectExpr("id AS sig", "id")
+    roots = none.selectExpr("id AS node", "id AS root")
     for _ in range(HUB_ROUNDS):
         met = write_table(star_pairs(rooted(groups, roots), hubs), "hub-pairs")
         found = write_table(verified(met.select("u", "v").distinct(), picked), "links")
@@ -368,11 +369,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             break
     more = write_table(verified(cross_pairs(groups, picked, roots, buckets), picked), "links")
     roots = components(links.unionByName(more)) if more.take(1) else roots
-    rows = sets.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = rows.where("n > 0").join(least, "root").select("doc_id", "tk", "n", F.col("least").alias("component_id"), "id", "root")
-    none = rows.where("n = 0").select("doc_id", "tk", "n", F.col("doc_id").alias("component_id"), "id", F.lit(None).cast("long").alias("root"))
-    return out.unionByName(none).withColumnsRenamed({"tk": "text_key", "n": "n_shingles", "id": "class_id"})
+    rows = sets.where("n > 0").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "root").select("doc_id", "tk", "n", F.col("least").alias("component_id"), "id", "root")
+    wordless = sets.where("n = 0").select("doc_id", "tk", "n", F.col("doc_id").alias("component_id"), "id", F.lit(None).cast("long").alias("root"))
+    return out.unionByName(wordless).withColumnsRenamed({"tk": "text_key", "n": "n_shingles", "id": "class_id"})
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
